@@ -151,13 +151,12 @@ def detect_date(filename: Column, first_page: Column, *, short_years: bool = Tru
 
 def numeric_values(x: Column, patterns: tuple = NUMERIC, most: int = 10) -> Column:
     """array<struct<value, unit, raw>> of numbers in patterns' order; the first of each value and unit, `most` at most."""
-    found = [
-        F.transform(
-            F.arrays_zip(F.regexp_extract_all(x, F.lit(p), 1).alias("value"), F.regexp_extract_all(x, F.lit(p), 0).alias("raw")),
-            lambda z, unit=unit: F.struct(z["value"].alias("value"), F.lit(unit).alias("unit"), stripped(z["raw"]).alias("raw")),
-        )
-        for p, unit in patterns
-    ]
+
+    def of(pattern: str, unit: str) -> Column:
+        both = F.arrays_zip(F.regexp_extract_all(x, F.lit(pattern), 1).alias("value"), F.regexp_extract_all(x, F.lit(pattern), 0).alias("raw"))
+        return F.transform(both, lambda z: F.struct(z["value"].alias("value"), F.lit(unit).alias("unit"), stripped(z["raw"]).alias("raw")))
+
+    found = [of(p, unit) for p, unit in patterns]
     every = F.coalesce(F.concat(*found), F.array().cast("array<struct<value:string,unit:string,raw:string>>"))
     first = F.filter(every, lambda a, i: F.size(F.filter(every, lambda b, j: (j < i) & (b["value"] == a["value"]) & (b["unit"] == a["unit"]))) == 0)
     return F.slice(first, 1, most)
