@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.bpememo import encoder
+from corvane.llm.bpememo import ENCODED_BYTES, encoder
 from corvane.llm.common import as_batch, by_arrow, partitions, text_slices, written
 
 #: Steps of the multiplicative weights in a round, their rate, and the share of a scarce length that a step takes.
@@ -37,12 +37,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        for part in text_slices(batches, "text"):
-            ids = encode([t or "" for t in part.column(1).to_pylist()])
+        encode = encoder(tokenizer).encode_column
+        for part in text_slices(batches, "text", ENCODED_BYTES):
+            ids, bounds = encode(part.column(1))
+            bounds = bounds.tolist()
             rows, piece, start, length, crc = [], [], [], [], []
-            for row, own in enumerate(ids):
-                own += end
+            for row in range(part.num_rows):
+                own = ids[bounds[row] : bounds[row + 1]].tobytes() + end
                 n = len(own) // 4
                 a, b, k = 0, n % capacity or min(n, capacity), 0
                 while a < n:
@@ -115,16 +116,18 @@ def _weighted_columns(lengths: np.ndarray, left: np.ndarray, capacity: int, step
     """A fractional solution {configuration: sequences} of the covering program, by multiplicative weights.
 
     A length weighs its tokens times exp(-RATE * share of it that is covered). A
-    step takes STEP of what the scarcest length of its configuration still allows.
+    step takes its part of all sequences, but no more than STEP of what the
+    scarcest length of its configuration still allows, so nothing is covered twice.
     """
     columns: dict[tuple, float] = {}
     cover = np.zeros(len(lengths))
+    bound = float((lengths * left).sum()) / capacity
     for _ in range(steps):
-        chosen = _priced(lengths * np.where(left - cover >= 1, np.exp(-RATE * cover / np.maximum(left, 1)), 0), left, lengths, capacity)
+        chosen = _priced(lengths * np.where(cover < 0.99 * left, np.exp(-RATE * cover / np.maximum(left, 1)), 0), left, lengths, capacity)
         if not chosen:
             break
         key = tuple(sorted(chosen.items()))
-        each = max(1.0, min(STEP * (left[i] - cover[i]) / n for i, n in key))
+        each = min(bound / steps, *(STEP * (left[i] - cover[i]) / n for i, n in key))
         columns[key] = columns.get(key, 0) + each
         for i, n in key:
             cover[i] += n * each
