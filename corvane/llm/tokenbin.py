@@ -26,7 +26,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.bpememo import encoder
+from corvane.llm.bpememo import ENCODED_BYTES, encoder
 from corvane.llm.common import as_batch, by_arrow, new_path, partitions, text_slices, written
 from corvane.llm.eliasfano import EliasFano, encoded
 
@@ -80,20 +80,19 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "do
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_column
         store, root = _store(folder)
         own, final = f"{root}/.{shard}-{uuid.uuid4().hex}", f"{root}/{shard:06d}.tok"
         doc_ids: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
         out = None
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", ENCODED_BYTES):
             if out is None:
                 store.create_dir(root)
                 out = store.open_output_stream(own + ".ids")
-            ids = encode([t or "" for t in part.column(1).to_pylist()])
-            for x in ids:
-                out.write(np.frombuffer(x, "<u4").astype(kind).tobytes() + np.array([end_id], kind).tobytes())
-            lengths.append(np.array([len(x) // 4 + 1 for x in ids], np.int64))
+            ids, bounds = encode(part.column(1))
+            out.write(np.insert(ids, bounds[1:], end_id).astype(kind).tobytes())
+            lengths.append(np.diff(bounds) + 1)
             doc_ids.append(part.column(0).fill_null(NULL_ID).to_numpy())
         if out is None:
             return
