@@ -17,6 +17,7 @@ from corvane.operators import embed, enrich, stats
 from corvane.operators.filters import AdvancedFilters
 from corvane.plans import prompt, search
 from corvane.plans.parse import month_numbers
+from corvane.plans.profiles import BASIC, FULL
 from corvane.sources import files
 from corvane.sources.store import Store, read_chunks_json, read_documents_json, write_json
 
@@ -34,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     top.add_argument("--work", default="logs", help="folder of the stages' JSON")
     top.add_argument("--model", default=os.environ.get("RAG_EMBEDDING_MODEL", HASHED))
     top.add_argument("--dimension", type=int, default=64)
+    top.add_argument("--profile", choices=("full", "basic"), default="full")
     top.add_argument("--taxonomy", help="JSON file of keyword rows")
     some = top.add_subparsers(dest="do", required=True)
     for name in ("extract", "full"):
@@ -78,10 +80,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("corvane").getOrCreate()
     store = Store(spark, args.store, args.prefix)
     taxonomy = from_json(args.taxonomy) if args.taxonomy else DOMAIN
+    profile = FULL if args.profile == "full" else BASIC
     load = _loader(args.model, args.dimension)
     documents, chunks = f"{args.work}/documents", f"{args.work}/chunks"
     if args.do in ("extract", "full"):
-        found, pieces = files.extract(spark, args.data)
+        found, pieces = files.extract(spark, args.data, profile)
         write_json(found, documents)
         write_json(pieces, chunks)
         stats.order_statistics(pieces, "char_count").show()
@@ -99,12 +102,12 @@ def main(argv: list[str] | None = None) -> int:
         for table in (stats.by_type(own, docs), stats.by_section(own), stats.importance_summary(own), stats.key_histogram(own, "economic_variables")):
             table.show(50, truncate=False)
     if args.do in ("search", "prompt"):
-        hits, parsed = search.search(store.read("chunks"), store.read("documents"), args.query, lambda q: embed.query_vector(q, load, args.model), args.k, use_mmr=not args.no_mmr, taxonomy=taxonomy)
+        hits, parsed = search.search(store.read("chunks"), store.read("documents"), args.query, lambda q: embed.query_vector(q, load, args.model), args.k, use_mmr=not args.no_mmr, taxonomy=taxonomy, profile=profile)
         hits = prompt.numbered(hits, [F.desc("final_score"), F.col("chunk_id")]).cache()
         if args.do == "prompt":
             print(prompt.prompt(args.query, hits, args.system)[0])
         else:
-            print(prompt.json_report(hits.orderBy("citation_number"), parsed) if args.json else prompt.text_report(hits, parsed))
+            print(prompt.json_report(hits.orderBy("citation_number"), parsed) if args.json else prompt.text_report(hits, parsed, whole_sheets=profile.whole_sheets))
     if args.do == "advanced":
         own = advanced_filters(args)
         if args.save_config:

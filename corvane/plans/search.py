@@ -11,6 +11,7 @@ from corvane.functions.taxonomy import DOMAIN, Taxonomy
 from corvane.operators import filters, fuse, recall
 from corvane.operators.filters import AdvancedFilters
 from corvane.plans.parse import parse_query
+from corvane.plans.profiles import FULL, Profile
 
 
 def joined(chunks: DataFrame, documents: DataFrame) -> DataFrame:
@@ -40,22 +41,25 @@ def _recalled(rows: DataFrame, where: Column, vector: Sequence[float], words: st
     return fuse.fuse(recall.vector_recall(some, vector, n), recall.lexical_recall(some, words, n)).cache()
 
 
-def search(chunks: DataFrame, documents: DataFrame, query: str, embed: Callable[[str], Sequence[float]], k: int = 5, *, use_mmr: bool = True, taxonomy: Taxonomy = DOMAIN, n: int = fuse.RECALL) -> tuple[DataFrame, dict]:
+def search(chunks: DataFrame, documents: DataFrame, query: str, embed: Callable[[str], Sequence[float]], k: int = 5, *, use_mmr: bool = True, taxonomy: Taxonomy = DOMAIN, n: int = fuse.RECALL, profile: Profile = FULL) -> tuple[DataFrame, dict]:
     """The k best chunks and the parsed query.
 
     Nothing found with variables or sections asked for: both are dropped and
     recall runs again. Month and exact date filter what was recalled, never the
     recall. Still nothing: the most important chunks under the unrelaxed filters.
     """
-    parsed = parse_query(query, taxonomy)
+    parsed = parse_query(query, taxonomy, profile)
     rows = joined(chunks, documents)
-    vector = reconciled(embed(parsed["clean_query"]), stored_dimension(chunks))
+    vector, stored = list(embed(parsed["clean_query"])), stored_dimension(chunks)
+    if stored is not None and stored != len(vector) and not profile.reconcile:
+        raise ValueError(f"the query's vector has {len(vector)} dimensions, stored ones have {stored}")
+    vector = reconciled(vector, stored)
     hits = _recalled(rows, filters.search_filter(parsed), vector, parsed["clean_query"], n)
     if (parsed["variables"] or parsed["sections"]) and hits.isEmpty():
         hits = _recalled(rows, filters.search_filter(parsed | {"variables": [], "sections": []}), vector, parsed["clean_query"], n)
     after = _after(parsed)
     hits = hits.where(after)
-    if hits.isEmpty():
+    if profile.fallback and hits.isEmpty():
         found = recall.importance_recall(rows.where(filters.search_filter(parsed)), max(4 * k, 20)).where(after)
         hits = found.withColumn("rrf_score", F.lit(0.0)).withColumn("order", F.row_number().over(fuse.Window.partitionBy(F.lit(0)).orderBy(F.desc("importance_score"), "page_start", "chunk_id"))).cache()
     if use_mmr:

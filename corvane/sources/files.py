@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.operators.chunking import chunk_documents
+from corvane.operators.stats import document_totals
+from corvane.plans.profiles import FULL, Profile
 
 PATTERN = "*.{pdf,xlsx,xls}"
 #: Characters under which a document without other warnings counts as scanned.
@@ -118,24 +120,24 @@ def sheet_chunks(files: DataFrame, least: int = 10) -> DataFrame:
     return rows.mapInPandas(read, "path string, relative string, filename string, chunk_date string, section_title_raw string, text string, position_in_doc int, warning string")
 
 
-def described(files: DataFrame, first_page: F.Column | None = None) -> DataFrame:
-    """files(relative, filename) with document_id, type, institution and date."""
+def described(files: DataFrame, profile: Profile = FULL) -> DataFrame:
+    """files(relative, filename), and pages if there are any, with document_id, type, institution and date."""
     page = F.get("pages", 0) if "pages" in files.columns else F.lit("")
     return files.withColumns({
-        "document_id": T.slug(F.col("relative")),
+        "document_id": T.slug(F.col("relative" if profile.path_ids else "filename")),
         "filepath": F.col("relative"),
         "doc_type_category": T.document_type(F.col("relative")),
         "institution": T.institution(F.col("relative")),
-        "document_date": T.detect_date(F.col("filename"), first_page if first_page is not None else page),
+        "document_date": T.detect_date(F.col("filename"), page, short_years=profile.short_years),
     })
 
 
-def extract(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def extract(spark: SparkSession, folder: str, profile: Profile = FULL) -> tuple[DataFrame, DataFrame]:
     """(documents, chunks) of all PDF files and spreadsheets under a folder."""
     files = discover(spark, folder)
-    pages = described(pdf_pages(files))
+    pages = described(pdf_pages(files), profile)
     of_pdf = chunk_documents(pages).withColumn("chunk_date", F.lit(None).cast("string"))
-    cells = described(sheet_chunks(files))
+    cells = described(sheet_chunks(files), profile)
     of_sheet = cells.where("text is not null").select(
         F.format_string("%s_%04d", "document_id", "position_in_doc").alias("chunk_id"),
         "document_id",
@@ -149,8 +151,6 @@ def extract(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         "chunk_date",
     )
     chunks = of_pdf.unionByName(of_sheet)
-    from corvane.operators.stats import document_totals
-
     named = ["document_id", "filename", "filepath", "doc_type_category", "institution"]
     sheets = cells.groupBy(*named).agg(F.lit(None).cast("string").alias("own_date"), F.lit(1).alias("pages"), F.array_compact(F.array(F.max("warning"))).alias("extraction_warnings"))
     papers = pages.select(*named, F.col("document_date").alias("own_date"), F.size("pages").alias("pages"), "extraction_warnings")

@@ -9,7 +9,9 @@ from corvane.functions import taxonomy as X
 from corvane.functions import text as T
 from corvane.functions import vectors as V
 from corvane.operators import chunking, embed, enrich, filters, fuse, recall, stats
+from corvane import cli
 from corvane.plans import catalog, parse, prompt, search
+from corvane.plans.profiles import BASIC
 from corvane.sources import files, store
 from corvane.streaming import ingest
 from pyspark.sql import functions as F
@@ -202,6 +204,25 @@ def test_query_parser(query, want):
     assert parse.month_numbers("enero, feb,3,x,13") == [1, 2, 3]
 
 
+def test_basic_profile():
+    got = parse.parse_query("13 de julio de 2022 en chile", profile=BASIC)
+    assert (got["exact_date"], got["month"], got["year_from"], got["sections"]) == (None, None, 2022, ["CONTEXTO_INTERNO"])
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "Minuta_17-01-13.pdf").write_bytes(b"not a pdf")
+    common = ["--store", f"file://{tmp_path}/s", "--work", f"file://{tmp_path}/w"]
+    assert cli.main([*common, "extract", str(tmp_path / "data")]) == 0
+    assert cli.main([*common, "setup"]) == 0 and cli.main([*common, "stats"]) == 0
+    assert cli.main([*common, "search", "tasa 2022"]) == 0 and "Sin resultados" in capsys.readouterr().out
+    assert cli.main([*common, "prompt", "tasa 2022"]) == 0 and "### PREGUNTA" in capsys.readouterr().out
+    config = str(tmp_path / "f.json")
+    assert cli.main([*common, "advanced", "tasa", "--years", "2022", "--months", "julio", "--save-config", config]) == 0
+    assert cli.main([*common, "advanced", "--config", config, "--min-importance", "0.2", "--json"]) == 0
+    assert '"min_importance": 0.2' in capsys.readouterr().out
+
+
 def test_filters_round_trip(tmp_path):
     own = filters.AdvancedFilters.from_dict({"years": 2022, "entities": ["A"], "exclude_boilerplate": True})
     own.save(tmp_path / "f.json")
