@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -49,6 +50,12 @@ def dropped(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to; it looks for them when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def tuned(spark: SparkSession) -> None:
     """Short Arrow batches, so that long documents don't fill a worker's memory."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:

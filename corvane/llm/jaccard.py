@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import sigtree
-from corvane.llm.common import as_batch, by_arrow, dropped, text_slices, written
+from corvane.llm.common import as_batch, by_arrow, dropped, freed, text_slices, written
 from corvane.llm.components import components
 from corvane.llm.textnum import mix, shingle_sets
 
@@ -142,9 +142,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 "two": pa.array(np.array(two, np.uint64).view(np.int64)),
                 "n_index": pa.array(index, pa.int32()),
                 "keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
+                "bits": pa.array([sigtree.bitmap(s, sigtree.width_for(len(s))).tobytes() for s in sets], pa.binary()),
             })
 
-    sets = written(by_arrow(docs, prefixes, "doc_id long, n long, one long, two long, n_index int, keys array<long>"), "sets")
+    sets = written(by_arrow(docs, prefixes, "doc_id long, n long, one long, two long, n_index int, keys array<long>, bits binary"), "sets")
     same = sets.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
     member = written(sets.select("doc_id", "n", "one", "two").join(same, ["n", "one", "two"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
 
@@ -153,41 +154,54 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = heads.select(F.col("doc_id").alias("rep"), "n", "n_index", F.posexplode("keys").alias("pos", "token")).select("token", "rep", F.col("n").cast("int"), "pos", (F.col("pos") < F.col("n_index")).alias("index"))
     tokens = keys.groupBy("token").agg(F.count("*").alias("members"), F.max("index").alias("any_index"), F.min("rep").alias("leader")).where("members > 1 and any_index").drop("any_index")
     blocks = written(keys.join(tokens, "token"), "blocks")
+    signed = written(heads.select(F.col("doc_id").alias("rep"), F.col("n").cast("int"), "bits").join(blocks.select("rep").distinct(), "rep", "left_semi"), "signatures")
     dropped(sets)
+    freed(spark)
 
-    # The sets of all classes that are in a block.
-    bloom = spark.sparkContext.broadcast(_bloom(blocks.select(F.col("rep").alias("id")).distinct()))
-
-    def needed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bloom.value
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            spots = [(_spots(x, 1), _spots(x, 2)) for x in ids]
-            batch = batch.filter(pa.array([bool(bits[a >> 3] >> (a & 7) & 1 and bits[b >> 3] >> (b & 7) & 1) for a, b in spots], pa.bool_()))
-            for part in text_slices([batch], "text") if batch.num_rows else ():
-                found = shingle_sets(part.column(1), words)
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
-                yield as_batch({
-                    "rep": part.column(0),
-                    "bits": pa.array([sigtree.bitmap(s, sigtree.width_for(len(s))).tobytes() for s in found], pa.binary()),
-                    "tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64))),
-                })
-
-    every = by_arrow(docs, needed_sets, "rep long, bits binary, tokens array<long>")
-    held = written(every.join(blocks.select("rep").distinct(), "rep", "left_semi"), "held")
+    def possible(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that their bitmaps allow."""
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x, y = (batch.column(c).to_pylist() for c in (3, 5))
+                most = np.array([sigtree.most_shared(*v) for v in zip(batch.column(2).to_pylist(), x, batch.column(4).to_pylist(), y)], np.int64)
+                least = sigtree.needed(batch.column(2).to_numpy().astype(np.int64), batch.column(4).to_numpy().astype(np.int64), num, den)
+                yield batch.select(["a", "b"]).filter(pa.array(most >= least))
+
+        both = pairs.join(signed.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a").join(signed.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+        alike = (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
+        return by_arrow(both.where(alike).select("a", "b", "n_a", "bits_a", "n_b", "bits_b"), keep, "a long, b long")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets are similar enough."""
+        """The pairs whose whole sets are similar enough. Sets are made anew, of the texts that the pairs need."""
+        pairs = written(pairs, "pairs")
+        bloom = spark.sparkContext.broadcast(_bloom(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()))
+
+        def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = bloom.value
+            for batch in batches:
+                spots = [(_spots(x, 1), _spots(x, 2)) for x in batch.column(0).to_pylist()]
+                batch = batch.filter(pa.array([bool(bits[a >> 3] >> (a & 7) & 1 and bits[b >> 3] >> (b & 7) & 1) for a, b in spots], pa.bool_()))
+                for part in text_slices([batch], "text") if batch.num_rows else ():
+                    found = shingle_sets(part.column(1), words)
+                    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                    flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+                    yield as_batch({"rep": part.column(0), "tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))})
+
+        held = written(by_arrow(docs, whole_sets, "rep long, tokens array<long>"), "held")
         left = held.select(F.col("rep").alias("a"), F.col("tokens").alias("x"))
         right = held.select(F.col("rep").alias("b"), F.col("tokens").alias("y"))
         both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
-        return both.where(den * F.col("common") >= num * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
+        out = written(both.where(den * F.col("common") >= num * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b"), "links")
+        dropped(held)
+        dropped(pairs)
+        freed(spark)
+        return out
 
     # Links with the smallest class of two blocks of each class: of its first shingle and of its last.
     near = blocks.where("rep <> leader").groupBy("rep").agg(F.min(F.struct("pos", "leader")).alias("p"), F.max(F.struct("pos", "leader")).alias("q"))
     pairs = near.select(F.explode(F.array("p.leader", "q.leader")).alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(linked(pairs), "links")
+    links = linked(possible(pairs))
     early = components(links)
 
     # What is left: blocks with members of different components.
@@ -198,40 +212,66 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where("low <> high")
         .groupBy("members", "print", "leader", "last")
         .agg(F.min("token").alias("token"))
-        .select("token", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
+        .select("token", F.col("leader").alias("first"), "members", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
     )
-    rows = placed.join(mixed, "token").join(held.select("rep", "bits"), "rep")
+    # Near copies meet in many blocks that begin with the same class: a task takes those together and gives a pair once.
+    loads = mixed.groupBy("first").agg(F.ceil(F.sum(F.col("members") * F.col("chunks")) / (8 * CHUNK)).cast("int").alias("parts"))
+    mixed = mixed.join(loads, "first").select("token", "first", "chunks", F.pmod(F.xxhash64("token"), F.col("parts")).cast("int").alias("part"))
+    rows = placed.join(mixed, "token").join(signed.select("rep", "bits"), "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("token", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "rep", "n", "component", "bits")
+    rows = rows.select("first", "part", "token", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "own", "rep", "n", "component", "bits")
 
     def traverse(table: pa.Table) -> pa.Table:
-        return _block_pairs(table, num, den)
-
-    pairs = rows.groupBy("token", "c1", "c2").applyInArrow(traverse, "a long, b long").distinct()
-    more = written(linked(pairs), "links")
+        table = table.sort_by("token")
+        token = table.column("token").to_numpy()
+        at = np.r_[0, np.flatnonzero(token[1:] != token[:-1]) + 1, len(token)].tolist()
+        found = np.concatenate([_block_pairs(table.slice(a, b - a), num, den) for a, b in zip(at[:-1], at[1:])])
+        found = np.unique(found, axis=0)
+        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+
+    pairs = rows.groupBy("first", "part", "c1", "c2").applyInArrow(traverse, "a long, b long").distinct()
+    more = linked(pairs)
+    dropped(blocks)
+    dropped(signed)
     whole = components(links.union(more))
     out = member.join(whole, member.rep == whole.node, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     return out
 
 
-def _block_pairs(table: pa.Table, num: int, den: int) -> pa.Table:
-    """Pairs of a block (or of two chunks of one) from different components that can be similar."""
-    own = table.column("own").to_numpy()
+def _block_pairs(table: pa.Table, num: int, den: int) -> np.ndarray:
+    """[pair, smaller and larger id]: pairs of a block (or of two chunks of one) from different components that can be similar.
+
+    Sets are joined with those of the same bitmap width and of twice that width,
+    folded: no others can be similar enough, and no bitmap gets too full to prune.
+    """
+    side = table.column("own").to_numpy() == table.column("c1")[0].as_py()
+    whole = table.column("c1")[0].as_py() == table.column("c2")[0].as_py()
     rep, n, component = (table.column(c).to_numpy().astype(np.int64) for c in ("rep", "n", "component"))
-    bits = table.column("bits").to_pylist()
-    width = min(len(b) for b in bits) * 8
-    maps = np.stack([sigtree.folded(np.frombuffer(b, np.uint64), width) for b in bits])
+    bits = [np.frombuffer(b, np.uint64) for b in table.column("bits").to_pylist()]
+    width = np.array([64 * len(b) for b in bits])
     order = np.lexsort((rep, component, n))
-    side = own == table.column("c1")[0].as_py()
-    if table.column("c1")[0].as_py() == table.column("c2")[0].as_py():
-        x, y = order, None
-    else:
-        x, y = order[side[order]], order[~side[order]]
-    tree = lambda at: sigtree.SignatureTree(maps[at], n[at], component[at])
-    i, j = sigtree.dual_join(tree(x), None if y is None else tree(y), num, den)
-    a, b = rep[x[i]], rep[(x if y is None else y)[j]]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def tree(at: np.ndarray, w: int) -> sigtree.SignatureTree:
+        return sigtree.SignatureTree(np.stack([bits[i] if len(bits[i]) * 64 == w else sigtree.folded(bits[i], w) for i in at]), n[at], component[at])
+
+    def join(x: np.ndarray, y: np.ndarray | None, w: int) -> None:
+        if len(x) and (y is None or len(y)):
+            i, j = sigtree.dual_join(tree(x, w), None if y is None else tree(y, w), num, den)
+            out.append((rep[x[i]], rep[(x if y is None else y)[j]]))
+
+    for w in np.unique(width).tolist():
+        same, twice = order[width[order] == w], order[width[order] == 2 * w]
+        if whole:
+            join(same, None, w)
+            join(same, twice, w)
+        else:
+            join(same[side[same]], same[~side[same]], w)
+            join(same[side[same]], twice[~side[twice]], w)
+            join(same[~side[same]], twice[side[twice]], w)
+    a, b = (np.concatenate([p[k] for p in out]) if out else np.zeros(0, np.int64) for k in (0, 1))
+    return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
 def near_duplicate_stage(docs: DataFrame, **options) -> DataFrame:

@@ -40,6 +40,13 @@ def needed(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
     return -(-num * (a + b) // (num + den))
 
 
+def most_shared(n: int, x: bytes, m: int, y: bytes) -> int:
+    """The most tokens that two sets of n and m tokens with these bitmaps can share: each lone bit is a token without a partner."""
+    width = 8 * min(len(x), len(y))
+    a, b = folded(np.frombuffer(x, np.uint64), width), folded(np.frombuffer(y, np.uint64), width)
+    return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+
+
 class SignatureTree:
     """A packed tree: each level groups FANOUT neighbours of the one below, leaves in the given order."""
 
