@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,6 +39,11 @@ def _accent_table() -> tuple[str, str]:
 ACCENTED, PLAIN = _accent_table()
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip_accents(x: Column) -> Column:
     """Latin letters without their accents; letters that don't decompose stay."""
     return F.translate(x, ACCENTED, PLAIN)
@@ -158,15 +163,17 @@ def numeric_values(x: Column, patterns: tuple = NUMERIC, most: int = 10) -> Colu
 
     found = [of(p, unit) for p, unit in patterns]
     every = F.coalesce(F.concat(*found), F.array().cast("array<struct<value:string,unit:string,raw:string>>"))
-    first = F.filter(every, lambda a, i: F.size(F.filter(every, lambda b, j: (j < i) & (b["value"] == a["value"]) & (b["unit"] == a["unit"]))) == 0)
+    first = let(every, lambda e: F.filter(e, lambda a, i: F.size(F.filter(e, lambda b, j: (j < i) & (b["value"] == a["value"]) & (b["unit"] == a["unit"]))) == 0))
     return F.slice(first, 1, most)
 
 
 def temporal_refs(x: Column) -> Column:
     """struct<years, quarters>: sorted distinct matches, null where there are none."""
-    some = lambda p: F.array_sort(F.array_distinct(F.regexp_extract_all(x, F.lit(p), 1)))
-    years, quarters = some(YEAR), some(QUARTER)
-    return F.struct(F.when(F.size(years) > 0, years).alias("years"), F.when(F.size(quarters) > 0, quarters).alias("quarters"))
+
+    def some(pattern: str) -> Column:
+        return let(F.array_sort(F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), 1))), lambda found: F.when(F.size(found) > 0, found))
+
+    return F.struct(some(YEAR).alias("years"), some(QUARTER).alias("quarters"))
 
 
 def token_estimate(x: Column) -> Column:

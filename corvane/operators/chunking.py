@@ -39,7 +39,7 @@ def packed(unit_array: Column, *, target: int = TARGET, least: int = LEAST, over
     """array<struct<text, page_start, page_end, section>>: units packed greedily, each chunk beginning with the last one's tail.
 
     A chunk closes before a unit that would take it over `target`, if it has
-    `least` characters, separators counted. A last chunk under `least` joins the one before, overlap and all.
+    `least` characters, separators counted. See orphan_merged() for the last one.
     """
     text = lambda s: F.array_join(s["parts"], " ")
     chunk = lambda s: F.struct(T.stripped(text(s)).alias("text"), s["low"].alias("page_start"), s["high"].alias("page_end"), s["section"].alias("section"))
@@ -64,11 +64,11 @@ def packed(unit_array: Column, *, target: int = TARGET, least: int = LEAST, over
 
     none = lambda kind: F.lit(None).cast(kind)
     start = F.struct(F.lit(0).alias("len"), F.array().cast("array<string>").alias("parts"), none("int").alias("low"), none("int").alias("high"), none("int").alias("last"), none("string").alias("section"), F.array().cast(f"array<{_CHUNK}>").alias("out"))
-    every = F.aggregate(unit_array, start, step, closed)
-    return _orphan_merged(every, least)
+    return F.aggregate(unit_array, start, step, closed)
 
 
-def _orphan_merged(every: Column, least: int) -> Column:
+def orphan_merged(every: Column, least: int = LEAST) -> Column:
+    """Packed chunks, of which a last one under `least` characters joins the one before, overlap and all."""
     last, before = F.element_at(every, -1), F.get(every, F.size(every) - 2)
     both = F.struct(F.concat(before["text"], F.lit(" "), last["text"]).alias("text"), before["page_start"].alias("page_start"), F.greatest(before["page_end"], last["page_end"]).alias("page_end"), before["section"].alias("section"))
     # A slice needs a length of zero or more even where it isn't taken.
@@ -83,8 +83,12 @@ def chunk_documents(docs: DataFrame, id_col: str = "document_id", pages_col: str
     Documents without text give no rows; nulls count as no pages.
     """
     pack = {k: options.pop(k) for k in ("target", "least", "overlap") if k in options}
-    # The units are written once as a column: the fold reads them many times.
-    rows = docs.select(F.col(id_col).alias("document_id"), units(F.col(pages_col), **options).alias("units")).select("document_id", F.posexplode(packed(F.col("units"), **pack)).alias("position_in_doc", "c"))
+    # A projection for each step: what a later one reads more than once is computed once.
+    rows = docs.select(F.col(id_col).alias("document_id"), units(F.col(pages_col), **options).alias("units"))
+    rows = rows.select("document_id", packed(F.col("units"), **pack).alias("every"))
+    rows = rows.select("document_id", orphan_merged(F.col("every"), pack.get("least", LEAST)).alias("chunks"))
+    # posexplode would filter on the size of chunks, and so make them a second time.
+    rows = rows.select("document_id", F.posexplode_outer("chunks").alias("position_in_doc", "c")).where("position_in_doc is not null")
     return rows.select(
         F.format_string("%s_%04d", F.col("document_id").cast("string"), "position_in_doc").alias("chunk_id"),
         "document_id",

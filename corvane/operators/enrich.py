@@ -29,12 +29,14 @@ DEFAULT_TYPE, DEFAULT_INSTITUTION = "REPORTE_RESEARCH", "unknown"
 def variables(normal: Column, taxonomy: Taxonomy) -> Column:
     """map<name, struct<importance, mentions, confidence>> of the variables that occur, in the taxonomy's order."""
 
-    def entry(name: str, level: str, words: list[str]) -> Column:
-        n = T.mentions(normal, words)
-        return F.struct(F.lit(name).alias("key"), F.struct(F.lit(level).alias("importance"), n.alias("mentions"), F.round(F.least(F.lit(1.0), 0.5 + 0.1 * (n - 1)), 2).alias("confidence")).alias("value"))
+    names, levels = (F.array(*map(F.lit, x)) for x in (list(taxonomy.variables), [level for level, _ in taxonomy.variables.values()]))
+    counts = F.array(*[T.mentions(normal, words) for _, words in taxonomy.variables.values()])
 
-    every = F.array(*[entry(n, level, words) for n, (level, words) in taxonomy.variables.items()])
-    return F.map_from_entries(F.filter(every, lambda e: e["value"]["mentions"] > 0))
+    def entry(n: Column, i: Column) -> Column:
+        confidence = F.round(F.least(F.lit(1.0), 0.5 + 0.1 * (n - 1)), 2)
+        return F.struct(F.get(names, i).alias("key"), F.struct(F.get(levels, i).alias("importance"), n.alias("mentions"), confidence.alias("confidence")).alias("value"))
+
+    return F.map_from_entries(F.filter(F.transform(counts, entry), lambda e: e["value"]["mentions"] > 0))
 
 
 def entities(normal: Column, taxonomy: Taxonomy) -> Column:
@@ -51,8 +53,6 @@ def section(normal: Column, position: Column, total: Column, hint: Column, taxon
     for name in reversed(taxonomy.sections):
         named = F.when(title.contains(name.lower()), name).otherwise(named)
     scores = F.array(*[F.struct(T.mentions(normal, words).alias("score"), F.lit(-i).alias("order"), F.lit(n).alias("name")) for i, (n, words) in enumerate(taxonomy.sections.items())])
-    best = F.array_max(scores)
-    total_score = F.aggregate(scores, F.lit(0), lambda a, s: a + s["score"])
     place = position / F.greatest(F.lit(1), total - 1)
     by_place = (
         F.when(total <= 0, out("CONTENIDO", 0.25))
@@ -63,7 +63,13 @@ def section(normal: Column, position: Column, total: Column, hint: Column, taxon
         .when(place > 0.70, out("PROYECCION", 0.30))
         .otherwise(out("CONTENIDO", 0.25))
     )
-    return F.when(named.isNotNull(), out(named, 0.95)).when(best["score"] > 0, out(best["name"], F.round(F.least(F.lit(1.0), 0.40 + best["score"] / (total_score + 1)), 2))).otherwise(by_place)
+
+    def by_score(s: Column) -> Column:
+        best = F.array_max(s)
+        every = F.aggregate(s, F.lit(0), lambda a, x: a + x["score"])
+        return F.when(best["score"] > 0, out(best["name"], F.round(F.least(F.lit(1.0), 0.40 + best["score"] / (every + 1)), 2)))
+
+    return F.when(named.isNotNull(), out(named, 0.95)).otherwise(F.coalesce(T.let(scores, by_score), by_place))
 
 
 def tags(normal: Column, own_variables: Column, numbers: Column, section_type: Column, taxonomy: Taxonomy) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import vectors as V
-from corvane.functions.text import lexemes
+from corvane.functions.text import let, lexemes
 
 
 def vector_recall(chunks: DataFrame, query: Sequence[float], n: int = 50, *, id_col: str = "chunk_id", vector_col: str = "embedding") -> DataFrame:
@@ -54,9 +54,12 @@ def cover_density(text: Column, terms: list[str]) -> Column:
         grown = (low >= 0) & ((F.size(s["covers"]) == 0) | (F.element_at(s["covers"], -1)["low"] < low))
         return F.struct(last.alias("last"), F.when(grown, F.concat(s["covers"], F.array(F.struct(low.alias("low"), h["at"].alias("high"))))).otherwise(s["covers"]).alias("covers"))
 
-    covers = F.aggregate(hits, start, step, lambda s: s["covers"])
-    inside = lambda c: F.size(F.filter(hits, lambda h: h["at"].between(c["low"], c["high"])))
-    return F.aggregate(F.transform(covers, lambda c: 0.1 / (1 + c["high"] - c["low"] + 1 - inside(c))), F.lit(0.0), lambda a, x: a + x)
+    def density(own: Column) -> Column:
+        inside = lambda c: F.size(F.filter(own, lambda h: h["at"].between(c["low"], c["high"])))
+        covers = F.aggregate(own, start, step, lambda s: s["covers"])
+        return F.aggregate(covers, F.lit(0.0), lambda a, c: a + 0.1 / (1 + c["high"] - c["low"] + 1 - inside(c)))
+
+    return let(hits, density)
 
 
 def lexical_recall(chunks: DataFrame, query: str, n: int = 50, *, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:

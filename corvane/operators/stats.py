@@ -51,7 +51,7 @@ def order_statistics(rows: DataFrame, value_col: str) -> DataFrame:
 
 def key_histogram(chunks: DataFrame, map_col: str, most: int = 10) -> DataFrame:
     """In how many chunks each key of a map occurs, the `most` most frequent."""
-    return chunks.select(F.explode(F.map_keys(map_col)).alias("name")).groupBy("name").agg(F.count("*").alias("chunks")).orderBy(F.desc("chunks"), "name").limit(most)
+    return chunks.select(F.explode_outer(F.map_keys(map_col)).alias("name")).where("name is not null").groupBy("name").agg(F.count("*").alias("chunks")).orderBy(F.desc("chunks"), "name").limit(most)
 
 
 def document_totals(chunks: DataFrame) -> DataFrame:

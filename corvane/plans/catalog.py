@@ -219,7 +219,7 @@ WITH n AS (SELECT doc_id, unnest(regexp_extract_all(text, '(\d{1,4})', 1)) AS va
 f AS (SELECT doc_id, value, min(i) AS i FROM n GROUP BY doc_id, value)
 SELECT doc_id, value, 'number' AS unit, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS pos FROM f QUALIFY pos < 10""")
 def numeric_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.numeric_values(F.col("text"), NUMBERS)).alias("pos", "n"))
+    rows = _read(spark, sf_dir, "documents").select("doc_id", F.posexplode_outer(T.numeric_values(F.col("text"), NUMBERS)).alias("pos", "n")).where("pos is not null")
     return rows.select("doc_id", "n.value", "n.unit", "pos")
 
 
@@ -239,7 +239,8 @@ def temporal_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 {_BASE}, c AS (SELECT doc_id, unnest([{", ".join(f"struct_pack(name := '{n}', importance := '{lv}', mentions := {_count('t', w)})" for n, (lv, w) in STOP_WORDS.variables.items())}]) AS m FROM base)
 SELECT doc_id, m.name, m.importance, m.mentions::INTEGER AS mentions, round(least(1.0::DOUBLE, 0.5::DOUBLE + 0.1::DOUBLE * (m.mentions - 1)), 2) AS confidence FROM c WHERE m.mentions > 0""")
 def keyword_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _read(spark, sf_dir, "documents").select("doc_id", F.explode(enrich.variables(T.normalize_text(F.col("text")), STOP_WORDS)).alias("name", "m"))
+    rows = _read(spark, sf_dir, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("normal")).select("doc_id", enrich.variables(F.col("normal"), STOP_WORDS).alias("vars"))
+    found = rows.select("doc_id", F.explode_outer("vars").alias("name", "m")).where("name is not null")
     return found.select("doc_id", "name", "m.importance", "m.mentions", "m.confidence")
 
 
@@ -247,7 +248,7 @@ def keyword_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 {_BASE}, c AS (SELECT unnest([{", ".join(f"struct_pack(name := '{n}', mentions := {_count('t', w)})" for n, (_, w) in STOP_WORDS.variables.items())}]) AS m FROM base)
 SELECT m.name, count(*) AS chunks FROM c WHERE m.mentions > 0 GROUP BY ALL ORDER BY chunks DESC, m.name LIMIT 10""")
 def keyword_histogram_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "documents").select(enrich.variables(T.normalize_text(F.col("text")), STOP_WORDS).alias("vars"))
+    rows = _read(spark, sf_dir, "documents").select(T.normalize_text(F.col("text")).alias("normal")).select(enrich.variables(F.col("normal"), STOP_WORDS).alias("vars"))
     return stats.key_histogram(rows, "vars")
 
 
@@ -255,7 +256,8 @@ def keyword_histogram_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 {_BASE}, c AS (SELECT doc_id, unnest([{", ".join(f"struct_pack(name := '{n}', mentions := {_count('t', w)})" for n, w in STOP_WORDS.entities.items())}]) AS m FROM base)
 SELECT doc_id, m.name, m.mentions::INTEGER AS mentions FROM c WHERE m.mentions > 0""")
 def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents").select("doc_id", F.explode(enrich.entities(T.normalize_text(F.col("text")), STOP_WORDS)).alias("name", "mentions"))
+    rows = _read(spark, sf_dir, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("normal")).select("doc_id", enrich.entities(F.col("normal"), STOP_WORDS).alias("ents"))
+    return rows.select("doc_id", F.explode_outer("ents").alias("name", "mentions")).where("name is not null")
 
 
 _SECTION_SQL = (
@@ -266,8 +268,8 @@ _BEST, _SUM = f"greatest({', '.join('s_' + m for m in STOP_WORDS.sections)})", "
 
 @_query(f"{_BASE} SELECT doc_id, {_SECTION_SQL} AS section_type, CASE WHEN {_BEST} > 0 THEN round(least(1.0::DOUBLE, 0.40::DOUBLE + {_BEST} / ({_SUM} + 1)::DOUBLE), 2) ELSE 0.4::DOUBLE END AS confidence FROM (SELECT doc_id, {_SCORES} FROM base)")
 def section_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = enrich.section(T.normalize_text(F.col("text")), F.lit(0), F.lit(1), F.lit(None).cast("string"), STOP_WORDS)
-    return _read(spark, sf_dir, "documents").select("doc_id", found.alias("f")).select("doc_id", F.col("f.type").alias("section_type"), F.col("f.confidence").alias("confidence"))
+    found = enrich.section(F.col("normal"), F.lit(0), F.lit(1), F.lit(None).cast("string"), STOP_WORDS)
+    return _read(spark, sf_dir, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("normal")).select("doc_id", found.alias("f")).select("doc_id", F.col("f.type").alias("section_type"), F.col("f.confidence").alias("confidence"))
 
 
 @_query("""
