@@ -121,7 +121,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     members = leaves.select("id", "tree", "text", first(F.col("text")).alias("head"))
     calls = asked.where("level > 0").select("id", "level", F.posexplode("s").alias("tree", "text")).withColumn("head", first(F.col("text")))
     heads = members.groupBy("tree", "head").agg(F.count("*").alias("n"))
-    whole = asked.where("level = 0").select("id", "level", F.lit(0).alias("tree"), F.col("s")[0].alias("text")).join(heads.where("tree = 0").select("head"))  # at most 2 * SPREAD heads: a query that reaches the root
+    # A query that reaches the root goes to every first digit of one tree.
+    whole = asked.where("level = 0").select("id", "level", F.lit(0).alias("tree"), F.col("s")[0].alias("text"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2 * SPREAD - 1).cast("long"))).alias("head"))
     calls = calls.unionByName(whole.select("id", "level", "tree", "text", "head"))
     parts = heads.join(calls.groupBy("tree", "head").agg(F.count("*").alias("m")), ["tree", "head"]).select("tree", "head", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts"), F.ceil(F.col("m") / QUERIES).cast("int").alias("calls"))
     members = members.join(F.broadcast(parts), ["tree", "head"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("call", F.explode(F.sequence(F.lit(0), F.col("calls") - 1)))
