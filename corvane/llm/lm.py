@@ -25,7 +25,7 @@ from corvane.llm.textnum import U, hashed_words
 #: The hash of the token that ends each text; words' hashes are mixed and never take it in practice.
 END = U(0x656E646F66646F63)
 #: Tokens that a task gathers before it counts or scores them together.
-GATHERED = 4_000_000
+GATHERED = 3_000_000
 DISCOUNT = 0.75
 
 
@@ -221,19 +221,25 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for doc_ids, hashes, first in _gathered(batches):
             ids, counts = m.tokens_of(hashes)
             base = m.unigram(counts)
-            known = (counts > 0).astype(np.int64)
+            total: Callable = lambda x: np.add.reduceat(x, first[:-1], dtype=None if x.dtype == np.float64 else np.int64)
+            n_known = total((counts > 0).view(np.int8))
             del hashes, counts
-            contexts = _contexts(ids, first, m.words)
-            order = np.argsort(contexts * (m.words + 2) + ids)  # -1 sorts below every word of its context
-            c, w = contexts[order], ids[order]
+            key = _contexts(ids, first, m.words)
+            key *= m.words + 2
+            key += ids  # -1 sorts below every word of its context
+            del ids
+            order = np.argsort(key)
+            key = key[order] + 1
+            c, w = np.divmod(key, m.words + 2)
+            w -= 1
+            del key
             new = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
             start = int(np.searchsorted(c[new], 0))  # unknown contexts come first
             each = base[order[new]]
             each[start:] = m.pairs(c[new[start:]], w[new[start:]], each[start:])
-            value = np.empty(len(ids))
-            value[order] = np.repeat(each, np.diff(np.r_[new, len(ids)]))
-            total: Callable = lambda x: np.add.reduceat(x, first[:-1])
-            yield as_batch({"doc_id": doc_ids, "n_tokens": pa.array(np.diff(first)), "n_known": pa.array(total(known)), "base_score": pa.array(total(base)), "score": pa.array(total(value))})
+            value = np.empty(len(order))
+            value[order] = np.repeat(each, np.diff(np.r_[new, len(order)]))
+            yield as_batch({"doc_id": doc_ids, "n_tokens": pa.array(np.diff(first)), "n_known": pa.array(n_known), "base_score": pa.array(total(base)), "score": pa.array(total(value))})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return by_arrow(rows, per_row, "doc_id long, n_tokens long, n_known long, base_score double, score double")
