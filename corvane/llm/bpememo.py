@@ -21,9 +21,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-HELD = 450_000
+HELD = 300_000
 #: Text bytes to encode at once: the more, the fewer different stretches for each of them.
-ENCODED_BYTES = 6 << 20
+ENCODED_BYTES = 3 << 20
 #: The longest stretch that is remembered, in characters.
 LONGEST = 64
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"

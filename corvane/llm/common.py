@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows of an Arrow batch sent to Python. Documents may be long, so batches are short.
 BATCH_ROWS = 1000
 #: Text bytes handled at once by the vectorised text code.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,10 +64,23 @@ def tuned(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def returned() -> None:
+    """Gives freed memory of this worker back to the machine: workers live on between tasks, beside others."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def by_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with short batches."""
+    """mapInArrow with short batches; a task gives back what its worker doesn't need any more."""
     tuned(df.sparkSession)
-    return df.mapInArrow(f, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        returned()
+
+    return df.mapInArrow(run, schema)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

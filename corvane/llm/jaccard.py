@@ -61,7 +61,7 @@ def _frequent(docs: DataFrame, id_col: str, text_col: str, width: int) -> np.nda
             held += sets
             rows += len(sets)
             size += sum(map(len, sets))
-            if size > 2_000_000:
+            if size > 1_000_000:
                 keys, counts = merged()
                 held, size = [], 0
                 often = counts >= max(2, FREQUENT_SHARE * rows / 4)  # as in lossy counting, rare ones are forgotten
@@ -228,6 +228,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         at = np.r_[0, np.flatnonzero(token[1:] != token[:-1]) + 1, len(token)].tolist()
         found = np.concatenate([_block_pairs(table.slice(a, b - a), num, den) for a, b in zip(at[:-1], at[1:])])
         found = np.unique(found, axis=0)
+        del table
         return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
 
     pairs = rows.groupBy("first", "part", "c1", "c2").applyInArrow(traverse, "a long, b long").distinct()

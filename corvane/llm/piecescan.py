@@ -34,7 +34,7 @@ from corvane.llm.common import as_batch, by_arrow, partitions, text_slices, writ
 MARK = "▁"
 #: Characters of a chunk, and of the longest document that is encoded in one go.
 CHUNK = 16_384
-HELD, LONGEST = 400_000, 48
+HELD, LONGEST = 300_000, 48
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NONE = -np.inf
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import as_batch, by_arrow, text_slices, tuned
+from corvane.llm.common import as_batch, by_arrow, returned, text_slices, tuned
 from corvane.llm.textnum import LOWER, U, column_bytes, word_hashes, word_spans
 
 #: Labelled rows to learn from, at most: those with the smallest hashes of their ids.
@@ -205,6 +205,7 @@ def good_documents(docs: DataFrame, model: FlatTrees, text_col: str = "text", *,
         for part in text_slices(batches, text_col):
             x = statistics(part.column(part.schema.get_field_index(text_col)))
             yield part.filter(pa.array(held.value.score(x) >= threshold))
+        returned()
 
     tuned(docs.sparkSession)
     return docs.mapInArrow(keep, docs.schema)
