@@ -16,6 +16,9 @@ from corvane.llm.packing import packed_documents
 from corvane.llm.quality import good_documents, train
 from corvane.llm.queries import tokenizer_path
 
+#: Sites that make a line boilerplate here. Two may be a page and its mirror or a quotation; a line on three is no site's own, however few sites there are.
+LINE_SITES = 3
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
@@ -23,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cross-site boilerplate lines go from the texts; n_chars follows. No document goes."""
-    cleaned = line_dedup(docs)
+    """Lines on LINE_SITES or more sites go from the texts but the first; n_chars follows. No document goes."""
+    cleaned = line_dedup(docs, min_sites=LINE_SITES)
     return cleaned.select(*[F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 

@@ -171,6 +171,18 @@ def test_line_dedup_near_the_limit_is_exact(spark):
     assert removed == {n: n - 1 if n >= 10 else 0 for n in range(1, 20)}
 
 
+def test_pipeline_lines_go_from_few_sites(spark):
+    import corpus_pipeline
+
+    passage = {n: " ".join(f"planted{n}word{k}" for k in range(55)) for n in range(1, 10)}
+    rows = [(100 * n + k, f"own text of {n} and {k}\n{passage[n]}", f"site{k % n}") for n in passage for k in range(9)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r["doc_id"]: r for r in corpus_pipeline.lines(spark, docs, SF).collect()}
+    for i, t, _ in rows:
+        stays = i // 100 < 3 or i % 100 == 0
+        assert out[i]["text"] == (t if stays else t.split("\n")[0]) and out[i]["n_chars"] == len(out[i]["text"])
+
+
 def test_quality_learns_and_ignores_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     out = quality.classify(docs, labels).join(labels, "doc_id")
