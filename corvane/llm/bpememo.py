@@ -9,6 +9,10 @@ memory is bounded: two generations of about HELD stretches each.
 
 A stretch of letters is one piece, so it goes to the tokenizer's model without
 being split again, its bytes spelled as the model's vocabulary spells them.
+
+The library takes an added token's string out of a text before it splits, and
+such a token may hold spaces or swallow those beside it. So a text that holds
+one goes to the library whole.
 """
 
 from __future__ import annotations
@@ -49,7 +53,7 @@ class MemoEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.bare = Tokenizer(self.tokenizer.model)
         self.spelling = _spelling()
         self.new: dict[str, bytes] = {}
@@ -113,7 +117,10 @@ class MemoEncoder:
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids as unsigned 32-bit numbers, bounds) of a column of texts: text i has ids[bounds[i]:bounds[i + 1]]. A null is an empty text."""
-        column = column.fill_null("").cast(pa.string())
+        column = whole = column.fill_null("").cast(pa.string())
+        added = self._with_added(column)
+        if len(added):
+            column = pc.if_else(pa.array(np.isin(np.arange(len(column)), added)), "", column)
         parts = pc.split_pattern(column, " ")
         at = parts.offsets.to_numpy().astype(np.int64)
         coded = parts.flatten().dictionary_encode()
@@ -136,15 +143,24 @@ class MemoEncoder:
         ends = np.r_[0, np.cumsum(each)]
         ids = pool[np.arange(ends[-1]) + np.repeat(start[index] - ends[:-1], each)]
         bounds = ends[at]
-        if len(care):
+        if len(care) or len(added):
             own = np.split(ids, bounds[1:-1])
             for i in care.tolist():
                 own[i] = np.frombuffer(self._careful(column[i].as_py()), "<u4")
+            for i in added.tolist():
+                own[i] = np.frombuffer(self._ids(self.tokenizer, [whole[i].as_py()])[0], "<u4")
             ids, bounds = np.concatenate(own), np.r_[0, np.cumsum([len(x) for x in own])]
         if len(self.new) > HELD:
             self.old, self.new = self.new, {}
         return ids, bounds
 
+    def _with_added(self, column: pa.Array) -> np.ndarray:
+        """Which texts hold an added token's string."""
+        found = np.zeros(len(column), bool)
+        for token in self.added:
+            found |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(found)
+
     def _careful(self, text: str) -> bytes:
         """A text with white space beside a space, or with none at all."""
         if not text:

@@ -280,6 +280,30 @@ def test_packing(docs, empty):
     assert packing.packed_documents(empty, path).count() == 0
 
 
+def test_added_tokens_are_the_library_s(spark, tmp_path):
+    from corvane.llm import bpememo
+    from tokenizers import AddedToken, Tokenizer
+
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    r = random.Random(8)
+    some = [None, "", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>", "<|endoftext|><|endoftext|> \n", "<|endoftext", "no token here"]
+    some += ["".join(r.choices(["<|endoftext|>", " ", "\n", "word", "Über", "!", "  "], k=r.randint(1, 12))) for _ in range(200)]
+    plain.add_tokens([AddedToken("two words", lstrip=True, rstrip=True), AddedToken("abc", single_word=True)])
+    plain.save(str(tmp_path / "more.json"))
+    for name, texts_ in ((path, some), (str(tmp_path / "more.json"), [*some, "so two words  here", "abc abcd, abc."])):
+        default = Tokenizer.from_file(name)
+        want = [default.encode(t or "", add_special_tokens=False).ids for t in texts_]
+        assert [np.frombuffer(b, "<u4").tolist() for b in bpememo.MemoEncoder(name).encode(texts_)] == want
+    docs = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string")
+    default = Tokenizer.from_file(path)
+    ids = {i: default.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(some)}
+    crc = lambda x: crc32(np.array(x, "<u4").tobytes())
+    assert {r["doc_id"]: r["ids_crc32"] for r in packing.packed_documents(docs, path).collect()} == {i: crc([*x, 0]) for i, x in ids.items()}
+    assert {r["doc_id"]: r["ids_crc32"] for r in tokenbin.token_files(docs, path).collect()} == {i: crc([*x, 2]) for i, x in ids.items()}
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_configurations_cover_exactly(seed, monkeypatch):
     r = random.Random(seed)
