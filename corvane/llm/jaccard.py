@@ -243,8 +243,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _block_pairs(table: pa.Table, num: int, den: int) -> np.ndarray:
     """[pair, smaller and larger id]: pairs of a block (or of two chunks of one) from different components that can be similar.
 
-    Sets are joined with those of the same bitmap width and of twice that width,
-    folded: no others can be similar enough, and no bitmap gets too full to prune.
+    Sets are joined with those of the same bitmap width and of each larger width
+    whose smallest sets can be similar enough (from 1/2 up only twice the width),
+    folded, so that no bitmap gets too full to prune.
     """
     side = table.column("own").to_numpy() == table.column("c1")[0].as_py()
     whole = table.column("c1")[0].as_py() == table.column("c2")[0].as_py()
@@ -262,15 +263,22 @@ def _block_pairs(table: pa.Table, num: int, den: int) -> np.ndarray:
             i, j = sigtree.dual_join(tree(x, w), None if y is None else tree(y, w), num, den)
             out.append((rep[x[i]], rep[(x if y is None else y)[j]]))
 
-    for w in np.unique(width).tolist():
-        same, twice = order[width[order] == w], order[width[order] == 2 * w]
+    widths = np.unique(width).tolist()
+    for w in widths:
+        same = order[width[order] == w]
         if whole:
             join(same, None, w)
-            join(same, twice, w)
         else:
             join(same[side[same]], same[~side[same]], w)
-            join(same[side[same]], twice[~side[twice]], w)
-            join(same[~side[same]], twice[side[twice]], w)
+        for wider in (v for v in widths if v > w):
+            more = order[width[order] == wider]
+            if den * n[same].max() < num * n[more].min():
+                continue
+            if whole:
+                join(same, more, w)
+            else:
+                join(same[side[same]], more[~side[more]], w)
+                join(same[~side[same]], more[side[more]], w)
     a, b = (np.concatenate([p[k] for p in out]) if out else np.zeros(0, np.int64) for k in (0, 1))
     return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 

@@ -90,6 +90,23 @@ def test_jaccard_of_odd_tables(spark, empty):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, "a b c d e f"), (1, ""), (2, "a b c d e f"), (2, "a b c d e f")]
 
 
+@pytest.mark.parametrize("chunk", [3, 4096])
+def test_block_pairs_of_all_widths_that_can_link(chunk):
+    tokens = np.random.default_rng(4).integers(0, 1 << 63, 1100, dtype=np.uint64)
+    sizes = [100, 128, 130, 300, 400, 700, 1100]
+    sets = [np.sort(tokens[:k]) for k in sizes]
+    bits = [sigtree.bitmap(s, sigtree.width_for(len(s))).tobytes() for s in sets]
+    for num, den in ((10, 100), (30, 100), (50, 100), (80, 100)):
+        wanted = {(i, j) for i in range(7) for j in range(i + 1, 7) if den * sizes[i] >= num * sizes[j]}
+        found = set()
+        for c1, c2 in ((0, 0), (1, 1), (0, 1)) if chunk == 3 else ((0, 0),):
+            own = [i % 2 if chunk == 3 else 0 for i in range(7)]
+            at = [i for i in range(7) if own[i] in (c1, c2)]
+            rows = [{"own": own[i], "c1": c1, "c2": c2, "rep": i, "n": sizes[i], "component": i, "bits": bits[i]} for i in at]
+            found |= set(map(tuple, jaccard._block_pairs(pa.Table.from_pylist(rows), num, den).tolist()))
+        assert wanted <= found
+
+
 def test_signature_trees_lose_no_pair():
     r = np.random.default_rng(3)
     base = [np.unique(r.integers(0, 1 << 63, r.integers(5, 60), dtype=np.uint64)) for _ in range(40)]
