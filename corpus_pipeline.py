@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm.common import written
-from corvane.llm.jaccard import near_duplicate_stage
+from corvane.llm.jaccard import one_of_each_class
 from corvane.llm.linededup import line_dedup
 from corvane.llm.packing import packed_documents
 from corvane.llm.quality import good_documents, train
@@ -32,8 +32,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five words a shingle, a similarity of 0.8 or more."""
-    return near_duplicate_stage(docs, words=5, num=80, den=100)
+    """One document of each group of near duplicates stays: five words a shingle, a similarity of 0.8 or more.
+
+    Rows with a null or a repeated id are documents of their own.
+    """
+    return one_of_each_class(docs, words=5, num=80, den=100)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

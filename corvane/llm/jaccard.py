@@ -291,3 +291,42 @@ def near_duplicate_stage(docs: DataFrame, **options) -> DataFrame:
     classes = jaccard_classes(docs, **options)
     gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
+
+
+def _row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column that tells all rows apart, and its name: the doc_id, where no id is null or repeated.
+
+    Else the first row of an id keeps it as its key, and the other rows, and
+    those without one, get keys over all ids. Rows get their numbers when they are written.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    odd = ids.where("doc_id is null or rows > 1").select("doc_id")
+    if odd.isEmpty():
+        return docs, "doc_id"
+    key, number = _free(docs, "row_key"), _free(docs, "row_number")
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    firsts = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(number).alias(number)).select(number, F.lit(True).alias(key))
+    top = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
+    keyed = rows.join(firsts, number, "left").withColumn(key, F.when(F.col(key), F.col("doc_id").cast("long")).otherwise(F.lit(max(top, 0) + 1) + F.col(number)))
+    out = written(keyed.drop(number), "keyed")
+    dropped(rows)
+    return out, key
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
+    """docs with one row of each class of near copies: that with the smallest doc_id, null last.
+
+    Unlike near_duplicate_stage, rows that repeat an id and rows with a null id are
+    rows of their own, so of them too one stays. Of rows with the same smallest id the first stays.
+    Rows without words stay.
+    """
+    keyed, key = _row_keys(docs)
+    classes = jaccard_classes(keyed, id_col=key, **options)
+    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias(key))
+    return keyed.join(gone, key, "left_anti").select(*docs.columns)

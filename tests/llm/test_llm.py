@@ -90,6 +90,22 @@ def test_jaccard_of_odd_tables(spark, empty):
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, "a b c d e f"), (1, ""), (2, "a b c d e f"), (2, "a b c d e f")]
 
 
+def test_pipeline_keeps_one_row_of_each_class(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    four, other, third = "a b c d e f", "g h i j k l m", "n o p q r s"
+    rows = [(None, four), (2, four), (2, four), (3, four), (None, other), (None, other), (7, other + " "), (None, third), (None, third), (8, "t u v w x y"), (8, "z z z z z z y"), (9, None), (None, None), (9, None), (10, ""), (-4, four + " !")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema).repartition(4)
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    kept = sorted(((str(r["doc_id"]), str(r["text"])) for r in out.collect()))
+    assert kept == sorted([("-4", four + " !"), ("2", four), ("7", other + " "), ("None", third), ("8", "t u v w x y"), ("8", "z z z z z z y"), ("9", "None"), ("None", "None"), ("9", "None"), ("10", "")])
+    plain = spark.createDataFrame([(5, four, "en", "s", 11), (4, four, "en", "s", 11), (6, other, "en", "s", 13)], schema)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, plain, SF).collect()) == [4, 6]
+    assert corpus_pipeline.near_duplicates(spark, docs.where("false"), SF).count() == 0
+
+
 @pytest.mark.parametrize("chunk", [3, 4096])
 def test_block_pairs_of_all_widths_that_can_link(chunk):
     tokens = np.random.default_rng(4).integers(0, 1 << 63, 1100, dtype=np.uint64)
