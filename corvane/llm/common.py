@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch sent to Python. Documents may be long, so batches are short.
 BATCH_ROWS = 1000
@@ -22,10 +23,12 @@ SLICE_BYTES = 1 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where it is unset (tests on one machine) a temporary folder is made and set.
+    Where it is unset and the master is local (tests on one machine) a temporary folder is made and set; on a cluster it must be set.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="corvane-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -72,7 +75,7 @@ def returned() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def by_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def by_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
     """mapInArrow with short batches; a task gives back what its worker doesn't need any more."""
     tuned(df.sparkSession)
 
