@@ -2,69 +2,76 @@
 
 Each tree writes a vector as a string of digits; a digit is the largest
 coordinate, with its sign, of a random rotation of the vector (cross-polytope
-hashing). A tree is kept as sorted arrays of strings. A query descends to the
-longest prefix it shares with others and ascends in all trees at once, one
-digit a step, until enough candidates share its prefix in some tree. Candidates
-are ranked by their exact inner product.
-
-How many candidates are enough is measured: for a bounded sample of queries the
-true neighbours are found by brute force, and the smallest number of a ladder
-that reaches the wanted recall is taken.
+hashing). Rows are dealt out in blocks. A block keeps each tree as a sorted
+array of its rows' strings. A query descends to the longest prefix it shares
+with others and ascends in all trees at once, one digit a step, until enough
+rows of the block share its prefix in some tree. These are ranked by their
+exact inner product, and the best of all blocks are merged.
+
+How many rows are enough is measured: for a bounded sample of queries the true
+neighbours are found by brute force, and the smallest share of a ladder that
+reaches the wanted recall is taken; beyond the ladder it is all rows.
+
+A vector is shuffled once, to deal it out; queries are read from a written
+table, so nothing that grows with the input is broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.parquet
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from corvane.llm.common import as_batch, by_arrow, written
+from corvane.llm.common import as_batch, by_arrow, partitions, written
+from corvane.llm.lmtrie import store_of
 
-TREES, DIGITS, SPREAD, SEED = 40, 4, 32, 7
-#: Sampled queries and the recall they must reach; candidates to try.
+TREES, DIGITS, SPREAD, SEED = 40, 8, 32, 7
+#: Bits of a digit: one of SPREAD coordinates and its sign.
+BITS = 6
+#: Sampled queries and the recall they must reach.
 SAMPLE, RECALL = 64, 0.95
-LADDER = (500, 1000, 2000, 4000, 8000, 16_000, 32_000, 64_000, 128_000, 256_000, 512_000)
-#: Vectors and queries that meet in one task.
-MEMBERS, QUERIES = 8192, 2048
+#: Rows that share a query's prefix, summed over the trees, as a share of a block: values to try.
+LADDER = (0.01, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0, 5.0)
+#: Bytes of a block's vectors, in double precision, and queries that are searched together.
+BLOCK_BYTES, QUERIES = 16 << 20, 512
 
 
-def rotations(dimension: int, trees: int = TREES, digits: int = DIGITS, spread: int = SPREAD) -> np.ndarray:
-    """[tree, digit, dimension, coordinate]: random orthonormal directions, from SEED."""
+@lru_cache(2)
+def rotations(dimension: int, trees: int = TREES, digits: int = DIGITS) -> np.ndarray:
+    """[tree, digit, dimension, coordinate]: random orthonormal directions, the same wherever they are made."""
     random = np.random.default_rng(SEED)
-    wide = min(spread, dimension)
+    wide = min(SPREAD, dimension)
     out = np.empty((trees, digits, dimension, wide), np.float32)
-    for t in range(trees):
-        for d in range(digits):
-            out[t, d] = np.linalg.qr(random.standard_normal((dimension, dimension)))[0][:, :wide]
+    for turn in out.reshape(-1, dimension, wide):
+        turn[:] = np.linalg.qr(random.standard_normal((dimension, wide)))[0]
     return out
 
 
-def strings(x: np.ndarray, turns: np.ndarray) -> np.ndarray:
+def strings(x: np.ndarray, trees: int = TREES) -> np.ndarray:
     """[row, tree]: the strings as numbers, the first digit on top; numbers sort as the strings do."""
-    out = np.zeros((len(x), len(turns)), np.int64)
-    for t, per_digit in enumerate(turns):
+    out = np.zeros((len(x), trees), np.int64)
+    x = x.astype(np.float32) / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)
+    for t, per_digit in enumerate(rotations(x.shape[1], trees)):
         for turn in per_digit:
             y = x.astype(np.float32) @ turn
             at = np.abs(y).argmax(axis=1)
-            out[:, t] = out[:, t] * 256 + at * 2 + (y[np.arange(len(y)), at] > 0)
+            out[:, t] = out[:, t] << BITS | at * 2 + (y[np.arange(len(y)), at] > 0)
     return out
 
 
-def prefix(text: np.ndarray, level: np.ndarray | int, digits: int) -> np.ndarray:
-    """The strings cut after `level` digits."""
-    return text >> (8 * (digits - np.asarray(level)))
-
-
 def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products in double precision; equal rows give equal products, wherever they stand."""
     return (x * q).sum(axis=1)
 
 
-def _matrix(column: pa.Array, kind: type = np.float64) -> np.ndarray:
-    return np.stack([np.asarray(v, np.float64) for v in column.to_pylist()]).astype(kind) if len(column) else np.zeros((0, 1), kind)
+def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64)
 
 
 def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -76,135 +83,172 @@ def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
+class Forest:
+    """The trees of a block of rows, as sorted arrays."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, texts: np.ndarray):
+        self.rows, self.ids, self.x = rows, ids, x
+        self.norm = float(np.sqrt((x * x).sum(axis=1)).max(initial=0))
+        self.order = np.argsort(texts, axis=0, kind="stable").T.astype(np.int32)
+        self.texts = np.take_along_axis(texts, self.order.T, axis=0).T.copy()
+        self.seen = np.zeros(len(rows), bool)
+
+    def ranges(self, paths: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """[query, tree]: where the rows that share `level` digits with each path [query, tree] begin and end."""
+        shift = BITS * (DIGITS - level)
+        low = (paths >> shift) << shift
+        high = low + (np.int64(1) << shift)
+        a, b = (np.stack([np.searchsorted(text, border[:, t]) for t, text in enumerate(self.texts)], axis=1) for border in (low, high))
+        return a, b
+
+    def levels(self, paths: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The level at which each query stops, 0 being the root, and its ranges there."""
+        level = np.zeros(len(paths), np.int64)
+        begin, end = np.zeros(paths.shape, np.int64), np.zeros(paths.shape, np.int64)
+        open_ = np.arange(len(paths)) if np.isfinite(share) else np.zeros(0, np.int64)
+        for d in range(DIGITS, 0, -1):
+            a, b = self.ranges(paths[open_], d)
+            stop = (b - a).sum(axis=1) >= share * len(self.rows)
+            level[open_[stop]] = d
+            begin[open_[stop]], end[open_[stop]] = a[stop], b[stop]
+            open_ = open_[~stop]
+        return level, begin, end
+
+    def nearest(self, own: np.ndarray, vectors: np.ndarray, paths: np.ndarray, share: float, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(position of the query, ids, scores) of the k best that its ascent finds, own row left out."""
+        for i, (level, a, b) in enumerate(zip(*self.levels(paths, share))):
+            if level:
+                self.seen[:] = False
+                self.seen[np.concatenate([order[x:y] for order, x, y in zip(self.order, a.tolist(), b.tolist())])] = True
+                at = np.flatnonzero(self.seen & (self.rows != own[i]))
+            else:
+                at = np.flatnonzero(self.rows != own[i])
+            at = self.close(at, vectors[i], k)
+            score = scores(self.x[at], vectors[i])
+            best = _best(self.ids[at], score, k)
+            yield i, self.ids[at][best], score[best]
+
+    def close(self, at: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+        """The rows of `at` that can be among the k best, by products that may be off in their last digits."""
+        if len(at) <= 4 * k:
+            return at
+        rough = self.x[at] @ q
+        margin = 1e-10 * self.norm * float(np.sqrt((q * q).sum()))
+        if not np.isfinite(margin) or not np.isfinite(rough).all():
+            return at
+        return at[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - margin]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], dimension: int) -> Iterator[Forest]:
+    """Forests of BLOCK_BYTES of vectors."""
+    most = max(1024, BLOCK_BYTES // (8 * dimension))
+    held: list[pa.RecordBatch] = []
+
+    def made() -> Forest:
+        table = pa.Table.from_batches(held).combine_chunks()
+        return Forest(table.column(0).to_numpy(), table.column(1).to_numpy(), _matrix(table.column(2).combine_chunks(), dimension), _texts(table.column(3).combine_chunks()))
+
+    for batch in batches:
+        while batch.num_rows:
+            room = most - sum(b.num_rows for b in held)
+            held.append(batch.slice(0, room))
+            batch = batch.slice(room)
+            if sum(b.num_rows for b in held) >= most:
+                yield made()
+                held = []
+    if held:
+        yield made()
+
+
+def _texts(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<i8").reshape(len(column), -1) if len(column) else np.zeros((0, TREES), np.int64)
+
+
+def _asked(uri: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a written table of the index, QUERIES at a time."""
+    store, path = store_of(uri)
+    for info in sorted(store.get_file_info(pa.fs.FileSelector(path)), key=lambda f: f.path):
+        if info.path.endswith(".parquet"):
+            with store.open_input_file(info.path) as source:
+                yield from pa.parquet.ParquetFile(source).iter_batches(QUERIES, columns=["row", "id", "v", "s"])
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v array<double>) of the rows that can take part: an id, and a vector without null or non-finite components, not zero."""
+    """(id, v array<float> or array<double>) of the rows that can take part: an id, and a vector without null or non-finite components, not zero."""
     v = F.col("v")
+    kind = "float" if isinstance(vectors.schema[vector_col].dataType.elementType, FloatType) else "double"
     fine = F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(fine)
+    return vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("v")).where(fine)
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, every: int = 20, k: int = 20, trees: int = TREES, recall: float = RECALL) -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, the k nearest others found.
+    """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, the k nearest other rows found.
 
     Vectors that usable() leaves out take no part; those of another dimension
-    than the most frequent one are left out as well. Rows that repeat an id are candidates of
-    their own, but a query is never given its own id. Fewer than k others give fewer rows.
+    than the most frequent one are left out as well. Rows that repeat an id are rows of their
+    own, as candidates and as queries; only the query's own row is no candidate of it. Fewer than k others give fewer rows,
+    an empty table none. Other columns are not read.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
     common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     dimension = common[0]["d"] if common else 1
-    rows = rows.where(F.size("v") == dimension)
-    turns = spark.sparkContext.broadcast(rotations(dimension, trees))
-    digits = DIGITS
+    rows = rows.where(F.size("v") == dimension).select(F.monotonically_increasing_id().alias("row"), "id", "v")
+    kind = rows.schema["v"].dataType.simpleString()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                s = strings(_matrix(batch.column(1)), turns.value)
-                yield as_batch({"id": batch.column(0), "v": batch.column(1), "s": pa.ListArray.from_arrays(np.arange(0, s.size + 1, s.shape[1], np.int32), pa.array(s.ravel()))})
-
-    index = written(by_arrow(rows, write, "id long, v array<double>, s array<long>"), "forest")
-    enough = _measured(index, every, k, digits, recall)
-
-    # Sizes of the prefixes, from which each query finds the level where it stops ascending.
-    leaves = index.select("id", F.posexplode("s").alias("tree", "text"))
-    cut = lambda text, level: F.shiftright(text, 8 * (digits - level))
-    sizes = leaves.select("tree", F.explode(F.array(*[F.struct(F.lit(x).alias("level"), cut(F.col("text"), x).alias("prefix")) for x in range(1, digits + 1)])).alias("p")).groupBy("tree", "p.level", "p.prefix").agg(F.count("*").alias("n"))
-    asked = index.where(F.col("id") % every == 0).dropDuplicates(["id"])
-    paths = asked.select("id", F.posexplode("s").alias("tree", "text")).select("id", "tree", F.explode(F.array(*[F.struct(F.lit(x).alias("level"), cut(F.col("text"), x).alias("prefix")) for x in range(1, digits + 1)])).alias("p")).select("id", "tree", "p.level", "p.prefix")
-    reached = paths.join(sizes, ["tree", "level", "prefix"]).groupBy("id", "level").agg(F.sum("n").alias("n")).where(F.col("n") >= enough).groupBy("id").agg(F.max("level").alias("level"))
-    asked = written(asked.join(reached, "id", "left").withColumn("level", F.coalesce("level", F.lit(0))), "asked")
-
-    # Meet by tree and first digit; full groups are dealt out, members once and queries to each part.
-    first = lambda text: cut(text, 1)
-    members = leaves.select("id", "tree", "text", first(F.col("text")).alias("head"))
-    calls = asked.where("level > 0").select("id", "level", F.posexplode("s").alias("tree", "text")).withColumn("head", first(F.col("text")))
-    heads = members.groupBy("tree", "head").agg(F.count("*").alias("n"))
-    # A query that reaches the root goes to every first digit of one tree.
-    whole = asked.where("level = 0").select("id", "level", F.lit(0).alias("tree"), F.col("s")[0].alias("text"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2 * SPREAD - 1).cast("long"))).alias("head"))
-    calls = calls.unionByName(whole.select("id", "level", "tree", "text", "head"))
-    parts = heads.join(calls.groupBy("tree", "head").agg(F.count("*").alias("m")), ["tree", "head"]).select("tree", "head", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts"), F.ceil(F.col("m") / QUERIES).cast("int").alias("calls"))
-    members = members.join(F.broadcast(parts), ["tree", "head"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("call", F.explode(F.sequence(F.lit(0), F.col("calls") - 1)))
-    calls = calls.join(F.broadcast(parts), ["tree", "head"]).withColumn("call", F.pmod(F.xxhash64("id", F.lit(1)), F.col("calls")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    vectors_of = index.select("id", "v")
-    left = members.join(vectors_of, "id").select("tree", "head", "part", "call", "id", "text", F.transform("v", lambda x: x).alias("v"))
-    right = calls.join(asked.select("id", "v"), "id").select("tree", "head", "part", "call", "id", "level", "text", "v")
-
-    def meet(own: pa.Table, queries: pa.Table) -> pa.Table:
-        return _met(own, queries, digits, k)
-
-    keys = ["tree", "head", "part", "call"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.distinct().withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _met(own: pa.Table, queries: pa.Table, digits: int, k: int) -> pa.Table:
-    """The k best of the members that share each query's prefix."""
-    out: tuple[list, list, list] = ([], [], [])
-    if own.num_rows and queries.num_rows:
-        text = own.column("text").to_numpy()
-        order = np.argsort(text, kind="stable")
-        text, ids = text[order], own.column("id").to_numpy()[order]
-        x = _matrix(own.column("v").combine_chunks())[order]
-        low = np.int64(0)
-        for q, level, path, v in zip(queries.column("id").to_numpy(), queries.column("level").to_numpy(), queries.column("text").to_numpy(), _matrix(queries.column("v").combine_chunks())):
-            if level:
-                shift = 8 * (digits - int(level))
-                low = (path >> shift) << shift
-                a, b = np.searchsorted(text, [low, low + (np.int64(1) << shift)])
-            else:
-                a, b = 0, len(text)
-            at = np.flatnonzero(ids[a:b] != q) + a
-            score = scores(x[at], v)
-            best = _best(ids[at], score, k)
-            out[0].append(np.full(len(best), q))
-            out[1].append(ids[at][best])
-            out[2].append(score[best])
-    flat = [np.concatenate(c) if c else np.zeros(0) for c in out]
-    return pa.table({"query_id": pa.array(flat[0].astype(np.int64)), "vec_id": pa.array(flat[1].astype(np.int64)), "score": pa.array(flat[2].astype(np.float64))})
-
-
-def _measured(index: DataFrame, every: int, k: int, digits: int, wanted: float) -> int:
-    """The smallest number of LADDER with which the sampled queries reach the wanted recall, else one beyond any table."""
-    spark = index.sparkSession
-    sample = index.where(F.col("id") % every == 0).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+                s = strings(_matrix(batch.column(2), dimension), trees).astype("<i8")
+                yield as_batch({"row": batch.column(0), "id": batch.column(1), "v": batch.column(2), "s": pa.array([t.tobytes() for t in s], pa.binary())})
+
+    index = written(by_arrow(rows, write, f"row long, id long, v {kind}, s binary").repartition(partitions(spark), "row"), "forest")
+    asked = written(index.where(F.col("id") % every == 0), "asked")
+    share = _measured(index, asked, dimension, k, recall)
+    path = asked.corvane_path
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for forest in _blocks(batches, dimension):
+            for queries in _asked(path):
+                own, ids = queries.column(0).to_numpy(), queries.column(1).to_numpy()
+                found = list(forest.nearest(own, _matrix(queries.column(2), dimension), _texts(queries.column(3)), share, k))
+                of = np.repeat([i for i, _, _ in found], [len(x) for _, x, _ in found]).astype(np.int64)
+                yield as_batch({"query": pa.array(own[of]), "query_id": pa.array(ids[of]), "vec_id": pa.array(np.concatenate([x for _, x, _ in found])), "score": pa.array(np.concatenate([s for _, _, s in found]))})
+
+    found = by_arrow(index, search, "query long, query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _measured(index: DataFrame, asked: DataFrame, dimension: int, k: int, wanted: float) -> float:
+    """The smallest share of LADDER with which the sampled queries reach the wanted recall, else infinity: all rows."""
+    sample = asked.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).collect()
     if not sample:
         return LADDER[0]
-    held = spark.sparkContext.broadcast((np.array([r["id"] for r in sample]), np.array([r["v"] for r in sample]), np.array([r["s"] for r in sample])))
+    own, vectors = np.array([r["row"] for r in sample]), np.array([r["v"] for r in sample], np.float64)
+    paths = np.stack([np.frombuffer(r["s"], "<i8") for r in sample])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors, texts = held.value
-        counts = np.zeros((len(ids), digits + 1), np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = batch.column(0).to_numpy()
-            x = _matrix(batch.column(1))
-            s = np.stack(batch.column(2).to_numpy(zero_copy_only=False))
-            for q in range(len(ids)):
-                level = np.zeros(len(own), np.int64)
-                for d in range(1, digits + 1):
-                    same = prefix(s, d, digits) == prefix(texts[q], d, digits)
-                    counts[q, d] += int(same.sum())
-                    level[same.any(axis=1)] = d
-                at = np.flatnonzero(own != ids[q])
-                score = scores(x[at], vectors[q])
-                best = _best(own[at], score, k)
-                yield as_batch({"q": pa.array(np.full(len(best), q, np.int32)), "id": pa.array(own[at][best]), "score": pa.array(score[best]), "level": pa.array(level[at][best].astype(np.int32)), "n": pa.array(np.zeros(len(best), np.int64))})
-        q, d = np.divmod(np.arange(counts.size), digits + 1)
-        yield as_batch({"q": pa.array(q.astype(np.int32)), "id": pa.nulls(len(q), pa.int64()), "score": pa.nulls(len(q), pa.float64()), "level": pa.array(d.astype(np.int32)), "n": pa.array(counts.ravel())})
-
-    seen = written(by_arrow(index, look, "q int, id long, score double, level int, n long"), "sample")
-    sizes = np.zeros((len(sample), digits + 1), np.int64)
-    for r in seen.where("id is null").groupBy("q", "level").agg(F.sum("n").alias("n")).collect():
-        sizes[r["q"], r["level"]] = r["n"]
+        for forest in _blocks(batches, dimension):
+            stops = np.stack([forest.levels(paths, share)[0] for share in LADDER])  # fall as the share grows
+            texts = np.empty_like(forest.texts)
+            np.put_along_axis(texts, forest.order.astype(np.int64), forest.texts, axis=1)
+            for q in range(len(own)):
+                at = np.flatnonzero(forest.rows != own[q])
+                at = forest.close(at, vectors[q], k)
+                score = scores(forest.x[at], vectors[q])
+                best = _best(forest.ids[at], score, k)
+                level = np.zeros(len(best), np.int64)
+                for d in range(1, DIGITS + 1):
+                    shift = BITS * (DIGITS - d)
+                    level[(texts[:, at[best]] >> shift == (paths[q] >> shift)[:, None]).any(axis=0)] = d
+                least = (stops[:, q][:, None] > level).sum(axis=0)  # place in LADDER of the first share that finds it
+                yield as_batch({"q": pa.array(np.full(len(best), q, np.int32)), "id": pa.array(forest.ids[at][best]), "score": pa.array(score[best]), "least": pa.array(least.astype(np.int32))})
+
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
-    true = seen.where("id is not null").withColumn("rank", rank).where(F.col("rank") <= k).select("q", "level").collect()  # SAMPLE * k rows
-    q, level = np.array([r["q"] for r in true], np.int64), np.array([r["level"] for r in true], np.int64)
-    for enough in LADDER:
-        stop = np.array([max([d for d in range(1, digits + 1) if row[d] >= enough], default=0) for row in sizes])
-        if len(q) and (level >= stop[q]).mean() >= wanted:
-            return enough
-    return 1 << 62
+    seen = by_arrow(index, look, "q int, id long, score double, least int")
+    least = [r["least"] for r in seen.withColumn("rank", rank).where(F.col("rank") <= k).select("least").collect()]  # SAMPLE * k rows
+    for i, share in enumerate(LADDER):
+        if least and sum(x <= i for x in least) >= wanted * len(least):
+            return share
+    return float("inf")

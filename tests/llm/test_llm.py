@@ -414,6 +414,38 @@ def test_nearest_of_odd_tables(spark):
     assert annforest.nearest(df.where("vec_id < 0")).count() == 0
 
 
+def test_nearest_of_repeated_rows(spark):
+    """Every row but the query's own is a candidate; every row with a query's id is a query."""
+    r = np.random.default_rng(6)
+    rows = [(0, [1.0, 0.0]), (7, [1.0, 0.5]), (7, [1.0, 0.5]), (7, [2.0, 0.5]), (8, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((x["rank"], x["vec_id"], x["score"]) for x in annforest.nearest(df).collect())
+    assert got == [(1, 7, 2.0), (2, 7, 1.0), (3, 7, 1.0), (4, 8, 0.5)]
+    many = [(int(i), [float(x) for x in v]) for i, v in zip(r.integers(0, 60, 300), r.normal(size=(300, 8)).round(2))] + [(20, [1.0] * 8)] * 30 + [(40, [0.5] * 8)] * 2
+    out = {}
+    for x in annforest.nearest(spark.createDataFrame(many, "vec_id long, embedding array<float>").repartition(5), recall=1.0).collect():
+        out.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+    f = np.array([v for _, v in many], np.float32).astype(float)
+    for q in (0, 20, 40):
+        want = []
+        for i in [i for i, (v, _) in enumerate(many) if v == q]:
+            score = (f * f[i]).sum(axis=1)
+            order = [j for j in sorted(range(len(many)), key=lambda j: (-score[j], many[j][0])) if j != i][:20]
+            want += [(n + 1, many[j][0], score[j]) for n, j in enumerate(order)]
+        assert sorted(out[q]) == sorted(want)
+
+
+def test_nearest_beyond_the_ladder_looks_at_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(annforest, "LADDER", (0.0,))
+    r = np.random.default_rng(9)
+    x = r.normal(size=(200, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(a["query_id"], a["rank"]): a["vec_id"] for a in annforest.nearest(df, recall=1.0).collect()}
+    for q in range(0, 200, 20):
+        order = [j for j in np.argsort(-(x @ x[q]), kind="stable") if j != q][:20]
+        assert [got[q, k + 1] for k in range(20)] == order
+
+
 def test_chat_links_calls(spark):
     schema = {"sum": {"type": "object", "properties": {"a": {"type": "integer"}, "b": {"type": "number", "maximum": 9}}, "required": ["a"], "additionalProperties": False}}
     call = lambda i, **a: f"<tool_call>{json.dumps({'id': i, 'name': 'sum', 'arguments': a})}</tool_call>"
