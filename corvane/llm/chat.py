@@ -23,11 +23,18 @@ from pyspark.sql import functions as F
 from corvane.llm.common import as_batch, by_arrow
 
 _CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
+#: Levels of arrays and objects that a call or result may have.
+DEPTH = 100
 _KINDS = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
 
 def canonical(value) -> str:  # noqa: ANN001
-    """JSON with sorted keys and without spaces, UTF-8 kept; whole floats are written as integers, non-finite numbers are refused."""
+    """JSON with sorted keys and without spaces, UTF-8 kept; whole floats are written as integers.
+
+    ValueError for what JSON or UTF-8 can't hold, non-finite numbers and lone surrogates, and for more than DEPTH levels.
+    """
+    if _deep(value):
+        raise ValueError("nested too deeply")
 
     def plain(x):  # noqa: ANN001, ANN202
         if isinstance(x, float):
@@ -38,7 +45,32 @@ def canonical(value) -> str:  # noqa: ANN001
             return {k: plain(v) for k, v in x.items()}
         return [plain(v) for v in x] if isinstance(x, list) else x
 
-    return json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    out = json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    out.encode()  # UnicodeEncodeError is a ValueError
+    return out
+
+
+def _deep(value) -> bool:  # noqa: ANN001
+    """Whether a value has more than DEPTH levels."""
+    layer = [value]
+    for _ in range(DEPTH):
+        layer = [v for x in layer if isinstance(x, dict | list) for v in (x.values() if isinstance(x, dict) else x)]
+    return any(isinstance(x, dict | list) for x in layer)
+
+
+def parsed(text: str):  # noqa: ANN201
+    """The JSON value that a text holds, if canonical() can write it; else None."""
+    try:
+        value = json.loads(text)
+        canonical(value)
+    except (ValueError, RecursionError):
+        return None
+    return value
+
+
+def identifier(value) -> str | None:  # noqa: ANN001
+    """An identifier as a string: other values by their canonical JSON, null is none."""
+    return value if value is None or isinstance(value, str) else canonical(value)
 
 
 def violations(value, schema: dict, at: str = "$") -> list[str]:  # noqa: ANN001
@@ -47,7 +79,7 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:  # noqa: ANN001
     kinds = schema.get("type", [])
     kinds = [kinds] if isinstance(kinds, str) else kinds
     number = isinstance(value, int | float) and not isinstance(value, bool)
-    fits = {"number": number, "integer": number and float(value).is_integer()} if number else {}
+    fits = {"number": True, "integer": isinstance(value, int) or value.is_integer()} if number else {}
     if isinstance(value, dict) and set(value) == {"$ref"}:
         return []  # another call's result, not known yet
     if kinds and not any(fits.get(k, k in _KINDS and isinstance(value, _KINDS[k])) for k in kinds):
@@ -75,7 +107,7 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:  # noqa: ANN001
 def _references(value) -> Iterator[str]:  # noqa: ANN001
     if isinstance(value, dict):
         if set(value) == {"$ref"}:
-            yield str(value["$ref"])
+            yield identifier(value["$ref"])
         for v in value.values():
             yield from _references(v)
     elif isinstance(value, list):
@@ -84,20 +116,15 @@ def _references(value) -> Iterator[str]:  # noqa: ANN001
 
 
 def _calls(text: str) -> tuple[str, list[dict]]:
-    """The text without its calls, and the calls; what isn't a JSON object with a name stays text."""
+    """The text without its calls, and the calls; what isn't a JSON object with a name, or can't be written again, stays text."""
     found = []
 
     def take(m: re.Match) -> str:
-        try:
-            call = json.loads(m[1])
-            if isinstance(call, dict) and isinstance(call.get("name"), str):
-                call["arguments"] = call.get("arguments", {})
-                canonical(call)
-                found.append({"id": None if call.get("id") is None else str(call["id"]), "name": call["name"], "arguments": call["arguments"]})
-                return ""
-        except ValueError:
-            pass
-        return m[0]
+        call = parsed(m[1])
+        if not isinstance(call, dict) or not isinstance(call.get("name"), str):
+            return m[0]
+        found.append({"id": identifier(call.get("id")), "name": call["name"], "arguments": call.get("arguments", {})})
+        return ""
 
     return _CALL.sub(take, text), found
 
@@ -163,8 +190,10 @@ def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = Non
 
     Turns are in order of turn, then role and text, nulls first; repeated rows
     repeat. Null roles and texts count as empty. A repeated call identifier belongs to its
-    earliest turn. Turns with a null conversation form one. Conversations are one row each
-    by contract, so a task holds a whole one.
+    earliest turn. Turns with a null conversation form one; an empty table gives no rows. Calls and results that
+    aren't JSON, hold a number that isn't finite, a lone surrogate or more than DEPTH levels stay plain text.
+    Without schemas nothing is checked. Conversations are one row each by contract, so a task holds a whole one, however
+    long its turns. Other columns are not read.
     """
     known = schemas or {}
 
@@ -175,14 +204,9 @@ def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = Non
                 found = _calls(text)[1] if role == "assistant" and text and "<tool_call>" in text else []
                 call_ids.append([c["id"] for c in found if c["id"] is not None])
                 names.append([c["name"] for c in found if c["id"] is not None])
-                result = None
-                if role == "tool" and text:
-                    try:
-                        result = json.loads(text)
-                    except ValueError:
-                        pass
-                    result = result if isinstance(result, dict) and result.get("tool_call_id") is not None else None
-                result_ids.append(str(result["tool_call_id"]) if result else None)
+                result = parsed(text) if role == "tool" and text else None
+                result = result if isinstance(result, dict) and result.get("tool_call_id") is not None else None
+                result_ids.append(identifier(result["tool_call_id"]) if result else None)
                 content = result.get("content", "") if result else None
                 contents.append(content if content is None or isinstance(content, str) else canonical(content))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(call_ids, pa.list_(pa.string())), pa.array(names, pa.list_(pa.string())), pa.array(result_ids, pa.string()), pa.array(contents, pa.string())], names=["conv", "turn", "role", "text", "ids", "names", "call_id", "content"])

@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: The tools that calls are checked against.
+TOOLS = {"measure": {"type": "object", "properties": {"length": {"type": "integer", "minimum": 0, "maximum": 400}}, "required": ["length"], "additionalProperties": False}}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +66,29 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corvane.llm.chat import format_chats
 
-    return format_chats(_table(spark, sf_dir, "conversations")).drop("problems")
+    return format_chats(_table(spark, sf_dir, "conversations"), TOOLS).withColumn("problems", F.array_join("problems", "; "))
+
+
+def chat_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linking, order and validation over calls made of the conversations, which hold none themselves.
+
+    An assistant's turn t becomes a call c<t> of the tool "measure" with the text's length; a user's turn t from 1 on
+    becomes the result of call c<t-1>, put before it. Texts over 400 characters break the schema, and where
+    turn t-1 isn't an assistant's the result has no call.
+    """
+    from corvane.llm.chat import format_chats
+
+    turns = _table(spark, sf_dir, "conversations")
+    call = F.concat(F.lit('<tool_call>{"id":"c'), F.col("turn"), F.lit('","name":"measure","arguments":{"length":'), F.char_length("text"), F.lit("}}</tool_call>"))
+    result = F.to_json(F.struct(F.concat(F.lit("c"), F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    answers = (F.col("role") == "user") & (F.col("turn") > 0)
+    made = turns.select(
+        "conv_id",
+        F.when(answers, F.col("turn") - 2).otherwise(F.col("turn")).alias("turn"),
+        F.when(answers, "tool").otherwise(F.col("role")).alias("role"),
+        F.when(answers, result).when(F.col("role") == "assistant", call).otherwise(F.col("text")).alias("text"),
+    )
+    return format_chats(made, TOOLS).withColumn("problems", F.array_join(F.array_sort("problems"), "; "))
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +110,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, pipeline)
+    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, chat_tool_links, pipeline)
     return {f.__name__: f for f in every}
 
 
@@ -109,13 +135,29 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256 FROM d JOIN g ON d.t = g.t
 """
 
-#: The tables have no tool calls, which is all of the operator that this leaves out.
+#: The tables have no tool calls; chat_tool_links makes some of them.
 OP8_SQL = """
-SELECT conv_id, count(*) AS n_turns, 0::BIGINT AS n_calls, 0::BIGINT AS n_linked,
+SELECT conv_id, count(*) AS n_turns, 0::BIGINT AS n_calls, 0::BIGINT AS n_linked, '' AS problems,
        '[' || string_agg('{"content":' || to_json(coalesce(text, ''))::VARCHAR || ',"role":' || to_json(coalesce(role, ''))::VARCHAR || '}', ',' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) || ']' AS text
 FROM conversations GROUP BY conv_id
 """
 
+CHAT_TOOL_LINKS_SQL = """
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, role = 'user' AND turn > 0 AS answers FROM conversations),
+linked AS (SELECT a.*, coalesce(a.answers AND c.conv_id IS NOT NULL, false) AS has_call
+           FROM t a LEFT JOIN (SELECT DISTINCT conv_id, turn FROM t WHERE role = 'assistant') c ON a.conv_id = c.conv_id AND a.turn = c.turn + 1),
+message AS (SELECT *, CASE WHEN answers AND NOT has_call THEN turn - 2 ELSE turn END AS place,
+  CASE WHEN has_call THEN '{"content":' || to_json(text)::VARCHAR || ',"name":"measure","role":"tool","tool_call_id":"c' || (turn - 1) || '"}'
+       WHEN answers THEN '{"content":' || to_json(text)::VARCHAR || ',"role":"tool","tool_call_id":"c' || (turn - 1) || '"}'
+       WHEN role = 'assistant' THEN '{"content":"","role":"assistant","tool_calls":[{"arguments":{"length":' || length(text) || '},"id":"c' || turn || '","name":"measure"}]}'
+       ELSE '{"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(coalesce(role, ''))::VARCHAR || '}' END AS json,
+  CASE WHEN answers AND NOT has_call THEN 'c' || (turn - 1) || ': result without a call'
+       WHEN role = 'assistant' AND length(text) > 400 THEN 'c' || turn || ': $.length: over the maximum' END AS problem FROM linked)
+SELECT conv_id, count(*) AS n_turns, count(*) FILTER (role = 'assistant') AS n_calls, count(*) FILTER (has_call) AS n_linked,
+       coalesce(string_agg(problem, '; ' ORDER BY problem), '') AS problems, '[' || string_agg(json, ',' ORDER BY place) || ']' AS text
+FROM message GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op8_chat": OP8_SQL}
+    return {"chat_tool_links": CHAT_TOOL_LINKS_SQL, "op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op8_chat": OP8_SQL}

@@ -469,6 +469,34 @@ def test_chat_links_calls(spark):
     assert out[2]["text"] == '[{"content":"","role":""},{"content":"","role":""}]' and out[3]["n_calls"] == 0 and len(out) == 4
 
 
+HOSTILE = {
+    "not finite": '{"tool_call_id": "a", "content": {"x": NaN}}',
+    "too large": '{"tool_call_id": "a", "content": 1e999}',
+    "surrogate": '{"tool_call_id": "a", "content": ["\\ud800"]}',
+    "surrogate id": '{"tool_call_id": "\\ud800", "content": 1}',
+    "deep": '{"tool_call_id": "a", "content": ' + "[" * 50_000 + "]" * 50_000 + "}",
+    "rather deep": '{"tool_call_id": "a", "content": ' + "[" * 150 + "]" * 150 + "}",
+    "long number": '{"tool_call_id": "a", "content": ' + "9" * 5000 + "}",
+}
+
+
+def test_chat_survives_hostile_output(spark):
+    schema = {"f": {"type": "object", "properties": {"n": {"type": "integer", "maximum": 5}}}}
+    rows = [(i, 0, "tool", t) for i, t in enumerate(HOSTILE.values())]
+    rows += [(100 + i, 0, "assistant", f"<tool_call>{json.dumps({'id': 'a', 'name': 'f'})[:-1]}, \"arguments\": {t}}}</tool_call>") for i, t in enumerate(HOSTILE.values())]
+    rows += [(200, 0, "assistant", '<tool_call>{"id": [1.0], "name": "f", "arguments": {"n": ' + "9" * 400 + "}}</tool_call>"), (200, 1, "tool", '{"tool_call_id": [1], "content": ' + "9" * 400 + "}")]
+    rows += [(300, 0, "user", "long " * 300_000), (300, 1, None, None), (300, None, "x", "y")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r["conv_id"]: r for r in chat.format_chats(frame.withColumn("ids", F.lit("clash")), schema).collect()}
+    for i, t in enumerate(HOSTILE.values()):
+        assert json.loads(out[i]["text"]) == [{"role": "tool", "content": t}] and out[i]["problems"] == []
+        whole = json.loads(out[100 + i]["text"])
+        assert whole == [{"role": "assistant", "content": rows[len(HOSTILE) + i][3]}] and out[100 + i]["n_calls"] == 0
+    assert out[200]["n_linked"] == 1 and out[200]["problems"] == ["[1]: $.n: over the maximum"] and "9" * 400 in out[200]["text"]
+    assert [m["role"] for m in json.loads(out[300]["text"])] == ["x", "user", ""] and out[300]["n_turns"] == 3
+    assert chat.format_chats(frame.where("false"), schema).count() == 0
+
+
 def test_topological_order_breaks_cycles():
     assert chat.ordered([{"ids": ["a"], "after": ["b"]}, {"ids": ["b"], "after": ["a"]}, {"after": ["c"]}, {"ids": ["c"]}]) == [3, 2, 0, 1]
 
