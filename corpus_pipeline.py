@@ -21,14 +21,22 @@ LINE_SITES = 3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts are scored as empty ones; rows that repeat are scored alike; a null id is learned from never. Without
+    usable labels every document has the same score of 1/2 or the labels' share, and all stay if that reaches the threshold.
+    """
     return good_documents(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on LINE_SITES or more sites go from the texts but the first; n_chars follows. No document goes."""
+    """Lines on LINE_SITES or more sites go from the texts but the first; n_chars follows. No document goes.
+
+    Null texts, ids and sites, repeated rows and other columns are treated as line_dedup says; columns n_lines and n_removed of docs stay.
+    """
     cleaned = line_dedup(docs, min_sites=LINE_SITES)
-    return cleaned.select(*[F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    removed = F.col(cleaned.columns[-1]) > 0
+    return cleaned.select(*[F.when(removed, F.char_length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +48,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens in sequences of at most 2048."""
+    """The documents' tokens in sequences of at most 2048, a row for each piece.
+
+    A null or empty text is one end token; rows that repeat an id, or have none, are documents of their own; other columns are not read.
+    """
     return packed_documents(docs, tokenizer_path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
