@@ -40,19 +40,32 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder. It cuts the lineage and outlives executors."""
+    """df as a table in the shared folder. It cuts the lineage and outlives executors, until the driver's JVM ends."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    transient(df.sparkSession, path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.corvane_path = path
     return out
 
 
+def _on_store(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path for it."""
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return held.getFileSystem(spark._jsc.hadoopConfiguration()), held
+
+
+def transient(spark: SparkSession, path: str) -> None:
+    """Has the driver's JVM delete a path of the shared folder when it ends: lazy results may read it until then."""
+    store, held = _on_store(spark, path)
+    store.deleteOnExit(held)
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes what written() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.corvane_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    store, held = _on_store(df.sparkSession, df.corvane_path)
+    store.delete(held, True)
+    store.cancelDeleteOnExit(held)
 
 
 def freed(spark: SparkSession) -> None:

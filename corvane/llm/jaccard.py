@@ -314,7 +314,7 @@ def _row_keys(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def _free(docs: DataFrame, name: str) -> str:
-    while name in docs.columns:
+    while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
     return name
 
@@ -329,4 +329,4 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
     keyed, key = _row_keys(docs)
     classes = jaccard_classes(keyed, id_col=key, **options)
     gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias(key))
-    return keyed.join(gone, key, "left_anti").select(*docs.columns)
+    return keyed.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,10 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.common import written
+
 #: Sites on which a line must occur to count as boilerplate.
 MIN_SITES = 10
 #: log2 of the sketch's registers, and the share by which an estimate may be off: six standard errors of 1.04 / sqrt(2**LOG_REGISTERS).
 LOG_REGISTERS, MARGIN = 10, 0.2
+#: Boilerplate lines up to which they are broadcast, about 40 bytes each, and tasks that share a line beyond that.
+COMMON, SALTS = 200_000, 32
 _BLANK = r"^[ \t\r\x0B\f]+|[ \t\r\x0B\f]+$"
 
 
@@ -41,21 +45,31 @@ def boilerplate(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", *, min_sites: int = MIN_SITES) -> DataFrame:
-    """docs with boilerplate lines removed, and the columns n_lines and n_removed (int).
+    """docs with boilerplate lines removed, and behind them the columns n_lines and n_removed (int).
 
     Lines end at \\n; they are compared without white space at their ends and
     case counts. A line on min_sites or more distinct sites stays only where it
-    first occurs (smallest id, then position, in that text) and goes
+    first occurs (smallest id, null before all, then position, in that text) and goes
     elsewhere, also where it repeats within a text. Blank lines stay. A
-    null site is none; a null text stays null, with no lines. Rows that repeat
-    an id and text are treated alike: each keeps the first occurrence. No row goes, even
-    if none of its lines stays. Other columns are carried.
+    null site is none; a null text stays null, with no lines; an empty one has one, blank line. Rows that repeat
+    an id are treated alike: each keeps the first occurrence if it has it at that position. No row goes, even
+    if none of its lines stays. Other columns are carried; where docs has a column n_lines or
+    n_removed already, it stays and the new one has an underscore behind its name. An empty table gives no rows.
     """
     every = docs.columns
+    taken = {c.lower() for c in every}
+    n_lines, n_removed = (_free(name, taken) for name in ("n_lines", "n_removed"))
+    common = written(boilerplate(docs, id_col, text_col, site_col, min_sites), "boilerplate")
+    few = common.count() <= COMMON
+
     lines = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
-    lines = lines.select("id", "text_hash", "pos", *_hashes(_trimmed(F.col("line"))))
-    common = boilerplate(docs, id_col, text_col, site_col, min_sites)
-    gone = lines.join(common, ["h1", "h2"]).where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("pos") == F.col("first.pos"))))
+    lines = lines.withColumn("line", _trimmed(F.col("line"))).where("line <> ''").select("id", "text_hash", "pos", *_hashes(F.col("line")))
+    if few:  # the lines stay where they are
+        found = lines.join(F.broadcast(common), ["h1", "h2"])
+    else:  # a hot line's rows go to SALTS tasks
+        lines = lines.withColumn("salt", F.pmod(F.xxhash64("id", "text_hash", "pos"), F.lit(SALTS)).cast("int"))
+        found = lines.join(common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h1", "h2", "salt"])
+    gone = found.where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("pos") == F.col("first.pos"))))
     gone = gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone_at"))
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in every]).alias("doc"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_hash"))
     d = d.join(gone, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
@@ -65,6 +79,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cleaned = F.when(F.col("gone_at").isNull(), text).otherwise(kept)
     return d.select(
         *[(cleaned if c == text_col else F.col("doc").getField(c)).alias(c) for c in every],
-        F.coalesce(F.size(split), F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size("gone_at"), F.lit(0)).alias("n_removed"),
+        F.coalesce(F.size(split), F.lit(0)).alias(n_lines),
+        F.coalesce(F.size("gone_at"), F.lit(0)).alias(n_removed),
     )
+
+
+def _free(name: str, taken: set[str]) -> str:
+    """A column name that isn't taken."""
+    while name in taken:
+        name += "_"
+    return name

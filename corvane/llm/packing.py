@@ -5,9 +5,9 @@ driver. There the covering program over configurations (multisets of lengths
 that fit a sequence) is solved by multiplicative weights: each step prices
 configurations by a knapsack dynamic program over the lengths' weights. The
 fractional solution is rounded and the program solved again for what is left,
-until no more pieces are left than there are lengths. A round at least halves
-the pieces in practice, so the number of different patterns grows with the
-logarithm of the input. The n-th piece of each length then finds its place
+until no more pieces are left than there are lengths. A round takes a share of
+the pieces, so the number of different patterns grows with the logarithm of
+the input. The n-th piece of each length then finds its place
 from the patterns alone.
 """
 
@@ -29,7 +29,7 @@ from corvane.llm.common import as_batch, by_arrow, partitions, text_slices, writ
 #: how far from the best a column's weight may be, and how much more a token weighs in a piece as long as a sequence.
 STEPS, RATE, STEP, GAP, BEND = 120, 1.0, 0.5, 0.02, 0.3
 #: A round whose fullest columns place a smaller share of the pieces takes its other columns, too.
-LITTLE = 0.02
+LITTLE = 0.1
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *, capacity: int = 2048, end_id: int = 0) -> DataFrame:

@@ -190,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = statistics(part.column(0))
             yield as_batch({"x": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32())), "label": part.column(1)})
 
-    table = by_arrow(rows, measure, "x array<float>, label int").limit(16 * sample).toArrow()
+    table = by_arrow(rows, measure, "x array<float>, label int").orderBy(F.xxhash64("x"), "x", "label").limit(16 * sample).toArrow()
     x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS)) if len(table) else np.zeros((0, len(STATISTICS)), np.float32)
     y = table.column("label").to_numpy().astype(np.float64)
     order = np.lexsort((y, *x.T)) if len(y) else []
@@ -200,19 +200,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def good_documents(docs: DataFrame, model: FlatTrees, text_col: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns as they are, whose score is at least threshold; null texts score as empty ones."""
     held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, text_col):
-            x = statistics(part.column(part.schema.get_field_index(text_col)))
-            yield part.filter(pa.array(held.value.score(x) >= threshold))
+        for part in text_slices(batches, f"c{at}"):
+            yield part.filter(pa.array(held.value.score(statistics(part.column(at))) >= threshold))
         returned()
 
     tuned(docs.sparkSession)
-    return docs.mapInArrow(keep, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with points can't be mapped
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of docs."""
+    """(doc_id, held_out, score, predicted) for every row of docs.
+
+    Null and empty texts have a score, that of statistics that are all zero; very long ones are read whole. A null id isn't held
+    out. Rows that repeat are scored alike. Without usable labels, or with those of one kind, all scores are the same.
+    An empty table gives no rows; other columns are not read.
+    """
     model = train(docs, labels, id_col, text_col, **options)
     held = docs.sparkSession.sparkContext.broadcast(model)
 

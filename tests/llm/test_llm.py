@@ -197,6 +197,33 @@ def test_line_dedup(spark, empty):
     assert linededup.line_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("common", [linededup.COMMON, 0])
+def test_line_dedup_against_plain_code(spark, monkeypatch, common):
+    """Null and repeated ids, repeated rows, blank lines, null sites, clashing columns; lines broadcast and salted."""
+    monkeypatch.setattr(linededup, "COMMON", common)
+    r = random.Random(3)
+    lines = [f"line {k}" for k in range(12)] + ["", "  ", " line 1\t", "only here"]
+    rows = [(r.choice([None, *range(20)]), "\n".join(r.choices(lines, k=r.randint(0, 6))) if r.random() < 0.9 else None, r.choice([None, "a", "b", "c", "d"]), k, "x") for k in range(60)]
+    rows += rows[:5]
+    sites, first = {}, {}
+    for i, t, s, *_ in rows:
+        for pos, x in enumerate((t or "").split("\n")):
+            if k := x.strip(" \t\r\x0b\f"):
+                sites.setdefault(k, set()).update({s} - {None})
+                first[k] = min(first.get(k, (99, 0)), (-1 if i is None else i, pos))
+    want = []
+    for i, t, s, n, x in rows:
+        parts = [] if t is None else t.split("\n")
+        keys = [p.strip(" \t\r\x0b\f") for p in parts]
+        stays = [p for pos, (p, k) in enumerate(zip(parts, keys)) if not k or len(sites[k]) < 4 or first[k] == (-1 if i is None else i, pos)]
+        want.append((i, None if t is None else "\n".join(stays), s, n, x, len(parts), len(parts) - len(stays)))
+    out = linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string, n_lines long, N_Removed string").repartition(3), min_sites=4)
+    assert out.columns == ["doc_id", "text", "source", "n_lines", "N_Removed", "n_lines_", "n_removed_"]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_line_dedup_near_the_limit_is_exact(spark):
     rows = [(n * 100 + s, f"line of {n}", f"site{s}") for n in range(1, 20) for s in range(n)]
     out = linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_sites=10)
@@ -562,6 +589,23 @@ def test_token_files(docs, spark, empty, tmp_path):
     assert [r["doc_id"] for r in sorted(tokenbin.token_files(odd, path).collect(), key=lambda r: r["start"])] == [None, 1, 1]
 
 
+def test_pipeline_stages_of_odd_tables(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_lines string, n_removed int, token long, rank int, `a.b` int"
+    words = " ".join(f"w{k}" for k in range(400))
+    rows = [(None, None, None, None, None), (None, "", None, "s1", 0), (1, None, "en", None, None), (2, words, "en", "s1", len(words)), (2, words, "en", "s1", len(words)), (3, words + "\n" + words, "en", "s2", None), (4, "x " * 300_000, None, "s3", 600_000)]
+    docs = spark.createDataFrame([(*r, "n", 7, 1, 2, 3) for r in rows], schema).repartition(3)
+    for table in (docs, docs.where("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, SF)
+            assert out.columns == docs.columns, name
+            own = out.collect()
+            assert len(own) <= len(rows) and all(tuple(r)[5:] == ("n", 7, 1, 2, 3) for r in own)
+        packed = corpus_pipeline.packing(spark, table, SF).collect()
+        assert sum(r["piece"] == 0 for r in packed) == (len(rows) if table is docs else 0)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
