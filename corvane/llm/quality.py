@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.common import as_batch, by_arrow, returned, text_slices, tuned
-from corvane.llm.textnum import LOWER, U, column_bytes, word_hashes, word_spans
+from corvane.llm.textnum import LOWER, WINDOW, U, column_bytes, word_hashes, word_spans
 
 #: Labelled rows to learn from, at most: those with the smallest hashes of their ids.
 SAMPLE = 20_000
@@ -44,12 +44,22 @@ def _distinct(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.bincount((key[first] >> U(44)).astype(np.int64), minlength=n)
 
 
+def _byte_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """[row, byte]: how often each byte occurs, a window of the text at a time."""
+    n = len(offsets) - 1
+    out = np.zeros(n * 256, np.int64)
+    for a in range(0, len(data), WINDOW):
+        part = data[a : a + WINDOW]
+        edges = np.clip(offsets - a, 0, len(part))
+        out += np.bincount(np.repeat(np.arange(n), np.diff(edges)) * 256 + part, minlength=n * 256)
+    return out.reshape(n, 256)
+
+
 def statistics(column: pa.Array) -> np.ndarray:
     """A row of STATISTICS for each text; null and empty texts give zeros."""
     data, offsets = column_bytes(column)
     n, sizes = len(column), np.diff(offsets)
-    row_of = np.repeat(np.arange(n), sizes)
-    counts = np.bincount(row_of * 256 + data, minlength=n * 256).reshape(n, 256)
+    counts = _byte_counts(data, offsets)
     classes = np.zeros((n, len(_CLASSES)))
     for c in range(len(_CLASSES)):
         classes[:, c] = counts[:, _CLASS_OF == c].sum(axis=1)

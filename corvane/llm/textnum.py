@@ -29,16 +29,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Bytes whose powers are kept; longer stretches are hashed in windows.
+WINDOW = 1 << 20
+_powers: list[np.ndarray] = []
+
+
+def _made(base: U, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
+    if n > WINDOW:
+        return _made(_BASE, n), _made(_BASE_INVERSE, n)
+    if not _powers:
+        _powers.extend(_made(base, WINDOW) for base in (_BASE, _BASE_INVERSE))
     return _powers[0][:n], _powers[1][:n]
 
 
@@ -71,9 +78,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each word: a polynomial in its bytes, mixed with its length."""
+    """A hash of each word: a polynomial in its bytes, mixed with its length. Words are in order and don't overlap."""
     if not len(starts):
         return np.zeros(0, np.uint64)
+    if len(data) > WINDOW and len(starts) > 1:
+        out, a = np.empty(len(starts), np.uint64), 0
+        while a < len(starts):
+            b = max(a + 1, int(np.searchsorted(ends, starts[a] + WINDOW, side="right")))
+            out[a:b] = word_hashes(data[starts[a] : ends[b - 1]], starts[a:b] - starts[a], ends[a:b] - starts[a])
+            a = b
+        return out
     power, inverse = _power_tables(len(data))
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0

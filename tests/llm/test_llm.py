@@ -262,6 +262,39 @@ def test_quality_of_odd_tables(docs, spark, empty):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def _plain_statistics(t):
+    data = (t or "").encode()
+    sets = {"control": bytes(range(32)), "lower": bytes(range(97, 123)), "upper": bytes(range(65, 91)), "digit": b"0123456789", "space": b" ", "newline": b"\n\r", "tab": b"\t", "full stop": b".", "comma": b",;:", "bang": b"!", "question": b"?", "quote": b"'\"`", "bracket": b"()[]{}", "markup": b"<>/\\=_|", "dash": b"-", "high": bytes(range(128, 256))}
+    kind = {}
+    for name, some in sets.items():
+        kind |= dict.fromkeys(some, name)
+    kinds = Counter(kind.get(b, "symbol") for b in data)
+    n = max(len(data), 1)
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", data) if w]
+    small = [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in words]
+    lines = (data[:-1] if data.endswith(b"\n") else data).split(b"\n") if data else []
+    per, shares = max(len(words), 1), [data.count(bytes([b])) / n for b in set(data)]
+    upper = [len(w) > 0 and 65 <= w[0] <= 90 and 65 <= w[min(1, len(w) - 1)] <= 90 for w in words]
+    ends = [kind.get(w[-1], "symbol") in ("symbol", "markup", "bang") for w in words]
+    return [
+        *(kinds[c] / n for c in quality._CLASSES), np.log1p(len(data)), np.log1p(len(words)), np.log1p(len(lines)), sum(map(len, words)) / per, min(max(map(len, words), default=0), 1000), len(data) / max(len(lines), 1),
+        len(set(small)) / per, len(set(zip(small, small[1:]))) / max(len(words) - 1, 1), len({x + b"\n" if k < len(lines) - 1 or data.endswith(b"\n") else x for k, x in enumerate(lines)}) / max(len(lines), 1),
+        sum(len(w) <= 3 for w in words) / per, sum(upper) / per, sum(ends) / per, max(shares, default=0), -sum(x * np.log2(x) for x in shares),
+    ]
+
+
+@pytest.mark.parametrize("window", [textnum.WINDOW, 50])
+def test_statistics_match_plain_code(monkeypatch, window):
+    monkeypatch.setattr(textnum, "WINDOW", window)
+    monkeypatch.setattr(textnum, "_powers", [])
+    monkeypatch.setattr(quality, "WINDOW", window)
+    r = random.Random(11)
+    some = texts()[:70] + ["".join(r.choices("aB1 .,;!?'\"()<>=_-\t\n\r~§é中", k=r.randint(1, 120))) for _ in range(80)] + ["one line\n", "A\nA\n", "AB Cd E"]
+    got = quality.statistics(pa.array(some))
+    assert np.abs(got - np.array([_plain_statistics(t) for t in some])).max() < 1e-4
+    assert quality.statistics(pa.array([], pa.string())).shape == (0, len(quality.STATISTICS))
+
+
 def test_flat_trees_follow_plain_traversal():
     r = np.random.default_rng(1)
     x = r.normal(size=(400, 5)).astype(np.float32)
