@@ -22,6 +22,7 @@ from corvane.sources import files
 from corvane.sources.store import Store, read_chunks_json, read_documents_json, write_json
 
 HASHED = "hashed"
+PIECES = "chunk_id string, document_id string, text string, char_count int, token_estimate int, page_start int, page_end int, position_in_doc int, section_title_raw string, chunk_date string, total_in_doc int"
 
 
 def _loader(model: str, dimension: int) -> embed.Loader:
@@ -87,10 +88,13 @@ def main(argv: list[str] | None = None) -> int:
         found, pieces = files.extract(spark, args.data, profile)
         write_json(found, documents)
         write_json(pieces, chunks)
-        stats.order_statistics(pieces, "char_count").show()
+        held = read_documents_json(spark, documents)
+        stats.extraction_report(held).show()
+        stats.extraction_warnings(held).show(1000, truncate=False)
+        stats.order_statistics(spark.read.schema(PIECES).json(chunks), "char_count").show()
     if args.do in ("enrich", "full"):
-        rich = enrich.embed_text(enrich.enrich_chunks(spark.read.json(chunks), read_documents_json(spark, documents), taxonomy), args.model, taxonomy)
-        write_json(rich.join(embed.vectorized(rich, load, args.model), "chunk_id").drop("embed_text"), f"{args.work}/enriched")
+        rich = enrich.embed_text(enrich.enrich_chunks(spark.read.schema(PIECES).json(chunks), read_documents_json(spark, documents), taxonomy), args.model, taxonomy)
+        write_json(embed.with_vectors(rich, load, args.model).drop("embed_text"), f"{args.work}/enriched")
     if args.do in ("load", "full"):
         store.setup()
         skipped = store.load(read_documents_json(spark, documents), read_chunks_json(spark, f"{args.work}/enriched"), args.dimension)

@@ -163,8 +163,12 @@ def numeric_values(x: Column, patterns: tuple = NUMERIC, most: int = 10) -> Colu
 
     found = [of(p, unit) for p, unit in patterns]
     every = F.coalesce(F.concat(*found), F.array().cast("array<struct<value:string,unit:string,raw:string>>"))
-    first = let(every, lambda e: F.filter(e, lambda a, i: F.size(F.filter(e, lambda b, j: (j < i) & (b["value"] == a["value"]) & (b["unit"] == a["unit"]))) == 0))
-    return F.slice(first, 1, most)
+
+    def first(e: Column) -> Column:
+        distinct = F.slice(F.array_distinct(F.transform(e, lambda a: F.struct(a["value"].alias("value"), a["unit"].alias("unit")))), 1, most)
+        return F.transform(distinct, lambda d: F.get(F.filter(e, lambda a: (a["value"] == d["value"]) & (a["unit"] == d["unit"])), F.lit(0)))
+
+    return let(every, first)
 
 
 def temporal_refs(x: Column) -> Column:

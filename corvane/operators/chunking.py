@@ -5,16 +5,41 @@ Each document is one row and folds on its own, so chunking needs no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 
 TARGET, LEAST, LONGEST, OVERLAP = 600, 200, 1200, 100
+#: Values that a fold takes at once.
+BLOCK = 256
 _UNIT = "struct<text:string,page:int,section:string>"
 _CHUNK = "struct<text:string,page_start:int,page_end:int,section:string>"
 
 
+def _folded(values: Column, start: dict[str, Column], step: Callable[[Column, Column], dict[str, Column]], kind: str, finish: Callable[[Column, Column], Column]) -> Column:
+    """A fold whose state is `start` and a growing array `out` of `kind`; finish gets the last state and the whole array.
+
+    Step gives the new fields and, as "out", the array to append. The fold runs over blocks of values, so an
+    append copies a block's array or the list of blocks, never all that was made before.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+    cut = T.let(values, lambda v: F.when(F.size(v) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda i: F.slice(v, i * BLOCK + 1, F.lit(BLOCK)))).otherwise(F.slice(F.array(v), 1, 0)))
+    state = lambda own, out: F.struct(*[own[f].alias(f) for f in start], out.alias("out"))
+
+    def one(s: Column, v: Column) -> Column:
+        new = step(s, v)
+        return F.struct(*[new[f].alias(f) for f in start], F.concat(s["out"], new["out"]).alias("out"))
+
+    def block(s: Column, values: Column) -> Column:
+        return T.let(F.aggregate(values, state(s, empty), one), lambda r: state(r, F.concat(s["out"], F.array(r["out"]))))
+
+    first = F.struct(*[c.alias(f) for f, c in start.items()], F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return T.let(F.aggregate(cut, first, block), lambda s: finish(s, F.flatten(s["out"])))
+
+
 def units(pages: Column, *, longest: int = LONGEST, paragraph_break: str = r"(?U)\n\s*\n+", clean: bool = True) -> Column:
     """array<struct<text, page, section>> of array<string> pages: paragraphs, long ones by sentence.
 
@@ -25,14 +50,14 @@ def units(pages: Column, *, longest: int = LONGEST, paragraph_break: str = r"(?U
         body = T.normalize_page(page) if clean else F.coalesce(page, F.lit(""))
         return F.transform(T.paragraphs(body, paragraph_break), lambda p: F.struct(p.alias("text"), (i + 1).cast("int").alias("page")))
 
-    def step(state: Column, p: Column) -> Column:
+    def step(state: Column, p: Column) -> dict[str, Column]:
         title = T.section_title(p["text"])
         parts = F.when(F.char_length(p["text"]) > longest, T.sentences(p["text"])).otherwise(F.array(p["text"]))
         new = F.transform(parts, lambda s: F.struct(s.alias("text"), p["page"].alias("page"), state["section"].alias("section")))
-        return F.struct(F.coalesce(title, state["section"]).alias("section"), F.when(title.isNull(), F.concat(state["out"], new)).otherwise(state["out"]).alias("out"))
+        return {"section": F.coalesce(title, state["section"]), "out": F.when(title.isNull(), new).otherwise(F.array().cast(f"array<{_UNIT}>"))}
 
-    start = F.struct(F.lit(None).cast("string").alias("section"), F.array().cast(f"array<{_UNIT}>").alias("out"))
-    return F.aggregate(F.flatten(F.transform(F.coalesce(pages, F.array().cast("array<string>")), of_page)), start, step, lambda s: s["out"])
+    paragraphs = F.flatten(F.transform(F.coalesce(pages, F.array().cast("array<string>")), of_page))
+    return _folded(paragraphs, {"section": F.lit(None).cast("string")}, step, _UNIT, lambda s, out: out)
 
 
 def packed(unit_array: Column, *, target: int = TARGET, least: int = LEAST, overlap: int = OVERLAP) -> Column:
@@ -43,28 +68,29 @@ def packed(unit_array: Column, *, target: int = TARGET, least: int = LEAST, over
     """
     text = lambda s: F.array_join(s["parts"], " ")
     chunk = lambda s: F.struct(T.stripped(text(s)).alias("text"), s["low"].alias("page_start"), s["high"].alias("page_end"), s["section"].alias("section"))
-    closed = lambda s: F.when((F.size(s["parts"]) > 0) & (T.stripped(text(s)) != ""), F.concat(s["out"], F.array(chunk(s)))).otherwise(s["out"])
+    nothing = F.array().cast(f"array<{_CHUNK}>")
+    closed = lambda s: F.when((F.size(s["parts"]) > 0) & (T.stripped(text(s)) != ""), F.array(chunk(s))).otherwise(nothing)
 
-    def step(s: Column, u: Column) -> Column:
+    def step(s: Column, u: Column) -> dict[str, Column]:
         full = (s["len"] + F.char_length(u["text"]) > target) & (s["len"] >= least)
         tail = F.substring(text(s), -overlap, overlap) if overlap else F.lit("")
         parts = F.when(full, F.array(tail) if overlap else F.array().cast("array<string>")).otherwise(s["parts"])
         size = F.when(full, F.char_length(tail)).otherwise(s["len"])
         low = F.when(full, s["last"] if overlap else u["page"]).otherwise(s["low"])
         high = F.when(full, s["last"] if overlap else u["page"]).otherwise(s["high"])
-        return F.struct(
-            (size + F.char_length(u["text"]) + 1).cast("int").alias("len"),
-            F.concat(parts, F.array(u["text"])).alias("parts"),
-            F.coalesce(F.least(low, u["page"]), u["page"]).alias("low"),
-            F.coalesce(F.greatest(high, u["page"]), u["page"]).alias("high"),
-            u["page"].alias("last"),
-            F.when(full, F.coalesce(u["section"], s["section"])).otherwise(F.coalesce(s["section"], u["section"])).alias("section"),
-            F.when(full, closed(s)).otherwise(s["out"]).alias("out"),
-        )
+        return {
+            "len": (size + F.char_length(u["text"]) + 1).cast("int"),
+            "parts": F.concat(parts, F.array(u["text"])),
+            "low": F.coalesce(F.least(low, u["page"]), u["page"]),
+            "high": F.coalesce(F.greatest(high, u["page"]), u["page"]),
+            "last": u["page"],
+            "section": F.when(full, F.coalesce(u["section"], s["section"])).otherwise(F.coalesce(s["section"], u["section"])),
+            "out": F.when(full, closed(s)).otherwise(nothing),
+        }
 
     none = lambda kind: F.lit(None).cast(kind)
-    start = F.struct(F.lit(0).alias("len"), F.array().cast("array<string>").alias("parts"), none("int").alias("low"), none("int").alias("high"), none("int").alias("last"), none("string").alias("section"), F.array().cast(f"array<{_CHUNK}>").alias("out"))
-    return F.aggregate(unit_array, start, step, closed)
+    start = {"len": F.lit(0), "parts": F.array().cast("array<string>"), "low": none("int"), "high": none("int"), "last": none("int"), "section": none("string")}
+    return _folded(unit_array, start, step, _CHUNK, lambda s, out: F.concat(out, closed(s)))
 
 
 def orphan_merged(every: Column, least: int = LEAST) -> Column:
@@ -78,7 +104,7 @@ def orphan_merged(every: Column, least: int = LEAST) -> Column:
 
 
 def chunk_documents(docs: DataFrame, id_col: str = "document_id", pages_col: str = "pages", **options) -> DataFrame:
-    """A row for each chunk: chunk_id, document_id, text, char_count, token_estimate, page_start, page_end, position_in_doc, section_title_raw.
+    """A row for each chunk: chunk_id, document_id, text, char_count, token_estimate, page_start, page_end, position_in_doc, section_title_raw, total_in_doc.
 
     Documents without text give no rows; nulls count as no pages.
     """
@@ -88,7 +114,7 @@ def chunk_documents(docs: DataFrame, id_col: str = "document_id", pages_col: str
     rows = rows.select("document_id", packed(F.col("units"), **pack).alias("every"))
     rows = rows.select("document_id", orphan_merged(F.col("every"), pack.get("least", LEAST)).alias("chunks"))
     # posexplode would filter on the size of chunks, and so make them a second time.
-    rows = rows.select("document_id", F.posexplode_outer("chunks").alias("position_in_doc", "c")).where("position_in_doc is not null")
+    rows = rows.select("document_id", F.size("chunks").alias("total_in_doc"), F.posexplode_outer("chunks").alias("position_in_doc", "c")).where("position_in_doc is not null")
     return rows.select(
         F.format_string("%s_%04d", F.col("document_id").cast("string"), "position_in_doc").alias("chunk_id"),
         "document_id",
@@ -99,6 +125,7 @@ def chunk_documents(docs: DataFrame, id_col: str = "document_id", pages_col: str
         F.col("c.page_end").alias("page_end"),
         "position_in_doc",
         F.col("c.section").alias("section_title_raw"),
+        "total_in_doc",
     )
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, FloatType, IntegerType, StringType, StructField, StructType
 
 from corvane.functions.text import normalized
 
@@ -57,25 +59,42 @@ def sentence_model(name: str, fallback: str | None = None) -> Loader:
     return load
 
 
-def vectorized(chunks: DataFrame, load: Loader, model: str, *, text_col: str = "embed_text", id_col: str = "chunk_id", batch: int = 32) -> DataFrame:
-    """(id, embedding array<float>, n_tokens, embedding_model): unit vectors; a null text counts as empty. Join by id, or write beside the chunks."""
+def with_vectors(chunks: DataFrame, load: Loader, model: str, *, text_col: str = "embed_text", batch: int = 32) -> DataFrame:
+    """chunks with embedding array<float>, n_tokens and embedding_model: unit vectors; a null text counts as empty.
+
+    All columns go through one Arrow mapping, so nothing has to be joined back.
+    """
+    carried = [c for c in chunks.columns if c not in ("embedding", "n_tokens", "embedding_model")]
+    at = carried.index(text_col)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load()
-        for rows in batches:
-            for s in range(0, len(rows), batch):
-                part = rows.iloc[s : s + batch]
-                vectors, counts = encode([t or "" for t in part[text_col]])
+        for whole in batches:
+            for s in range(0, whole.num_rows, batch):
+                part = whole.slice(s, batch)
+                vectors, counts = encode([t or "" for t in part.column(at).to_pylist()])
                 norm = np.linalg.norm(vectors, axis=1, keepdims=True)
-                vectors = vectors / np.where(norm > 0, norm, 1)
-                yield pd.DataFrame({id_col: part[id_col], "embedding": list(vectors.astype(np.float32)), "n_tokens": np.asarray(counts, np.int32), "embedding_model": model})
+                vectors = (vectors / np.where(norm > 0, norm, 1)).astype(np.float32)
+                lists = pa.ListArray.from_arrays(np.arange(0, vectors.size + 1, vectors.shape[1], np.int32), pa.array(vectors.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(counts, pa.int32()), pa.array([model] * part.num_rows, pa.string())], names=[*carried, "embedding", "n_tokens", "embedding_model"])
+
+    rows = chunks.select(*carried)
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("embedding", ArrayType(FloatType())), StructField("n_tokens", IntegerType()), StructField("embedding_model", StringType())]))
+
+
+def vectorized(chunks: DataFrame, load: Loader, model: str, *, text_col: str = "embed_text", id_col: str = "chunk_id", batch: int = 32) -> DataFrame:
+    """(id, embedding array<float>, n_tokens, embedding_model) of with_vectors()."""
+    return with_vectors(chunks.select(id_col, text_col), load, model, text_col=text_col, batch=batch).drop(text_col)
+
 
-    kind = dict(chunks.dtypes)[id_col]
-    return chunks.select(id_col, text_col).mapInPandas(run, f"{id_col} {kind}, embedding array<float>, n_tokens int, embedding_model string")
+@lru_cache(4)
+def _loaded(load: Loader) -> Callable[[list[str]], tuple[np.ndarray, list[int]]]:
+    """A loader's model, kept in this process for the queries to come."""
+    return load()
 
 
 def query_vector(text: str, load: Loader, model: str) -> list[float]:
     """One query's unit vector, with the query prefix that E5 models want."""
-    vector = load()(["query: " + text if "e5" in model.lower() else text])[0][0]
+    vector = _loaded(load)(["query: " + text if "e5" in model.lower() else text])[0][0]
     norm = float(np.linalg.norm(vector))
     return [float(x) / norm if norm else 0.0 for x in vector]

@@ -111,10 +111,12 @@ def enrich_chunks(chunks: DataFrame, documents: DataFrame, taxonomy: Taxonomy =
     """Chunks with all metadata. A chunk without its document gets the default type and institution.
 
     Documents are one row each and join by a shuffle or broadcast as their size
-    allows; the window over a document's chunks reuses that partitioning.
+    allows. total_in_doc, which chunking gives, is only counted where it is missing.
     """
     docs = documents.select("document_id", "doc_type_category", "institution", "document_date")
-    rows = chunks.withColumn("total_in_doc", F.count("*").over(Window.partitionBy("document_id"))).join(docs, "document_id", "left")
+    if "total_in_doc" not in chunks.columns:
+        chunks = chunks.withColumn("total_in_doc", F.count("*").over(Window.partitionBy("document_id")))
+    rows = chunks.join(docs, "document_id", "left")
     rows = rows.withColumn("doc_type_category", F.coalesce("doc_type_category", F.lit(DEFAULT_TYPE))).withColumn("institution", F.coalesce("institution", F.lit(DEFAULT_INSTITUTION)))
     rows = rows.withColumn("normal", T.normalize_text(F.coalesce("text", F.lit(""))))
     rows = rows.withColumns({"economic_variables": variables(F.col("normal"), taxonomy), "entities": entities(F.col("normal"), taxonomy), "numeric_values": T.numeric_values(F.coalesce("text", F.lit(""))), "temporal_refs": T.temporal_refs(F.coalesce("text", F.lit("")))})

@@ -38,28 +38,30 @@ def has_all(text: Column, terms: list[str]) -> Column:
 def cover_density(text: Column, terms: list[str]) -> Column:
     """The sum of 0.1 / (1 + noise) over minimal covers, noise being the words of a cover that are no query lexeme.
 
-    A cover is a span with every lexeme that has no shorter one inside. One pass
-    keeps each lexeme's last position; a span ends at a hit when the smallest of these moves.
+    A cover is a span with every lexeme that has no shorter one inside. One pass over the hits
+    keeps each lexeme's last hit; a span ends at a hit when the smallest of these moves. Hits are
+    numbered, so those inside a cover are a difference of numbers.
     """
     if not terms:
         return F.lit(0.0)
-    words = lexemes(text)
     where = F.array(*map(F.lit, terms))
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("at"), F.array_position(where, w).cast("int").alias("term"))), lambda h: h["term"] > 0)
-    start = F.struct(F.array_repeat(F.lit(-1), len(terms)).alias("last"), F.array().cast("array<struct<low:int,high:int>>").alias("covers"))
+    found = F.transform(lexemes(text), lambda w, i: F.struct(i.alias("at"), F.array_position(where, w).cast("int").alias("term")))
+    hits = F.transform(F.filter(found, lambda h: h["term"] > 0), lambda h, i: F.struct(h["at"].alias("at"), h["term"].alias("term"), i.alias("n")))
+    none = F.struct(F.lit(-1).alias("n"), F.lit(-1).alias("at"))
+    start = F.struct(F.array_repeat(none, len(terms)).alias("last"), F.lit(-1).alias("low"), F.lit(0.0).alias("sum"))
 
     def step(s: Column, h: Column) -> Column:
-        last = F.transform(s["last"], lambda x, i: F.when(i + 1 == h["term"], h["at"]).otherwise(x))
-        low = F.array_min(last)
-        grown = (low >= 0) & ((F.size(s["covers"]) == 0) | (F.element_at(s["covers"], -1)["low"] < low))
-        return F.struct(last.alias("last"), F.when(grown, F.concat(s["covers"], F.array(F.struct(low.alias("low"), h["at"].alias("high"))))).otherwise(s["covers"]).alias("covers"))
+        own = F.struct(h["n"].alias("n"), h["at"].alias("at"))
+        last = F.transform(s["last"], lambda x, i: F.when(i + 1 == h["term"], own).otherwise(x))
 
-    def density(own: Column) -> Column:
-        inside = lambda c: F.size(F.filter(own, lambda h: h["at"].between(c["low"], c["high"])))
-        covers = F.aggregate(own, start, step, lambda s: s["covers"])
-        return F.aggregate(covers, F.lit(0.0), lambda a, c: a + 0.1 / (1 + c["high"] - c["low"] + 1 - inside(c)))
+        def counted(both: Column) -> Column:
+            low = F.array_min(both)
+            noise = (h["at"] - low["at"]) - (h["n"] - low["n"])
+            return F.when(low["n"] > s["low"], F.struct(both.alias("last"), low["n"].alias("low"), (s["sum"] + 0.1 / (1 + noise)).alias("sum"))).otherwise(F.struct(both.alias("last"), s["low"].alias("low"), s["sum"].alias("sum")))
 
-    return let(hits, density)
+        return let(last, counted)
+
+    return F.aggregate(hits, start, step, lambda s: s["sum"])
 
 
 def lexical_recall(chunks: DataFrame, query: str, n: int = 50, *, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:

@@ -60,17 +60,20 @@ def document_totals(chunks: DataFrame) -> DataFrame:
 
 
 def extraction_report(documents: DataFrame) -> DataFrame:
-    """One row: documents, chunks, failed documents and the first hundred names with warnings."""
-    warned = F.size("extraction_warnings") > 0
+    """One row: documents, chunks, documents without any (failed) and those with warnings. extraction_warnings() names them."""
     return documents.agg(
         F.count("*").alias("documents"),
         F.sum("total_chunks").alias("chunks"),
-        F.count_if(F.col("total_chunks") == 0).alias("empty"),
-        F.count_if(warned).alias("with_warnings"),
-        F.slice(F.array_sort(F.collect_set(F.when(warned, F.col("filename")))), 1, 100).alias("warned_files"),
+        F.count_if(F.col("total_chunks") == 0).alias("failed"),
+        F.count_if(F.size("extraction_warnings") > 0).alias("with_warnings"),
     )
 
 
+def extraction_warnings(documents: DataFrame) -> DataFrame:
+    """(filename, failed, warning): a row for each warning of each document, and one without for failed documents without any."""
+    return documents.where((F.col("total_chunks") == 0) | (F.size("extraction_warnings") > 0)).select("filename", (F.col("total_chunks") == 0).alias("failed"), F.explode_outer("extraction_warnings").alias("warning"))
+
+
 def token_summary(rows: DataFrame, token_col: str = "n_tokens", limit: int = 2048) -> DataFrame:
     return rows.agg(F.min(token_col).alias("min"), F.floor(F.sum(token_col) / F.greatest(F.lit(1), F.count("*"))).alias("mean"), F.max(token_col).alias("max"), F.count_if(F.col(token_col) > limit).alias("truncated"))
 

@@ -470,10 +470,10 @@ def token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.token_summary(_read(spark, sf_dir, "documents"), "n_chars")
 
 
-@_query("SELECT count(*) AS documents, sum(n)::BIGINT AS chunks, count(*) FILTER (n = 0) AS empty, count(*) FILTER (toxic = 1) AS with_warnings FROM (SELECT doc_id, toxic, quality::BIGINT AS n FROM labels)")
+@_query("SELECT count(*) AS documents, sum(n)::BIGINT AS chunks, count(*) FILTER (n = 0) AS failed, count(*) FILTER (toxic = 1) AS with_warnings FROM (SELECT doc_id, toxic, quality::BIGINT AS n FROM labels)")
 def extraction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "labels").select(F.col("quality").alias("total_chunks"), F.array_compact(F.array(F.when(F.col("toxic") == 1, "w"))).alias("extraction_warnings"), F.col("doc_id").cast("string").alias("filename"))
-    return stats.extraction_report(rows).drop("warned_files")
+    return stats.extraction_report(rows)
 
 
 @_query("SELECT doc_id, lang, CASE WHEN l_doc IS NULL THEN n_chars ELSE quality END AS n_chars FROM (SELECT d.*, l.doc_id AS l_doc, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)")

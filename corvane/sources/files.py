@@ -10,7 +10,7 @@ import io
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
@@ -148,6 +148,7 @@ def extract(spark: SparkSession, folder: str, profile: Profile = FULL) -> tuple[
         F.lit(1).alias("page_end"),
         "position_in_doc",
         "section_title_raw",
+        F.count("*").over(Window.partitionBy("document_id")).cast("int").alias("total_in_doc"),
         "chunk_date",
     )
     chunks = of_pdf.unionByName(of_sheet)

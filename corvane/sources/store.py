@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,9 +54,16 @@ def as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.coalesce(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType), F.lit(DEFAULTS.get(f.name))).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def latest(rows: DataFrame, key: str = "document_id") -> DataFrame:
+    """One row of each key, the same on every run: the greatest document_date where there is one, ties by all columns' hash."""
+    order = [F.desc_nulls_last("document_date")] if "document_date" in rows.columns else []
+    number = F.row_number().over(Window.partitionBy(key).orderBy(*order, F.xxhash64(*[F.to_json(F.struct(*[F.col(c) for c in rows.columns]))])))
+    return rows.withColumn("__row", number).where("__row = 1").drop("__row")
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str = "document_id", keep: tuple[str, ...] = ("created_at",)) -> DataFrame:
-    """new over old by key; columns in `keep` stay as they were where old has the key. Of rows that repeat a key in new, one stays."""
-    new = new.dropDuplicates([key])
+    """new over old by key; columns in `keep` stay as they were where old has the key. Of rows that repeat a key in new, latest() keeps one."""
+    new = latest(new, key)
     kept = [c for c in keep if c in old.columns and c in new.columns]
     before = old.select(key, *[F.col(c).alias(f"__{c}") for c in kept])
     merged = new.join(before, key, "left").select(*[F.coalesce(f"__{c}", c).alias(c) if c in kept else F.col(c) for c in old.columns])
@@ -68,55 +76,78 @@ def replace_chunks(old: DataFrame, new: DataFrame, key: str = "document_id") ->
 
 
 class Store:
-    """Two Parquet tables under a folder, each behind a pointer to its current version.
+    """Documents and chunks as Parquet under a folder, in buckets by document, behind one pointer to the current version of both.
 
-    A change writes a whole new version beside the old one and then moves the
-    pointer, so readers see the old or the new one, and a failed load changes nothing.
+    A load writes new versions of the buckets it touches beside the old ones and then moves the pointer,
+    in one rename, to a list that names the folder of every bucket of both tables. Readers see all of a load or
+    nothing, and a failed one changes nothing. What the current and the previous version name is kept, for
+    readers that planned on it; older folders go.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, prefix: str = ""):
-        self.spark, self.folder, self.prefix = spark, folder.rstrip("/"), prefix
+    def __init__(self, spark: SparkSession, folder: str, prefix: str = "", buckets: int = 64):
+        self.spark, self.folder, self.prefix, self.buckets = spark, folder.rstrip("/"), prefix, buckets
         checked_name(prefix + "documents")
 
     def _path(self, name: str):  # noqa: ANN202
         path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _pointer(self, table: str) -> str:
-        return f"{self.folder}/{checked_name(self.prefix + table)}.current"
+    def _pointer(self) -> str:
+        return f"{self.folder}/{checked_name(self.prefix + 'tables')}.current"
 
-    def _current(self, table: str) -> str | None:
-        path, fs = self._path(self._pointer(table))
+    def _version(self) -> dict:
+        """{"tables": {table: {bucket: folder}}, "buckets": their number, "before": folders of the previous version}."""
+        path, fs = self._path(self._pointer())
         if not fs.exists(path):
-            return None
+            return {"tables": {}, "buckets": self.buckets, "before": []}
         stream = fs.open(path)
         try:
-            return bytes(stream.readAllBytes()).decode()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
+    def _bucket(self, key: str, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+    def _frame(self, version: dict, table: str, some: list[int] | None = None) -> DataFrame:
+        paths = [f"{self.folder}/{name}" for b, name in version["tables"].get(table, {}).items() if some is None or int(b) in some]
+        return as_schema(self.spark.read.parquet(*paths), SCHEMAS[table]) if paths else self.spark.createDataFrame([], SCHEMAS[table])
+
     def read(self, table: str) -> DataFrame:
         """The table; rows of an older schema get new columns as null. None stored yet: no rows."""
-        current = self._current(table)
-        return as_schema(self.spark.read.parquet(f"{self.folder}/{current}"), SCHEMAS[table]) if current else self.spark.createDataFrame([], SCHEMAS[table])
+        return self._frame(self._version(), table)
 
-    def write(self, table: str, df: DataFrame) -> None:
+    def _written(self, table: str, df: DataFrame, buckets: int) -> dict[str, str]:
+        """Writes rows in buckets; gives the folder of each bucket that has rows."""
         version = f"{checked_name(self.prefix + table)}-{uuid.uuid4().hex}"
-        as_schema(df, SCHEMAS[table]).write.parquet(f"{self.folder}/{version}")
-        old = self._current(table)
-        path, fs = self._path(self._pointer(table))
-        stream = fs.create(path, True)
-        stream.write(bytearray(version.encode()))
+        bucket = self._bucket("document_id", buckets)
+        as_schema(df, SCHEMAS[table]).withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.folder}/{version}")
+        path, fs = self._path(f"{self.folder}/{version}")
+        names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+        return {n.removeprefix("bucket="): f"{version}/{n}" for n in names if n.startswith("bucket=")}
+
+    def _moved(self, old: dict, tables: dict[str, dict[str, str]]) -> None:
+        """Makes these folders the current version and deletes what neither it nor the one before names."""
+        named = lambda t: {n.split("/")[0] for own in t.values() for n in own.values()}
+        new = {"tables": tables, "buckets": old["buckets"], "before": sorted(named(old["tables"]))}
+        target, fs = self._path(self._pointer())
+        own, _ = self._path(f"{self._pointer()}-{uuid.uuid4().hex}")
+        stream = fs.create(own, True)
+        stream.write(bytearray(json.dumps(new).encode()))
         stream.close()
-        if old:
-            gone, fs = self._path(f"{self.folder}/{old}")
+        jvm = self.spark._jvm
+        overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(own), fs.makeQualified(target), overwrite)
+        for name in set(old["before"]) - named(tables) - set(new["before"]):
+            gone, fs = self._path(f"{self.folder}/{name}")
             fs.delete(gone, True)
 
     def setup(self, *, drop: bool = False) -> None:
-        """Makes the tables that don't exist, or empties both."""
-        for table, schema in SCHEMAS.items():
-            if drop or not self._current(table):
-                self.write(table, self.spark.createDataFrame([], schema))
+        """Makes the tables, without rows, if they don't exist; drop: empties both."""
+        old = self._version()
+        if drop or not old["tables"]:
+            self._moved(old, {table: {} for table in SCHEMAS})
 
     def dimension(self) -> int | None:
         return self.read("chunks").agg(F.max(F.size("embedding"))).first()[0]
@@ -124,25 +155,35 @@ class Store:
     def load(self, documents: DataFrame, chunks: DataFrame, dimension: int) -> int:
         """Upserts documents and replaces their chunks; gives the number of chunks left out for their vector.
 
-        Vectors of another dimension than the stored ones stop the load before anything is written.
+        Vectors of another dimension than the stored ones stop the load before anything is
+        written. Chunks replace those of the documents that they name or that are loaded. Only the buckets of these documents are read and written.
         """
-        stored = self.dimension()
+        old = self._version()
+        stored = self._frame(old, "chunks").agg(F.max(F.size("embedding"))).first()[0]
         if stored is not None and stored > 0 and stored != dimension:
             raise ValueError(f"stored vectors have {stored} dimensions, new ones {dimension}")
         new = as_schema(document_rows(documents), DOCUMENTS).withColumn("created_at", F.coalesce("created_at", F.current_timestamp()))
         fine = as_schema(valid_chunks(chunks, dimension), CHUNKS)
+        ids = new.select("document_id").union(chunks.select("document_id")).distinct()
+        some = sorted(r["b"] for r in ids.select(self._bucket("document_id", old["buckets"]).alias("b")).distinct().collect())  # at most all buckets
         skipped = chunks.where(F.col("embedding").isNull() | (F.size("embedding") != dimension)).count()
-        self.write("documents", upsert(self.read("documents"), new))
-        self.write("chunks", replace_chunks(self.read("chunks"), fine))
+        tables = {
+            "documents": self._written("documents", upsert(self._frame(old, "documents", some), new), old["buckets"]),
+            "chunks": self._written("chunks", self._frame(old, "chunks", some).join(ids, "document_id", "left_anti").unionByName(fine), old["buckets"]),
+        }
+        kept = {t: {b: n for b, n in old["tables"].get(t, {}).items() if int(b) not in some} for t in SCHEMAS}
+        self._moved(old, {t: kept[t] | tables[t] for t in SCHEMAS})
         return skipped
 
 
-def read_documents_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOCUMENTS).json(path, multiLine=True)
+def read_documents_json(spark: SparkSession, path: str, *, arrays: bool = False) -> DataFrame:
+    """Documents of JSON lines, as write_json() makes them, or of files that hold one array each."""
+    return spark.read.schema(DOCUMENTS).json(path, multiLine=arrays)
 
 
-def read_chunks_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CHUNKS).json(path, multiLine=True)
+def read_chunks_json(spark: SparkSession, path: str, *, arrays: bool = False) -> DataFrame:
+    """Chunks of JSON lines, or of files that hold one array each."""
+    return spark.read.schema(CHUNKS).json(path, multiLine=arrays)
 
 
 def write_json(df: DataFrame, path: str) -> None:

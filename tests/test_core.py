@@ -327,6 +327,113 @@ def test_store_and_search(spark, tmp_path):
     assert s.read("chunks").count() == 0
 
 
+FAKE_READER = """
+class _Page:
+    def __init__(self, text):
+        self.text = text
+    def extract_text(self):
+        return self.text
+class PdfReader:
+    is_encrypted = False
+    def __init__(self, source):
+        self.pages = [_Page(t) for t in source.read().decode().split(chr(12))]
+"""
+
+
+def test_command_line_loads_all_documents(spark, tmp_path, capsys):
+    """Several documents in one part file, through JSON and into the tables; a stand-in reads the pages."""
+    (tmp_path / "pypdf.py").write_text(FAKE_READER)
+    spark.sparkContext.addPyFile(str(tmp_path / "pypdf.py"))
+    (tmp_path / "data").mkdir()
+    for i in range(7):
+        page = f"El Consejo acordó subir la tasa de interés {i} puntos base. " * 30
+        (tmp_path / "data" / f"Minuta_{10 + i}-01-13.pdf").write_text(page + chr(12) + "RIESGOS\n\n" + page)
+    common = ["--store", f"file://{tmp_path}/s", "--work", f"file://{tmp_path}/w", "--dimension", "16"]
+    assert cli.main([*common, "full", str(tmp_path / "data")]) == 0
+    assert "with_warnings" in capsys.readouterr().out
+    stored = store.Store(spark, f"file://{tmp_path}/s")
+    documents, chunks = files.extract(spark, str(tmp_path / "data"))
+    assert stored.read("documents").count() == documents.count() == 7
+    rows = {r["chunk_id"]: r for r in stored.read("chunks").collect()}
+    assert set(rows) == {r["chunk_id"] for r in chunks.collect()} and len(rows) > 14
+    assert all(r["embedding"] and r["section_type"] for r in rows.values())
+    assert {(r["document_id"], r["total_chunks"]) for r in stored.read("documents").collect()} == {(r["document_id"], r["count"]) for r in chunks.groupBy("document_id").count().collect()}
+    assert cli.main([*common, "enrich"]) == 0 and cli.main([*common, "load"]) == 0
+    assert stored.read("chunks").count() == len(rows) and stored.read("documents").count() == 7
+
+
+def test_json_round_trip(spark, tmp_path):
+    docs = spark.createDataFrame([(f"d{i}", "ñ\n" * i, None if i % 2 else i) for i in range(10)], "document_id string, filename string, total_pages int")
+    store.write_json(docs.coalesce(1), f"file://{tmp_path}/lines")
+    back = store.read_documents_json(spark, f"file://{tmp_path}/lines").select(*docs.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, docs.collect()))
+    (tmp_path / "array.json").write_text('[{"document_id": "a"},\n {"document_id": "b"}]')
+    assert [r["document_id"] for r in store.read_documents_json(spark, f"file://{tmp_path}/array.json", arrays=True).collect()] == ["a", "b"]
+
+
+def test_failed_load_changes_nothing(spark, tmp_path, monkeypatch):
+    s, docs, load = _loaded(spark, tmp_path)
+    before = [sorted(map(str, s.read(t).collect())) for t in ("documents", "chunks")]
+    planned = s.read("chunks")
+    more = docs.withColumn("document_id", F.concat("document_id", F.lit("_new")))
+    documents, chunks = ingest.stages(more, load, "hashed")
+    own = store.Store._written
+
+    def failing(self, table, df, buckets):
+        if table == "chunks":
+            raise RuntimeError("no space left")
+        return own(self, table, df, buckets)
+
+    monkeypatch.setattr(store.Store, "_written", failing)
+    with pytest.raises(RuntimeError, match="no space"):
+        s.load(documents, chunks, 16)
+    monkeypatch.undo()
+    assert [sorted(map(str, s.read(t).collect())) for t in ("documents", "chunks")] == before
+    s.load(documents, chunks, 16)
+    assert s.read("documents").count() == 4 and s.read("chunks").count() == 2 * len(before[1])
+    assert sorted(map(str, planned.collect())) == before[1]  # a reader of the version before
+    s.load(*ingest.stages(docs.limit(1), load, "hashed"), 16)
+    assert s.read("documents").count() == 4
+
+
+def test_loads_touch_their_buckets_only(spark, tmp_path):
+    s, docs, load = _loaded(spark, tmp_path)
+    old = s._version()["tables"]["documents"]
+    s.load(*ingest.stages(docs.where("document_id = 'fed_2023'"), load, "hashed"), 16)
+    new = s._version()["tables"]["documents"]
+    assert len(old) == len(new) == 2 and len(set(old.values()) & set(new.values())) == 1
+
+
+def test_latest_row_of_a_document(spark):
+    rows = spark.createDataFrame([("a", "2020", 1), ("a", "2021", 2), ("a", None, 3), ("b", None, 4)], "document_id string, document_date string, n int").repartition(3)
+    assert sorted((r["document_id"], r["n"]) for r in store.latest(rows).collect()) == [("a", 2), ("b", 4)]
+
+
+def test_query_models_are_loaded_once():
+    calls = []
+
+    def load():
+        calls.append(1)
+        return embed.hashed_words(8)()
+
+    assert embed.query_vector("a b", load, "m") == embed.query_vector("a b", load, "m") and len(calls) == 1
+
+
+def test_extraction_warnings(spark):
+    docs = spark.createDataFrame([("a", 3, []), ("b", 0, ["x", "y"]), ("c", 0, []), ("d", 1, ["z"])], "filename string, total_chunks int, extraction_warnings array<string>")
+    assert tuple(stats.extraction_report(docs).first()) == (4, 4, 2, 2)
+    assert sorted(map(str, map(tuple, stats.extraction_warnings(docs).collect()))) == sorted(map(str, [("b", True, "x"), ("b", True, "y"), ("c", True, None), ("d", False, "z")]))
+
+
+def test_long_documents_chunk_as_plain_code_does(spark):
+    r = np.random.default_rng(8)
+    lines = [" ".join(["palabra"] * int(r.integers(1, 30))) for _ in range(3000)]
+    docs = spark.createDataFrame([("d", ["\n".join(lines[:1700]), "\n".join(lines[1700:])])], "document_id string, pages array<string>")
+    got = chunking.chunk_documents(docs, longest=1 << 30, paragraph_break="\n", clean=False).orderBy("position_in_doc").collect()
+    want = fold([(t, 1 if i < 1700 else 2, None) for i, t in enumerate(lines)])
+    assert [[g["text"], g["page_start"], g["page_end"], g["section_title_raw"]] for g in got] == want and got[0]["total_in_doc"] == len(want)
+
+
 def test_stream(spark, tmp_path):
     s, docs, load = _loaded(spark, tmp_path)
     s.setup(drop=True)
