@@ -12,7 +12,7 @@ import os
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from corvane.functions.taxonomy import DOMAIN, from_json
+from corvane.functions.taxonomy import BASIC_DOMAIN, DOMAIN, from_json
 from corvane.operators import embed, enrich, stats
 from corvane.operators.filters import AdvancedFilters
 from corvane.plans import prompt, search
@@ -37,7 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     top.add_argument("--model", default=os.environ.get("RAG_EMBEDDING_MODEL", HASHED))
     top.add_argument("--dimension", type=int, default=64)
     top.add_argument("--profile", choices=("full", "basic"), default="full")
-    top.add_argument("--taxonomy", help="JSON file of keyword rows")
+    top.add_argument("--taxonomy", help="JSON file of keyword rows, or of {variable: [keywords]}; without it no variables are found")
     some = top.add_subparsers(dest="do", required=True)
     for name in ("extract", "full"):
         some.add_parser(name).add_argument("data")
@@ -80,8 +80,9 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName("corvane").getOrCreate()
     store = Store(spark, args.store, args.prefix)
-    taxonomy = from_json(args.taxonomy) if args.taxonomy else DOMAIN
-    profile = FULL if args.profile == "full" else BASIC
+    profile, taxonomy = (FULL, DOMAIN) if args.profile == "full" else (BASIC, BASIC_DOMAIN)
+    if args.taxonomy:
+        taxonomy = from_json(args.taxonomy, taxonomy)
     load = _loader(args.model, args.dimension)
     documents, chunks = f"{args.work}/documents", f"{args.work}/chunks"
     if args.do in ("extract", "full"):

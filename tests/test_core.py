@@ -17,6 +17,10 @@ from corvane.streaming import ingest
 from pyspark.sql import functions as F
 
 
+#: Some keywords: the library ships none for variables.
+OWN = X.DOMAIN.with_keywords({"TASA_INTERES": ["tasa de interes", "tpm", "interest rate"], "INFLACION": ["inflacion", "ipc"], "EMPLEO": ["empleo"], "PRECIO_COMMODITIES": ["cobre", "petroleo"]})
+
+
 def column(spark, make, *values):
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x string")
     return [r["y"] for r in rows.select("i", make(F.col("x")).alias("y")).orderBy("i").collect()]
@@ -142,14 +146,14 @@ def test_cells(spark):
 def _rich(spark, texts, kind="MINUTA", titles=None):
     chunks = spark.createDataFrame([(f"d_{i:04d}", "d", t, len(t), i, (titles or {}).get(i)) for i, t in enumerate(texts)], "chunk_id string, document_id string, text string, char_count int, position_in_doc int, section_title_raw string")
     docs = spark.createDataFrame([("d", kind, "x", "2022-07-13")], "document_id string, doc_type_category string, institution string, document_date string")
-    return enrich.enrich_chunks(chunks.withColumn("page_start", F.lit(1)).withColumn("page_end", F.lit(1)), docs).orderBy("position_in_doc").collect()
+    return enrich.enrich_chunks(chunks.withColumn("page_start", F.lit(1)).withColumn("page_end", F.lit(1)), docs, OWN).orderBy("position_in_doc").collect()
 
 
 def test_enrichment(spark):
     r = _rich(spark, ["El Consejo acordó subir la TPM y la inflación cae 5,25% en 2022", "copyright tpm 3%", "nada", "se espera que el cobre suba"], titles={2: "Riesgos del escenario"})
     assert r[0]["section_type"] == "DECISION" and r[0]["is_policy_decision"] and r[0]["tags"] == ["DECISION_POLITICA", "DATOS_NUMERICOS", "VARIABLE_CRITICA"]
     assert r[0]["economic_variables"]["INFLACION"]["confidence"] == 0.5 and set(r[0]["economic_variables"]) == {"TASA_INTERES", "INFLACION"}
-    assert r[0]["importance_score"] == round(0.35 + 0.10 + 0.20 / 3 + 0.25, 3)
+    assert r[0]["importance_score"] == round(0.35 + 0.10 + 0.20 / 3 + 0.25 + 0.05, 3)  # "el consejo acordo" names an entity
     assert r[1]["importance_score"] == 0.0
     assert (r[2]["section_type"], r[2]["section_confidence"], r[2]["importance_score"]) == ("RIESGOS", 0.95, 0.03)
     assert r[3]["is_forward_looking"] and r[3]["importance_score"] == round(0.20 + 0.15 + 0.08, 3)
@@ -171,9 +175,19 @@ def test_embed_text(spark):
 
 
 def test_taxonomy_tables(spark):
-    table = spark.createDataFrame(X.DOMAIN.rows(), "kind string, name string, ord int, keyword string, kw_ord int, importance string")
+    table = spark.createDataFrame(X.DOMAIN.with_keywords({n: [n.lower()] for n in X.VARIABLES}).rows(), "kind string, name string, ord int, keyword string, kw_ord int, importance string")
     again = X.from_table(table)
-    assert again == X.DOMAIN and list(again.sections) == list(X.DOMAIN.sections)
+    assert again == X.DOMAIN.with_keywords({n: [n.lower()] for n in X.VARIABLES}) and list(again.sections) == list(X.DOMAIN.sections)
+
+
+def test_built_in_lists(tmp_path):
+    sizes = lambda named: sum(map(len, named.values()))
+    assert (len(X.DOMAIN.variables), sizes(X.DOMAIN.sections), len(X.DOMAIN.entities), sizes(X.DOMAIN.entities), len(X.DOMAIN.boilerplate), len(X.DOMAIN.forward)) == (18, 135, 20, 102, 51, 11)
+    assert (len(X.BASIC_DOMAIN.variables), len(X.BASIC_DOMAIN.entities), sizes(X.BASIC_DOMAIN.entities), len(X.BASIC_DOMAIN.boilerplate)) == (14, 8, 39, 11)
+    assert not any(words for t in (X.DOMAIN, X.BASIC_DOMAIN) for _, words in t.variables.values())
+    (tmp_path / "own.json").write_text('{"PIB": ["pib"], "NEW": ["x"]}')
+    own = X.from_json(str(tmp_path / "own.json"), X.BASIC_DOMAIN)
+    assert own.variables["PIB"] == ("CRITICAL", ["pib"]) and own.variables["NEW"] == ("MEDIUM", ["x"]) and own.sections == X.SECTIONS
 
 
 def test_vectors(spark):
@@ -199,7 +213,7 @@ def test_vectors(spark):
     ],
 )
 def test_query_parser(query, want):
-    got = parse.parse_query(query)
+    got = parse.parse_query(query, OWN)
     assert {k: got[k] for k in want} == want
     assert parse.month_numbers("enero, feb,3,x,13") == [1, 2, 3]
 
@@ -290,7 +304,7 @@ def _loaded(spark, tmp_path):
     )
     s = store.Store(spark, f"file://{tmp_path}/store", "t_")
     s.setup()
-    documents, chunks = ingest.stages(docs, load, "hashed")
+    documents, chunks = ingest.stages(docs, load, "hashed", OWN)
     assert s.load(documents, chunks, 16) == 0
     return s, docs, load
 
@@ -299,9 +313,9 @@ def test_store_and_search(spark, tmp_path):
     s, docs, load = _loaded(spark, tmp_path)
     embedder = lambda q: embed.query_vector(q, load, "hashed")
     first = s.read("chunks").count()
-    hits, parsed = search.search(s.read("chunks"), s.read("documents"), "tasa de interés 2022", embedder, 3)
+    hits, parsed = search.search(s.read("chunks"), s.read("documents"), "tasa de interés 2022", embedder, 3, taxonomy=OWN)
     assert parsed["year_from"] == 2022 and [r["document_id"] for r in hits.collect()] == ["minuta_jul22"]
-    assert [r["document_id"] for r in search.search(s.read("chunks"), s.read("documents"), "petroleo 2023", embedder, 3)[0].collect()] == ["fed_2023"]
+    assert [r["document_id"] for r in search.search(s.read("chunks"), s.read("documents"), "petroleo 2023", embedder, 3, taxonomy=OWN)[0].collect()] == ["fed_2023"]
     assert search.search(s.read("chunks"), s.read("documents"), "algo de 1999", embedder, 3)[0].count() == 0
     month = search.search(s.read("chunks"), s.read("documents"), "tasa julio", embedder, 3)[0].collect()
     assert {r["document_id"] for r in month} == {"minuta_jul22"}
