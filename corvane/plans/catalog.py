@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from corvane.functions import text as T
 from corvane.functions import vectors as V
 from corvane.functions.taxonomy import Taxonomy
-from corvane.operators import chunking, embed, enrich, filters, fuse, recall, stats
-from corvane.plans import prompt, search
+from corvane.operators import chunking, enrich, filters, fuse, recall, stats
+from corvane.plans import prompt
 from corvane.sources import store
 
 STOP_WORDS = Taxonomy(
@@ -425,7 +425,8 @@ def advanced_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"{_BASE} SELECT doc_id FROM base WHERE {_count('t', ['und'])} > 0 OR {_count('t', ['la', 'de la'])} > 0 OR lang = 'fr'")
 def any_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "documents").withColumn("vars", enrich.variables(T.normalize_text(F.col("text")), STOP_WORDS))
+    asked = Taxonomy(variables={n: STOP_WORDS.variables[n] for n in ("GERMAN", "SPANISH")})  # no other name is counted
+    rows = _read(spark, sf_dir, "documents").withColumn("vars", enrich.variables(T.normalize_text(F.col("text")), asked))
     return rows.where(filters.any_key(F.col("vars"), ["GERMAN", "SPANISH"]) | (F.col("lang") == "fr")).select("doc_id")
 
 
@@ -519,27 +520,13 @@ def context_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompt.fragments(_cited(spark, sf_dir))
 
 
-@_query()
-def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All of search() over documents as chunks: hashed words stand for a model, which SQL can't recompute."""
-    docs = _read(spark, sf_dir, "documents")
-    load = embed.hashed_words()
-    chunks = docs.select(F.format_string("%08d_0000", "doc_id").alias("chunk_id"), F.col("doc_id").alias("document_id"), "text", F.lit(1).alias("page_start"), F.lit(1).alias("page_end"), F.lit(None).cast("date").alias("chunk_date"), F.lit("CONTENIDO").alias("section_type"), (F.least(F.lit(1.0), F.col("n_chars") / 4000.0)).alias("importance_score"), enrich.variables(T.normalize_text(F.col("text")), STOP_WORDS).alias("economic_variables"))
-    documents = docs.select(F.col("doc_id").alias("document_id"), F.col("source").alias("filename"), F.col("lang").alias("doc_type_category"), F.col("source").alias("institution"), F.lit("2020-01-02").alias("document_date"), F.lit(2020).alias("document_year"))
-    vectors = embed.vectorized(chunks, load, "hashed", text_col="text")
-    hits, _ = search.search(chunks.join(vectors, "chunk_id"), documents, "from with 2020", lambda q: embed.query_vector(q, load, "hashed"), 10, taxonomy=STOP_WORDS)
-    return hits.select("chunk_id", "document_id", F.round("final_score", 9).alias("final_score"), "low_confidence")
-
-
-@_query()
-def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences of each text; the break needs a look behind, which DuckDB's patterns don't have."""
-    return _read(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("pos", "sentence"))
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from corvane.plans import more  # noqa: F401  adds its queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from corvane.plans import more  # noqa: F401
+
     return dict(SQL)
