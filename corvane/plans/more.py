@@ -84,7 +84,7 @@ def chunks_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"""
 WITH d AS (SELECT o_orderkey, o_orderdate::DATE AS d, o_orderkey % 4 AS k FROM orders)
-SELECT o_orderkey, CASE WHEN k < 2 THEN strftime(d, '%Y-%m-%d') END AS exact_date, CASE WHEN k < 3 THEN month(d)::INTEGER END AS month,
+SELECT o_orderkey, CASE k WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '20%y-%m-%d') END AS exact_date, CASE WHEN k < 3 THEN month(d)::INTEGER END AS month,
   CASE k WHEN 1 THEN NULL WHEN 3 THEN year(d) - 1 ELSE year(d) END::INTEGER AS year_from, CASE k WHEN 1 THEN NULL ELSE year(d) END::INTEGER AS year_to,
   CASE k WHEN 0 THEN 'acta' WHEN 1 THEN 'acta x' WHEN 2 THEN 'minuta' ELSE 'fed' END AS clean_query, CASE k WHEN 2 THEN 'MINUTA' WHEN 3 THEN 'FED_STATEMENT' ELSE '' END AS doc_types
 FROM d""")
