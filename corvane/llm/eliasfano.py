@@ -16,6 +16,8 @@ import numpy as np
 
 SAMPLE = 512
 _HEAD = 32
+#: Blocks of SAMPLE values that are decoded together.
+BLOCKS = 2048
 
 
 def encoded(values: np.ndarray, universe: int) -> bytes:
@@ -81,28 +83,74 @@ class EliasFano:
         index = np.arange(len(self.samples), dtype=np.int64) * SAMPLE
         return (self.samples.astype(np.int64) - index).astype(np.uint64) << np.uint64(self.width) | self._low(index)
 
+    def decoded(self, blocks: np.ndarray) -> np.ndarray:
+        """The values of these blocks of SAMPLE, ascending and each once, one after the other: only their bits are looked at."""
+        first = self.samples[blocks].astype(np.int64)
+        end = np.full(len(blocks), len(self.high) * 64, np.int64)
+        inner = blocks + 1 < len(self.samples)
+        end[inner] = self.samples[blocks[inner] + 1]
+        begin, count = first >> 6, ((end - 1) >> 6) - (first >> 6) + 1
+        at = np.repeat(begin - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+        ones = np.flatnonzero(np.unpackbits(self.high[at].view(np.uint8), bitorder="little"))
+        block, ones = np.repeat(np.arange(len(blocks)), count)[ones >> 6], at[ones >> 6] * 64 + (ones & 63)
+        keep = (ones >= first[block]) & (ones < end[block])
+        held = np.minimum(SAMPLE, self.n - blocks * SAMPLE)
+        index = np.repeat(blocks * SAMPLE - np.r_[0, np.cumsum(held)[:-1]], held) + np.arange(held.sum())
+        return (ones[keep] - index).astype(np.uint64) << np.uint64(self.width) | self._low(index)
+
     def select(self, index: np.ndarray) -> np.ndarray:
         """The values at these positions, in any order."""
         index = np.asarray(index, np.int64)
         out = np.empty(len(index), np.uint64)
-        order = np.argsort(index // SAMPLE, kind="stable")
-        block = index[order] // SAMPLE
-        at = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, np.int64)
-        for a, b in zip(at, np.r_[at[1:], len(block)]):
-            start = int(block[a]) * SAMPLE
-            out[order[a:b]] = self.values(start, start + SAMPLE)[index[order[a:b]] - start]
+        order = np.argsort(index >> 9, kind="stable")
+        block = index[order] >> 9
+        touched = np.unique(block)
+        for s in range(0, len(touched), BLOCKS):
+            some = touched[s : s + BLOCKS]
+            a, b = np.searchsorted(block, [some[0], some[-1] + 1])
+            own = order[a:b]
+            out[own] = self.decoded(some)[(np.searchsorted(some, block[a:b]) << 9) + (index[own] & (SAMPLE - 1))]
         return out
 
+    def successors(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of the sorted wanted values the first position in [begin, end) whose value is at least it, or end, and whether it is that value.
+
+        The sequence must rise strictly.
+        """
+        place, same = end.astype(np.int64), np.zeros(len(wanted), bool)
+        own = np.flatnonzero(begin < end)
+        if not len(own):
+            return place, same
+        # The last block of the range whose first value is at most the wanted one holds the successor or ends before it.
+        block = np.clip(np.searchsorted(self.select_samples(), wanted[own], side="right") - 1, begin[own] >> 9, (end[own] - 1) >> 9)
+        touched = np.unique(block)
+        for s in range(0, len(touched), BLOCKS):
+            some = touched[s : s + BLOCKS]
+            a, b = np.searchsorted(block, [some[0], some[-1] + 1])
+            values = self.decoded(some)
+            home = np.searchsorted(some, block[a:b])
+            k = np.clip(np.searchsorted(values, wanted[own[a:b]]), home << 9, (home + 1) << 9)
+            at = np.clip(block[a:b] * SAMPLE + k - (home << 9), begin[own[a:b]], end[own[a:b]])
+            k = at - block[a:b] * SAMPLE + (home << 9)
+            place[own[a:b]] = at
+            same[own[a:b]] = (at < end[own[a:b]]) & (k < len(values)) & (values[np.minimum(k, len(values) - 1)] == wanted[own[a:b]])
+        return place, same
+        # The last block of the range whose first value is at most the wanted one holds the successor or ends before it.
+        block = np.clip(np.searchsorted(self.select_samples(), wanted[own], side="right") - 1, begin[own] >> 9, (end[own] - 1) >> 9)
+        touched = np.unique(block)
+        for s in range(0, len(touched), BLOCKS):
+            some = touched[s : s + BLOCKS]
+            a, b = np.searchsorted(block, [some[0], some[-1] + 1])
+            values = self.decoded(some)
+            k = np.searchsorted(values, wanted[own[a:b]])
+            home = np.searchsorted(some, block[a:b])
+            k = np.clip(k, home << 9, np.minimum((home + 1) << 9, len(values)))
+            at = block[a:b] * SAMPLE + k - (home << 9)
+            at = np.clip(at, begin[own[a:b]], end[own[a:b]])
+            inside = (at < end[own[a:b]]) & (k < len(values))
+            place[own[a:b]] = at
+            same[own[a:b]] = inside & (values[np.minimum(k, len(values) - 1)] == wanted[own[a:b]])
+        return place, same
+
     def all(self) -> np.ndarray:
         return self.values(0, self.n)
-
-    def successor(self, value: int, start: int = 0, stop: int | None = None) -> int:
-        """The first position in [start, stop) whose value is at least `value`; stop if there is none."""
-        stop = self.n if stop is None else stop
-        while start < stop:
-            middle = (start + stop) // 2
-            if int(self.select(np.array([middle]))[0]) < value:
-                start = middle + 1
-            else:
-                stop = middle
-        return start

@@ -1,32 +1,40 @@
-"""LM scoring: a bigram model from all training texts, kept in an Elias-Fano trie.
-
-Three passes over whole texts: word counts, pair counts, scores. Each task counts
-what it has read before it sends anything, as packed sorted arrays, one for each
-range of keys; a range's task merges them and writes a trie file to the shared
-folder. Scoring sorts a task's distinct pairs and sweeps the files once, one
-range in memory at a time. Nothing that grows with the corpus is sent to the
-driver or broadcast: it only sees a row for each file.
+"""LM scoring: an n-gram model from all training texts, kept in Elias-Fano tries and asked by shard.
+
+Three passes over whole texts: word counts, gram counts, requests. Each task counts
+what it has read before it sends anything, as packed sorted columns, one blob for each
+shard. A gram's shard follows its last context word, so that the shard's task has all
+orders of it: it merges the grams of the highest order, derives the lower ones and writes a trie
+to the shared folder. To score, tasks send each token with its context and row to
+the shard, whose task opens its trie once, descends it for all of them and sends back one sum
+for each row. The contexts of very frequent words are spread over several shards by the word before, and the
+word's successors are counted on their own. Nothing that grows with the corpus is sent to
+the driver or broadcast: it sees a row for each file and the few very frequent words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import lmtrie
-from corvane.llm.common import as_batch, by_arrow, new_path, partitions, text_slices, tuned
-from corvane.llm.textnum import U, hashed_words
+from corvane.llm.common import as_batch, by_arrow, freed, new_path, partitions, returned, text_slices, transient, tuned
+from corvane.llm.textnum import U, hashed_words, mix
 
 #: The hash of the token that ends each text; words' hashes are mixed and never take it in practice.
 END = U(0x656E646F66646F63)
-#: Tokens that a task gathers before it counts or scores them together.
-GATHERED = 3_000_000
+#: Tokens that a task gathers before it counts or sends them together, and requests that a shard answers together.
+GATHERED, ANSWERED = 2_000_000, 3_000_000
+#: Words of the longest n-gram.
+ORDER = 3
 DISCOUNT = 0.75
+#: Shards for the contexts that end with a very frequent word, and the words that a file names as candidates.
+SPREAD, FREQUENT = 16, 64
 
 
 def held_out(id_column: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -34,16 +42,63 @@ def held_out(id_column: Column, folds: int = 7, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as differences and counts, both by byte planes, which compress well."""
-    planes = lambda x: np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
-    return planes(np.diff(keys, prepend=U(0))) + planes(counts)
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of equal length by byte planes, which compress well: the first, which must be sorted, as differences; only planes that hold something."""
+    out = [np.array([len(columns), len(columns[0])], "<u8").tobytes()]
+    for i, c in enumerate(columns):
+        c = np.ascontiguousarray(c, "<u8")
+        c = np.diff(c, prepend=U(0)) if i == 0 else c
+        wide = (int(c.max(initial=0)).bit_length() + 7) // 8
+        out += [bytes([wide]), np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()]
+    return b"".join(out)
+
+
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    n_columns, n = np.frombuffer(blob, "<u8", 2).tolist()
+    out, at = [], 16
+    for i in range(n_columns):
+        wide = blob[at]
+        whole = np.zeros((n, 8), np.uint8)
+        whole[:, :wide] = np.frombuffer(blob, np.uint8, wide * n, at + 1).reshape(wide, n).T
+        at += 1 + wide * n
+        c = whole.view("<u8").ravel()
+        out.append(np.cumsum(c, dtype=np.uint64) if i == 0 else c)
+    return out
 
 
-def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(blob, np.uint8).reshape(2, 8, -1)
-    whole = lambda x: np.ascontiguousarray(x.T).view("<u8").ravel()
-    return np.cumsum(whole(both[0]), dtype=np.uint64), whole(both[1])
+def _key(columns: list[np.ndarray]) -> tuple[np.ndarray | None, list[int], list[int]]:
+    """The columns as one number that sorts as they do, their least values and bits; None if 64 bits are too few."""
+    low = [int(c.min(initial=0)) if len(c) == 0 else int(c.min()) for c in columns]
+    bits = [(int(c.max()) - m).bit_length() if len(c) else 0 for c, m in zip(columns, low)]
+    if sum(bits) > 64:
+        return None, low, bits
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c, m, b in zip(columns, low, bits):
+        key = (key << U(b) if b < 64 else key) | (c - U(m))
+    return key, low, bits
+
+
+def _order(columns: list[np.ndarray]) -> np.ndarray:
+    """A sorting order by all columns."""
+    key, _, _ = _key(columns)
+    return np.argsort(key) if key is not None else np.lexsort(columns[::-1])
+
+
+def _sums(columns: list[np.ndarray], counts: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of the columns, sorted, and the sums of their counts (None: ones)."""
+    key, low, bits = _key(columns)
+    if key is None:
+        order = np.lexsort(columns[::-1])
+        columns, counts = [c[order] for c in columns], None if counts is None else counts[order]
+        at = np.flatnonzero(lmtrie.runs(columns))
+        n = np.diff(np.r_[at, len(order)]).astype(np.uint64) if counts is None else np.add.reduceat(counts, at)
+        return [c[at] for c in columns], n
+    key, n = summed(key, counts)
+    out = []
+    for m, b in zip(reversed(low), reversed(bits)):
+        out.append((key & U((1 << b) - 1)) + U(m))
+        key = key >> U(b) if b < 64 else np.zeros_like(key)
+    return out[::-1], n
 
 
 def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -79,39 +134,47 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.
         yield out()
 
 
-def _sent(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
-    """A row for each shard that has keys; shards rise with the keys."""
+def _by_shard(columns: list[np.ndarray], shard: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The rows of each shard, packed."""
     at = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(shard) else np.zeros(0, np.int64)
-    blobs = [packed(keys[a:b], counts[a:b]) for a, b in zip(at, np.r_[at[1:], len(keys)])]
-    return as_batch({"shard": pa.array(shard[at].astype(np.int32)), "blob": pa.array(blobs, pa.binary())})
+    for a, b in zip(at, np.r_[at[1:], len(shard)]):
+        yield int(shard[a]), packed([c[a:b] for c in columns])
 
 
-def _merged(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
-    """The shard and the sums of its blobs, merged a few at a time."""
-    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    blobs = table.column("blob")
-    pending: list[tuple[np.ndarray, np.ndarray]] = []
+def _merged(blobs: pa.ChunkedArray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The sums of blobs whose last column is a count, merged some at a time."""
+    rows: list[np.ndarray] = []
+    counts = np.zeros(0, np.uint64)
+    pending: list[list[np.ndarray]] = []
     size = 0
     for i, blob in enumerate(blobs):
         pending.append(unpacked(blob.as_py()))
         size += len(pending[-1][0])
-        if size > max(2_000_000, len(keys)) or i == len(blobs) - 1:
-            keys, counts = summed(np.concatenate([keys, *(k for k, _ in pending)]), np.concatenate([counts, *(c for _, c in pending)]))
+        if size > max(2_000_000, len(counts)) or i == len(blobs) - 1:
+            held = [*([[*rows, counts]] if rows else []), *pending]
+            *columns, n = (np.concatenate([h[k] for h in held]) for k in range(len(held[0])))
+            rows, counts = _sums(columns, n)
             pending, size = [], 0
-    return table.column("shard")[0].as_py(), keys, counts
+    return rows, counts
 
 
 @dataclass
 class Model:
     """Where the files are, and the totals: a row for each file, whatever the corpus."""
 
+    order: int
     word_bits: int
     word_files: list[str | None]
     word_base: np.ndarray
-    pair_files: list[str | None]
-    contexts_each: int
     words: int
     tokens: int
+    tries: dict[int, str] = field(default_factory=dict)
+    #: Very frequent words, sorted: shards 2**word_bits + SPREAD * their place and up hold their contexts.
+    frequent: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+
+    @property
+    def shards(self) -> int:
+        return 1 << self.word_bits
 
     def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts of sorted hashes."""
@@ -121,134 +184,229 @@ class Model:
         for s, path in enumerate(self.word_files):
             a, b = border[s], border[s + 1]
             if path and a < b:
-                level = lmtrie.WordLevel(lmtrie.opened(path))
+                level = lmtrie.vocabulary(path)
                 at = level.look(hashes[a:b])
-                ids[a:b] = np.where(at >= 0, at + self.word_base[s], -1)
-                counts[a:b] = np.where(at >= 0, level.counts[np.maximum(at, 0)], 0)
+                known = np.flatnonzero(at >= 0)
+                ids[a + known] = at[known] + self.word_base[s]
+                counts[a + known] = level.counts(at[known])
         return ids, counts
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.tokens + self.words + 1))
 
-    def pairs(self, contexts: np.ndarray, words: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        """log10 probabilities of pairs sorted by context and word; unknown contexts (-1) back off with weight 1."""
-        out = unigram.copy()
-        border = np.searchsorted(contexts, np.arange(len(self.pair_files) + 1) * self.contexts_each)
-        for s, path in enumerate(self.pair_files):
+    def unigram_of(self, ids: np.ndarray) -> np.ndarray:
+        """log10 unigram probabilities by id; an id beyond the words is an unknown one."""
+        distinct, inverse = np.unique(ids.astype(np.int64), return_inverse=True)
+        counts = np.zeros(len(distinct), np.int64)
+        border = np.searchsorted(distinct, self.word_base)
+        for s, path in enumerate(self.word_files):
             a, b = border[s], border[s + 1]
             if path and a < b:
-                out[a:b] = lmtrie.PairLevel(lmtrie.opened(path)).log10(contexts[a:b], words[a:b], unigram[a:b])
+                counts[a:b] = lmtrie.vocabulary(path).counts(distinct[a:b] - self.word_base[s])
+        return self.unigram(counts)[inverse]
+
+    def shard_of(self, last: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+        """The shard of contexts by their last word and, for a very frequent one, the word before."""
+        out = (last // U(-(-(self.words + 2) // self.shards))).astype(np.int64)
+        if len(self.frequent) and before is not None:
+            place = np.minimum(np.searchsorted(self.frequent, last), len(self.frequent) - 1)
+            often = np.flatnonzero(self.frequent[place] == last)
+            out[often] = self.shards + SPREAD * place[often] + (mix(before[often]) % U(SPREAD)).astype(np.int64)
         return out
 
-    def tokens_of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and counts of tokens in any order."""
+    def columns(self, hashes: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """(last context word, the ones before, next word) of each token as ids, counts of the tokens, and the ids' order among the distinct.
+
+        The number of words stands for a text's begin, the number after it for an unknown word.
+        """
         distinct, inverse = np.unique(hashes, return_inverse=True)
-        ids, counts = self.look(distinct)
-        return ids[inverse], counts[inverse]
+        known, n = self.look(distinct)
+        ids = np.where(known >= 0, known, self.words + 1).astype(np.uint64)[inverse]
+        place = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
+        context = []
+        for k in range(1, self.order):
+            c = np.full(len(ids), self.words, np.uint64)
+            c[k:] = ids[:-k]
+            c[place < k] = self.words
+            context.append(c)
+        return [*context, ids], n[inverse]
 
 
-def _contexts(ids: np.ndarray, first: np.ndarray, begin: int) -> np.ndarray:
-    out = np.empty(len(ids), np.int64)
-    out[1:] = ids[:-1]
-    out[first[:-1]] = begin
-    return out
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, folder: str | None = None, discount: float = DISCOUNT) -> Model:
-    """Counts all of docs and writes the trie. A null text is an empty one: its only token is the end."""
-    spark = docs.sparkSession
-    tuned(spark)
-    folder = folder or new_path(spark, "trie")
-    bits = max(0, (partitions(spark) - 1).bit_length())
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _vocabulary(rows: DataFrame, order: int, folder: str) -> Model:
+    bits = max(0, (partitions(rows.sparkSession) - 1).bit_length())
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, hashes, _ in _gathered(batches):
             keys, counts = summed(hashes)
-            yield _sent(keys, counts, (keys >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64))
+            blobs = list(_by_shard([keys, counts], (keys >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)))
+            yield as_batch({"shard": pa.array([s for s, _ in blobs], pa.int32()), "blob": pa.array([b for _, b in blobs], pa.binary())})
+
+    def write(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        (hashes,), counts = _merged(table.column("blob"))
+        lmtrie.put(path := f"{folder}/words-{shard:06d}", lmtrie.word_level(hashes, counts))
+        often = np.argsort(counts, kind="stable")[::-1][:FREQUENT]
+        return pa.table({"shard": pa.array([shard], pa.int32()), "path": [path], "n": pa.array([len(hashes)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64()), "often": pa.array([often.tolist()], pa.list_(pa.int64())), "counts": pa.array([counts[often].tolist()], pa.list_(pa.int64()))})
+
+    made = "shard int, path string, n long, total long, often array<long>, counts array<long>"
+    files = {r["shard"]: r for r in by_arrow(rows, count, "shard int, blob binary").groupBy("shard").applyInArrow(write, made).collect()}
+    n_files = 1 << bits
+    each = [files[s]["n"] if s in files else 0 for s in range(n_files)]
+    base, tokens = np.r_[0, np.cumsum(each)], sum(r["total"] for r in files.values())
+    # At most as many words as shards have more than a shard's share of all tokens.
+    often = sorted(int(base[s]) + i for s, r in files.items() for i, n in zip(r["often"], r["counts"]) if n * n_files > tokens)
+    return Model(order, bits, [files[s]["path"] if s in files else None for s in range(n_files)], base, sum(each), tokens, frequent=np.array(often if order > 2 and n_files > 1 else [], np.uint64))
 
-    def write_words(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _merged(table)
-        lmtrie.put(path := f"{folder}/words-{shard:06d}", lmtrie.word_level(keys, counts))
-        return pa.table({"shard": pa.array([shard], pa.int32()), "path": pa.array([path]), "n": pa.array([len(keys)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64())})
 
-    made = "shard int, path string, n long, total long"
-    files = {r["shard"]: r for r in by_arrow(rows, count_words, "shard int, blob binary").groupBy("shard").applyInArrow(write_words, made).collect()}
-    each = [files[s]["n"] if s in files else 0 for s in range(1 << bits)]
-    n_words, n_tokens = sum(each), sum(r["total"] for r in files.values())
-    n_files = 1 << bits
-    model = Model(bits, [files[s]["path"] if s in files else None for s in range(n_files)], np.r_[0, np.cumsum(each)], [None] * n_files, -(-(n_words + 1) // n_files), n_words, n_tokens)
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, order: int = ORDER, folder: str | None = None, discount: float = DISCOUNT) -> Model:
+    """Counts all of docs and writes vocabulary and tries of grams of up to `order` words, 2 or more.
+
+    A null text is an empty one: its only token is the end. Without a folder the files lie in the shared one until the driver ends.
+    """
+    spark = docs.sparkSession
+    tuned(spark)
+    path = folder or new_path(spark, "trie")
+    rows = _rows(docs, id_col, text_col)
+    model = _vocabulary(rows, order, path)
     held = spark.sparkContext.broadcast(model)
-    universe = n_words + 1
+    universe, spread = model.words + 2, model.shards + SPREAD * len(model.frequent)
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = held.value
         for _, hashes, first in _gathered(batches):
-            ids, _ = held.value.tokens_of(hashes)
-            keys, counts = summed(_contexts(ids, first, n_words).astype(np.uint64) * U(universe) + ids.astype(np.uint64))
-            yield _sent(keys, counts, (keys // U(universe)).astype(np.int64) // model.contexts_each)
-
-    def write_pairs(table: pa.Table) -> pa.Table:
-        shard, keys, counts = _merged(table)
-        contexts, words = (keys // U(universe)).astype(np.int64), (keys % U(universe)).astype(np.int64)
-        low = shard * model.contexts_each
-        content = lmtrie.pair_level(contexts, words, counts.astype(np.float64), low, min(low + model.contexts_each, universe), universe, _unigram_by_id(held.value, words), discount)
-        lmtrie.put(path := f"{folder}/pairs-{shard:06d}", content)
-        return pa.table({"shard": pa.array([shard], pa.int32()), "path": pa.array([path]), "n": pa.array([len(keys)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64())})
-
-    for r in by_arrow(rows, count_pairs, "shard int, blob binary").groupBy("shard").applyInArrow(write_pairs, made).collect():
-        model.pair_files[r["shard"]] = r["path"]
+            columns, _ = m.columns(hashes, first)
+            grams, n = _sums(columns, None)
+            del columns, hashes
+            shard = m.shard_of(grams[0], grams[1] if order > 2 else None)
+            by = np.argsort(shard, kind="stable")
+            blobs = list(_by_shard([*(g[by] for g in grams), n[by]], shard[by]))
+            # The successors of very frequent words, whatever stands before them.
+            some = np.flatnonzero(shard >= m.shards)
+            if len(some):
+                pairs, n = _sums([grams[0][some], grams[-1][some]], n[some])
+                blobs += _by_shard([*pairs, n], spread + np.searchsorted(m.frequent, pairs[0]))
+            yield as_batch({"shard": pa.array([s for s, _ in blobs], pa.int32()), "blob": pa.array([b for _, b in blobs], pa.binary())})
+
+    def write(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        grams, n = _merged(table.column("blob"))
+        if shard < model.shards:
+            kind, content = "tries", lmtrie.context_trie(grams, n, universe, held.value.unigram_of, discount)
+        else:
+            kind, content = ("merged" if shard < spread else "successors"), packed([*grams, n])
+        lmtrie.put(f"{path}/{kind}-{shard:06d}", content)
+        returned()
+        return pa.table({"shard": pa.array([shard], pa.int32())})
+
+    done = {r["shard"] for r in by_arrow(rows, count, "shard int, blob binary").groupBy("shard").applyInArrow(write, "shard int").collect()}
+    freed(spark)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, merged in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                place = (shard - model.shards) // SPREAD
+                *grams, n = unpacked(bytes(lmtrie.opened(f"{path}/merged-{shard:06d}"))) if merged else [np.zeros(0, np.uint64)] * (order + 1)
+                _, after, m = unpacked(bytes(lmtrie.opened(f"{path}/successors-{spread + place:06d}")))
+                lmtrie.put(f"{path}/tries-{shard:06d}", lmtrie.context_trie(grams, n, universe, held.value.unigram_of, discount, (int(model.frequent[place]), after, m)))
+            yield batch
+
+    # Every shard of a frequent word that has successors gets a trie, also one without grams of its own.
+    parts = [s for s in range(model.shards, spread) if spread + (s - model.shards) // SPREAD in done]
+    if parts:  # a row for each
+        todo = spark.createDataFrame([(s, s in done) for s in parts], "shard int, merged boolean").repartition(min(len(parts), partitions(spark)), "shard")
+        by_arrow(todo, finish, "shard int, merged boolean").count()
+    model.tries = {s: f"{path}/tries-{s:06d}" for s in [*(s for s in done if s < model.shards), *parts]}
+    if folder is None:
+        transient(spark, path)
     return model
 
 
-def _unigram_by_id(model: Model, words: np.ndarray) -> np.ndarray:
-    """log10 unigram probability of words by id, a file at a time."""
-    counts = np.zeros(len(words), np.int64)
-    order = np.argsort(words, kind="stable")
-    border = np.searchsorted(words[order], model.word_base)
-    for s, path in enumerate(model.word_files):
-        own = order[border[s] : border[s + 1]]
-        if path and len(own):
-            counts[own] = lmtrie.WordLevel(lmtrie.opened(path)).counts[words[own] - model.word_base[s]]
-    return model.unigram(counts)
-
-
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row; null texts count as empty, rows repeat as they do in docs."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    """(doc_id, n_tokens, n_known, base_score, score) of every row; null texts count as empty, rows repeat as they do in docs.
 
-    def per_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Rows are told apart by the partition and place where they are read.
+    """
+    spark = docs.sparkSession
+    tuned(spark)
+    held = spark.sparkContext.broadcast(model)
+    unknown, deal = U(model.words + 1), partitions(spark)
+    fields = "row long, doc_id long, n_tokens long, n_known long, base_score double, part double"
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
+        row = TaskContext.get().partitionId() << 40
         for doc_ids, hashes, first in _gathered(batches):
-            ids, counts = m.tokens_of(hashes)
+            columns, counts = m.columns(hashes, first)
             base = m.unigram(counts)
-            total: Callable = lambda x: np.add.reduceat(x, first[:-1], dtype=None if x.dtype == np.float64 else np.int64)
-            n_known = total((counts > 0).view(np.int8))
-            del hashes, counts
-            key = _contexts(ids, first, m.words)
-            key *= m.words + 2
-            key += ids  # -1 sorts below every word of its context
-            del ids
-            order = np.argsort(key)
-            key = key[order] + 1
-            c, w = np.divmod(key, m.words + 2)
-            w -= 1
-            del key
-            new = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
-            start = int(np.searchsorted(c[new], 0))  # unknown contexts come first
-            each = base[order[new]]
-            each[start:] = m.pairs(c[new[start:]], w[new[start:]], each[start:])
-            value = np.empty(len(order))
-            value[order] = np.repeat(each, np.diff(np.r_[new, len(order)]))
-            yield as_batch({"doc_id": doc_ids, "n_tokens": pa.array(np.diff(first)), "n_known": pa.array(n_known), "base_score": pa.array(total(base)), "score": pa.array(total(value))})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return by_arrow(rows, per_row, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+            total = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731, B023
+            n = len(doc_ids)
+            lost = columns[0] == unknown  # nothing is known after these
+            yield as_batch({
+                "shard": pa.array(-1 - np.arange(row, row + n) % deal, pa.int32()),
+                "row": pa.array(np.arange(row, row + n)),
+                "blob": pa.nulls(n, pa.binary()),
+                "doc_id": doc_ids,
+                "n_tokens": pa.array(np.diff(first)),
+                "n_known": pa.array(total((counts > 0).astype(np.int64))),
+                "base_score": pa.array(total(base)),
+                "part": pa.array(total(np.where(lost, base, 0))),
+            })
+            own = np.repeat(np.arange(n), np.diff(first)).astype(np.uint64)[~lost]
+            columns = [c[~lost] for c in columns]
+            del hashes, counts, base, lost
+            by = _order(columns)
+            columns, own = [c[by] for c in columns], own[by]
+            shard = m.shard_of(columns[0], columns[1] if m.order > 2 else None)
+            by = np.argsort(shard, kind="stable")
+            blobs = list(_by_shard([*(c[by] for c in columns), own[by]], shard[by]))
+            k, none = len(blobs), lambda t: pa.nulls(len(blobs), t)  # noqa: B023
+            yield as_batch({"shard": pa.array([s for s, _ in blobs], pa.int32()), "row": pa.array([row] * k, pa.int64()), "blob": pa.array([b for _, b in blobs], pa.binary()), "doc_id": none(pa.int64()), "n_tokens": none(pa.int64()), "n_known": none(pa.int64()), "base_score": none(pa.float64()), "part": none(pa.float64())})
+            row += n
+
+    def answer(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        if shard < 0:
+            return table.drop_columns(["shard", "blob"])
+        m: Model = held.value
+        trie = lmtrie.ContextTrie(lmtrie.opened(m.tries[shard])) if shard in m.tries else None
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        pending: list[list[np.ndarray]] = []
+        size, blobs = 0, table.column("blob")
+        for i, (base, blob) in enumerate(zip(table.column("row").to_pylist(), blobs)):
+            *columns, own = unpacked(blob.as_py())
+            pending.append([*columns, own + U(base)])
+            size += len(own)
+            if size >= ANSWERED or i == len(blobs) - 1:
+                *columns, rows = (np.concatenate([p[k] for p in pending]) for k in range(len(pending[0])))
+                pending, size = [], 0
+                by = _order(columns)
+                *context, word = (c[by].astype(np.int64) for c in columns)
+                value, done = trie.log10(context, word) if trie else (np.zeros(len(word)), np.zeros(len(word), bool))
+                value[~done] += m.unigram_of(word[~done])
+                distinct, inverse = np.unique(rows[by], return_inverse=True)
+                found.append((distinct, np.bincount(inverse, value, minlength=len(distinct))))
+        rows, part = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        returned()
+        none = lambda t: pa.nulls(len(rows), t)
+        return pa.table({"row": pa.array(rows.astype(np.int64)), "doc_id": none(pa.int64()), "n_tokens": none(pa.int64()), "n_known": none(pa.int64()), "base_score": none(pa.float64()), "part": pa.array(part)})
+
+    asked = by_arrow(_rows(docs, id_col, text_col), ask, "shard int, " + fields.replace("row long,", "row long, blob binary,"))
+    parts = asked.groupBy("shard").applyInArrow(answer, fields)
+    # A row has at most one part of each shard and gather; they are added in order, so that every run gives the same sum.
+    added = F.aggregate(F.array_sort(F.collect_list("part")), F.lit(0.0), lambda a, x: a + x)
+    return parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("n_known"), F.max("base_score").alias("base_score"), added.alias("score")).drop("row")
 
 
 def train_and_score(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): learned from what isn't held out, for all of docs(doc_id, text).
 
-    Without training rows every token is unknown and the vocabulary empty.
+    Without training rows every token is unknown and the vocabulary empty. Null texts are empty ones, whose only token is the
+    end; rows without an id are learned from; rows that repeat are counted and scored as often; very long texts are read whole;
+    an empty table gives no rows; other columns are not read.
     """
     model = train(docs.where(~held_out(F.col("doc_id"))), **options)
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

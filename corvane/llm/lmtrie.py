@@ -1,26 +1,28 @@
-"""Files of an n-gram trie of two levels, Elias-Fano coded and read through memory maps.
-
-Words have ids in the order of their hashes. A file of the first level holds a
-range of hashes: their Elias-Fano sequence and the words' counts. A file of the
-second level holds a range of contexts (word ids; the number of words stands
-for a text's begin): monotone pointers to each context's successors, the
-successors relative to their context (context * universe + successor, so that
-the sequence is monotone), an 8-bit code of each smoothed log10 probability and
-of each context's back-off weight, and the two code books.
+"""Files of an n-gram trie, Elias-Fano coded and read through memory maps.
+
+Words have ids in the order of their hashes. A vocabulary file holds a range of hashes: their Elias-Fano
+sequence, and the running totals of their counts as another. A trie file holds the contexts of one
+shard, last word first: a node of level k is a context of k words. Level by level it has
+monotone pointers from each parent to its children; the children's words relative to their parent (parent *
+universe + word, so that the sequence rises); monotone pointers from each node to its successors; the
+successors relative to their node; and 16-bit codes of the smoothed log10 probability of each
+successor and of each node's back-off weight. A query descends from the last word by
+successor search between two pointers at every level.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 
-from corvane.llm.eliasfano import SAMPLE, EliasFano, encoded
+from corvane.llm.eliasfano import EliasFano, encoded
 
-#: Blocks of SAMPLE values that are decoded together.
-BLOCKS = 2048
+#: Codes a unit of log10; a code is off by at most half of one part, and reaches down to 10 ** -16.
+PARTS = 4096
 
 
 def store_of(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -47,35 +49,14 @@ def opened(uri: str):  # noqa: ANN201
 
 
 def find(sequence: EliasFano, wanted: np.ndarray) -> np.ndarray:
-    """The position of each of the sorted wanted values, or -1: successor search over the blocks that can hold them."""
-    out = np.full(len(wanted), -1, np.int64)
-    if not len(sequence) or not len(wanted):
-        return out
-    first = sequence.select_samples()
-    block = np.searchsorted(first, wanted, side="right") - 1
-    at = np.flatnonzero(block >= 0)
-    while len(at):
-        low = int(block[at[0]])
-        n = int(np.searchsorted(block[at], low + BLOCKS))
-        own, at = at[:n], at[n:]
-        start, stop = low * SAMPLE, min((int(block[own[-1]]) + 1) * SAMPLE, len(sequence))
-        values = sequence.values(start, stop)
-        k = np.minimum(np.searchsorted(values, wanted[own]), len(values) - 1)
-        out[own] = np.where(values[k] == wanted[own], k + start, -1)
-    return out
-
-
-def codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit codes of the values and their book: 256 equal steps from the least to the greatest, each read as the mean of its values.
-
-    No value is off by more than the width of a step.
-    """
-    if not len(values):
-        return np.zeros(0, np.uint8), np.zeros(256)
-    low, high = float(values.min()), float(values.max())
-    code = np.minimum((values - low) / max(high - low, 1e-12) * 256, 255).astype(np.int64)
-    n = np.bincount(code, minlength=256)
-    return code.astype(np.uint8), np.bincount(code, values, minlength=256) / np.maximum(n, 1)
+    """The position of each of the sorted wanted values, or -1."""
+    place, same = sequence.successors(wanted, np.zeros(len(wanted), np.int64), np.full(len(wanted), len(sequence), np.int64))
+    return np.where(same, place, -1)
+
+
+def codes(log10: np.ndarray) -> np.ndarray:
+    """16-bit codes of values from -16 to 0."""
+    return np.clip(np.rint(-log10 * PARTS), 0, 65535).astype("<u2")
 
 
 def _joined(parts: list[bytes]) -> bytes:
@@ -95,7 +76,8 @@ def _table(buffer) -> list[int]:  # noqa: ANN001
 
 
 def word_level(hashes: np.ndarray, counts: np.ndarray) -> bytes:
-    return _joined([encoded(hashes, (1 << 64) - 1), counts.astype("<u8").tobytes()])
+    totals = np.r_[0, np.cumsum(counts.astype(np.int64))]
+    return _joined([encoded(hashes, (1 << 64) - 1), encoded(totals, int(totals[-1]))])
 
 
 class WordLevel:
@@ -103,53 +85,112 @@ class WordLevel:
 
     def __init__(self, buffer):  # noqa: ANN001
         at = _table(buffer)
-        self.hashes = EliasFano(buffer, at[0])
-        self.counts = np.frombuffer(buffer, "<u8", len(self.hashes), at[1])
+        self.hashes, self.totals = EliasFano(buffer, at[0]), EliasFano(buffer, at[1])
 
     def look(self, hashes: np.ndarray) -> np.ndarray:
         return find(self.hashes, hashes)
 
+    def counts(self, ids: np.ndarray) -> np.ndarray:
+        return (self.totals.select(ids + 1) - self.totals.select(ids)).astype(np.int64)
+
+
+@lru_cache(4096)
+def vocabulary(path: str) -> WordLevel:
+    """A vocabulary file, opened once in a worker's life."""
+    return WordLevel(opened(path))
 
-def pair_level(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, low: int, high: int, universe: int, unigram: np.ndarray, discount: float) -> bytes:
-    """The file for contexts low to high - 1. Pairs come sorted; unigram has the log10 probability of each pair's word.
 
-    Absolute discounting: p(w|c) = max(n(c,w) - discount, 0) / n(c) + weight(c) p(w), weight(c) = discount * kinds(c) / n(c).
+def runs(columns: list[np.ndarray]) -> np.ndarray:
+    """Where the rows of sorted columns differ from the row before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def context_trie(grams: list[np.ndarray], counts: np.ndarray, universe: int, unigram, discount: float, whole: tuple[int, np.ndarray, np.ndarray] | None = None) -> bytes:  # noqa: ANN001
+    """The file of sorted distinct grams (last context word, the one before, ..., next word) and their counts.
+
+    Absolute discounting, each order over the next lower one: p(w|c) = max(n(c,w) - discount, 0) / n(c) + weight(c) p(w|c without its first
+    word), weight(c) = discount * kinds(c) / n(c). unigram gives log10 probabilities of words. whole has one last word, all its
+    successors and their counts, where the grams are only a part, or none, of those of that last word.
     """
-    own = contexts - low
-    kinds = np.bincount(own, minlength=high - low)
-    total = np.bincount(own, counts, minlength=high - low)
-    weight = np.where(kinds > 0, discount * kinds / np.maximum(total, 1), 1)
-    smoothed = np.log10(np.maximum(counts - discount, 0) / total[own] + weight[own] * 10**unigram) if len(own) else np.zeros(0)
-    pointers = np.r_[0, np.cumsum(kinds)]
-    relative = own.astype(np.uint64) * np.uint64(universe) + words.astype(np.uint64)
-    pair_code, pair_book = codes(smoothed)
-    weight_code, weight_book = codes(np.log10(weight))
-    head = np.array([low, high, universe], "<u8").tobytes()
-    return _joined([head, encoded(pointers, len(own)), encoded(relative, (high - low) * universe), pair_code.tobytes(), pair_book.tobytes(), weight_code.tobytes(), weight_book.tobytes()])
-
-
-class PairLevel:
-    """Smoothed log10 probabilities of a range of contexts."""
+    *context, word = (g.astype(np.int64) for g in grams)
+    parts = [np.array([len(context), universe], "<u8").tobytes()]
+    below: tuple[np.ndarray, np.ndarray] | None = None
+    node = np.zeros(len(word), np.int64)
+    n_parents = 1
+    for k in range(1, len(context) + 1):
+        new = runs(context[:k])
+        parent, node = node, np.cumsum(new) - 1
+        n_nodes = int(new.sum())
+        key, n = node * universe + word, counts.astype(np.int64)
+        order = np.argsort(key, kind="stable")
+        at = np.flatnonzero(runs([key[order]])) if len(key) else np.zeros(0, np.int64)
+        key, n = key[order][at], np.add.reduceat(n[order], at) if len(at) else n
+        upper = parent[order][at]
+        children, of = context[k - 1][new], parent[new]
+        if k == 1 and whole is not None:
+            children, of, n_nodes = np.array([whole[0]], np.int64), np.zeros(1, np.int64), 1
+            key, n, upper = whole[1].astype(np.int64), whole[2].astype(np.int64), np.zeros(len(whole[1]), np.int64)
+        own, after = key // universe, key % universe
+        total, kinds = np.bincount(own, n, minlength=n_nodes), np.bincount(own, minlength=n_nodes)
+        weight = discount * kinds / np.maximum(total, 1)
+        lower = 10 ** unigram(after) if below is None else below[1][np.searchsorted(below[0], upper * universe + after)]
+        value = np.maximum(n - discount, 0) / total[own] + weight[own] * lower if len(own) else np.zeros(0)
+        parts += [
+            encoded(np.r_[0, np.cumsum(np.bincount(of, minlength=n_parents))], n_nodes),
+            encoded(of * universe + children, max(n_parents, 1) * universe),
+            encoded(np.r_[0, np.cumsum(kinds)], len(key)),
+            encoded(key, max(n_nodes, 1) * universe),
+            codes(np.log10(np.maximum(value, 1e-300))).tobytes(),
+            codes(np.log10(np.maximum(weight, 1e-300))).tobytes(),
+        ]
+        below, n_parents = (key, value), n_nodes
+    return _joined(parts)
+
+
+class ContextTrie:
+    """Smoothed log10 probabilities after the contexts of a shard."""
 
     def __init__(self, buffer):  # noqa: ANN001
         at = _table(buffer)
-        self.low, self.high, self.universe = np.frombuffer(buffer, "<u8", 3, at[0]).tolist()
-        self.pointers, self.relative = EliasFano(buffer, at[1]), EliasFano(buffer, at[2])
-        self.pair_code = np.frombuffer(buffer, np.uint8, len(self.relative), at[3])
-        self.pair_book = np.frombuffer(buffer, "<f8", 256, at[4])
-        self.weight_code = np.frombuffer(buffer, np.uint8, self.high - self.low, at[5])
-        self.weight_book = np.frombuffer(buffer, "<f8", 256, at[6])
-
-    def log10(self, contexts: np.ndarray, words: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        """log10 p(word | context) for pairs sorted by context and word; words of -1 are unknown."""
-        own = contexts - self.low
-        at = np.full(len(own), -1, np.int64)
-        known = np.flatnonzero(words >= 0)
-        at[known] = find(self.relative, own[known].astype(np.uint64) * np.uint64(self.universe) + words[known].astype(np.uint64))
-        backed_off = self.weight_book[self.weight_code[own]] + unigram
-        return np.where(at >= 0, self.pair_book[self.pair_code[np.maximum(at, 0)]] if len(self.pair_code) else backed_off, backed_off)
-
-    def successors(self, context: int) -> np.ndarray:
-        """The words seen after a context, by its two pointers."""
-        a, b = self.pointers.select(np.array([context - self.low, context - self.low + 1])).astype(np.int64).tolist()
-        return (self.relative.values(a, b) - np.uint64((context - self.low) * self.universe)).astype(np.int64)
+        self.depth, self.universe = np.frombuffer(buffer, "<u8", 2, at[0]).tolist()
+        self.levels = []
+        for k in range(self.depth):
+            child_pointers, children, pointers, successors = (EliasFano(buffer, at[1 + 6 * k + j]) for j in range(4))
+            self.levels.append((child_pointers, children, pointers, successors, np.frombuffer(buffer, "<u2", len(successors), at[5 + 6 * k]), np.frombuffer(buffer, "<u2", len(children), at[6 + 6 * k])))
+
+    def nodes(self, context: list[np.ndarray]) -> list[np.ndarray]:
+        """For each level the node of each row's context, or -1; rows come sorted by their contexts."""
+        out = []
+        node = np.zeros(len(context[0]), np.int64)
+        for k, (pointers, children, *_) in enumerate(self.levels):
+            new = runs(context[: k + 1])
+            heads = np.flatnonzero(new & (node >= 0))
+            parent = node[heads]
+            found = np.full(len(node), -1, np.int64)
+            place, same = children.successors((parent * self.universe + context[k][heads]).astype(np.uint64), pointers.select(parent).astype(np.int64), pointers.select(parent + 1).astype(np.int64))
+            found[heads] = np.where(same, place, -1)
+            head_of = np.flatnonzero(new)[np.cumsum(new) - 1]
+            node = found[head_of]
+            out.append(node)
+        return out
+
+    def log10(self, context: list[np.ndarray], word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value, whether it is all) for rows sorted by context: the probability at the longest context that has the word as a successor, times the weights
+        of the longer ones; where none has it, the product of the weights alone."""
+        value, done = np.zeros(len(word)), np.zeros(len(word), bool)
+        for (_, _, pointers, successors, code, weight), node in zip(reversed(self.levels), reversed(self.nodes(context))):
+            rows = np.flatnonzero((node >= 0) & ~done)
+            wanted = (node[rows] * self.universe + word[rows]).astype(np.uint64)
+            order = np.argsort(wanted, kind="stable")
+            rows, wanted = rows[order], wanted[order]
+            own = node[rows]
+            place, same = successors.successors(wanted, pointers.select(own).astype(np.int64), pointers.select(own + 1).astype(np.int64))
+            hit = rows[same]
+            value[hit] -= code[place[same]] / PARTS
+            done[hit] = True
+            value[rows[~same]] -= weight[own[~same]] / PARTS
+        return value, done

@@ -573,34 +573,85 @@ def test_elias_fano(n, top):
         wanted = np.sort(np.r_[v[at], r.integers(0, top, 200, dtype=np.uint64, endpoint=True)])
         found = lmtrie.find(e, wanted)
         assert ((found >= 0) == np.isin(wanted, v)).all() and (v[found[found >= 0]] == wanted[found >= 0]).all()
-        assert all(e.successor(int(w)) == np.searchsorted(v, w) for w in wanted[:20])
-
-
-def test_lm_scores(docs, empty):
-    rows = {r["doc_id"]: [*WORD.findall(lowered(r["text"])), None] for r in docs.collect()}
-    learned = {i: w for i, w in rows.items() if crc32(str(i).encode()) % 7 != 2}
-    uni = Counter(w for own in learned.values() for w in own)
-    pairs = Counter(p for own in learned.values() for p in zip(["<s>", *own[:-1]], own))
-    total, kinds = Counter(), Counter()
-    for (a, _), n in pairs.items():
-        total[a] += n
-        kinds[a] += 1
+        strict = np.unique(v)
+        e = eliasfano.EliasFano(eliasfano.encoded(strict, top))
+        for low, high in ((0, len(strict)), np.sort(r.integers(0, len(strict) + 1, 2))):
+            place, same = e.successors(wanted, np.full(len(wanted), low), np.full(len(wanted), high))
+            want = np.clip(np.searchsorted(strict, wanted), low, high)
+            assert (place == want).all() and (same == [k < high and strict[k] == w for k, w in zip(want, wanted)]).all()
+
+
+def _plain_model(learned, order):
+    """Interpolated absolute discounting, by dictionaries."""
+    uni = Counter(w for own in learned for w in own)
     n_all, v = sum(uni.values()), len(uni)
-    p1 = lambda w: (uni[w] + 1) / (n_all + v + 1)
-
-    def p2(a, w):
-        if not total[a]:
-            return p1(w)
-        weight = 0.75 * kinds[a] / total[a]
-        return max(pairs[a, w] - 0.75, 0) / total[a] + weight * p1(w)
-
-    for r in lm.train_and_score(docs).collect():
-        own = rows[r["doc_id"]]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(own), sum(uni[w] > 0 for w in own), n_all, r["doc_id"] not in learned)
-        assert abs(r["base_score"] - sum(log10(p1(w)) for w in own)) < 1e-6 * len(own)
-        exact = sum(log10(p2(a, w)) for a, w in zip(["<s>", *own[:-1]], own))
-        assert abs(r["score"] - exact) < 0.05 * len(own) + 0.05
+    counts, total, kinds = Counter(), Counter(), Counter()
+    for own in learned:
+        for i, w in enumerate(own):
+            before = ["<s>"] * order + own[:i]
+            for k in range(1, order):
+                counts[tuple(before[-k:]), w] += 1
+    for (c, _), n in counts.items():
+        total[c] += n
+        kinds[c] += 1
+
+    def p(context, w):
+        if not context:
+            return (uni[w] + 1) / (n_all + v + 1)
+        lower = p(context[1:], w)
+        if not total[context]:
+            return lower
+        weight = 0.75 * kinds[context] / total[context]
+        n = counts[context, w]
+        # Where a gram wasn't seen, weights multiply; where it was, lower orders are added.
+        return max(n - 0.75, 0) / total[context] + weight * lower
+
+    return uni, n_all, v, p
+
+
+@pytest.mark.parametrize(("order", "share"), [(3, None), (2, None), (4, None), (3, 0.0)])
+def test_lm_scores(docs, spark, empty, monkeypatch, order, share):
+    monkeypatch.setattr(lm, "GATHERED", 5000)
+    if share is not None:  # every word is a very frequent one
+        monkeypatch.setattr(lm, "FREQUENT", 10**6)
+        counted = lm._vocabulary
+
+        def all_frequent(rows, order, folder):
+            m = counted(rows, order, folder)
+            m.frequent = np.arange(0, m.words, 3, dtype=np.uint64)
+            return m
+
+        monkeypatch.setattr(lm, "_vocabulary", all_frequent)
+    odd = spark.createDataFrame([(None, "a b c a b c", 0), (None, None, 0), (5, "again again again again", 0), (5, "again again again again", 0)], "doc_id long, text string, token int")
+    table = docs.select("doc_id", "text", "token").unionByName(odd.withColumn("token", F.col("token").cast("string")))
+    rows = [(r["doc_id"], [*WORD.findall(lowered(r["text"])), None]) for r in table.collect()]
+    held = lambda i: i is not None and crc32(str(i).encode()) % 7 == 2
+    uni, n_all, v, p = _plain_model([w for i, w in rows if not held(i)], order)
+    want = []
+    for i, own in rows:
+        padded = ["<s>"] * (order - 1) + own
+        exact = sum(log10(p(tuple(padded[k : k + order - 1]), w)) for k, w in enumerate(own))
+        want.append((i, held(i), len(own), sum(uni[w] > 0 for w in own), n_all, sum(log10((uni[w] + 1) / (n_all + v + 1)) for w in own), exact))
+    key = lambda r: (str(r[0]), r[2], r[5])
+    got = [tuple(r) for r in lm.train_and_score(table, order=order).collect()]
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:5] == w[:5] and abs(g[5] - w[5]) < 1e-6 * g[2]
+        assert abs(g[6] - w[6]) < 0.002 * g[2]
     assert lm.train_and_score(empty).count() == 0
+    assert lm.train_and_score(docs.where("doc_id < 0")).count() == 0
+
+
+def test_packed_columns():
+    r = np.random.default_rng(2)
+    for n in (0, 1, 1000):
+        columns = [np.sort(r.integers(0, 1 << 63, n, dtype=np.uint64)), r.integers(0, 300, n, dtype=np.uint64), np.zeros(n, np.uint64)]
+        assert all((a == b).all() for a, b in zip(lm.unpacked(lm.packed(columns)), columns))
+    wide = [r.integers(0, 1 << 40, 500, dtype=np.uint64) for _ in range(3)]
+    for columns in (wide, [c % np.uint64(4) for c in wide]):
+        rows, n = lm._sums(columns, None)
+        want = Counter(zip(*(c.tolist() for c in columns)))
+        assert dict(zip(zip(*(c.tolist() for c in rows)), n.tolist())) == want
 
 
 def test_token_files(docs, spark, empty, tmp_path):
