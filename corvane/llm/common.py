@@ -12,10 +12,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch sent to Python. Documents may be long, so batches are short.
 BATCH_ROWS = 1000
+#: Rows from which a join key counts as hot, how many keys may, and tasks that share the rows of one.
+HOT_ROWS, HOT_KEYS, HOT_SALTS = 1024, 1000, 64
 #: Text bytes handled at once by the vectorised text code.
 SLICE_BYTES = 1 << 20
 
@@ -68,6 +71,19 @@ def dropped(df: DataFrame) -> None:
     store.cancelDeleteOnExit(held)
 
 
+def spread_join(rows: DataFrame, other: DataFrame, keys: list[str], weights: DataFrame, how: str = "left") -> DataFrame:
+    """rows joined with other, whose keys don't repeat, without hot tasks: weights(keys, n) tells how many rows a key has.
+
+    The rows of keys with many, at most HOT_KEYS of them by number, are spread over HOT_SALTS tasks, and
+    other's row is repeated for each. Which keys are hot changes where rows go, never the result.
+    """
+    hot = weights.where(F.col("n") > HOT_ROWS).orderBy(F.desc("n"), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot"))
+    salted = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_SALTS))).otherwise(0).cast("int")).drop("_hot")
+    each = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = other.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(each)).drop("_hot")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def freed(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of plans that nothing refers to; it looks for them when the driver collects garbage."""
     gc.collect()

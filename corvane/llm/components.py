@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import dropped, written
+from corvane.llm.common import dropped, spread_join, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,8 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "component")
         best = labels.select("node", "component").union(near).groupBy("node").agg(F.min("component").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("component").alias("lower"))
+        large = labels.groupBy(F.col("component").alias("low")).agg(F.count("*").alias("n"))  # most of a large component has its label already
         new = written(
-            best.join(jump, "low", "left").join(labels.withColumnRenamed("component", "old"), "node").select("node", F.least("low", F.coalesce("lower", "low")).alias("component"), "old"),
+            spread_join(best, jump, ["low"], large).join(labels.withColumnRenamed("component", "old"), "node").select("node", F.least("low", F.coalesce("lower", "low")).alias("component"), "old"),
             "labels",
         )
         changed = new.where("component <> old").limit(1).count()

@@ -28,14 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import sigtree
-from corvane.llm.common import as_batch, by_arrow, dropped, freed, text_slices, written
+from corvane.llm.common import as_batch, by_arrow, dropped, freed, spread_join, text_slices, written
 from corvane.llm.components import components
 from corvane.llm.textnum import mix, shingle_sets
 
 #: A shingle is frequent if one task finds it in this share of its documents; at most FREQUENT are kept.
 FREQUENT_SHARE, FREQUENT = 0.002, 200_000
 #: Members of a block that one task compares at once.
-CHUNK = 4096
+CHUNK = 2048
 #: Bits of the Bloom filter over the ids whose sets are needed again: 1 MB, whatever the input.
 BLOOM_BITS = 1 << 23
 
@@ -146,8 +146,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             })
 
     sets = written(by_arrow(docs, prefixes, "doc_id long, n long, one long, two long, n_index int, keys array<long>, bits binary"), "sets")
-    same = sets.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
-    member = written(sets.select("doc_id", "n", "one", "two").join(same, ["n", "one", "two"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
+    copies = written(sets.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "copies")
+    same = copies.drop("copies")
+    keyed = ["size", "one", "two"]
+    together = spread_join(sets.select("doc_id", F.col("n").alias("size"), "one", "two"), same.withColumnRenamed("n", "size"), keyed, copies.select(F.col("n").alias("size"), "one", "two", F.col("copies").alias("n")))
+    member = written(together.select("doc_id", F.col("size").alias("n"), F.coalesce("rep", "doc_id").alias("rep")), "members")
 
     # The blocks: (token, rep) of the shingles that at least two classes have, one of them among its first.
     heads = sets.join(same.withColumnRenamed("rep", "doc_id"), ["n", "one", "two", "doc_id"], "left_semi")
@@ -215,7 +218,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("token", F.col("leader").alias("first"), "members", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
     )
     # Near copies meet in many blocks that begin with the same class: a task takes those together and gives a pair once.
-    loads = mixed.groupBy("first").agg(F.ceil(F.sum(F.col("members") * F.col("chunks")) / (8 * CHUNK)).cast("int").alias("parts"))
+    loads = mixed.groupBy("first").agg(F.ceil(F.sum(F.col("members") * F.col("chunks")) / (2 * CHUNK)).cast("int").alias("parts"))
     mixed = mixed.join(loads, "first").select("token", "first", "chunks", F.pmod(F.xxhash64("token"), F.col("parts")).cast("int").alias("part"))
     rows = placed.join(mixed, "token").join(signed.select("rep", "bits"), "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")

@@ -148,8 +148,24 @@ def test_large_blocks_are_dealt_out_without_loss(docs, monkeypatch):
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7)]
+    edges += [(1000, i) for i in range(1001, 3400)] + [(i, i + 1) for i in range(3400, 3410)] + [(3399, 3400)]  # a hub and a tail
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
-    assert got == {i: 1 for i in range(1, 41)} | {90: 90, 95: 90, 100: 90}
+    assert got == {i: 1 for i in range(1, 41)} | {90: 90, 95: 90, 100: 90} | {i: 1000 for i in range(1000, 3411)}
+
+
+def test_spread_join_is_a_join(spark, monkeypatch):
+    from corvane.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    monkeypatch.setattr(common, "HOT_KEYS", 2)
+    r = random.Random(1)
+    rows = spark.createDataFrame([(i, r.choice([1, 1, 1, 2, 2, 3, 4, None])) for i in range(200)], "id int, k int")
+    other = spark.createDataFrame([(k, f"v{k}") for k in (1, 2, 3, 9)], "k int, v string")
+    weights = rows.groupBy("k").agg(F.count("*").alias("n"))
+    for how in ("left", "inner"):
+        got = common.spread_join(rows, other, ["k"], weights, how)
+        want = rows.join(other, ["k"], how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_words_and_shingles_match_plain_code():
