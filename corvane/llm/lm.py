@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from corvane.llm.textnum import U, hashed_words, mix
 #: The hash of the token that ends each text; words' hashes are mixed and never take it in practice.
 END = U(0x656E646F66646F63)
 #: Tokens that a task gathers before it counts or sends them together, and requests that a shard answers together.
-GATHERED, ANSWERED = 2_000_000, 3_000_000
+GATHERED, ANSWERED = 1_500_000, 2_000_000
 #: Words of the longest n-gram.
 ORDER = 3
 DISCOUNT = 0.75
@@ -43,17 +44,18 @@ def held_out(id_column: Column, folds: int = 7, fold: int = 2) -> Column:
 
 
 def packed(columns: list[np.ndarray]) -> bytes:
-    """Columns of equal length by byte planes, which compress well: the first, which must be sorted, as differences; only planes that hold something."""
+    """Columns of equal length by byte planes, compressed: the first, which must be sorted, as differences; only planes that hold something."""
     out = [np.array([len(columns), len(columns[0])], "<u8").tobytes()]
     for i, c in enumerate(columns):
         c = np.ascontiguousarray(c, "<u8")
         c = np.diff(c, prepend=U(0)) if i == 0 else c
         wide = (int(c.max(initial=0)).bit_length() + 7) // 8
         out += [bytes([wide]), np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()]
-    return b"".join(out)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
 def unpacked(blob: bytes) -> list[np.ndarray]:
+    blob = zstandard.ZstdDecompressor().decompress(blob)
     n_columns, n = np.frombuffer(blob, "<u8", 2).tolist()
     out, at = [], 16
     for i in range(n_columns):
@@ -176,8 +178,8 @@ class Model:
     def shards(self) -> int:
         return 1 << self.word_bits
 
-    def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1: unknown) and counts of sorted hashes."""
+    def look(self, hashes: np.ndarray, *, counted: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (-1: unknown) and counts (if asked for, else zeros) of sorted hashes."""
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         shard = (hashes >> U(64 - self.word_bits)).astype(np.int64) if self.word_bits else np.zeros(len(hashes), np.int64)
         border = np.searchsorted(shard, np.arange(len(self.word_files) + 1))
@@ -188,7 +190,8 @@ class Model:
                 at = level.look(hashes[a:b])
                 known = np.flatnonzero(at >= 0)
                 ids[a + known] = at[known] + self.word_base[s]
-                counts[a + known] = level.counts(at[known])
+                if counted:
+                    counts[a + known] = level.counts(at[known])
         return ids, counts
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
@@ -214,22 +217,39 @@ class Model:
             out[often] = self.shards + SPREAD * place[often] + (mix(before[often]) % U(SPREAD)).astype(np.int64)
         return out
 
-    def columns(self, hashes: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """(last context word, the ones before, next word) of each token as ids, counts of the tokens, and the ids' order among the distinct.
-
-        The number of words stands for a text's begin, the number after it for an unknown word.
-        """
-        distinct, inverse = np.unique(hashes, return_inverse=True)
-        known, n = self.look(distinct)
-        ids = np.where(known >= 0, known, self.words + 1).astype(np.uint64)[inverse]
+    def columns(self, ids: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+        """(last context word, the ones before, next word) of each token; the number of words stands for a text's begin."""
         place = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
-        context = []
+        out = []
         for k in range(1, self.order):
             c = np.full(len(ids), self.words, np.uint64)
             c[k:] = ids[:-k]
             c[place < k] = self.words
-            context.append(c)
-        return [*context, ids], n[inverse]
+            out.append(c)
+        return [*out, ids]
+
+
+class Known:
+    """What a task has looked up: of each gather only the words that are new are looked for."""
+
+    def __init__(self, model: Model, *, counted: bool):
+        self.model, self.counted = model, counted
+        self.hashes, self.ids, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def tokens(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of tokens; the id of an unknown word is the number of words and one."""
+        distinct, inverse = np.unique(hashes, return_inverse=True)
+        at = np.searchsorted(self.hashes, distinct)
+        held = np.zeros(len(distinct), bool)
+        inside = at < len(self.hashes)
+        held[inside] = self.hashes[at[inside]] == distinct[inside]
+        new = distinct[~held]
+        ids, counts = self.model.look(new, counted=self.counted)
+        ids = np.where(ids >= 0, ids, self.model.words + 1).astype(np.uint64)
+        spot = np.searchsorted(self.hashes, new)
+        self.hashes, self.ids, self.counts = np.insert(self.hashes, spot, new), np.insert(self.ids, spot, ids), np.insert(self.counts, spot, counts)
+        own = np.searchsorted(self.hashes, distinct)[inverse]
+        return self.ids[own], self.counts[own]
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -277,10 +297,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, or
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
+        known = Known(m, counted=False)
         for _, hashes, first in _gathered(batches):
-            columns, _ = m.columns(hashes, first)
-            grams, n = _sums(columns, None)
-            del columns, hashes
+            grams, n = _sums(m.columns(known.tokens(hashes)[0], first), None)
+            del hashes
             shard = m.shard_of(grams[0], grams[1] if order > 2 else None)
             by = np.argsort(shard, kind="stable")
             blobs = list(_by_shard([*(g[by] for g in grams), n[by]], shard[by]))
@@ -332,15 +352,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     tuned(spark)
+    freed(spark)  # what training shuffled
     held = spark.sparkContext.broadcast(model)
     unknown, deal = U(model.words + 1), partitions(spark)
     fields = "row long, doc_id long, n_tokens long, n_known long, base_score double, part double"
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
+        known = Known(m, counted=True)
         row = TaskContext.get().partitionId() << 40
         for doc_ids, hashes, first in _gathered(batches):
-            columns, counts = m.columns(hashes, first)
+            ids, counts = known.tokens(hashes)
+            columns = m.columns(ids, first)
             base = m.unigram(counts)
             total = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731, B023
             n = len(doc_ids)
@@ -357,7 +380,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             })
             own = np.repeat(np.arange(n), np.diff(first)).astype(np.uint64)[~lost]
             columns = [c[~lost] for c in columns]
-            del hashes, counts, base, lost
+            del hashes, ids, counts, base, lost
             by = _order(columns)
             columns, own = [c[by] for c in columns], own[by]
             shard = m.shard_of(columns[0], columns[1] if m.order > 2 else None)

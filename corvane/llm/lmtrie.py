@@ -5,7 +5,7 @@ sequence, and the running totals of their counts as another. A trie file holds t
 shard, last word first: a node of level k is a context of k words. Level by level it has
 monotone pointers from each parent to its children; the children's words relative to their parent (parent *
 universe + word, so that the sequence rises); monotone pointers from each node to its successors; the
-successors relative to their node; and 16-bit codes of the smoothed log10 probability of each
+successors relative to their node; and 10-bit codes of the smoothed log10 probability of each
 successor and of each node's back-off weight. A query descends from the last word by
 successor search between two pointers at every level.
 """
@@ -21,9 +21,6 @@ import pyarrow.fs
 
 from corvane.llm.eliasfano import EliasFano, encoded
 
-#: Codes a unit of log10; a code is off by at most half of one part, and reaches down to 10 ** -16.
-PARTS = 4096
-
 
 def store_of(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
@@ -54,9 +51,28 @@ def find(sequence: EliasFano, wanted: np.ndarray) -> np.ndarray:
     return np.where(same, place, -1)
 
 
-def codes(log10: np.ndarray) -> np.ndarray:
-    """16-bit codes of values from -16 to 0."""
-    return np.clip(np.rint(-log10 * PARTS), 0, 65535).astype("<u2")
+class Codes:
+    """Values in 1024 equal steps from the least to the greatest, four to five bytes; a value is off by at most half a step."""
+
+    @staticmethod
+    def made(values: np.ndarray) -> bytes:
+        low = float(values.min()) if len(values) else 0.0
+        step = max((float(values.max()) - low) / 1023, 1e-12) if len(values) else 1.0
+        code = np.zeros(-(-len(values) // 4) * 4, np.uint64)
+        code[: len(values)] = np.rint((values - low) / step)
+        four = code.reshape(-1, 4) << np.array([0, 10, 20, 30], np.uint64)
+        packed = np.bitwise_or.reduce(four, axis=1).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        return np.array([low, step], "<f8").tobytes() + packed.tobytes()
+
+    def __init__(self, buffer, at: int, n: int):  # noqa: ANN001
+        self.low, self.step = np.frombuffer(buffer, "<f8", 2, at).tolist()
+        self.bytes = np.frombuffer(buffer, np.uint8, -(-n // 4) * 5, at + 16)
+
+    def __getitem__(self, index: np.ndarray) -> np.ndarray:
+        bit = (index & 3) * 10
+        at = (index >> 2) * 5 + (bit >> 3)
+        pair = self.bytes[at].astype(np.int64) | self.bytes[at + 1].astype(np.int64) << 8
+        return self.low + self.step * (pair >> (bit & 7) & 1023)
 
 
 def _joined(parts: list[bytes]) -> bytes:
@@ -91,7 +107,8 @@ class WordLevel:
         return find(self.hashes, hashes)
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
-        return (self.totals.select(ids + 1) - self.totals.select(ids)).astype(np.int64)
+        both = self.totals.select(np.r_[ids, ids + 1]).astype(np.int64)
+        return both[len(ids) :] - both[: len(ids)]
 
 
 @lru_cache(4096)
@@ -144,8 +161,8 @@ def context_trie(grams: list[np.ndarray], counts: np.ndarray, universe: int, uni
             encoded(of * universe + children, max(n_parents, 1) * universe),
             encoded(np.r_[0, np.cumsum(kinds)], len(key)),
             encoded(key, max(n_nodes, 1) * universe),
-            codes(np.log10(np.maximum(value, 1e-300))).tobytes(),
-            codes(np.log10(np.maximum(weight, 1e-300))).tobytes(),
+            Codes.made(np.log10(value)),
+            Codes.made(np.log10(weight)),
         ]
         below, n_parents = (key, value), n_nodes
     return _joined(parts)
@@ -160,7 +177,7 @@ class ContextTrie:
         self.levels = []
         for k in range(self.depth):
             child_pointers, children, pointers, successors = (EliasFano(buffer, at[1 + 6 * k + j]) for j in range(4))
-            self.levels.append((child_pointers, children, pointers, successors, np.frombuffer(buffer, "<u2", len(successors), at[5 + 6 * k]), np.frombuffer(buffer, "<u2", len(children), at[6 + 6 * k])))
+            self.levels.append((child_pointers, children, pointers, successors, Codes(buffer, at[5 + 6 * k], len(successors)), Codes(buffer, at[6 + 6 * k], len(children))))
 
     def nodes(self, context: list[np.ndarray]) -> list[np.ndarray]:
         """For each level the node of each row's context, or -1; rows come sorted by their contexts."""
@@ -190,7 +207,7 @@ class ContextTrie:
             own = node[rows]
             place, same = successors.successors(wanted, pointers.select(own).astype(np.int64), pointers.select(own + 1).astype(np.int64))
             hit = rows[same]
-            value[hit] -= code[place[same]] / PARTS
+            value[hit] += code[place[same]]
             done[hit] = True
-            value[rows[~same]] -= weight[own[~same]] / PARTS
+            value[rows[~same]] += weight[own[~same]]
         return value, done
