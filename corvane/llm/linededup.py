@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import written
+from corvane.llm.common import dropped, written
 
 #: Sites on which a line must occur to count as boilerplate.
 MIN_SITES = 10
@@ -32,16 +32,18 @@ def _hashes(x: Column) -> list[Column]:
 
 
 def boilerplate(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_sites: int) -> DataFrame:
-    """(h1, h2, first struct(id, pos)): lines on min_sites or more sites, and where each occurs first."""
+    """(h1, h2, first struct(id, pos)) as a written table: lines on min_sites or more sites, and where each occurs first."""
     lines = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
     lines = lines.select("id", "site", "pos", _trimmed(F.col("line")).alias("line")).where("line <> ''").select("id", "site", "pos", *_hashes(F.col("line")))
-    # A line is counted once a site and task before it is sent.
-    spread = lines.groupBy("h1", "h2", "site").agg(F.min(F.struct("id", "pos")).alias("first"))
+    # A line is counted once a site and task before it is sent; texts are split once for sketches and exact counts.
+    spread = written(lines.groupBy("h1", "h2", "site").agg(F.min(F.struct("id", "pos")).alias("first")), "spread")
     sketched = spread.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64("site"), F.lit(LOG_REGISTERS))).alias("estimate"), F.min("first").alias("first"))
     sure = sketched.where(F.col("estimate") > min_sites * (1 + MARGIN)).select("h1", "h2", "first")
     near = sketched.where(F.col("estimate").between(min_sites * (1 - MARGIN), min_sites * (1 + MARGIN))).select("h1", "h2", "first")
     exact = spread.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.countDistinct("site").alias("sites"), F.min("first").alias("first")).where(F.col("sites") >= min_sites)
-    return sure.unionByName(exact.select("h1", "h2", "first"))
+    common = written(sure.unionByName(exact.select("h1", "h2", "first")), "boilerplate")
+    dropped(spread)
+    return common
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", *, min_sites: int = MIN_SITES) -> DataFrame:
@@ -59,7 +61,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     every = docs.columns
     taken = {c.lower() for c in every}
     n_lines, n_removed = (_free(name, taken) for name in ("n_lines", "n_removed"))
-    common = written(boilerplate(docs, id_col, text_col, site_col, min_sites), "boilerplate")
+    common = boilerplate(docs, id_col, text_col, site_col, min_sites)
     few = common.count() <= COMMON
 
     lines = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
