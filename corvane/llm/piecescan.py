@@ -34,6 +34,8 @@ from corvane.llm.common import as_batch, by_arrow, partitions, text_slices, writ
 MARK = "▁"
 #: Characters of a chunk, and of the longest document that is encoded in one go.
 CHUNK = 16_384
+#: Chunks whose matrices one task multiplies.
+BLOCK = 64
 HELD, LONGEST = 300_000, 48
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 NONE = -np.inf
@@ -233,8 +235,15 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None]).max(axis=1) if a.size and b.size else np.full((a.shape[0], b.shape[1]), NONE)
 
 
-def boundary_states(matrices: list[np.ndarray]) -> list[int]:
-    """The state before each chunk and after the last, on the path of the greatest weight.
+def whole_product(matrices: list[np.ndarray]) -> np.ndarray:
+    """The product of all, neighbours first: products are associative."""
+    while len(matrices) > 1:
+        matrices = [product(*matrices[i : i + 2]) if i + 1 < len(matrices) else matrices[i] for i in range(0, len(matrices), 2)]
+    return matrices[0]
+
+
+def boundary_states(matrices: list[np.ndarray], begin: int = 0, end: int | None = None) -> list[int]:
+    """The state before each chunk and after the last, on the path of the greatest weight from state `begin` (to state `end`, if given).
 
     Prefix products by doubling (an associative scan), then the path backwards.
     """
@@ -243,8 +252,10 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
     while step < len(scan):
         scan = [scan[i] if i < step else product(scan[i - step], scan[i]) for i in range(len(scan))]
         step *= 2
-    ahead = [np.zeros(1), *(m[0] for m in scan)]
-    out = [int(np.argmax(ahead[-1]))]
+    start = np.full(matrices[0].shape[0], NONE)
+    start[begin] = 0
+    ahead = [start, *(m[begin] for m in scan)]
+    out = [int(np.argmax(ahead[-1])) if end is None else end]
     for k in range(len(matrices) - 1, -1, -1):
         out.append(int(np.argmax(ahead[k] + matrices[k][:, out[-1]])))
     return out[::-1]
@@ -263,7 +274,8 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
     """(doc_id, ids binary, n_chunks int): the model's ids of each text, little-endian unsigned 32-bit.
 
     A null text is an empty one, without ids. Texts of more than `chunk` characters are
-    scanned in parallel; rows that repeat an id are kept apart.
+    scanned in parallel; rows that repeat an id, and rows without one, are kept apart. A row of the result holds all ids
+    of a text, as the row of docs holds all of the text. An empty table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     whole = rows.where(F.char_length("text") <= chunk)
@@ -308,14 +320,29 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
             found = [_chunk_of(p, r, chunk).matrix() for r in batch.select(["text", "begin", "head", "tail"]).to_pylist()]
             yield as_batch({"key": batch.column(0), "k": batch.column(2), "rows": pa.array([m.shape[0] for m in found], pa.int32()), "m": pa.array([m.astype("<f4").tobytes() for m in found], pa.binary())})
 
+    def held(table: pa.Table) -> list[np.ndarray]:
+        return [np.frombuffer(m, "<f4").reshape(r, -1).astype(float) for r, m in zip(table.column("rows").to_pylist(), table.column("m").to_pylist())]
+
+    def combine(table: pa.Table) -> pa.Table:
+        table = table.sort_by("k")
+        m = whole_product(held(table))
+        return pa.table({"key": table.column("key")[:1], "block": table.column("block")[:1], "rows": pa.array([m.shape[0]], pa.int32()), "m": pa.array([m.astype("<f4").tobytes()], pa.binary())})
+
     def scan(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        path = boundary_states(held(table))
+        return pa.table({"key": table.column("key"), "block": table.column("block"), "begin_state": pa.array(path[:-1], pa.int32()), "end_state": pa.array(path[1:], pa.int32())})
+
+    def within(table: pa.Table) -> pa.Table:
         table = table.sort_by("k")
-        found = [np.frombuffer(m, "<f4").reshape(r, -1).astype(float) for r, m in zip(table.column("rows").to_pylist(), table.column("m").to_pylist())]
-        path = boundary_states(found)
+        path = boundary_states(held(table), table.column("begin_state")[0].as_py(), table.column("end_state")[0].as_py())
         return pa.table({"key": table.column("key"), "k": table.column("k"), "i": pa.array(path[:-1], pa.int32()), "o": pa.array(path[1:], pa.int32())})
 
-    # A row for each chunk of a document: its few states, not its text.
-    resolved = by_arrow(chunks, matrices, "key string, k int, rows int, m binary").groupBy("key").applyInArrow(scan, "key string, k int, i int, o int")
+    # A row for each chunk of a document: its few states, not its text. Blocks of chunks are combined in parallel, the blocks'
+    # products scanned, and the path within each block found between its two states. A text of 2 GB has some 2,000 blocks.
+    parts = written(by_arrow(chunks, matrices, "key string, k int, rows int, m binary").withColumn("block", F.floor(F.col("k") / BLOCK).cast("int")), "matrices")
+    borders = parts.groupBy("key", "block").applyInArrow(combine, "key string, block int, rows int, m binary").groupBy("key").applyInArrow(scan, "key string, block int, begin_state int, end_state int")
+    resolved = parts.join(borders, ["key", "block"]).groupBy("key", "block").applyInArrow(within, "key string, k int, i int, o int")
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces_of(model)
@@ -351,7 +378,10 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def encoded_report(docs: DataFrame, model: str, *, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, n_tokens, ids_crc32, n_chars, text_crc32, n_chunks): of each text's ids and of the text decoded from them."""
+    """(doc_id, n_tokens, ids_crc32, n_chars, text_crc32, n_chunks): of each text's ids and of the text decoded from them.
+
+    Nulls, repeated ids, very long texts and empty tables as encode_documents() has them.
+    """
     ids = encode_documents(docs, model, chunk=chunk)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

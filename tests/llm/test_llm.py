@@ -354,6 +354,31 @@ def test_products_are_associative():
     assert (piecescan.product(piecescan.product(a, b), c) == piecescan.product(a, piecescan.product(b, c))).all()
 
 
+def test_paths_within_blocks():
+    """The path by blocks is the path over all chunks."""
+    r = np.random.default_rng(4)
+    for _ in range(30):
+        sizes = [1, *r.integers(1, 5, 11), 3]
+        chain = [np.where(r.random((a, b)) < 0.2, -np.inf, r.normal(size=(a, b))) for a, b in zip(sizes, sizes[1:])]
+        whole = piecescan.boundary_states(chain)
+        cut = [chain[i : i + 5] for i in range(0, len(chain), 5)]
+        borders = piecescan.boundary_states([piecescan.whole_product(c) for c in cut])
+        path = [borders[0]]
+        for c, i, o in zip(cut, borders, borders[1:]):
+            path += piecescan.boundary_states(c, i, o)[1:]
+        if np.isfinite(piecescan.whole_product(chain)).any():
+            assert path == whole
+
+
+def test_repeated_and_missing_ids_are_kept_apart(spark):
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    p = piecescan.pieces_of(path)
+    some = ["uno dos tres " * 300, "otro texto largo " * 260, None, "", "corto"]
+    rows = [(i, t, "clash") for i in (None, 1, 1) for t in some]
+    got = sorted((str(r["doc_id"]), bytes(r["ids"])) for r in piecescan.encode_documents(spark.createDataFrame(rows, "doc_id long, text string, ids string"), path, chunk=50).collect())
+    assert got == sorted((str(i), np.array(p.model.encode(t or ""), "<u4").tobytes()) for i, t, _ in rows)
+
+
 def test_pieces_of_documents(docs, empty):
     path = queries.tokenizer_path("piece_bpe_32k.model")
     p = piecescan.pieces_of(path)
