@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corvane.functions.taxonomy import DOMAIN, Taxonomy
 from corvane.operators import filters, fuse, recall
 from corvane.operators.filters import AdvancedFilters
+from corvane.operators.index import CellIndex
 from corvane.plans.parse import parse_query
 from corvane.plans.profiles import FULL, Profile
 
@@ -35,14 +36,13 @@ def reconciled(vector: Sequence[float], dimension: int | None) -> list[float]:
     return (list(vector) + [0.0] * dimension)[:dimension]
 
 
-def _recalled(rows: DataFrame, where: Column, vector: Sequence[float], words: str, n: int) -> DataFrame:
-    """Both recalls fused and held: at most 2 n rows, which later steps look at more than once."""
-    some = rows.where(where)
-    return fuse.fuse(recall.vector_recall(some, vector, n), recall.lexical_recall(some, words, n)).cache()
+def _recalled(rows: DataFrame, where: Column, vector: Sequence[float], words: str, n: int, near: DataFrame | None = None) -> DataFrame:
+    """Both recalls fused and held: at most 2 n rows, which later steps look at more than once. near: rows that the vector recall is limited to."""
+    return fuse.fuse(recall.vector_recall((rows if near is None else near).where(where), vector, n), recall.lexical_recall(rows.where(where), words, n)).cache()
 
 
-def search(chunks: DataFrame, documents: DataFrame, query: str, embed: Callable[[str], Sequence[float]], k: int = 5, *, use_mmr: bool = True, taxonomy: Taxonomy = DOMAIN, n: int = fuse.RECALL, profile: Profile = FULL) -> tuple[DataFrame, dict]:
-    """The k best chunks and the parsed query.
+def search(chunks: DataFrame, documents: DataFrame, query: str, embed: Callable[[str], Sequence[float]], k: int = 5, *, use_mmr: bool = True, taxonomy: Taxonomy = DOMAIN, n: int = fuse.RECALL, profile: Profile = FULL, index: CellIndex | None = None) -> tuple[DataFrame, dict]:
+    """The k best chunks and the parsed query. With an index over the chunks the vector recall looks at the cells near the query only.
 
     Nothing found with variables or sections asked for: both are dropped and
     recall runs again. Month and exact date filter what was recalled, never the
@@ -54,9 +54,10 @@ def search(chunks: DataFrame, documents: DataFrame, query: str, embed: Callable[
     if stored is not None and stored != len(vector) and not profile.reconcile:
         raise ValueError(f"the query's vector has {len(vector)} dimensions, stored ones have {stored}")
     vector = reconciled(vector, stored)
-    hits = _recalled(rows, filters.search_filter(parsed), vector, parsed["clean_query"], n)
+    near = joined(index.cells(vector), documents) if index else None
+    hits = _recalled(rows, filters.search_filter(parsed), vector, parsed["clean_query"], n, near)
     if (parsed["variables"] or parsed["sections"]) and hits.isEmpty():
-        hits = _recalled(rows, filters.search_filter(parsed | {"variables": [], "sections": []}), vector, parsed["clean_query"], n)
+        hits = _recalled(rows, filters.search_filter(parsed | {"variables": [], "sections": []}), vector, parsed["clean_query"], n, near)
     after = _after(parsed)
     hits = hits.where(after)
     if profile.fallback and hits.isEmpty():

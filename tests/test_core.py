@@ -8,7 +8,7 @@ import pytest
 from corvane.functions import taxonomy as X
 from corvane.functions import text as T
 from corvane.functions import vectors as V
-from corvane.operators import chunking, embed, enrich, filters, fuse, recall, stats
+from corvane.operators import chunking, embed, enrich, filters, fuse, index, recall, stats
 from corvane import cli
 from corvane.plans import catalog, parse, prompt, search
 from corvane.plans.profiles import BASIC
@@ -439,6 +439,32 @@ def test_extraction_warnings(spark):
     assert sorted(map(str, map(tuple, stats.extraction_warnings(docs).collect()))) == sorted(map(str, [("b", True, "x"), ("b", True, "y"), ("c", True, None), ("d", False, "z")]))
 
 
+def test_index_finds_neighbours(spark, tmp_path):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    own = index.build(rows.unionByName(spark.createDataFrame([(-1, None), (-2, []), (-3, [1.0])], "vec_id long, embedding array<float>")), f"file://{tmp_path}/i", id_col="vec_id")
+    assert own.rows.count() == rows.count()
+    hits = 0
+    some = rows.where("vec_id % 500 = 0").collect()
+    for r in some:
+        near = {x["vec_id"] for x in own.near(r["embedding"], 20, id_col="vec_id").collect()}
+        exact = {x["vec_id"] for x in recall.vector_recall(rows, r["embedding"], 20, id_col="vec_id").collect()}
+        hits += len(near & exact)
+    assert hits >= 0.9 * 20 * len(some)
+    every = own.near(some[0]["embedding"], 20, id_col="vec_id", probes=len(own.centroids)).collect()
+    assert [r["vec_id"] for r in every] == [r["vec_id"] for r in recall.vector_recall(rows, some[0]["embedding"], 20, id_col="vec_id").collect()]
+    nothing = index.build(rows.where("false"), f"file://{tmp_path}/n", id_col="vec_id")
+    assert nothing.near([1.0], 5, id_col="vec_id").count() == 0
+
+
+def test_search_with_an_index(spark, tmp_path):
+    s, _, load = _loaded(spark, tmp_path)
+    embedder = lambda q: embed.query_vector(q, load, "hashed")
+    own = index.build(s.read("chunks"), f"file://{tmp_path}/index")
+    exact = search.search(s.read("chunks"), s.read("documents"), "interest rate 2023", embedder, 3, taxonomy=OWN)[0].collect()
+    near = search.search(s.read("chunks"), s.read("documents"), "interest rate 2023", embedder, 3, taxonomy=OWN, index=own)[0].collect()
+    assert [r["chunk_id"] for r in exact] == [r["chunk_id"] for r in near] and near
+
+
 def test_long_documents_chunk_as_plain_code_does(spark):
     r = np.random.default_rng(8)
     lines = [" ".join(["palabra"] * int(r.integers(1, 30))) for _ in range(3000)]
