@@ -40,6 +40,13 @@ def encoded(values: np.ndarray, universe: int) -> bytes:
     return np.array([n, width, len(words), len(samples)], np.uint64).tobytes() + low.tobytes() + words.tobytes() + samples.tobytes()
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct of sorted values."""
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 class EliasFano:
     """Reads what encoded() made, from offset `at` of a buffer. `end` is the offset behind it."""
 
@@ -104,7 +111,7 @@ class EliasFano:
         out = np.empty(len(index), np.uint64)
         order = np.argsort(index >> 9, kind="stable")
         block = index[order] >> 9
-        touched = np.unique(block)
+        touched = _distinct(block)
         for s in range(0, len(touched), BLOCKS):
             some = touched[s : s + BLOCKS]
             a, b = np.searchsorted(block, [some[0], some[-1] + 1])
@@ -112,6 +119,15 @@ class EliasFano:
             out[own] = self.decoded(some)[(np.searchsorted(some, block[a:b]) << 9) + (index[own] & (SAMPLE - 1))]
         return out
 
+    def ranges(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at sorted positions and at the positions after them: where the children of nodes begin and end."""
+        some = _distinct(index)
+        both = _distinct(np.sort(np.r_[some, some + 1], kind="stable"))
+        values = self.select(both).astype(np.int64)
+        at = np.searchsorted(both, some)
+        of = np.searchsorted(some, index)
+        return values[at][of], values[at + 1][of]
+
     def successors(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each of the sorted wanted values the first position in [begin, end) whose value is at least it, or end, and whether it is that value.
 
@@ -123,7 +139,7 @@ class EliasFano:
             return place, same
         # The last block of the range whose first value is at most the wanted one holds the successor or ends before it.
         block = np.clip(np.searchsorted(self.select_samples(), wanted[own], side="right") - 1, begin[own] >> 9, (end[own] - 1) >> 9)
-        touched = np.unique(block)
+        touched = _distinct(block)
         for s in range(0, len(touched), BLOCKS):
             some = touched[s : s + BLOCKS]
             a, b = np.searchsorted(block, [some[0], some[-1] + 1])
@@ -137,7 +153,7 @@ class EliasFano:
         return place, same
         # The last block of the range whose first value is at most the wanted one holds the successor or ends before it.
         block = np.clip(np.searchsorted(self.select_samples(), wanted[own], side="right") - 1, begin[own] >> 9, (end[own] - 1) >> 9)
-        touched = np.unique(block)
+        touched = _distinct(block)
         for s in range(0, len(touched), BLOCKS):
             some = touched[s : s + BLOCKS]
             a, b = np.searchsorted(block, [some[0], some[-1] + 1])

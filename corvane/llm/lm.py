@@ -30,7 +30,7 @@ from corvane.llm.textnum import U, hashed_words, mix
 #: The hash of the token that ends each text; words' hashes are mixed and never take it in practice.
 END = U(0x656E646F66646F63)
 #: Tokens that a task gathers before it counts or sends them together, and requests that a shard answers together.
-GATHERED, ANSWERED = 1_500_000, 2_000_000
+GATHERED, ANSWERED = 1_200_000, 1_000_000
 #: Words of the longest n-gram.
 ORDER = 3
 DISCOUNT = 0.75
@@ -152,7 +152,7 @@ def _merged(blobs: pa.ChunkedArray) -> tuple[list[np.ndarray], np.ndarray]:
     for i, blob in enumerate(blobs):
         pending.append(unpacked(blob.as_py()))
         size += len(pending[-1][0])
-        if size > max(2_000_000, len(counts)) or i == len(blobs) - 1:
+        if size > max(1_000_000, len(counts)) or i == len(blobs) - 1:
             held = [*([[*rows, counts]] if rows else []), *pending]
             *columns, n = (np.concatenate([h[k] for h in held]) for k in range(len(held[0])))
             rows, counts = _sums(columns, n)
@@ -348,80 +348,87 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, or
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row; null texts count as empty, rows repeat as they do in docs.
 
-    Rows are told apart by the partition and place where they are read.
+    Rows are told apart by the task, gather and place where they are read.
     """
     spark = docs.sparkSession
     tuned(spark)
     freed(spark)  # what training shuffled
     held = spark.sparkContext.broadcast(model)
-    unknown, deal = U(model.words + 1), partitions(spark)
-    fields = "row long, doc_id long, n_tokens long, n_known long, base_score double, part double"
+    unknown = U(model.words + 1)
+    schema = "shard int, task long, gather long, blob binary"
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
         known = Known(m, counted=True)
-        row = TaskContext.get().partitionId() << 40
-        for doc_ids, hashes, first in _gathered(batches):
+        task = TaskContext.get().partitionId()
+        for gather, (doc_ids, hashes, first) in enumerate(_gathered(batches)):
             ids, counts = known.tokens(hashes)
             columns = m.columns(ids, first)
             base = m.unigram(counts)
             total = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731, B023
-            n = len(doc_ids)
             lost = columns[0] == unknown  # nothing is known after these
-            yield as_batch({
-                "shard": pa.array(-1 - np.arange(row, row + n) % deal, pa.int32()),
-                "row": pa.array(np.arange(row, row + n)),
-                "blob": pa.nulls(n, pa.binary()),
-                "doc_id": doc_ids,
-                "n_tokens": pa.array(np.diff(first)),
-                "n_known": pa.array(total((counts > 0).astype(np.int64))),
-                "base_score": pa.array(total(base)),
-                "part": pa.array(total(np.where(lost, base, 0))),
-            })
-            own = np.repeat(np.arange(n), np.diff(first)).astype(np.uint64)[~lost]
+            own = pa.record_batch({"doc_id": doc_ids, "n_tokens": pa.array(np.diff(first)), "n_known": pa.array(total((counts > 0).astype(np.int64))), "base_score": pa.array(total(base)), "score": pa.array(total(np.where(lost, base, 0)))})
+            row = np.repeat(np.arange(len(doc_ids)), np.diff(first)).astype(np.uint64)[~lost]
             columns = [c[~lost] for c in columns]
             del hashes, ids, counts, base, lost
             by = _order(columns)
-            columns, own = [c[by] for c in columns], own[by]
+            columns, row = [c[by] for c in columns], row[by]
             shard = m.shard_of(columns[0], columns[1] if m.order > 2 else None)
             by = np.argsort(shard, kind="stable")
-            blobs = list(_by_shard([*(c[by] for c in columns), own[by]], shard[by]))
-            k, none = len(blobs), lambda t: pa.nulls(len(blobs), t)  # noqa: B023
-            yield as_batch({"shard": pa.array([s for s, _ in blobs], pa.int32()), "row": pa.array([row] * k, pa.int64()), "blob": pa.array([b for _, b in blobs], pa.binary()), "doc_id": none(pa.int64()), "n_tokens": none(pa.int64()), "n_known": none(pa.int64()), "base_score": none(pa.float64()), "part": none(pa.float64())})
-            row += n
+            # The rows' own figures travel as a blob beside the requests, to no shard of words.
+            blobs = [(-1 - (task + gather) % m.shards, _ipc(own)), *_by_shard([*(c[by] for c in columns), row[by]], shard[by])]
+            n = len(blobs)
+            yield as_batch({"shard": pa.array([s for s, _ in blobs], pa.int32()), "task": pa.array([task] * n, pa.int64()), "gather": pa.array([gather] * n, pa.int64()), "blob": pa.array([b for _, b in blobs], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         if shard < 0:
-            return table.drop_columns(["shard", "blob"])
+            return table
         m: Model = held.value
         trie = lmtrie.ContextTrie(lmtrie.opened(m.tries[shard])) if shard in m.tries else None
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        out: list[bytes] = []
         pending: list[list[np.ndarray]] = []
         size, blobs = 0, table.column("blob")
-        for i, (base, blob) in enumerate(zip(table.column("row").to_pylist(), blobs)):
-            *columns, own = unpacked(blob.as_py())
-            pending.append([*columns, own + U(base)])
-            size += len(own)
+        for i, blob in enumerate(blobs):
+            pending.append(unpacked(blob.as_py()))
+            size += len(pending[-1][0])
             if size >= ANSWERED or i == len(blobs) - 1:
-                *columns, rows = (np.concatenate([p[k] for p in pending]) for k in range(len(pending[0])))
+                # Rows of all these gathers get numbers of their own.
+                begins = np.r_[0, np.cumsum([int(p[-1].max()) + 1 for p in pending])]
+                rows = np.concatenate([p[-1].astype(np.int64) + b for p, b in zip(pending, begins)])
+                columns = [np.concatenate([p[k] for p in pending]) for k in range(m.order)]
                 pending, size = [], 0
                 by = _order(columns)
                 *context, word = (c[by].astype(np.int64) for c in columns)
                 value, done = trie.log10(context, word) if trie else (np.zeros(len(word)), np.zeros(len(word), bool))
                 value[~done] += m.unigram_of(word[~done])
-                distinct, inverse = np.unique(rows[by], return_inverse=True)
-                found.append((distinct, np.bincount(inverse, value, minlength=len(distinct))))
-        rows, part = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+                sums, seen = np.bincount(rows[by], value, minlength=begins[-1]), np.bincount(rows, minlength=begins[-1])
+                for a, b in zip(begins[:-1], begins[1:]):
+                    at = np.flatnonzero(seen[a:b])
+                    out.append(packed([at, sums[a:b][at].view(np.uint64)]))
         returned()
-        none = lambda t: pa.nulls(len(rows), t)
-        return pa.table({"row": pa.array(rows.astype(np.int64)), "doc_id": none(pa.int64()), "n_tokens": none(pa.int64()), "n_known": none(pa.int64()), "base_score": none(pa.float64()), "part": pa.array(part)})
-
-    asked = by_arrow(_rows(docs, id_col, text_col), ask, "shard int, " + fields.replace("row long,", "row long, blob binary,"))
-    parts = asked.groupBy("shard").applyInArrow(answer, fields)
-    # A row has at most one part of each shard and gather; they are added in order, so that every run gives the same sum.
-    added = F.aggregate(F.array_sort(F.collect_list("part")), F.lit(0.0), lambda a, x: a + x)
-    return parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("n_known"), F.max("base_score").alias("base_score"), added.alias("score")).drop("row")
+        return table.set_column(table.column_names.index("blob"), "blob", pa.array(out, pa.binary()))
+
+    def add(table: pa.Table) -> pa.Table:
+        """The rows of a gather, and the sums of their parts in the order of shards, so that every run gives the same."""
+        table = table.sort_by("shard")
+        blobs = table.column("blob").to_pylist()
+        own = pa.ipc.open_stream(blobs[0]).read_all()
+        score = own.column("score").to_numpy().copy()
+        for blob in blobs[1:]:
+            at, part = unpacked(blob)
+            score[at.astype(np.int64)] += part.view(np.float64)
+        return own.set_column(4, "score", pa.array(score))
+
+    answers = by_arrow(_rows(docs, id_col, text_col), ask, schema).groupBy("shard").applyInArrow(answer, schema)
+    return answers.groupBy("task", "gather").applyInArrow(add, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+
+
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
 def train_and_score(docs: DataFrame, **options) -> DataFrame:

@@ -188,7 +188,7 @@ class ContextTrie:
             heads = np.flatnonzero(new & (node >= 0))
             parent = node[heads]
             found = np.full(len(node), -1, np.int64)
-            place, same = children.successors((parent * self.universe + context[k][heads]).astype(np.uint64), pointers.select(parent).astype(np.int64), pointers.select(parent + 1).astype(np.int64))
+            place, same = children.successors((parent * self.universe + context[k][heads]).astype(np.uint64), *pointers.ranges(parent))
             found[heads] = np.where(same, place, -1)
             head_of = np.flatnonzero(new)[np.cumsum(new) - 1]
             node = found[head_of]
@@ -205,7 +205,7 @@ class ContextTrie:
             order = np.argsort(wanted, kind="stable")
             rows, wanted = rows[order], wanted[order]
             own = node[rows]
-            place, same = successors.successors(wanted, pointers.select(own).astype(np.int64), pointers.select(own + 1).astype(np.int64))
+            place, same = successors.successors(wanted, *pointers.ranges(own))
             hit = rows[same]
             value[hit] += code[place[same]]
             done[hit] = True
