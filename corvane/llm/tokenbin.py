@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.llm.bpememo import ENCODED_BYTES, encoder
-from corvane.llm.common import as_batch, by_arrow, new_path, partitions, text_slices, written
+from corvane.llm.common import as_batch, by_arrow, new_path, partitions, text_slices, transient, written
 from corvane.llm.eliasfano import EliasFano, encoded
 
 MAGIC = b"CVTOKENS"
@@ -143,6 +143,14 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
 
 def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id: int = 2, vocabulary: int = 50_257) -> DataFrame:
-    """Writes the shards of docs and reads them back: (doc_id, start, n_tokens, ids_crc32, shard)."""
-    folder = folder or new_path(docs.sparkSession, "tokens")
-    return read_shards(written(write_shards(docs, tokenizer, folder, end_id=end_id, vocabulary=vocabulary), "manifest"))
+    """Writes the shards of docs and reads them back: (doc_id, start, n_tokens, ids_crc32, shard), a row for each row of docs.
+
+    Nulls, ties, repeated rows and empty tables as write_shards() has them; very long texts are one document each; other columns
+    are not read. Without a folder the files lie in the shared one until the driver ends.
+    """
+    spark = docs.sparkSession
+    path = folder or new_path(spark, "tokens")
+    manifest = written(write_shards(docs, tokenizer, path, end_id=end_id, vocabulary=vocabulary), "manifest")
+    if folder is None:
+        transient(spark, path)
+    return read_shards(manifest)
