@@ -81,6 +81,13 @@ def chunks_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_chunks(spark, sf_dir).select(F.col("document_id").alias("doc_id"), "total_in_doc").distinct()
 
 
+@_query()
+def production_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunking of every text as one page with its production parameters; the break between sentences is tested against plain code."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.array("text").alias("pages"))
+    return chunking.chunk_documents(docs, "doc_id").select(F.col("document_id").alias("doc_id"), "position_in_doc", "text", "section_title_raw", "total_in_doc")
+
+
 # Queries as text.
 
 @_query(f"""

@@ -132,6 +132,26 @@ def test_chunks_with_pages_and_sections(spark):
     assert all(g["chunk_id"] == f"{g['document_id']}_{g['position_in_doc']:04d}" for g in got)
 
 
+def test_production_chunks_match_plain_code(spark):
+    sf = "/root/testdata/sf0.001"
+    want = []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        page = re.sub(r"-\n(\w)", r"\1", r["text"] or "")
+        page = re.sub(r"[ \t]+", " ", re.sub(r"(?<!\n)\n(?!\n)", " ", page))
+        page = re.sub(r"\{\[\{[^}]*\}\]\}", "", re.sub(r"^\s*\d{1,3}\s*$", "", page, flags=re.MULTILINE)).strip()
+        units, section = [], None
+        for p in filter(None, (x.strip() for x in re.split(r"\n\s*\n+", page))):
+            title = re.match(r"^([A-ZÁÉÍÓÚÑ][A-ZÁÉÍÓÚÑ\s]{2,60})\s*$", p) if len(p) <= 80 and "\n" not in p else None
+            if title:
+                section = title[1].strip()
+                continue
+            parts = filter(None, (x.strip() for x in re.split(T.SENTENCE_BREAK, p))) if len(p) > 1200 else [p]
+            units += [(x, 1, section) for x in parts]
+        own = fold(units)
+        want += [(r["doc_id"], k, c[0], c[3], len(own)) for k, c in enumerate(own)]
+    assert sorted(map(str, map(tuple, catalog.queries()["production_chunks"](spark, sf).collect()))) == sorted(map(str, want))
+
+
 def test_chunks_of_nothing(spark):
     assert chunking.chunk_documents(spark.createDataFrame([("a", None), ("b", []), ("c", ["", None])], "document_id string, pages array<string>")).count() == 0
 
