@@ -66,9 +66,15 @@ def quoted(text: str) -> str:
 
 
 def word_pattern(words: Iterable[str]) -> str:
-    """Whole words of normalised text, the first that fits in list order; no words match nothing."""
+    """Whole words of normalised text, the first that fits in list order; no words match nothing.
+
+    The first characters are asked for before anything else, which most places in a text fail at once.
+    """
     some = [quoted(normalized(w)) for w in words if w.strip()]
-    return r"(?<![a-z0-9])(?:" + "|".join(some) + r")(?![a-z0-9])" if some else r"(?!)"
+    if not some:
+        return r"(?!)"
+    first = "".join(sorted({re.match(r"\\?.", w)[0] for w in some}))
+    return rf"(?=[{first}])(?<![a-z0-9])(?:" + "|".join(some) + r")(?![a-z0-9])"
 
 
 def mentions(normal: Column, words: Iterable[str]) -> Column:
