@@ -370,7 +370,10 @@ class _Page:
 class PdfReader:
     is_encrypted = False
     def __init__(self, source):
-        self.pages = [_Page(t) for t in source.read().decode().split(chr(12))]
+        held = source.read().decode()
+        if not held.startswith("%PDF"):
+            raise ValueError("no PDF")
+        self.pages = [_Page(t) for t in held.removeprefix("%PDF").split(chr(12))]
 """
 
 
@@ -381,7 +384,7 @@ def test_command_line_loads_all_documents(spark, tmp_path, capsys):
     (tmp_path / "data").mkdir()
     for i in range(7):
         page = f"El Consejo acordó subir la tasa de interés {i} puntos base. " * 30
-        (tmp_path / "data" / f"Minuta_{10 + i}-01-13.pdf").write_text(page + chr(12) + "RIESGOS\n\n" + page)
+        (tmp_path / "data" / f"Minuta_{10 + i}-01-13.pdf").write_text("%PDF" + page + chr(12) + "RIESGOS\n\n" + page)
     common = ["--store", f"file://{tmp_path}/s", "--work", f"file://{tmp_path}/w", "--dimension", "16"]
     assert cli.main([*common, "full", str(tmp_path / "data")]) == 0
     assert "with_warnings" in capsys.readouterr().out
