@@ -739,6 +739,63 @@ def test_pipeline_stages_of_odd_tables(spark):
         assert sum(r["piece"] == 0 for r in packed) == (len(rows) if table is docs else 0)
 
 
+def test_pipeline_against_plain_code(spark):
+    """Each stage of the pipeline recomputed from its predecessor's rows, and the whole run's rows from the last."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    at = {c: i for i, c in enumerate(docs.columns)}
+    model = quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    x = np.array([_plain_statistics(r[at["text"]]) for r in rows], np.float32)
+    rows = [r for r, p in zip(rows, model.score(x)) if p >= 0.3]
+    kept = corpus_pipeline.quality(spark, docs, SF)
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, rows))
+
+    sites, first = {}, {}
+    strip = lambda t: t.strip(" \t\r\x0b\f")
+    for r in rows:
+        for pos, line in enumerate((r[at["text"]] or "").split("\n")):
+            if k := strip(line):
+                sites.setdefault(k, set()).update({r[at["source"]]} - {None})
+                first[k] = min(first.get(k, (1 << 60, 0)), (r[at["doc_id"]], pos))
+    cleaned = []
+    for r in rows:
+        parts = (r[at["text"]] or "").split("\n")
+        stays = [p for pos, p in enumerate(parts) if not strip(p) or len(sites[strip(p)]) < 3 or first[strip(p)] == (r[at["doc_id"]], pos)]
+        own = list(r)
+        if len(stays) < len(parts):
+            own[at["text"]] = "\n".join(stays)
+            own[at["n_chars"]] = len(own[at["text"]])
+        cleaned.append(tuple(own))
+    kept = corpus_pipeline.lines(spark, kept, SF)
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, cleaned))
+
+    classes = brute_classes([(r[at["doc_id"]], r[at["text"]]) for r in cleaned], 5, 80, 100)
+    single = [r for r in cleaned if classes[r[at["doc_id"]]][1] == r[at["doc_id"]]]
+    kept = corpus_pipeline.near_duplicates(spark, kept, SF)
+    assert len(single) < len(cleaned) and sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, single))
+
+    plain = Tokenizer.from_file(queries.tokenizer_path("byte_bpe_50k.json"))
+    want = set()
+    for r in single:
+        ids = [*plain.encode(r[at["text"]] or "", add_special_tokens=False).ids, 0]
+        head = len(ids) % 2048 or 2048
+        cuts = [0, *range(min(head, len(ids)), len(ids) + 1, 2048)]
+        want |= {(r[at["doc_id"]], k, a, b - a, crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))}
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert {tuple(r)[:5] for r in out} == want and len(out) == len(want)
+    by_sequence = {}
+    for r in out:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in by_sequence.values():
+        own.sort()
+        assert [a for a, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 2048
+    total = sum(r["length"] for r in out)
+    assert len(by_sequence) <= -(-total // 2048) + 2
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
