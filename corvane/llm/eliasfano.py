@@ -26,8 +26,9 @@ def encoded(values: np.ndarray, universe: int) -> bytes:
     n = len(values)
     width = max(0, int(universe // max(n, 1)).bit_length() - 1)
     high = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
-    words = np.zeros((int(high[-1]) if n else 0) // 64 + 1, np.uint64)
-    np.bitwise_or.at(words, high >> 6, np.uint64(1) << (high & 63).astype(np.uint64))
+    bits = np.zeros(((int(high[-1]) if n else 0) // 64 + 1) * 64, bool)
+    bits[high] = True
+    words = np.packbits(bits, bitorder="little").view(np.uint64)
     low = np.zeros(n * width // 64 + 2, np.uint64)
     if width:
         part = values & np.uint64((1 << width) - 1)
@@ -121,12 +122,11 @@ class EliasFano:
 
     def ranges(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The values at sorted positions and at the positions after them: where the children of nodes begin and end."""
-        some = _distinct(index)
-        both = _distinct(np.sort(np.r_[some, some + 1], kind="stable"))
-        values = self.select(both).astype(np.int64)
-        at = np.searchsorted(both, some)
-        of = np.searchsorted(some, index)
-        return values[at][of], values[at + 1][of]
+        new = np.ones(len(index), bool)
+        np.not_equal(index[1:], index[:-1], out=new[1:])
+        some, of = index[new], np.cumsum(new) - 1
+        values = self.select(np.r_[some, some + 1]).astype(np.int64)
+        return values[: len(some)][of], values[len(some) :][of]
 
     def successors(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each of the sorted wanted values the first position in [begin, end) whose value is at least it, or end, and whether it is that value.
@@ -144,7 +144,7 @@ class EliasFano:
             some = touched[s : s + BLOCKS]
             a, b = np.searchsorted(block, [some[0], some[-1] + 1])
             values = self.decoded(some)
-            home = np.searchsorted(some, block[a:b])
+            home = np.cumsum(np.r_[0, block[a + 1 : b] != block[a : b - 1]])
             k = np.clip(np.searchsorted(values, wanted[own[a:b]]), home << 9, (home + 1) << 9)
             at = np.clip(block[a:b] * SAMPLE + k - (home << 9), begin[own[a:b]], end[own[a:b]])
             k = at - block[a:b] * SAMPLE + (home << 9)
@@ -159,7 +159,7 @@ class EliasFano:
             a, b = np.searchsorted(block, [some[0], some[-1] + 1])
             values = self.decoded(some)
             k = np.searchsorted(values, wanted[own[a:b]])
-            home = np.searchsorted(some, block[a:b])
+            home = np.cumsum(np.r_[0, block[a + 1 : b] != block[a : b - 1]])
             k = np.clip(k, home << 9, np.minimum((home + 1) << 9, len(values)))
             at = block[a:b] * SAMPLE + k - (home << 9)
             at = np.clip(at, begin[own[a:b]], end[own[a:b]])

@@ -30,7 +30,7 @@ from corvane.llm.textnum import U, hashed_words, mix
 #: The hash of the token that ends each text; words' hashes are mixed and never take it in practice.
 END = U(0x656E646F66646F63)
 #: Tokens that a task gathers before it counts or sends them together, and requests that a shard answers together.
-GATHERED, ANSWERED = 1_200_000, 1_000_000
+GATHERED, ANSWERED = 1_400_000, 1_600_000
 #: Words of the longest n-gram.
 ORDER = 3
 DISCOUNT = 0.75
@@ -199,7 +199,7 @@ class Model:
 
     def unigram_of(self, ids: np.ndarray) -> np.ndarray:
         """log10 unigram probabilities by id; an id beyond the words is an unknown one."""
-        distinct, inverse = np.unique(ids.astype(np.int64), return_inverse=True)
+        distinct, inverse = lmtrie.distinct(ids.astype(np.int64))
         counts = np.zeros(len(distinct), np.int64)
         border = np.searchsorted(distinct, self.word_base)
         for s, path in enumerate(self.word_files):
@@ -238,7 +238,7 @@ class Known:
 
     def tokens(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and counts of tokens; the id of an unknown word is the number of words and one."""
-        distinct, inverse = np.unique(hashes, return_inverse=True)
+        distinct, inverse = lmtrie.distinct(hashes)
         at = np.searchsorted(self.hashes, distinct)
         held = np.zeros(len(distinct), bool)
         inside = at < len(self.hashes)

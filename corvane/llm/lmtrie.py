@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs
 
 from corvane.llm.eliasfano import EliasFano, encoded
@@ -126,6 +127,16 @@ def runs(columns: list[np.ndarray]) -> np.ndarray:
     return new
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct values and each value's place among them; by a hash table, so that only the distinct are sorted."""
+    held = pa.compute.dictionary_encode(pa.array(values))
+    own, index = held.dictionary.to_numpy(), held.indices.to_numpy()
+    order = np.argsort(own)
+    place = np.empty(len(own), np.int64)
+    place[order] = np.arange(len(own))
+    return own[order], place[index]
+
+
 def context_trie(grams: list[np.ndarray], counts: np.ndarray, universe: int, unigram, discount: float, whole: tuple[int, np.ndarray, np.ndarray] | None = None) -> bytes:  # noqa: ANN001
     """The file of sorted distinct grams (last context word, the one before, ..., next word) and their counts.
 
@@ -135,7 +146,7 @@ def context_trie(grams: list[np.ndarray], counts: np.ndarray, universe: int, uni
     """
     *context, word = (g.astype(np.int64) for g in grams)
     parts = [np.array([len(context), universe], "<u8").tobytes()]
-    below: tuple[np.ndarray, np.ndarray] | None = None
+    lower = 10 ** unigram(word)  # of each gram's word after the context of the level before
     node = np.zeros(len(word), np.int64)
     n_parents = 1
     for k in range(1, len(context) + 1):
@@ -143,19 +154,23 @@ def context_trie(grams: list[np.ndarray], counts: np.ndarray, universe: int, uni
         parent, node = node, np.cumsum(new) - 1
         n_nodes = int(new.sum())
         key, n = node * universe + word, counts.astype(np.int64)
-        order = np.argsort(key, kind="stable")
-        at = np.flatnonzero(runs([key[order]])) if len(key) else np.zeros(0, np.int64)
-        key, n = key[order][at], np.add.reduceat(n[order], at) if len(at) else n
-        upper = parent[order][at]
+        order = np.argsort(key) if k < len(context) else np.arange(len(key))
+        key = key[order]
+        first = runs([key])
+        at, of_gram = np.flatnonzero(first), np.cumsum(first) - 1
+        grams_key, key, n = key, key[at], np.add.reduceat(n[order], at) if len(at) else n
+        below = lower[order][at]
         children, of = context[k - 1][new], parent[new]
         if k == 1 and whole is not None:
             children, of, n_nodes = np.array([whole[0]], np.int64), np.zeros(1, np.int64), 1
-            key, n, upper = whole[1].astype(np.int64), whole[2].astype(np.int64), np.zeros(len(whole[1]), np.int64)
-        own, after = key // universe, key % universe
+            key, n, below = whole[1].astype(np.int64), whole[2].astype(np.int64), 10 ** unigram(whole[1].astype(np.int64))
+            of_gram = np.searchsorted(key, grams_key)
+        own = key // universe
         total, kinds = np.bincount(own, n, minlength=n_nodes), np.bincount(own, minlength=n_nodes)
         weight = discount * kinds / np.maximum(total, 1)
-        lower = 10 ** unigram(after) if below is None else below[1][np.searchsorted(below[0], upper * universe + after)]
-        value = np.maximum(n - discount, 0) / total[own] + weight[own] * lower if len(own) else np.zeros(0)
+        value = np.maximum(n - discount, 0) / total[own] + weight[own] * below if len(own) else np.zeros(0)
+        lower = np.empty(len(word))
+        lower[order] = value[of_gram]
         parts += [
             encoded(np.r_[0, np.cumsum(np.bincount(of, minlength=n_parents))], n_nodes),
             encoded(of * universe + children, max(n_parents, 1) * universe),
@@ -164,7 +179,7 @@ def context_trie(grams: list[np.ndarray], counts: np.ndarray, universe: int, uni
             Codes.made(np.log10(value)),
             Codes.made(np.log10(weight)),
         ]
-        below, n_parents = (key, value), n_nodes
+        n_parents = n_nodes
     return _joined(parts)
 
 
