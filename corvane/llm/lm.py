@@ -7,12 +7,15 @@ orders of it: it merges the grams of the highest order, derives the lower ones a
 to the shared folder. To score, tasks send each token with its context and row to
 the shard, whose task opens its trie once, descends it for all of them and sends back one sum
 for each row. The contexts of very frequent words are spread over several shards by the word before, and the
-word's successors are counted on their own. Nothing that grows with the corpus is sent to
-the driver or broadcast: it sees a row for each file and the few very frequent words.
+word's successors are counted on their own. The number of shards follows the counted tokens, so a
+shard's task has about as much to do whatever the size of the corpus; a shard that is asked more than
+others is asked by several tasks. The driver sees a row for each file and the few very frequent words;
+what it broadcasts is some bytes for each shard.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +37,9 @@ GATHERED, ANSWERED = 1_400_000, 1_600_000
 #: Words of the longest n-gram.
 ORDER = 3
 DISCOUNT = 0.75
-#: Shards for the contexts that end with a very frequent word, and the words that a file names as candidates.
+#: Training tokens that a shard of contexts has, unless there are fewer of them for each partition.
+TOKENS_A_SHARD = 4_000_000
+#: Least number of shards for the contexts that end with a very frequent word, and the words that a file names at least as candidates.
 SPREAD, FREQUENT = 16, 64
 
 
@@ -170,13 +175,25 @@ class Model:
     word_base: np.ndarray
     words: int
     tokens: int
-    tries: dict[int, str] = field(default_factory=dict)
-    #: Very frequent words, sorted: shards 2**word_bits + SPREAD * their place and up hold their contexts.
+    #: Shards of contexts that don't end with a very frequent word.
+    shards: int
+    #: Very frequent words, sorted, and the shards of those that need more than SPREAD of them.
     frequent: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    widths: dict[int, int] = field(default_factory=dict)
+    #: Where the tries are, the sorted numbers of those that exist, and the tasks that are asked for a shard with more than its share.
+    folder: str = ""
+    tries: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    askers: dict[int, int] = field(default_factory=dict)
 
     @property
-    def shards(self) -> int:
-        return 1 << self.word_bits
+    def begins(self) -> np.ndarray:
+        """The first shard of each very frequent word, and the one after the last."""
+        return self.shards + np.r_[0, np.cumsum([self.widths.get(w, SPREAD) for w in self.frequent.tolist()], dtype=np.int64)]
+
+    def trie(self, shard: int) -> str | None:
+        """The file of a shard's trie, if it has one."""
+        at = np.searchsorted(self.tries, shard)
+        return f"{self.folder}/tries-{shard:06d}" if at < len(self.tries) and self.tries[at] == shard else None
 
     def look(self, hashes: np.ndarray, *, counted: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1: unknown) and counts (if asked for, else zeros) of sorted hashes."""
@@ -214,7 +231,8 @@ class Model:
         if len(self.frequent) and before is not None:
             place = np.minimum(np.searchsorted(self.frequent, last), len(self.frequent) - 1)
             often = np.flatnonzero(self.frequent[place] == last)
-            out[often] = self.shards + SPREAD * place[often] + (mix(before[often]) % U(SPREAD)).astype(np.int64)
+            begins, place = self.begins, place[often]
+            out[often] = begins[place] + (mix(before[often]) % np.diff(begins).astype(np.uint64)[place]).astype(np.int64)
         return out
 
     def columns(self, ids: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
@@ -258,6 +276,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _vocabulary(rows: DataFrame, order: int, folder: str) -> Model:
     bits = max(0, (partitions(rows.sparkSession) - 1).bit_length())
+    enough = TOKENS_A_SHARD // 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, hashes, _ in _gathered(batches):
@@ -269,7 +288,7 @@ def _vocabulary(rows: DataFrame, order: int, folder: str) -> Model:
         shard = table.column("shard")[0].as_py()
         (hashes,), counts = _merged(table.column("blob"))
         lmtrie.put(path := f"{folder}/words-{shard:06d}", lmtrie.word_level(hashes, counts))
-        often = np.argsort(counts, kind="stable")[::-1][:FREQUENT]
+        often = np.argsort(counts, kind="stable")[::-1][: max(FREQUENT, int((counts > enough).sum()))]
         return pa.table({"shard": pa.array([shard], pa.int32()), "path": [path], "n": pa.array([len(hashes)], pa.int64()), "total": pa.array([int(counts.sum())], pa.int64()), "often": pa.array([often.tolist()], pa.list_(pa.int64())), "counts": pa.array([counts[often].tolist()], pa.list_(pa.int64()))})
 
     made = "shard int, path string, n long, total long, often array<long>, counts array<long>"
@@ -277,9 +296,13 @@ def _vocabulary(rows: DataFrame, order: int, folder: str) -> Model:
     n_files = 1 << bits
     each = [files[s]["n"] if s in files else 0 for s in range(n_files)]
     base, tokens = np.r_[0, np.cumsum(each)], sum(r["total"] for r in files.values())
-    # At most as many words as shards have more than a shard's share of all tokens.
-    often = sorted(int(base[s]) + i for s, r in files.items() for i, n in zip(r["often"], r["counts"]) if n * n_files > tokens)
-    return Model(order, bits, [files[s]["path"] if s in files else None for s in range(n_files)], base, sum(each), tokens, frequent=np.array(often if order > 2 and n_files > 1 else [], np.uint64))
+    model = Model(order, bits, [files[s]["path"] if s in files else None for s in range(n_files)], base, sum(each), tokens, max(n_files, -(-tokens // TOKENS_A_SHARD)), folder=folder)
+    if order > 2 and model.shards > 1:
+        # At most as many words as shards have more than a shard's share of all tokens.
+        often = {int(base[s]) + i: n * model.shards / tokens for s, r in files.items() for i, n in zip(r["often"], r["counts"]) if n * model.shards > tokens}
+        model.frequent = np.array(sorted(often), np.uint64)
+        model.widths = {w: math.ceil(share) for w, share in often.items() if share > SPREAD}
+    return model
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, order: int = ORDER, folder: str | None = None, discount: float = DISCOUNT) -> Model:
@@ -293,7 +316,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, or
     rows = _rows(docs, id_col, text_col)
     model = _vocabulary(rows, order, path)
     held = spark.sparkContext.broadcast(model)
-    universe, spread = model.words + 2, model.shards + SPREAD * len(model.frequent)
+    begins = model.begins
+    universe, spread = model.words + 2, int(begins[-1])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
@@ -320,26 +344,29 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, or
             kind, content = ("merged" if shard < spread else "successors"), packed([*grams, n])
         lmtrie.put(f"{path}/{kind}-{shard:06d}", content)
         returned()
-        return pa.table({"shard": pa.array([shard], pa.int32())})
+        return pa.table({"shard": pa.array([shard], pa.int32()), "tokens": pa.array([int(n.sum())], pa.int64())})
 
-    done = {r["shard"] for r in by_arrow(rows, count, "shard int, blob binary").groupBy("shard").applyInArrow(write, "shard int").collect()}
+    done = {r["shard"]: r["tokens"] for r in by_arrow(rows, count, "shard int, blob binary").groupBy("shard").applyInArrow(write, "shard int, tokens long").collect()}
     freed(spark)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, merged in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                place = (shard - model.shards) // SPREAD
+                place = int(np.searchsorted(begins, shard, "right")) - 1
                 *grams, n = unpacked(bytes(lmtrie.opened(f"{path}/merged-{shard:06d}"))) if merged else [np.zeros(0, np.uint64)] * (order + 1)
                 _, after, m = unpacked(bytes(lmtrie.opened(f"{path}/successors-{spread + place:06d}")))
                 lmtrie.put(f"{path}/tries-{shard:06d}", lmtrie.context_trie(grams, n, universe, held.value.unigram_of, discount, (int(model.frequent[place]), after, m)))
             yield batch
 
     # Every shard of a frequent word that has successors gets a trie, also one without grams of its own.
-    parts = [s for s in range(model.shards, spread) if spread + (s - model.shards) // SPREAD in done]
+    parts = [s for place, (a, b) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist())) if spread + place in done for s in range(a, b)]
     if parts:  # a row for each
         todo = spark.createDataFrame([(s, s in done) for s in parts], "shard int, merged boolean").repartition(min(len(parts), partitions(spark)), "shard")
         by_arrow(todo, finish, "shard int, merged boolean").count()
-    model.tries = {s: f"{path}/tries-{s:06d}" for s in [*(s for s in done if s < model.shards), *parts]}
+    model.tries = np.array(sorted([*(s for s in done if s < model.shards), *parts]), np.int64)
+    # What is scored is spread over shards as what was learned from; a task is asked for up to twice a shard's share.
+    share = 2 * max(1, model.tokens // model.shards)
+    model.askers = {s: -(-n // share) for s, n in done.items() if s < spread and n > share}
     if folder is None:
         transient(spark, path)
     return model
@@ -355,7 +382,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     freed(spark)  # what training shuffled
     held = spark.sparkContext.broadcast(model)
     unknown = U(model.words + 1)
-    schema = "shard int, task long, gather long, blob binary"
+    schema = "shard int, part int, task long, gather long, blob binary"
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
@@ -378,14 +405,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             # The rows' own figures travel as a blob beside the requests, to no shard of words.
             blobs = [(-1 - (task + gather) % m.shards, _ipc(own)), *_by_shard([*(c[by] for c in columns), row[by]], shard[by])]
             n = len(blobs)
-            yield as_batch({"shard": pa.array([s for s, _ in blobs], pa.int32()), "task": pa.array([task] * n, pa.int64()), "gather": pa.array([gather] * n, pa.int64()), "blob": pa.array([b for _, b in blobs], pa.binary())})
+            part = [(task + gather) % m.askers.get(s, 1) for s, _ in blobs]
+            yield as_batch({"shard": pa.array([s for s, _ in blobs], pa.int32()), "part": pa.array(part, pa.int32()), "task": pa.array([task] * n, pa.int64()), "gather": pa.array([gather] * n, pa.int64()), "blob": pa.array([b for _, b in blobs], pa.binary())})
 
     def answer(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         if shard < 0:
             return table
         m: Model = held.value
-        trie = lmtrie.ContextTrie(lmtrie.opened(m.tries[shard])) if shard in m.tries else None
+        path = m.trie(shard)
+        trie = lmtrie.ContextTrie(lmtrie.opened(path)) if path else None
         out: list[bytes] = []
         pending: list[list[np.ndarray]] = []
         size, blobs = 0, table.column("blob")
@@ -420,7 +449,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             score[at.astype(np.int64)] += part.view(np.float64)
         return own.set_column(4, "score", pa.array(score))
 
-    answers = by_arrow(_rows(docs, id_col, text_col), ask, schema).groupBy("shard").applyInArrow(answer, schema)
+    answers = by_arrow(_rows(docs, id_col, text_col), ask, schema).groupBy("shard", "part").applyInArrow(answer, schema)
     return answers.groupBy("task", "gather").applyInArrow(add, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 

@@ -684,6 +684,28 @@ def test_lm_scores(docs, spark, empty, monkeypatch, order, share):
     assert lm.train_and_score(docs.where("doc_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_lm_shards_follow_the_tokens(spark, monkeypatch, order):
+    """Many more shards than partitions, a word and a pair that are a third of all tokens, and shards asked by several tasks."""
+    r = np.random.default_rng(5)
+    texts = [" ".join(["hot"] * int(r.integers(0, 40)) + [f"w{int(i)}" for i in r.zipf(1.3, 60) % 400]) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    uni, n_all, v, p = _plain_model([[*t.split(), None] for t in texts], order)
+    monkeypatch.setattr(lm, "TOKENS_A_SHARD", 300)
+    model = lm.train(docs, order=order)
+    assert model.tokens == n_all and model.words == v and model.shards == -(-n_all // 300) > 1 << model.word_bits
+    if order > 2:
+        assert uni["hot"] * model.shards // n_all in (max(model.widths.values()), max(model.widths.values()) - 1) and len(model.begins) == len(model.frequent) + 1
+    assert max(model.askers.values()) > 2
+    got = {r["doc_id"]: (r["n_tokens"], r["score"]) for r in lm.score(docs, model).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        own = [*t.split(), None]
+        padded = ["<s>"] * (order - 1) + own
+        want = sum(log10(p(tuple(padded[k : k + order - 1]), w)) for k, w in enumerate(own))
+        assert got[i][0] == len(own) and abs(got[i][1] - want) < 0.01 * len(own)
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 1000])
 def test_codes(n):
     values = np.random.default_rng(n).uniform(-7, 0, n)
