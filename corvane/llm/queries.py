@@ -103,6 +103,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2).drop("shard")
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corvane.llm.substrings import substring_dedup
+
+    kept = substring_dedup(_table(spark, sf_dir, "documents"), width=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,7 +117,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, chat_tool_links, pipeline)
+    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, op12_substring_dedup, chat_tool_links, pipeline)
     return {f.__name__: f for f in every}
 
 
@@ -158,6 +165,18 @@ SELECT conv_id, count(*) AS n_turns, count(*) FILTER (role = 'assistant') AS n_c
 FROM message GROUP BY conv_id
 """
 
+#: Windows of 20 words as strings; a word is covered if one of the 20 windows up to it repeats an earlier one.
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM d),
+s AS (SELECT doc_id, pos, string_agg(word, ' ') OVER win AS phrase, count(*) OVER win AS n FROM w WINDOW win AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+k AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, pos) > 1 AS again FROM s WHERE n = 20),
+c AS (SELECT w.doc_id, w.pos, w.word, coalesce(bool_or(k.again) OVER (PARTITION BY w.doc_id ORDER BY w.pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+      FROM w LEFT JOIN k ON w.doc_id = k.doc_id AND w.pos = k.pos),
+g AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"chat_tool_links": CHAT_TOOL_LINKS_SQL, "op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op8_chat": OP8_SQL}
+    return {"chat_tool_links": CHAT_TOOL_LINKS_SQL, "op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op12_substring_dedup": OP12_SQL, "op8_chat": OP8_SQL}
