@@ -103,6 +103,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2).drop("shard")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corvane.llm.collocations import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corvane.llm.substrings import substring_dedup
 
@@ -117,7 +123,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, op12_substring_dedup, chat_tool_links, pipeline)
+    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, op11_collocations, op12_substring_dedup, chat_tool_links, pipeline)
     return {f.__name__: f for f in every}
 
 
@@ -165,6 +171,25 @@ SELECT conv_id, count(*) AS n_turns, count(*) FILTER (role = 'assistant') AS n_c
 FROM message GROUP BY conv_id
 """
 
+#: Phrases as lists of words; sub-phrases of frequent phrases are frequent, so f holds all that cuts need.
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+q AS (SELECT lang, row_number() OVER () AS id, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p),
+w AS (SELECT lang, id, unnest(ws) AS w1, unnest(range(len(ws))) AS pos FROM q),
+g AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4, lead(w1, 4) OVER o AS w5 FROM w WINDOW o AS (PARTITION BY id ORDER BY pos)),
+t AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+s AS (SELECT lang, 1 AS m, w1 AS phrase FROM g UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM g UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM g
+      UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM g UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM g),
+f AS (SELECT lang, string_split(phrase, ' ') AS ws, m, count(*) AS f FROM s WHERE phrase IS NOT NULL GROUP BY lang, phrase, m HAVING count(*) >= 100),
+cut AS (SELECT c.lang, c.ws, c.f AS a, k, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+        FROM f c, range(1, 5) AS x(k), f l, f r, t WHERE c.m > k AND l.lang = c.lang AND l.ws = c.ws[1:k] AND r.lang = c.lang AND r.ws = c.ws[k + 1 : c.m] AND t.lang = c.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+part AS (SELECT lang, ws[i : i + s - 1] AS ws, max(f) AS longer FROM f, range(2, 5) AS x(s), range(1, 5) AS y(i) WHERE s < m AND i + s - 1 <= m GROUP BY ALL),
+ranked AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, array_to_string(b.ws, ' ')) AS rank, array_to_string(b.ws, ' ') AS phrase, a, l, r, n, b.score::BIGINT AS score
+           FROM best b LEFT JOIN part ON b.lang = part.lang AND b.ws = part.ws WHERE part.longer IS NULL OR 100 * part.longer < 100 * b.a)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 #: Windows of 20 words as strings; a word is covered if one of the 20 windows up to it repeats an earlier one.
 OP12_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
@@ -179,4 +204,4 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"chat_tool_links": CHAT_TOOL_LINKS_SQL, "op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op12_substring_dedup": OP12_SQL, "op8_chat": OP8_SQL}
+    return {"chat_tool_links": CHAT_TOOL_LINKS_SQL, "op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op11_collocations": OP11_SQL, "op12_substring_dedup": OP12_SQL, "op8_chat": OP8_SQL}

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructField, StructType
 
 from corvane.llm.common import freed, partitions, returned, tuned, written
 from corvane.llm.countmin import ANSWER, REQUEST, Sketch, squeezed, steps, unsqueezed
-from corvane.llm.textnum import U, column_bytes, mix, word_hashes, word_spans
+from corvane.llm.textnum import U, column_bytes, joined_words, mix, word_hashes, word_spans
 from corvane.llm.units import in_units, sorted_by_place
 
 #: Words of a window.
@@ -28,8 +28,6 @@ WIDTH = 20
 CELLS, WORD_BYTES, SHARD = 4, 6, 1 << 20
 #: Answers of the exact pass have this line.
 EXACT = -1
-#: Words whose text is put together at once.
-JOINED = 1 << 20
 #: A second hash of a word is the first one over other bytes.
 _OTHER = np.roll(np.arange(256, dtype=np.uint8), 97)
 
@@ -63,22 +61,8 @@ class Words:
 
     def without(self, gone: np.ndarray) -> pa.Array:
         """Each text's words that aren't gone, joined by one space."""
-        pieces, sizes = [], np.zeros(len(self.starts), np.int64)
         kept = np.flatnonzero(~gone)
-        last = np.zeros(len(self.starts), bool)
-        rows = np.searchsorted(self.first[1:], kept, side="right")
-        last[kept[np.r_[rows[1:] != rows[:-1], True]] if len(kept) else kept] = True
-        sizes[kept] = self.ends[kept] - self.starts[kept] + ~last[kept]
-        for a in range(0, len(kept), JOINED):
-            own = kept[a : a + JOINED]
-            size = sizes[own]
-            end = np.cumsum(size)
-            at = np.arange(end[-1]) + np.repeat(self.starts[own] - (end - size), size)
-            piece = self.data[np.minimum(at, len(self.data) - 1)]
-            piece[end[~last[own]] - 1] = 0x20
-            pieces.append(piece)
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        return pa.LargeStringArray.from_buffers(len(self.first) - 1, pa.py_buffer(total[self.first].astype(np.int64)), pa.py_buffer(np.concatenate(pieces) if pieces else np.zeros(0, np.uint8)))
+        return joined_words(self.data, self.starts, self.ends, kept, np.searchsorted(kept, self.first))
 
 
 def _different(k1: np.ndarray, k2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

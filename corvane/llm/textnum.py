@@ -60,12 +60,12 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[at[0] : at[-1]], at - at[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word; space: whether a byte is between words."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    solid = ~SPACE[data]
+    solid = ~space[data]
     first = np.empty(len(data), bool)
     first[0], first[1:] = True, ~solid[:-1]
     borders = offsets[:-1][offsets[:-1] < len(data)]
@@ -131,3 +131,24 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+#: Words whose text is put together at once.
+JOINED = 1 << 20
+
+
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Rows of words joined by one space: row i has the words numbered words[bounds[i] : bounds[i + 1]]."""
+    sizes, last = ends[words] - starts[words] + 1, np.zeros(len(words), bool)
+    last[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = True
+    sizes -= last
+    pieces = []
+    for a in range(0, len(words), JOINED):
+        size = sizes[a : a + JOINED]
+        end = np.cumsum(size)
+        at = np.arange(end[-1]) + np.repeat(starts[words[a : a + JOINED]] - (end - size), size)
+        piece = data[np.minimum(at, len(data) - 1)]
+        piece[end[~last[a : a + JOINED]] - 1] = 0x20
+        pieces.append(piece)
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(total[bounds].astype(np.int64)), pa.py_buffer(np.concatenate(pieces) if pieces else np.zeros(0, np.uint8)))

@@ -14,7 +14,7 @@ from corvane.llm.common import new_path, partitions, transient
 UNIT_BYTES, LEAST_BYTES = 4 << 20, 64 << 10
 
 
-def in_units(docs: DataFrame, columns: list[Column], order: list[Column], name: str) -> tuple[DataFrame, int]:
+def in_units(docs: DataFrame, columns: list[Column], order: list[Column], name: str, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame, int]:
     """(unit int, place long, columns), and the number of bytes in the column text, which columns must hold.
 
     Units are ranges of the rows in that order, ties in any order; place ascends with it through all units. The
@@ -25,7 +25,7 @@ def in_units(docs: DataFrame, columns: list[Column], order: list[Column], name:
     by = [*[f"order{i}" for i in range(len(order))], "tie"]
     size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
     few = partitions(spark)
-    n = max(1, -(-size // UNIT_BYTES), min(few, -(-size // LEAST_BYTES)))
+    n = max(1, -(-size // unit_bytes), min(few, -(-size // LEAST_BYTES)))
     sorted_rows = rows.repartitionByRange(n, *by).sortWithinPartitions(*by).drop(*by)
     placed = sorted_rows.select(F.spark_partition_id().alias("unit"), F.monotonically_increasing_id().alias("place"), *sorted_rows.columns)
     table, path = f"corvane_{name}_{uuid.uuid4().hex}", new_path(spark, name)
