@@ -30,7 +30,9 @@ LANGS = 10_000
 _BREAK, _GAP = np.zeros(256, bool), np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _GAP[[*b" \t"]] = True
-COUNTS = "lang string, words int, phrase string, n long"
+#: Text bytes for each shard of the counts, which are merged by a hash of their phrase.
+SHARD_BYTES = 6 << 20
+SHEETS, COUNTS = "shard int, sheet binary", "lang string, words int, phrase string, f long"
 
 
 class Shard:
@@ -86,6 +88,28 @@ def stretches(shard: Shard, over: np.ndarray, order: np.ndarray, begins: np.ndar
     return held, left[held]
 
 
+def packed(table: pa.Table) -> bytes:
+    """A table's columns in compressed form: counts travel as one sheet of each unit and shard."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def merged(sheets: DataFrame, least: int) -> DataFrame:
+    """Sheets of all units, by shard, to COUNTS: the sums of each phrase that reach `least`, and all totals."""
+
+    def added(table: pa.Table) -> pa.Table:
+        counts = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in table.column("sheet").to_pylist()])
+        sums = counts.group_by(["lang", "words", "phrase"], use_threads=False).aggregate([("n", "sum")])
+        out = sums.filter((pa.compute.field("words") == 0) | (pa.compute.field("n_sum") >= least)).rename_columns({"n_sum": "f"}).select(["lang", "words", "phrase", "f"])
+        del counts, sums
+        returned()
+        return out
+
+    return sheets.groupBy("shard").applyInArrow(added, COUNTS)
+
+
 def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, least: int, longest: int) -> DataFrame:
     """(lang, words, phrase, f long): all words and phrases that occur `least` times or more, and a language's words as words = 0; a written table."""
     spark = docs.sparkSession
@@ -94,6 +118,7 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, least: int, lon
     units, size = in_units(docs, [lang.alias("lang"), text.alias("text")], [lang, F.xxhash64(text)], "phrases", UNIT)
     freed(spark)
     sketch = Sketch.of(size // CELL_BYTES, min(least, 255), partitions(spark))
+    shards = max(partitions(spark), size // SHARD_BYTES)
 
     def counted(key: tuple, table: pa.Table) -> pa.Table:
         *_, keys, counts = Shard(sorted_by_place(table)).pairs()
@@ -103,27 +128,36 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, least: int, lon
 
     def sent(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         shard = Shard(sorted_by_place(table))
-        order, begins, sizes, keys, _ = shard.pairs()
-        held, left = stretches(shard, sketch.reached(keys, answers), order, begins, sizes, longest)
+        order, begins, sizes, asked, _ = shard.pairs()
+        held, left = stretches(shard, sketch.reached(asked, answers), order, begins, sizes, longest)
         ids = shard.ids[held]
         order = suffix_order(ids, left, longest)
         prefixes = common_prefixes(ids, left, order, longest)
+        keys = [np.zeros(len(shard.langs), np.uint64)]
         out = [pa.table({"lang": pa.array(shard.langs, pa.string()), "words": pa.array([0] * len(shard.langs), pa.int32()), "phrase": pa.array([""] * len(shard.langs), pa.string()), "n": pa.array(np.bincount(shard.lang, minlength=len(shard.langs)).astype(np.int64))})]
         names = pa.array(shard.langs, pa.string())
         for n in range(1, longest + 1):
             _, first, many = ngrams(left, order, prefixes, n)
             at = held[first]
             text = joined_words(shard.data, shard.starts, shard.ends, (at[:, None] + np.arange(n)).ravel(), np.arange(len(at) + 1) * n)
+            key = shard.hashes[at]
+            for k in range(1, n):
+                key = key * U(0x9E3779B97F4A7C15) + shard.hashes[at + k]
+            keys.append(mix(key))
             out.append(pa.table({"lang": names.take(pa.array(shard.lang[at])), "words": pa.array(np.full(len(at), n, np.int32)), "phrase": text.cast(pa.string()), "n": pa.array(many.astype(np.int64))}))
-        del shard, order, keys, held, left, ids, prefixes
+        counts, to = pa.concat_tables(out).combine_chunks(), np.concatenate(keys) % U(shards)
+        by = np.argsort(to, kind="stable")
+        counts, at = counts.take(pa.array(by)), np.searchsorted(to[by], np.arange(shards + 1, dtype=np.uint64))
+        full = np.flatnonzero(at[1:] > at[:-1]).tolist()
+        sheets = pa.table({"shard": pa.array(full, pa.int32()), "sheet": pa.array([packed(counts.slice(at[i], at[i + 1] - at[i])) for i in full], pa.binary())})
+        del shard, order, keys, held, left, ids, prefixes, out, counts
         returned()
-        return pa.concat_tables(out)
+        return sheets
 
     grouped = units.groupBy("unit")
     estimates = written(sketch.answers(grouped.applyInArrow(counted, REQUEST)), "estimates")
     freed(spark)
-    counts = grouped.cogroup(estimates.groupBy("unit")).applyInArrow(sent, COUNTS)
-    frequent = written(counts.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least)), "frequent")
+    frequent = written(merged(grouped.cogroup(estimates.groupBy("unit")).applyInArrow(sent, SHEETS), least), "frequent")
     dropped(estimates)
     freed(spark)
     return frequent
