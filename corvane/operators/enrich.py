@@ -28,7 +28,8 @@ DEFAULT_TYPE, DEFAULT_INSTITUTION = "REPORTE_RESEARCH", "unknown"
 
 def variables(normal: Column, taxonomy: Taxonomy) -> Column:
     """map<name, struct<importance, mentions, confidence>> of the variables that occur, in the taxonomy's order."""
-
+    if not taxonomy.variables:
+        return F.create_map().cast("map<string,struct<importance:string,mentions:int,confidence:double>>")
     names, levels = (F.array(*map(F.lit, x)) for x in (list(taxonomy.variables), [level for level, _ in taxonomy.variables.values()]))
     counts = F.array(*[T.mentions(normal, words) for _, words in taxonomy.variables.values()])
 
@@ -41,6 +42,8 @@ def variables(normal: Column, taxonomy: Taxonomy) -> Column:
 
 def entities(normal: Column, taxonomy: Taxonomy) -> Column:
     """map<name, count> of the entities that occur."""
+    if not taxonomy.entities:
+        return F.create_map().cast("map<string,int>")
     every = F.array(*[F.struct(F.lit(n).alias("key"), T.mentions(normal, words).alias("value")) for n, words in taxonomy.entities.items()])
     return F.map_from_entries(F.filter(every, lambda e: e["value"] > 0))
 
@@ -53,6 +56,7 @@ def section(normal: Column, position: Column, total: Column, hint: Column, taxon
     for name in reversed(taxonomy.sections):
         named = F.when(title.contains(name.lower()), name).otherwise(named)
     scores = F.array(*[F.struct(T.mentions(normal, words).alias("score"), F.lit(-i).alias("order"), F.lit(n).alias("name")) for i, (n, words) in enumerate(taxonomy.sections.items())])
+    scores = scores if taxonomy.sections else scores.cast("array<struct<score:int,order:int,name:string>>")
     place = position / F.greatest(F.lit(1), total - 1)
     by_place = (
         F.when(total <= 0, out("CONTENIDO", 0.25))

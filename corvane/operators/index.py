@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -61,20 +61,22 @@ class CellIndex:
         return recall.vector_recall(self.cells(query, probes), query, n, id_col=id_col, vector_col=self.vector_col)
 
 
-def build(chunks: DataFrame, folder: str, *, vector_col: str = "embedding", id_col: str = "chunk_id", wanted: float = 0.95, n: int = 20, sample: int = SAMPLE) -> CellIndex:
-    """An index of all rows that have a vector of the most frequent dimension, written under folder.
-
-    Null and empty vectors and those of another dimension are left out, as exact recall leaves them out; rows that repeat an id are rows of
-    their own. Without rows the index finds nothing.
-    """
-    spark: SparkSession = chunks.sparkSession
-    sizes = chunks.where(F.size(vector_col) > 0).groupBy(F.size(vector_col).alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    dimension, count = (sizes[0]["d"], sizes[0]["count"]) if sizes else (1, 0)
-    rows = chunks.where(F.size(vector_col) == dimension)
-    seen = rows.select(F.col(vector_col).cast("array<double>").alias("v"), F.xxhash64(id_col).alias("h")).orderBy("h").limit(sample).toArrow()
+def sampled(rows: DataFrame, dimension: int, most: int, vector_col: str = "embedding", id_col: str = "chunk_id") -> np.ndarray:
+    """Vectors of `most` rows at most, chosen by a hash of the identifier; of none, one zero vector."""
+    seen = rows.select(F.col(vector_col).cast("array<double>").alias("v"), F.xxhash64(id_col).alias("h")).orderBy("h").limit(most).toArrow()
     x = seen.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension) if len(seen) else np.zeros((1, dimension))
-    middles = centroids(np.nan_to_num(x), min(CELLS[1], max(CELLS[0], count // CELL_ROWS), len(x)))
-    held = spark.sparkContext.broadcast(middles)  # at most 4,096 vectors
+    return np.nan_to_num(x)
+
+
+def fitted(rows: DataFrame, dimension: int, count: int, *, vector_col: str = "embedding", id_col: str = "chunk_id", sample: int = SAMPLE) -> np.ndarray:
+    """Centroids for so many rows, from a bounded sample of them."""
+    x = sampled(rows, dimension, sample, vector_col, id_col)
+    return centroids(x, min(CELLS[1], max(CELLS[0], count // CELL_ROWS), len(x)))
+
+
+def assigned(rows: DataFrame, middles: np.ndarray, dimension: int, vector_col: str = "embedding") -> DataFrame:
+    """rows and the cell of each, the nearest centroid's."""
+    held = rows.sparkSession.sparkContext.broadcast(middles)  # at most 4,096 vectors
     at = rows.columns.index(vector_col)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,14 +84,29 @@ def build(chunks: DataFrame, folder: str, *, vector_col: str = "embedding", id_c
             v = b.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array((np.nan_to_num(v) @ held.value.T).argmax(axis=1).astype(np.int32) if b.num_rows else [], pa.int32())], names=[*b.schema.names, "cell"])
 
-    schema = StructType([*rows.schema.fields, StructField("cell", IntegerType())])
-    rows.mapInArrow(assign, schema).repartition("cell").write.partitionBy("cell").mode("overwrite").parquet(folder)
-    index = CellIndex(spark.read.schema(schema).parquet(folder), middles, len(middles), vector_col)
-    index.probes = _measured(index, x, n, wanted)
+    return rows.mapInArrow(assign, StructType([*rows.schema.fields, StructField("cell", IntegerType())]))
+
+
+def build(chunks: DataFrame, folder: str, *, vector_col: str = "embedding", id_col: str = "chunk_id", wanted: float = 0.95, n: int = 20, sample: int = SAMPLE) -> CellIndex:
+    """An index of all rows that have a vector of the most frequent dimension, written under folder; for a table that doesn't change.
+
+    Null and empty vectors and those of another dimension are left out, as exact recall leaves them out; rows that repeat an id are rows of
+    their own. Without rows the index finds nothing. sources.indexes keeps one for a store, which loads change.
+    """
+    spark: SparkSession = chunks.sparkSession
+    sizes = chunks.where(F.size(vector_col) > 0).groupBy(F.size(vector_col).alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    dimension, count = (sizes[0]["d"], sizes[0]["count"]) if sizes else (1, 0)
+    rows = chunks.where(F.size(vector_col) == dimension)
+    middles = fitted(rows, dimension, count, vector_col=vector_col, id_col=id_col, sample=sample)
+    held = assigned(rows, middles, dimension, vector_col)
+    # Ranges of (cell, row), so that a cell of equal vectors is several tasks.
+    held.repartitionByRange("cell", F.xxhash64(id_col)).write.partitionBy("cell").mode("overwrite").parquet(folder)
+    index = CellIndex(spark.read.schema(held.schema).parquet(folder), middles, len(middles), vector_col)
+    index.probes = measured(index, sampled(rows, dimension, QUERIES, vector_col, id_col), n, wanted)
     return index
 
 
-def _measured(index: CellIndex, sample: np.ndarray, n: int, wanted: float) -> int:
+def measured(index: CellIndex, sample: np.ndarray, n: int, wanted: float) -> int:
     """The fewest cells with which sampled queries find the wanted share of their neighbours, the neighbours found by looking at all rows."""
     q = _units(np.nan_to_num(sample[:QUERIES]))
     queries = index.rows.sparkSession.sparkContext.broadcast(q)
@@ -97,18 +114,21 @@ def _measured(index: CellIndex, sample: np.ndarray, n: int, wanted: float) -> in
     cell_at = index.rows.columns.index("cell")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, own = np.full((len(q), 0), -np.inf), np.zeros((len(q), 0), np.int32)  # a task's n best of each query
         for b in batches:
             if not b.num_rows:
                 continue
             v = _units(np.nan_to_num(b.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)))
-            score = queries.value @ v.T
+            score = np.concatenate([top, queries.value @ v.T], axis=1)
+            cell = np.concatenate([own, np.broadcast_to(b.column(cell_at).to_numpy().astype(np.int32), (len(q), b.num_rows))], axis=1)
             best = np.argsort(-score, axis=1, kind="stable")[:, :n]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q)), best.shape[1]).astype(np.int32)), pa.array(np.take_along_axis(score, best, 1).ravel()), pa.array(b.column(cell_at).to_numpy()[best].ravel().astype(np.int32))], names=["q", "score", "cell"])
+            top, own = np.take_along_axis(score, best, 1), np.take_along_axis(cell, best, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q)), top.shape[1]).astype(np.int32)), pa.array(top.ravel()), pa.array(own.ravel())], names=["q", "score", "cell"])
 
     found = index.rows.mapInArrow(look, "q int, score double, cell int")
-    top = found.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", "cell")), asc=False), 1, n).alias("best"))  # n rows of each task and batch
+    best = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "cell"))).where(F.col("r") <= n)
     place = np.argsort(np.argsort(-(q @ index.centroids.T), axis=1, kind="stable"), axis=1)  # rank of each cell for each query
-    ranks = np.array([place[r["q"], b["cell"]] for r in top.collect() for b in r["best"]])
+    ranks = np.array([place[r["q"], r["cell"]] for r in best.select("q", "cell").collect()])  # n rows of each sampled query
     if not len(ranks):
         return 1
     return int(np.sort(ranks)[min(len(ranks) - 1, int(np.ceil(wanted * len(ranks))) - 1)]) + 1

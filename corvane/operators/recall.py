@@ -36,19 +36,24 @@ def has_all(text: Column, terms: list[str]) -> Column:
 
 
 def cover_density(text: Column, terms: list[str]) -> Column:
-    """The sum of 0.1 / (1 + noise) over minimal covers, noise being the words of a cover that are no query lexeme.
+    """The sum of 0.1 / (1 + noise) over minimal covers, noise being the words of a cover that are no query lexeme. See density()."""
+    if not terms:
+        return F.lit(0.0)
+    where = F.array(*map(F.lit, terms))
+    found = F.transform(lexemes(text), lambda w, i: F.struct(i.alias("at"), F.array_position(where, w).cast("int").alias("term")))
+    return density(F.filter(found, lambda h: h["term"] > 0), len(terms))
+
+
+def density(places: Column, terms: Column | int) -> Column:
+    """Cover density of array<struct<at, term>>: where query lexemes, numbered from 1, occur, in order.
 
     A cover is a span with every lexeme that has no shorter one inside. One pass over the hits
     keeps each lexeme's last hit; a span ends at a hit when the smallest of these moves. Hits are
     numbered, so those inside a cover are a difference of numbers.
     """
-    if not terms:
-        return F.lit(0.0)
-    where = F.array(*map(F.lit, terms))
-    found = F.transform(lexemes(text), lambda w, i: F.struct(i.alias("at"), F.array_position(where, w).cast("int").alias("term")))
-    hits = F.transform(F.filter(found, lambda h: h["term"] > 0), lambda h, i: F.struct(h["at"].alias("at"), h["term"].alias("term"), i.alias("n")))
+    hits = F.transform(places, lambda h, i: F.struct(h["at"].alias("at"), h["term"].alias("term"), i.alias("n")))
     none = F.struct(F.lit(-1).alias("n"), F.lit(-1).alias("at"))
-    start = F.struct(F.array_repeat(none, len(terms)).alias("last"), F.lit(-1).alias("low"), F.lit(0.0).alias("sum"))
+    start = F.struct(F.array_repeat(none, terms).alias("last"), F.lit(-1).alias("low"), F.lit(0.0).alias("sum"))
 
     def step(s: Column, h: Column) -> Column:
         own = F.struct(h["n"].alias("n"), h["at"].alias("at"))
@@ -79,9 +84,3 @@ def lexical_recall(chunks: DataFrame, query: str, n: int = 50, *, id_col: str =
 def importance_recall(chunks: DataFrame, n: int, *, id_col: str = "chunk_id") -> DataFrame:
     """The fallback: the most important chunks, early pages first."""
     return chunks.orderBy(F.desc("importance_score"), F.asc("page_start"), id_col).limit(n)
-
-
-def inverted_index(chunks: DataFrame, *, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:
-    """(token, chunk_id, positions, n): for collections that are searched often; write it partitioned by a hash of token."""
-    rows = chunks.select(F.col(id_col), F.posexplode(lexemes(F.col(text_col))).alias("at", "token"))
-    return rows.groupBy("token", id_col).agg(F.sort_array(F.collect_list("at")).alias("positions"), F.count("*").alias("n"))

@@ -521,12 +521,12 @@ def context_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from corvane.plans import more  # noqa: F401  adds its queries
+    from corvane.plans import more, stored  # noqa: F401  add their queries
 
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from corvane.plans import more  # noqa: F401
+    from corvane.plans import more, stored  # noqa: F401
 
     return dict(SQL)

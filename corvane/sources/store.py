@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
 
@@ -10,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvane.sources.versions import Versions
+
 _text, _int, _flag = T.StringType(), T.IntegerType(), T.BooleanType()
 
 
@@ -75,105 +76,124 @@ def replace_chunks(old: DataFrame, new: DataFrame, key: str = "document_id") ->
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
 
 
+class Conflict(RuntimeError):
+    """Other loads kept changing the same buckets."""
+
+
 class Store:
-    """Documents and chunks as Parquet under a folder, in buckets by document, behind one pointer to the current version of both.
+    """Documents and chunks as Parquet under a folder, in buckets by document, behind numbered versions of both.
 
-    A load writes new versions of the buckets it touches beside the old ones and then moves the pointer,
-    in one rename, to a list that names the folder of every bucket of both tables. Readers see all of a load or
-    nothing, and a failed one changes nothing. What the current and the previous version name is kept, for
-    readers that planned on it; older folders go.
+    A load writes new folders of the buckets it touches beside the old ones and then makes the next
+    version, which names the folder of every bucket of both tables. Readers see all of a load or
+    nothing, and a failed one changes nothing. Of loads that run at once, one makes the next version; the others add theirs to it, or
+    run again on it if it touched one of their buckets, so that none is lost: a document that two bring is the later version's.
+    What the current and the previous version name is kept, for readers that planned on it; older folders go.
     """
 
+    #: How often a load runs again because others changed its buckets.
+    TRIES = 10
+
     def __init__(self, spark: SparkSession, folder: str, prefix: str = "", buckets: int = 64):
         self.spark, self.folder, self.prefix, self.buckets = spark, folder.rstrip("/"), prefix, buckets
-        checked_name(prefix + "documents")
+        self.versions = Versions(spark, f"{self.folder}/{checked_name(prefix + 'tables')}.versions")
 
-    def _path(self, name: str):  # noqa: ANN202
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def version(self) -> dict:
+        """{"number", "tables": {table: {bucket: folder}}, "buckets": their number, "dimension": of the vectors, "before": folders of the version before}."""
+        number, held = self.versions.current()
+        return {"tables": {}, "buckets": self.buckets, "dimension": None, "before": []} | held | {"number": number}
 
-    def _pointer(self) -> str:
-        return f"{self.folder}/{checked_name(self.prefix + 'tables')}.current"
-
-    def _version(self) -> dict:
-        """{"tables": {table: {bucket: folder}}, "buckets": their number, "before": folders of the previous version}."""
-        path, fs = self._path(self._pointer())
-        if not fs.exists(path):
-            return {"tables": {}, "buckets": self.buckets, "before": []}
-        stream = fs.open(path)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+    _version = version
 
     def _bucket(self, key: str, buckets: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
-    def _frame(self, version: dict, table: str, some: list[int] | None = None) -> DataFrame:
+    def frame(self, version: dict, table: str, some: list[int] | None = None) -> DataFrame:
+        """A version's table, or some buckets of it; rows of an older schema get new columns as null."""
         paths = [f"{self.folder}/{name}" for b, name in version["tables"].get(table, {}).items() if some is None or int(b) in some]
         return as_schema(self.spark.read.parquet(*paths), SCHEMAS[table]) if paths else self.spark.createDataFrame([], SCHEMAS[table])
 
     def read(self, table: str) -> DataFrame:
-        """The table; rows of an older schema get new columns as null. None stored yet: no rows."""
-        return self._frame(self._version(), table)
+        """The table as it stands. None stored yet: no rows."""
+        return self.frame(self.version(), table)
 
     def _written(self, table: str, df: DataFrame, buckets: int) -> dict[str, str]:
-        """Writes rows in buckets; gives the folder of each bucket that has rows."""
-        version = f"{checked_name(self.prefix + table)}-{uuid.uuid4().hex}"
+        """Writes rows in buckets, large ones in several tasks and files; gives the folder of each bucket that has rows."""
+        name = f"{checked_name(self.prefix + table)}-{uuid.uuid4().hex}"
         bucket = self._bucket("document_id", buckets)
-        as_schema(df, SCHEMAS[table]).withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.folder}/{version}")
-        path, fs = self._path(f"{self.folder}/{version}")
-        names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-        return {n.removeprefix("bucket="): f"{version}/{n}" for n in names if n.startswith("bucket=")}
-
-    def _moved(self, old: dict, tables: dict[str, dict[str, str]]) -> None:
-        """Makes these folders the current version and deletes what neither it nor the one before names."""
-        named = lambda t: {n.split("/")[0] for own in t.values() for n in own.values()}
-        new = {"tables": tables, "buckets": old["buckets"], "before": sorted(named(old["tables"]))}
-        target, fs = self._path(self._pointer())
-        own, _ = self._path(f"{self._pointer()}-{uuid.uuid4().hex}")
-        stream = fs.create(own, True)
-        stream.write(bytearray(json.dumps(new).encode()))
-        stream.close()
-        jvm = self.spark._jvm
-        overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(own), fs.makeQualified(target), overwrite)
-        for name in set(old["before"]) - named(tables) - set(new["before"]):
-            gone, fs = self._path(f"{self.folder}/{name}")
-            fs.delete(gone, True)
+        as_schema(df, SCHEMAS[table]).withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.folder}/{name}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        names = [s.getPath().getName() for s in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path) if s.isDirectory()]
+        return {n.removeprefix("bucket="): f"{name}/{n}" for n in names if n.startswith("bucket=")}
+
+    def _made(self, old: dict, new: dict[str, dict[str, str]], touched: list[int], dimension: int | None) -> bool:
+        """Makes a version in which the touched buckets have these folders; False if another load changed one of them since `old`."""
+        base = old
+        while True:
+            kept = {t: {b: n for b, n in base["tables"].get(t, {}).items() if int(b) not in touched} for t in SCHEMAS}
+            tables = {t: kept[t] | new[t] for t in SCHEMAS}
+            named = lambda x: {n.split("/")[0] for own in x.values() for n in own.values()}
+            before = sorted(named(base["tables"]))
+            if self.versions.made(base["number"] + 1, {"tables": tables, "buckets": base["buckets"], "dimension": dimension, "before": before}):
+                break
+            base = self.version()
+            if base["dimension"] not in (None, dimension) or any(base["tables"].get(t, {}).get(str(b)) != old["tables"].get(t, {}).get(str(b)) for t in SCHEMAS for b in touched):
+                return False
+        for name in set(base["before"]) - named(tables) - set(before):
+            self._delete(name)
+        return True
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def setup(self, *, drop: bool = False) -> None:
         """Makes the tables, without rows, if they don't exist; drop: empties both."""
-        old = self._version()
-        if drop or not old["tables"]:
-            self._moved(old, {table: {} for table in SCHEMAS})
+        for _ in range(self.TRIES):
+            old = self.version()
+            if not drop and old["number"]:
+                return
+            if self._made(old, {table: {} for table in SCHEMAS}, list(range(old["buckets"])), None):
+                return
+        raise Conflict("other loads kept changing the tables")
 
     def dimension(self) -> int | None:
-        return self.read("chunks").agg(F.max(F.size("embedding"))).first()[0]
+        """The dimension of the stored vectors, as the version says; None if there are none."""
+        return self.version()["dimension"]
 
     def load(self, documents: DataFrame, chunks: DataFrame, dimension: int) -> int:
         """Upserts documents and replaces their chunks; gives the number of chunks left out for their vector.
 
         Vectors of another dimension than the stored ones stop the load before anything is
         written. Chunks replace those of the documents that they name or that are loaded. Only the buckets of these documents are read and written.
+        Where another load changes one of these buckets meanwhile, this one runs again on what that left, at most TRIES times.
         """
-        old = self._version()
-        stored = self._frame(old, "chunks").agg(F.max(F.size("embedding"))).first()[0]
-        if stored is not None and stored > 0 and stored != dimension:
-            raise ValueError(f"stored vectors have {stored} dimensions, new ones {dimension}")
         new = as_schema(document_rows(documents), DOCUMENTS).withColumn("created_at", F.coalesce("created_at", F.current_timestamp()))
         fine = as_schema(valid_chunks(chunks, dimension), CHUNKS)
         ids = new.select("document_id").union(chunks.select("document_id")).distinct()
-        some = sorted(r["b"] for r in ids.select(self._bucket("document_id", old["buckets"]).alias("b")).distinct().collect())  # at most all buckets
         skipped = chunks.where(F.col("embedding").isNull() | (F.size("embedding") != dimension)).count()
-        tables = {
-            "documents": self._written("documents", upsert(self._frame(old, "documents", some), new), old["buckets"]),
-            "chunks": self._written("chunks", self._frame(old, "chunks", some).join(ids, "document_id", "left_anti").unionByName(fine), old["buckets"]),
-        }
-        kept = {t: {b: n for b, n in old["tables"].get(t, {}).items() if int(b) not in some} for t in SCHEMAS}
-        self._moved(old, {t: kept[t] | tables[t] for t in SCHEMAS})
-        return skipped
+        for _ in range(self.TRIES):
+            old = self.version()
+            if old["dimension"] not in (None, dimension):
+                raise ValueError(f"stored vectors have {old['dimension']} dimensions, new ones {dimension}")
+            some = sorted(r["b"] for r in ids.select(self._bucket("document_id", old["buckets"]).alias("b")).distinct().collect())  # at most all buckets
+            tables = self._merged(old, new, fine, ids, some)
+            if tables is not None and self._made(old, tables, some, dimension):
+                return skipped
+            for name in {n.split("/")[0] for own in (tables or {}).values() for n in own.values()}:
+                self._delete(name)
+        raise Conflict(f"other loads changed the same buckets {self.TRIES} times")
+
+    def _merged(self, old: dict, new: DataFrame, fine: DataFrame, ids: DataFrame, some: list[int]) -> dict | None:
+        """The touched buckets with the new rows, written; None if later versions have taken away what this one reads."""
+        try:
+            return {
+                "documents": self._written("documents", upsert(self.frame(old, "documents", some), new), old["buckets"]),
+                "chunks": self._written("chunks", self.frame(old, "chunks", some).join(ids, "document_id", "left_anti").unionByName(fine), old["buckets"]),
+            }
+        except Exception:
+            if self.version()["number"] <= old["number"] + 1:
+                raise
+            return None
 
 
 def read_documents_json(spark: SparkSession, path: str, *, arrays: bool = False) -> DataFrame:
