@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.functions.text import let
 from corvane.llm.common import dropped, written
 
 #: Sites on which a line must occur to count as boilerplate.
@@ -77,7 +78,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = d.join(gone, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
     text = F.col("doc").getField(text_col)
     split = F.split(text, "\n")
-    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(F.col("gone_at"), i)), "\n")
+    stays = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone_at"))
+    kept = let(split, lambda lines: F.array_join(F.transform(stays(lines), lambda i: F.get(lines, i)), "\n"))  # in time that follows the number of lines
     cleaned = F.when(F.col("gone_at").isNull(), text).otherwise(kept)
     return d.select(
         *[(cleaned if c == text_col else F.col("doc").getField(c)).alias(c) for c in every],

@@ -39,6 +39,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def line_dedup_few_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup as the pipeline's stage asks for it: a line on three sites is boilerplate."""
+    from corvane.llm.linededup import line_dedup
+
+    return line_dedup(_table(spark, sf_dir, "documents"), min_sites=3).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corvane.llm.exactdedup import exact_dedup
 
@@ -123,7 +130,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, op11_collocations, op12_substring_dedup, chat_tool_links, pipeline)
+    every = (op1_quality, op2_jaccard, op3_line_dedup, op4_exact_dedup, op5_sentencepiece, op6_packing, op7_nearest, op8_chat, op9_lm_score, op10_token_files, op11_collocations, op12_substring_dedup, chat_tool_links, line_dedup_few_sites, pipeline)
     return {f.__name__: f for f in every}
 
 
@@ -140,6 +147,8 @@ kept AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (
 SELECT d.doc_id, k.text, coalesce(k.n_lines, 0)::INTEGER AS n_lines, coalesce(k.n_removed, 0)::INTEGER AS n_removed FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+LINE_DEDUP_FEW_SITES_SQL = OP3_SQL.replace("count(DISTINCT source) >= 10", "count(DISTINCT source) >= 3")
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP4_SQL = f"""
@@ -204,4 +213,4 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"chat_tool_links": CHAT_TOOL_LINKS_SQL, "op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op11_collocations": OP11_SQL, "op12_substring_dedup": OP12_SQL, "op8_chat": OP8_SQL}
+    return {"chat_tool_links": CHAT_TOOL_LINKS_SQL, "line_dedup_few_sites": LINE_DEDUP_FEW_SITES_SQL, "op3_line_dedup": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op11_collocations": OP11_SQL, "op12_substring_dedup": OP12_SQL, "op8_chat": OP8_SQL}
