@@ -142,7 +142,11 @@ def sheet_cells(wide: DataFrame, date_col: str | None = None, *, least: int = 10
     return rows.unpivot("chunk_date", rest, "header", "text").where(F.char_length("text") >= least)
 
 
+def is_header(cells: Column) -> Column:
+    """Whether two or more cells of a row aren't blank: the first such row of a sheet is its header."""
+    return F.size(F.filter(cells, lambda c: F.trim(F.coalesce(c, F.lit(""))) != "")) >= 2
+
+
 def header_row(rows: DataFrame, index_col: str = "row", cells_col: str = "cells") -> DataFrame:
-    """(header_row, cells): the first row with two or more cells that aren't blank."""
-    filled = F.size(F.filter(F.col(cells_col), lambda c: F.trim(F.coalesce(c, F.lit(""))) != "")) >= 2
-    return rows.where(filled).agg(F.min(index_col).alias("header_row"), F.min_by(cells_col, index_col).alias("cells")).where("header_row is not null")
+    """(header_row, cells): the header of a sheet."""
+    return rows.where(is_header(F.col(cells_col))).agg(F.min(index_col).alias("header_row"), F.min_by(cells_col, index_col).alias("cells")).where("header_row is not null")

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.operators import lexical, recall
+from corvane.operators import lexical, many, recall
 from corvane.plans.catalog import _WORDS, _query, _read
 from corvane.plans.more import _folder
-from corvane.sources import store
+from corvane.sources import files, store
 from corvane.sources.indexes import Indexes
 
 _COVERS = """
@@ -73,3 +77,46 @@ def index_follows_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = own.version()
     found = indexes.at(version).lexical(own.frame(version, "chunks").select("chunk_id"), "de la", 200)
     return found.select("chunk_id", F.round("lexical_score", 6).alias("score")).orderBy(F.desc("score"), "chunk_id").limit(20)
+
+
+@_query("""
+WITH p AS (SELECT e.vec_id, q.vec_id AS q, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 12) AS s FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id < 100) q)
+SELECT q::VARCHAR AS query, vec_id, row_number() OVER (PARTITION BY q ORDER BY s DESC, vec_id)::INTEGER AS rank, round(s, 6) AS score FROM p QUALIFY rank <= 20""")
+def many_vectors_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of each of a hundred query vectors, all vectors read once."""
+    rows = _read(spark, sf_dir, "embeddings")
+    asked = {str(r["vec_id"]): r["embedding"] for r in rows.where("vec_id < 100").collect()}
+    return many.vector_recall(rows, asked, 20, id_col="vec_id").select("query", "vec_id", "rank", F.round("vector_score", 6).alias("score"))
+
+
+def _workbook(rows: list[tuple[int, str, str]], roles: list[str]) -> bytes:
+    """A workbook of (day, role, text): dates as styled numbers, a column for each role."""
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    text = lambda at, x: f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(x)}</t></is></c>'
+    names = "".join(text(f"{chr(66 + i)}3", x) for i, x in enumerate(roles))
+    body = "".join(f'<row r="{k}"><c r="A{k}" s="1"><v>{day}</v></c>{text(f"{chr(66 + roles.index(role))}{k}", x)}</row>' for k, (day, role, x) in enumerate(rows, 4))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="s" sheetId="1" r:id="r1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Target="worksheets/s.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet {ns}><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/s.xml", f'<worksheet {ns}><sheetData><row r="3">{text("A3", "Fecha")}{names}</row>{body}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+@_query("""
+SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS position, strftime(DATE '2023-11-14' + turn::INTEGER, '%Y-%m-%d') AS chunk_date, role AS section, '[' || strftime(DATE '2023-11-14' + turn::INTEGER, '%Y-%m-%d') || ' - ' || role || ']' || chr(10) || trim(text, chr(32) || chr(9) || chr(10) || chr(13)) AS text
+FROM conversations WHERE role IN ('system', 'user', 'assistant') AND length(trim(text, chr(32) || chr(9) || chr(10) || chr(13))) >= 10""")
+def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A workbook made of each conversation, a row for each turn and a column for each role, and its narrative cells."""
+    roles = ["system", "user", "assistant"]
+
+    def made(key: tuple, turns: pd.DataFrame) -> pd.DataFrame:
+        turns = turns.sort_values("turn")
+        content = _workbook([(45244 + int(t), r, x) for t, r, x in zip(turns["turn"], turns["role"], turns["text"])], roles)
+        return pd.DataFrame({"path": [str(key[0])], "relative": [str(key[0])], "filename": [f"{key[0]}.xlsx"], "content": [content]})
+
+    turns = _read(spark, sf_dir, "conversations").where(F.col("role").isin(roles) & F.col("text").isNotNull())
+    books = turns.groupBy("conv_id").applyInPandas(made, "path string, relative string, filename string, content binary")
+    cells = files.sheet_chunks(books).where("text is not null")
+    return cells.select(F.col("path").cast("long").alias("conv_id"), F.col("position_in_doc").alias("position"), "chunk_date", F.col("section_title_raw").alias("section"), "text")

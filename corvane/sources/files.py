@@ -1,6 +1,6 @@
 """PDF and spreadsheet files to pages and cells, and documents from them.
 
-The readers need pypdf and openpyxl on the executors; where one is missing,
+The PDF reader needs pypdf on the executors; where it is missing,
 each file gets a warning instead of an empty result without one.
 """
 
@@ -17,6 +17,7 @@ from corvane.functions import text as T
 from corvane.operators.chunking import chunk_documents
 from corvane.operators.stats import document_totals
 from corvane.plans.profiles import FULL, Profile
+from corvane.sources.xlsx import narrative_cells, sheet_rows
 
 PATTERN = "*.{pdf,xlsx,xls}"
 #: Characters under which a document without other warnings counts as scanned.
@@ -53,19 +54,6 @@ def _pdf_pages(content: bytes) -> tuple[list[str], list[str]]:
         return [], [f"the file can't be read: {e}"]
 
 
-def _sheet_rows(content: bytes) -> tuple[list[list[str]], list[str]]:
-    try:
-        from openpyxl import load_workbook
-    except ImportError:
-        return [], ["openpyxl is not installed"]
-    try:
-        sheet = load_workbook(io.BytesIO(content), read_only=True, data_only=True).active
-        shown = lambda v: "" if v is None else v.strftime("%Y-%m-%d") if hasattr(v, "strftime") else str(v).strip()
-        return [[shown(v) for v in row] for row in sheet.iter_rows(values_only=True)], []
-    except Exception as e:  # noqa: BLE001
-        return [], [f"the file can't be read: {e}"]
-
-
 def pdf_pages(files: DataFrame) -> DataFrame:
     """(path, relative, filename, pages array<string>, extraction_warnings): encrypted, protected and scanned files are warned of."""
 
@@ -90,34 +78,22 @@ def with_warnings(pages: DataFrame) -> DataFrame:
 
 
 def sheet_chunks(files: DataFrame, least: int = 10) -> DataFrame:
-    """(path, relative, filename, chunk_date, section_title_raw, text, position_in_doc, warning): a row for each narrative cell.
+    """(path, relative, filename, sheet, chunk_date, section_title_raw, text, position_in_doc, warnings): a row for each narrative cell of each sheet.
 
-    The header is the first row with two filled cells; the date column the first with "fecha" in its header, else the first.
+    The header of a sheet is its first row with two filled cells. warnings is the file's; a file without such cells has one row without a text.
     """
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for path, relative, filename, content in zip(batch["path"], batch["relative"], batch["filename"], batch["content"]):
-                rows, warnings = _sheet_rows(bytes(content))
-                head = next((i for i, r in enumerate(rows) if sum(bool(c) for c in r) >= 2), None)
-                found = 0
-                if head is not None:
-                    names = rows[head]
-                    when = next((i for i, c in enumerate(names) if "fecha" in c.lower()), 0)
-                    for r in rows[head + 1 :]:
-                        if not r or when >= len(r) or not r[when]:
-                            continue
-                        for i, c in enumerate(r):
-                            if i != when and len(c) >= least:
-                                out.append((path, relative, filename, r[when], names[i] if i < len(names) else "", c, found, None))
-                                found += 1
-                if not found:
-                    out.append((path, relative, filename, None, None, None, None, (warnings or ["no cells with text"])[0]))
-            yield pd.DataFrame(out, columns=["path", "relative", "filename", "chunk_date", "section_title_raw", "text", "position_in_doc", "warning"]).astype({"position_in_doc": "Int32"})
-
-    rows = files.where(~F.lower("path").endswith(".pdf")).select("path", "relative", "filename", "content")
-    return rows.mapInPandas(read, "path string, relative string, filename string, chunk_date string, section_title_raw string, text string, position_in_doc int, warning string")
+    items = narrative_cells(sheet_rows(files.where(~F.lower("path").endswith(".pdf"))), least)
+    file = Window.partitionBy("path")  # a file's cells, which were one row before
+    items = items.select(
+        "*",
+        F.array_sort(F.collect_set("said").over(file)).alias("own"),
+        F.count("text").over(file).alias("texts"),
+        (F.row_number().over(file.orderBy(F.col("text").isNull(), "sheet", "row", "col")) - 1).cast("int").alias("position_in_doc"),
+    )
+    rows = items.where(F.col("text").isNotNull() | ((F.col("texts") == 0) & (F.col("position_in_doc") == 0)))
+    warnings = F.when((F.col("texts") == 0) & (F.size("own") == 0), F.array(F.lit("no cells with text"))).otherwise(F.col("own"))
+    of_text = lambda c: F.when(F.col("text").isNotNull(), F.col(c)).alias(c)
+    return rows.select("path", "relative", "filename", of_text("sheet"), "chunk_date", "section_title_raw", "text", of_text("position_in_doc"), warnings.alias("warnings"))
 
 
 def described(files: DataFrame, profile: Profile = FULL) -> DataFrame:
@@ -144,8 +120,8 @@ def extract(spark: SparkSession, folder: str, profile: Profile = FULL) -> tuple[
         "text",
         F.char_length("text").alias("char_count"),
         T.token_estimate(F.col("text")).alias("token_estimate"),
-        F.lit(1).alias("page_start"),
-        F.lit(1).alias("page_end"),
+        F.col("sheet").alias("page_start"),
+        F.col("sheet").alias("page_end"),
         "position_in_doc",
         "section_title_raw",
         F.count("*").over(Window.partitionBy("document_id")).cast("int").alias("total_in_doc"),
@@ -153,7 +129,8 @@ def extract(spark: SparkSession, folder: str, profile: Profile = FULL) -> tuple[
     )
     chunks = of_pdf.unionByName(of_sheet)
     named = ["document_id", "filename", "filepath", "doc_type_category", "institution"]
-    sheets = cells.groupBy(*named).agg(F.lit(None).cast("string").alias("own_date"), F.lit(1).alias("pages"), F.array_compact(F.array(F.max("warning"))).alias("extraction_warnings"))
+    sheets = cells.groupBy(*named).agg(F.min_by("chunk_date", "position_in_doc").alias("own_date"), F.coalesce(F.max("sheet"), F.lit(0)).alias("pages"), F.max("warnings").alias("extraction_warnings"), F.max("document_date").alias("name_date"))
+    sheets = sheets.withColumn("own_date", F.coalesce("own_date", "name_date")).drop("name_date")
     papers = pages.select(*named, F.col("document_date").alias("own_date"), F.size("pages").alias("pages"), "extraction_warnings")
     totals = document_totals(chunks).select("document_id", "total_chunks", "char_count", F.col("document_date").alias("first_date"))
     documents = papers.unionByName(sheets).join(totals, "document_id", "left")
