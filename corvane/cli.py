@@ -1,4 +1,4 @@
-"""Command line: extract, enrich, load, stats, search, advanced, prompt.
+"""Command line: extract, enrich, load, index, stats, search, advanced, prompt.
 
     python -m corvane.cli full DATA --store FOLDER
     python -m corvane.cli search "tasa de interés 2022" --store FOLDER -k 5
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from corvane.plans import prompt, search
 from corvane.plans.parse import month_numbers
 from corvane.plans.profiles import BASIC, FULL
 from corvane.sources import files
+from corvane.sources.indexes import Indexes
+from corvane.sources.reports import Reports
 from corvane.sources.store import Store, read_chunks_json, read_documents_json, write_json
 
 HASHED = "hashed"
@@ -41,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     some = top.add_subparsers(dest="do", required=True)
     for name in ("extract", "full"):
         some.add_parser(name).add_argument("data")
-    for name in ("enrich", "load", "stats"):
+    for name in ("enrich", "load", "index", "stats"):
         some.add_parser(name)
     some.add_parser("setup").add_argument("--drop", action="store_true")
     for name in ("search", "prompt"):
@@ -51,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--no-mmr", action="store_true")
         p.add_argument("--json", action="store_true")
         p.add_argument("--system")
+        p.add_argument("--indexed", action="store_true", help="recall through the indexes that `index` makes")
     p = some.add_parser("advanced")
     p.add_argument("query", nargs="?")
     p.add_argument("-k", type=int, default=10)
@@ -83,6 +87,8 @@ def main(argv: list[str] | None = None) -> int:
     profile, taxonomy = (FULL, DOMAIN) if args.profile == "full" else (BASIC, BASIC_DOMAIN)
     if args.taxonomy:
         taxonomy = from_json(args.taxonomy, taxonomy)
+    elif args.do in ("enrich", "full", "search", "prompt"):
+        print("without --taxonomy no variables are found", file=sys.stderr)
     load = _loader(args.model, args.dimension)
     documents, chunks = f"{args.work}/documents", f"{args.work}/chunks"
     if args.do in ("extract", "full"):
@@ -100,14 +106,22 @@ def main(argv: list[str] | None = None) -> int:
         store.setup()
         skipped = store.load(read_documents_json(spark, documents), read_chunks_json(spark, f"{args.work}/enriched"), args.dimension)
         print(f"chunks left out for their vector: {skipped}")
+    if args.do == "index":
+        print(f"buckets indexed: {Indexes(store, f'{args.store.rstrip("/")}/{args.prefix}indexes').refresh()}")
     if args.do == "setup":
         store.setup(drop=args.drop)
     if args.do == "stats":
-        own, docs = store.read("chunks"), store.read("documents")
-        for table in (stats.by_type(own, docs), stats.by_section(own), stats.importance_summary(own), stats.key_histogram(own, "economic_variables")):
+        kept = Reports(store, f"{args.store.rstrip('/')}/{args.prefix}reports")
+        kept.refresh()
+        for table in (kept.by_type(), kept.by_section(), kept.importance_summary(), kept.key_histogram()):
             table.show(50, truncate=False)
     if args.do in ("search", "prompt"):
-        hits, parsed = search.search(store.read("chunks"), store.read("documents"), args.query, lambda q: embed.query_vector(q, load, args.model), args.k, use_mmr=not args.no_mmr, taxonomy=taxonomy, profile=profile)
+        embedder = lambda q: embed.query_vector(q, load, args.model)
+        options = {"use_mmr": not args.no_mmr, "taxonomy": taxonomy, "profile": profile}
+        if args.indexed:
+            hits, parsed = search.search_store(store, Indexes(store, f"{args.store.rstrip('/')}/{args.prefix}indexes"), args.query, embedder, args.k, **options)
+        else:
+            hits, parsed = search.search(store.read("chunks"), store.read("documents"), args.query, embedder, args.k, **options)
         hits = prompt.numbered(hits, [F.desc("final_score"), F.col("chunk_id")]).cache()
         if args.do == "prompt":
             print(prompt.prompt(args.query, hits, args.system)[0])

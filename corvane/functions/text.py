@@ -45,8 +45,8 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def strip_accents(x: Column) -> Column:
-    """Latin letters without their accents; letters that don't decompose stay."""
-    return F.translate(x, ACCENTED, PLAIN)
+    """Latin letters without their accents; letters that don't decompose stay. Texts of single bytes only have none, and aren't looked through by letter."""
+    return F.when(F.octet_length(x) == F.char_length(x), x).otherwise(F.translate(x, ACCENTED, PLAIN))
 
 
 def normalize_text(x: Column) -> Column:

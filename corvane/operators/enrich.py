@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.functions import keywords
 from corvane.functions import text as T
 from corvane.functions.taxonomy import DOMAIN, Taxonomy
 
@@ -26,36 +27,62 @@ WEIGHTS = {
 DEFAULT_TYPE, DEFAULT_INSTITUTION = "REPORTE_RESEARCH", "unknown"
 
 
-def variables(normal: Column, taxonomy: Taxonomy) -> Column:
+def lists(taxonomy: Taxonomy) -> list[list[str]]:
+    """All keyword lists of a taxonomy, in the order that the functions here look for their counts: variables, entities, sections, forward, boilerplate."""
+    return [*[w for _, w in taxonomy.variables.values()], *taxonomy.entities.values(), *taxonomy.sections.values(), taxonomy.forward, taxonomy.boilerplate]
+
+
+def keyword_counts(normal: Column, taxonomy: Taxonomy) -> Column:
+    """array<int>: the counts of all lists(), in one pass; the functions below take it as `counts` instead of looking through the text themselves."""
+    return keywords.counts(normal, lists(taxonomy))
+
+
+def _mentions(normal: Column, named: list[list[str]], counts: Column | None, at: int) -> list[Column]:
+    """Counts of lists, of which the first stands at `at` among all."""
+    return [T.mentions(normal, words) for words in named] if counts is None else [F.get(counts, at + i) for i in range(len(named))]
+
+
+def _any(normal: Column, words: list[str], counts: Column | None, taxonomy: Taxonomy, from_end: int) -> Column:
+    return normal.rlike(T.word_pattern(words)) if counts is None else F.get(counts, len(lists(taxonomy)) - from_end) > 0
+
+
+def forward(normal: Column, taxonomy: Taxonomy, counts: Column | None = None) -> Column:
+    """Whether a phrase about the future occurs."""
+    return _any(normal, taxonomy.forward, counts, taxonomy, 2)
+
+
+def variables(normal: Column, taxonomy: Taxonomy, counts: Column | None = None) -> Column:
     """map<name, struct<importance, mentions, confidence>> of the variables that occur, in the taxonomy's order."""
     if not taxonomy.variables:
         return F.create_map().cast("map<string,struct<importance:string,mentions:int,confidence:double>>")
     names, levels = (F.array(*map(F.lit, x)) for x in (list(taxonomy.variables), [level for level, _ in taxonomy.variables.values()]))
-    counts = F.array(*[T.mentions(normal, words) for _, words in taxonomy.variables.values()])
+    found = F.array(*_mentions(normal, [w for _, w in taxonomy.variables.values()], counts, 0))
 
     def entry(n: Column, i: Column) -> Column:
         confidence = F.round(F.least(F.lit(1.0), 0.5 + 0.1 * (n - 1)), 2)
         return F.struct(F.get(names, i).alias("key"), F.struct(F.get(levels, i).alias("importance"), n.alias("mentions"), confidence.alias("confidence")).alias("value"))
 
-    return F.map_from_entries(F.filter(F.transform(counts, entry), lambda e: e["value"]["mentions"] > 0))
+    return F.map_from_entries(F.filter(F.transform(found, entry), lambda e: e["value"]["mentions"] > 0))
 
 
-def entities(normal: Column, taxonomy: Taxonomy) -> Column:
+def entities(normal: Column, taxonomy: Taxonomy, counts: Column | None = None) -> Column:
     """map<name, count> of the entities that occur."""
     if not taxonomy.entities:
         return F.create_map().cast("map<string,int>")
-    every = F.array(*[F.struct(F.lit(n).alias("key"), T.mentions(normal, words).alias("value")) for n, words in taxonomy.entities.items()])
+    found = _mentions(normal, list(taxonomy.entities.values()), counts, len(taxonomy.variables))
+    every = F.array(*[F.struct(F.lit(n).alias("key"), c.alias("value")) for n, c in zip(taxonomy.entities, found)])
     return F.map_from_entries(F.filter(every, lambda e: e["value"] > 0))
 
 
-def section(normal: Column, position: Column, total: Column, hint: Column, taxonomy: Taxonomy) -> Column:
+def section(normal: Column, position: Column, total: Column, hint: Column, taxonomy: Taxonomy, counts: Column | None = None) -> Column:
     """struct<type, confidence>: by title, else by most keyword matches (first in order on a tie), else by place in the document."""
     out = lambda t, c: F.struct((t if isinstance(t, Column) else F.lit(t)).alias("type"), (c if isinstance(c, Column) else F.lit(c)).alias("confidence"))
     title = T.normalize_text(F.coalesce(hint, F.lit("")))
     named = F.lit(None).cast("string")
     for name in reversed(taxonomy.sections):
         named = F.when(title.contains(name.lower()), name).otherwise(named)
-    scores = F.array(*[F.struct(T.mentions(normal, words).alias("score"), F.lit(-i).alias("order"), F.lit(n).alias("name")) for i, (n, words) in enumerate(taxonomy.sections.items())])
+    found = _mentions(normal, list(taxonomy.sections.values()), counts, len(taxonomy.variables) + len(taxonomy.entities))
+    scores = F.array(*[F.struct(c.alias("score"), F.lit(-i).alias("order"), F.lit(n).alias("name")) for i, (n, c) in enumerate(zip(taxonomy.sections, found))])
     scores = scores if taxonomy.sections else scores.cast("array<struct<score:int,order:int,name:string>>")
     place = position / F.greatest(F.lit(1), total - 1)
     by_place = (
@@ -76,20 +103,20 @@ def section(normal: Column, position: Column, total: Column, hint: Column, taxon
     return F.when(named.isNotNull(), out(named, 0.95)).otherwise(F.coalesce(T.let(scores, by_score), by_place))
 
 
-def tags(normal: Column, own_variables: Column, numbers: Column, section_type: Column, taxonomy: Taxonomy) -> Column:
+def tags(normal: Column, own_variables: Column, numbers: Column, section_type: Column, taxonomy: Taxonomy, counts: Column | None = None) -> Column:
     critical = F.array(*map(F.lit, taxonomy.names("CRITICAL"))) if taxonomy.names("CRITICAL") else F.array().cast("array<string>")
     return F.array_compact(
         F.array(
             F.when(section_type == "DECISION", "DECISION_POLITICA"),
             F.when(section_type == "VOTACION", "VOTACION"),
-            F.when(normal.rlike(T.word_pattern(taxonomy.forward)), "FORWARD_LOOKING"),
+            F.when(forward(normal, taxonomy, counts), "FORWARD_LOOKING"),
             F.when(F.size(numbers) > 0, "DATOS_NUMERICOS"),
             F.when(F.arrays_overlap(F.map_keys(own_variables), critical), "VARIABLE_CRITICA"),
         )
     )
 
 
-def importance(normal: Column, own_variables: Column, numbers: Column, section_type: Column, own_entities: Column, forward: Column, taxonomy: Taxonomy, weights: dict[str, float] = WEIGHTS) -> Column:
+def importance(normal: Column, own_variables: Column, numbers: Column, section_type: Column, own_entities: Column, forward: Column, taxonomy: Taxonomy, weights: dict[str, float] = WEIGHTS, counts: Column | None = None) -> Column:
     """A score from 0 to 1 with three decimals; boilerplate scores 0. Terms are added in this order."""
     w = {k: F.lit(v) for k, v in weights.items()}
     zero = F.lit(0.0)
@@ -108,7 +135,7 @@ def importance(normal: Column, own_variables: Column, numbers: Column, section_t
     score = score + F.when(forward, w["forward_looking"]).otherwise(zero)
     score = score + w["entities"] * F.least(F.lit(1.0), F.size(own_entities) / 2)
     score = score - F.when((F.size(own_variables) == 0) & (F.size(numbers) == 0), w["no_variables_penalty"]).otherwise(zero)
-    return F.when(normal.rlike(T.word_pattern(taxonomy.boilerplate)), zero).otherwise(F.round(F.greatest(zero, F.least(F.lit(1.0), score)), 3))
+    return F.when(_any(normal, taxonomy.boilerplate, counts, taxonomy, 1), zero).otherwise(F.round(F.greatest(zero, F.least(F.lit(1.0), score)), 3))
 
 
 def enrich_chunks(chunks: DataFrame, documents: DataFrame, taxonomy: Taxonomy = DOMAIN) -> DataFrame:
@@ -123,22 +150,24 @@ def enrich_chunks(chunks: DataFrame, documents: DataFrame, taxonomy: Taxonomy =
     rows = chunks.join(docs, "document_id", "left")
     rows = rows.withColumn("doc_type_category", F.coalesce("doc_type_category", F.lit(DEFAULT_TYPE))).withColumn("institution", F.coalesce("institution", F.lit(DEFAULT_INSTITUTION)))
     rows = rows.withColumn("normal", T.normalize_text(F.coalesce("text", F.lit(""))))
-    rows = rows.withColumns({"economic_variables": variables(F.col("normal"), taxonomy), "entities": entities(F.col("normal"), taxonomy), "numeric_values": T.numeric_values(F.coalesce("text", F.lit(""))), "temporal_refs": T.temporal_refs(F.coalesce("text", F.lit("")))})
-    found = section(F.col("normal"), F.col("position_in_doc"), F.col("total_in_doc"), F.col("section_title_raw"), taxonomy)
+    rows = rows.withColumn("counts", keyword_counts(F.col("normal"), taxonomy))
+    own = F.col("counts")
+    rows = rows.withColumns({"economic_variables": variables(F.col("normal"), taxonomy, own), "entities": entities(F.col("normal"), taxonomy, own), "numeric_values": T.numeric_values(F.coalesce("text", F.lit(""))), "temporal_refs": T.temporal_refs(F.coalesce("text", F.lit("")))})
+    found = section(F.col("normal"), F.col("position_in_doc"), F.col("total_in_doc"), F.col("section_title_raw"), taxonomy, own)
     if taxonomy.monitor_sections:
         titles = F.create_map(*[F.lit(x) for pair in taxonomy.monitor_sections.items() for x in pair])
         known = F.element_at(titles, F.coalesce("section_title_raw", F.lit("")))
         found = F.when((F.col("doc_type_category") == "MONITOR_PM") & known.isNotNull(), F.struct(known.alias("type"), F.lit(1.0).alias("confidence"))).otherwise(found)
-    rows = rows.withColumn("found", found).withColumns({"section_type": F.col("found.type"), "section_confidence": F.col("found.confidence"), "is_forward_looking": F.col("normal").rlike(T.word_pattern(taxonomy.forward))})
+    rows = rows.withColumn("found", found).withColumns({"section_type": F.col("found.type"), "section_confidence": F.col("found.confidence"), "is_forward_looking": forward(F.col("normal"), taxonomy, own)})
     rows = rows.withColumns({
-        "tags": tags(F.col("normal"), F.col("economic_variables"), F.col("numeric_values"), F.col("section_type"), taxonomy),
-        "importance_score": importance(F.col("normal"), F.col("economic_variables"), F.col("numeric_values"), F.col("section_type"), F.col("entities"), F.col("is_forward_looking"), taxonomy),
+        "tags": tags(F.col("normal"), F.col("economic_variables"), F.col("numeric_values"), F.col("section_type"), taxonomy, own),
+        "importance_score": importance(F.col("normal"), F.col("economic_variables"), F.col("numeric_values"), F.col("section_type"), F.col("entities"), F.col("is_forward_looking"), taxonomy, counts=own),
         "is_policy_decision": F.col("section_type").isin("DECISION", "VOTACION"),
     })
     if "chunk_date" not in rows.columns:
         rows = rows.withColumn("chunk_date", F.lit(None).cast("date"))
     rows = rows.withColumn("chunk_date", F.try_to_date(F.substring(F.col("chunk_date").cast("string"), 1, 10), "yyyy-MM-dd"))
-    return rows.drop("normal", "found", "total_in_doc", "section_title_raw", "token_estimate")
+    return rows.drop("normal", "counts", "found", "total_in_doc", "section_title_raw", "token_estimate")
 
 
 def embed_text(chunks: DataFrame, model: str, taxonomy: Taxonomy = DOMAIN, *, context: bool = True) -> DataFrame:

@@ -315,11 +315,13 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "documents").withColumn("normal", T.normalize_text(F.col("text")))
-    rows = rows.withColumns({"vars": enrich.variables(F.col("normal"), STOP_WORDS), "ents": enrich.entities(F.col("normal"), STOP_WORDS), "nums": T.numeric_values(F.col("text"), NUMBERS), "forward": F.col("normal").rlike(T.word_pattern(STOP_WORDS.forward))})
-    rows = rows.withColumn("section_type", enrich.section(F.col("normal"), F.lit(0), F.lit(1), F.lit(None).cast("string"), STOP_WORDS)["type"])
+    rows = rows.withColumn("counts", enrich.keyword_counts(F.col("normal"), STOP_WORDS))
+    normal, own = F.col("normal"), F.col("counts")
+    rows = rows.withColumns({"vars": enrich.variables(normal, STOP_WORDS, own), "ents": enrich.entities(normal, STOP_WORDS, own), "nums": T.numeric_values(F.col("text"), NUMBERS), "forward": enrich.forward(normal, STOP_WORDS, own)})
+    rows = rows.withColumn("section_type", enrich.section(normal, F.lit(0), F.lit(1), F.lit(None).cast("string"), STOP_WORDS, own)["type"])
     return rows.withColumns({
-        "importance_score": enrich.importance(F.col("normal"), F.col("vars"), F.col("nums"), F.col("section_type"), F.col("ents"), F.col("forward"), STOP_WORDS),
-        "tags": enrich.tags(F.col("normal"), F.col("vars"), F.col("nums"), F.col("section_type"), STOP_WORDS),
+        "importance_score": enrich.importance(normal, F.col("vars"), F.col("nums"), F.col("section_type"), F.col("ents"), F.col("forward"), STOP_WORDS, counts=own),
+        "tags": enrich.tags(normal, F.col("vars"), F.col("nums"), F.col("section_type"), STOP_WORDS, own),
     })
 
 

@@ -16,6 +16,7 @@ from corvane.plans.catalog import _WORDS, _query, _read
 from corvane.plans.more import _folder
 from corvane.sources import files, store
 from corvane.sources.indexes import Indexes
+from corvane.sources.reports import Reports
 
 _COVERS = """
 h AS (SELECT doc_id, word, pos FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM w) WHERE word IN ({a}, {b})),
@@ -120,3 +121,22 @@ def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = turns.groupBy("conv_id").applyInPandas(made, "path string, relative string, filename string, content binary")
     cells = files.sheet_chunks(books).where("text is not null")
     return cells.select(F.col("path").cast("long").alias("conv_id"), F.col("position_in_doc").alias("position"), "chunk_date", F.col("section_title_raw").alias("section"), "text")
+
+
+@_query("""
+SELECT 'type' AS kind, lang AS name, sum(CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS n FROM documents GROUP BY lang
+UNION ALL SELECT 'section', CASE WHEN doc_id % 3 = 0 THEN 'RIESGOS' ELSE source END, sum(CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END)::BIGINT FROM documents GROUP BY ALL
+UNION ALL SELECT 'documents', NULL, count(*) FROM documents
+UNION ALL SELECT 'high', NULL, (sum(CASE WHEN n_chars >= 3000 THEN CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END ELSE 0 END))::BIGINT FROM documents""")
+def kept_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a chunk each, counted; then a third of them again with two chunks each, of which the report knows without a refresh."""
+    own = store.Store(spark, _folder(spark), buckets=8)
+    kept = Reports(own, _folder(spark))
+    docs = _read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("document_id"), F.col("lang").alias("doc_type_category"), F.lit("2024-05-06").alias("document_date"), "doc_id", "source", F.least(F.lit(1.0), F.col("n_chars") / 5000).alias("importance_score"))
+    for again in (False, True):
+        some = docs.where("doc_id % 3 = 0") if again else docs
+        chunks = some.select(F.explode(F.sequence(F.lit(0), F.lit(int(again)))).alias("i"), "*")
+        own.load(some, chunks.select(F.concat_ws("_", "document_id", "i").alias("chunk_id"), "document_id", F.lit("RIESGOS").alias("section_type") if again else F.col("source").alias("section_type"), "importance_score", F.array(F.lit(1.0)).alias("embedding")), 1)
+        if not again:
+            kept.refresh()
+    return kept.counts().where("kind in ('type', 'section', 'documents', 'high')").select("kind", "name", "n")

@@ -82,10 +82,12 @@ def enriched_chunks(documents: DataFrame, taxonomy: Taxonomy, options: dict, num
     own = F.struct("doc_id", "lang").alias("document")
     cut = chunking.chunk_documents(documents.select(own, F.array("text").alias("pages")), "document", **options)
     rows = cut.select("document_id.*", "position_in_doc", "total_in_doc", "section_title_raw", "text", "char_count", T.normalize_text(F.col("text")).alias("normal"))
-    rows = rows.withColumns({"variables": enrich.variables(F.col("normal"), taxonomy), "entities": enrich.entities(F.col("normal"), taxonomy), "numbers": T.numeric_values(F.col("text"), numbers), "forward": F.col("normal").rlike(T.word_pattern(taxonomy.forward))})
-    rows = rows.withColumn("section_type", enrich.section(F.col("normal"), F.col("position_in_doc"), F.col("total_in_doc"), F.col("section_title_raw"), taxonomy)["type"])
-    score: Column = enrich.importance(F.col("normal"), F.col("variables"), F.col("numbers"), F.col("section_type"), F.col("entities"), F.col("forward"), taxonomy)
-    tags: Column = enrich.tags(F.col("normal"), F.col("variables"), F.col("numbers"), F.col("section_type"), taxonomy)
+    rows = rows.withColumn("counts", enrich.keyword_counts(F.col("normal"), taxonomy))
+    normal, own = F.col("normal"), F.col("counts")
+    rows = rows.withColumns({"variables": enrich.variables(normal, taxonomy, own), "entities": enrich.entities(normal, taxonomy, own), "numbers": T.numeric_values(F.col("text"), numbers), "forward": enrich.forward(normal, taxonomy, own)})
+    rows = rows.withColumn("section_type", enrich.section(normal, F.col("position_in_doc"), F.col("total_in_doc"), F.col("section_title_raw"), taxonomy, own)["type"])
+    score: Column = enrich.importance(normal, F.col("variables"), F.col("numbers"), F.col("section_type"), F.col("entities"), F.col("forward"), taxonomy, counts=own)
+    tags: Column = enrich.tags(normal, F.col("variables"), F.col("numbers"), F.col("section_type"), taxonomy, own)
     return rows.select(
         "doc_id",
         F.format_string("%d_%04d", "doc_id", "position_in_doc").alias("chunk_id"),
