@@ -190,12 +190,12 @@ def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = Non
 
     Turns are in order of turn, then role and text, nulls first; repeated rows
     repeat. Null roles and texts count as empty. A repeated call identifier belongs to its
-    earliest turn. Turns with a null conversation form one; an empty table gives no rows. Calls and results that
+    earliest turn. Identifiers of conversations keep their type, numbers or texts. Turns with a null conversation form one; an empty table gives no rows. Calls and results that
     aren't JSON, hold a number that isn't finite, a lone surrogate or more than DEPTH levels stay plain text.
     Without schemas nothing is checked. Conversations are one row each by contract, so a task holds a whole one, however
     long its turns. Other columns are not read.
     """
-    known = schemas or {}
+    known, kind = schemas or {}, conversations.schema[id_col].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,8 +211,8 @@ def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = Non
                 contents.append(content if content is None or isinstance(content, str) else canonical(content))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(call_ids, pa.list_(pa.string())), pa.array(names, pa.list_(pa.string())), pa.array(result_ids, pa.string()), pa.array(contents, pa.string())], names=["conv", "turn", "role", "text", "ids", "names", "call_id", "content"])
 
-    rows = conversations.select(F.col(id_col).cast("long").alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
-    turns = by_arrow(rows, split, "conv long, turn long, role string, text string, ids array<string>, names array<string>, call_id string, content string")
+    rows = conversations.select(F.col(id_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
+    turns = by_arrow(rows, split, f"conv {kind}, turn long, role string, text string, ids array<string>, names array<string>, call_id string, content string")
     calls = turns.where("size(ids) > 0").select("conv", "turn", F.explode(F.arrays_zip("ids", "names")).alias("c")).groupBy("conv", F.col("c.ids").alias("call_id")).agg(F.min(F.struct("turn", "c.names")).alias("call"))
     results = turns.where("call_id is not null").select("conv", "call_id").distinct()
     both = results.join(calls, results.conv.eqNullSafe(calls.conv) & (results.call_id == calls.call_id)).select(results.conv, results.call_id, F.col("call.turn").alias("at"), F.col("call.names").alias("name"))
@@ -232,4 +232,4 @@ def format_chats(conversations: DataFrame, schemas: dict[str, dict] | None = Non
                 "text": pa.array([x["text"] for x in out], pa.string()),
             })
 
-    return by_arrow(whole, serialise, "conv_id long, n_turns long, n_calls long, n_linked long, problems array<string>, text string")
+    return by_arrow(whole, serialise, f"conv_id {kind}, n_turns long, n_calls long, n_linked long, problems array<string>, text string")

@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from corvane.llm.bpememo import ENCODED_BYTES, encoder
 from corvane.llm.common import as_batch, by_arrow, new_path, partitions, text_slices, transient, written
@@ -67,12 +68,14 @@ class Shard:
         return self.ids[int(start[0]) : int(end[0])]
 
 
-def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id", text_col: str = "text", *, end_id: int = 2, vocabulary: int = 50_257, shards: int | None = None) -> DataFrame:
+def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id", text_col: str = "text", *, end_id: int = 2, vocabulary: int | None = None, shards: int | None = None) -> DataFrame:
     """Writes docs' ids in ascending id order and gives (shard, path, documents, tokens), a row for each file.
 
     A null id comes first, a null text is an empty one, rows that repeat an id
-    follow the order of their texts' hashes. Each document ends with end_id. An empty table gives no files.
+    follow the order of their texts' hashes. Each document ends with end_id. Ids take two bytes if all of the vocabulary do, of which the tokenizer
+    tells the size if none is given, else four; an id that doesn't fit stops the job. An empty table gives no files.
     """
+    vocabulary = vocabulary or Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     kind = np.dtype(f"<u{width}")
 
@@ -91,6 +94,8 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "do
                 store.create_dir(root)
                 out = store.open_output_stream(own + ".ids")
             ids, bounds = encode(part.column(1))
+            if width == 2 and len(ids) and ids.max() >= 1 << 16:
+                raise ValueError(f"the id {ids.max()} is beyond a vocabulary of {vocabulary}")
             out.write(np.insert(ids, bounds[1:], end_id).astype(kind).tobytes())
             lengths.append(np.diff(bounds) + 1)
             doc_ids.append(part.column(0).fill_null(NULL_ID).to_numpy())
@@ -142,7 +147,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     return by_arrow(dealt, read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int")
 
 
-def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id: int = 2, vocabulary: int = 50_257) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end_id: int = 2, vocabulary: int | None = None) -> DataFrame:
     """Writes the shards of docs and reads them back: (doc_id, start, n_tokens, ids_crc32, shard), a row for each row of docs.
 
     Nulls, ties, repeated rows and empty tables as write_shards() has them; very long texts are one document each; other columns
