@@ -1,11 +1,10 @@
 """Approximate nearest neighbours by inner product with a hash-prefix forest.
 
-Each tree writes a vector as a string of digits; a digit is the largest
-coordinate, with its sign, of a random rotation of the vector (cross-polytope
-hashing). Rows are dealt out in blocks. A block keeps each tree as a sorted
-array of its rows' strings. A query descends to the longest prefix it shares
-with others and ascends in all trees at once, one digit a step, until enough
-rows of the block share its prefix in some tree. These are ranked by their
+Each tree writes a vector as a string of bits; a bit is the sign of the vector's product with a random direction. Rows are
+dealt out in blocks. A block keeps each tree as a sorted array of its rows' strings. A query descends in each tree to the
+longest prefix that it shares with another row and ascends in all trees at once, one bit a step, until enough
+rows of the block share its prefix in some tree; in the last step it ascends tree by tree and stops where
+they are enough, so the number looked at follows what is asked for closely. These are ranked by their
 exact inner product, and the best of all blocks are merged.
 
 How many rows are enough is measured: for a bounded sample of queries the true
@@ -31,40 +30,44 @@ from pyspark.sql.types import FloatType
 from corvane.llm.common import as_batch, by_arrow, partitions, written
 from corvane.llm.lmtrie import store_of
 
-TREES, DIGITS, SPREAD, SEED = 40, 8, 32, 7
-#: Bits of a digit: one of SPREAD coordinates and its sign.
-BITS = 6
+#: Trees, and bits of a string.
+TREES, BITS, SEED = 40, 48, 7
+#: Bits by which a block's rows are all told apart, beyond the logarithm of their number: deeper prefixes are shared by copies.
+DEEP = 4
 #: Sampled queries and the recall they must reach.
 SAMPLE, RECALL = 64, 0.95
 #: Rows that share a query's prefix, summed over the trees, as a share of a block: values to try.
-LADDER = (0.01, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0, 5.0)
+LADDER = (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.65, 0.8, 1.0, 1.15, 1.3, 1.45, 1.6, 1.8, 2.0, 2.5, 3.0, 4.0, 5.0, 7.0, 10.0)
 #: Bytes of a block's vectors, in double precision, and queries that are searched together.
 BLOCK_BYTES, QUERIES = 16 << 20, 512
 
 
 @lru_cache(2)
-def rotations(dimension: int, trees: int = TREES, digits: int = DIGITS) -> np.ndarray:
-    """[tree, digit, dimension, coordinate]: random orthonormal directions, the same wherever they are made."""
+def directions(dimension: int, trees: int = TREES) -> np.ndarray:
+    """[tree, dimension, bit]: random directions, orthonormal as far as the dimension allows, the same wherever they are made."""
     random = np.random.default_rng(SEED)
-    wide = min(SPREAD, dimension)
-    out = np.empty((trees, digits, dimension, wide), np.float32)
-    for turn in out.reshape(-1, dimension, wide):
-        turn[:] = np.linalg.qr(random.standard_normal((dimension, wide)))[0]
+    out = np.empty((trees, dimension, BITS), np.float32)
+    for tree in out:
+        for a in range(0, BITS, dimension):
+            tree[:, a : a + dimension] = np.linalg.qr(random.standard_normal((dimension, dimension)))[0][:, : BITS - a]
     return out
 
 
 def strings(x: np.ndarray, trees: int = TREES) -> np.ndarray:
-    """[row, tree]: the strings as numbers, the first digit on top; numbers sort as the strings do."""
+    """[row, tree]: the strings as numbers, the first bit on top; numbers sort as the strings do."""
     out = np.zeros((len(x), trees), np.int64)
-    x = x.astype(np.float32) / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)
-    for t, per_digit in enumerate(rotations(x.shape[1], trees)):
-        for turn in per_digit:
-            y = x.astype(np.float32) @ turn
-            at = np.abs(y).argmax(axis=1)
-            out[:, t] = out[:, t] << BITS | at * 2 + (y[np.arange(len(y)), at] > 0)
+    x = (x / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)).astype(np.float32)
+    place = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+    for t, turn in enumerate(directions(x.shape[1], trees)):
+        out[:, t] = (x @ turn > 0) @ place
     return out
 
 
+def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many first bits two strings share."""
+    return BITS - np.frexp((a ^ b).astype(np.float64))[1]
+
+
 def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products in double precision; equal rows give equal products, wherever they stand."""
     return (x * q).sum(axis=1)
@@ -93,36 +96,62 @@ class Forest:
         self.texts = np.take_along_axis(texts, self.order.T, axis=0).T.copy()
         self.seen = np.zeros(len(rows), bool)
 
+    def longest(self, paths: np.ndarray) -> np.ndarray:
+        """[query]: the length of the longest prefix that a row shares in any tree: in a sorted array it is a neighbour's."""
+        out = np.zeros(len(paths), np.int64)
+        for t, text in enumerate(self.texts):
+            at = np.searchsorted(text, paths[:, t])
+            for near in (at - 1, at):
+                out = np.maximum(out, np.where((near >= 0) & (near < len(text)), shared(text[np.clip(near, 0, len(text) - 1)], paths[:, t]), 0))
+        return out
+
     def ranges(self, paths: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """[query, tree]: where the rows that share `level` digits with each path [query, tree] begin and end."""
-        shift = BITS * (DIGITS - level)
+        """[query, tree]: where the rows that share `level` bits with each path [query, tree] begin and end."""
+        shift = BITS - level
         low = (paths >> shift) << shift
         high = low + (np.int64(1) << shift)
         a, b = (np.stack([np.searchsorted(text, border[:, t]) for t, text in enumerate(self.texts)], axis=1) for border in (low, high))
         return a, b
 
-    def levels(self, paths: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The level at which each query stops, 0 being the root, and its ranges there."""
-        level = np.zeros(len(paths), np.int64)
+    def stops(self, paths: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The level at which each query stops, 0 being the root, the last tree that has ascended to it, and the ranges of all trees."""
+        level, last = np.zeros(len(paths), np.int64), np.zeros(len(paths), np.int64)
         begin, end = np.zeros(paths.shape, np.int64), np.zeros(paths.shape, np.int64)
-        open_ = np.arange(len(paths)) if np.isfinite(share) else np.zeros(0, np.int64)
-        for d in range(DIGITS, 0, -1):
+        if not np.isfinite(share) or not len(self.rows) or not len(paths):
+            return level, last, begin, end
+        deepest = np.minimum(self.longest(paths), min(BITS, len(self.rows).bit_length() + DEEP))
+        open_, wanted = np.arange(len(paths)), share * len(self.rows)
+        before = begin.copy(), end.copy()
+        for d in range(int(deepest.max()), 0, -1):
             a, b = self.ranges(paths[open_], d)
-            stop = (b - a).sum(axis=1) >= share * len(self.rows)
-            level[open_[stop]] = d
-            begin[open_[stop]], end[open_[stop]] = a[stop], b[stop]
-            open_ = open_[~stop]
-        return level, begin, end
-
-    def nearest(self, own: np.ndarray, vectors: np.ndarray, paths: np.ndarray, share: float, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(position of the query, ids, scores) of the k best that its ascent finds, own row left out."""
-        for i, (level, a, b) in enumerate(zip(*self.levels(paths, share))):
+            none = deepest[open_] < d
+            a[none], b[none] = 0, 0
+            inner = before[1] - before[0]
+            after = np.cumsum(b - a - inner, axis=1) + inner.sum(axis=1, keepdims=True)  # rows once this tree and those before it have ascended
+            stop = after[:, -1] >= wanted
+            tree = np.where(deepest[open_[stop]] == d, paths.shape[1] - 1, (after[stop] >= wanted).argmax(axis=1))  # where the descent ended, all trees are
+            ascended = np.arange(paths.shape[1]) <= tree[:, None]
+            at = open_[stop]
+            level[at], last[at] = d, tree
+            begin[at], end[at] = np.where(ascended, a[stop], before[0][stop]), np.where(ascended, b[stop], before[1][stop])
+            open_, before = open_[~stop], (a[~stop], b[~stop])
+            if not len(open_):
+                break
+        return level, last, begin, end
+
+    def candidates(self, own: np.ndarray, paths: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, bool]]:
+        """For each query the rows that its ascent finds, own row left out, and whether it went to the root, where all are."""
+        for i, (level, _, a, b) in enumerate(zip(*self.stops(paths, share))):
             if level:
                 self.seen[:] = False
                 self.seen[np.concatenate([order[x:y] for order, x, y in zip(self.order, a.tolist(), b.tolist())])] = True
-                at = np.flatnonzero(self.seen & (self.rows != own[i]))
+                yield np.flatnonzero(self.seen & (self.rows != own[i])), False
             else:
-                at = np.flatnonzero(self.rows != own[i])
+                yield np.flatnonzero(self.rows != own[i]), True
+
+    def nearest(self, own: np.ndarray, vectors: np.ndarray, paths: np.ndarray, share: float, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(position of the query, ids, scores) of the k best that its ascent finds."""
+        for i, (at, _) in enumerate(self.candidates(own, paths, share)):
             at = self.close(at, vectors[i], k)
             score = scores(self.x[at], vectors[i])
             best = _best(self.ids[at], score, k)
@@ -230,19 +259,18 @@ def _measured(index: DataFrame, asked: DataFrame, dimension: int, k: int, wanted
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for forest in _blocks(batches, dimension):
-            stops = np.stack([forest.levels(paths, share)[0] for share in LADDER])  # fall as the share grows
+            stops = [forest.stops(paths, share)[:2] for share in LADDER]  # what they find grows with the share
             texts = np.empty_like(forest.texts)
             np.put_along_axis(texts, forest.order.astype(np.int64), forest.texts, axis=1)
+            tree = np.arange(len(texts))[:, None]
             for q in range(len(own)):
                 at = np.flatnonzero(forest.rows != own[q])
                 at = forest.close(at, vectors[q], k)
                 score = scores(forest.x[at], vectors[q])
                 best = _best(forest.ids[at], score, k)
-                level = np.zeros(len(best), np.int64)
-                for d in range(1, DIGITS + 1):
-                    shift = BITS * (DIGITS - d)
-                    level[(texts[:, at[best]] >> shift == (paths[q] >> shift)[:, None]).any(axis=0)] = d
-                least = (stops[:, q][:, None] > level).sum(axis=0)  # place in LADDER of the first share that finds it
+                same = shared(texts[:, at[best]], paths[q][:, None])
+                found = np.array([(same >= level[q] + (tree > last[q])).any(axis=0) | (level[q] == 0) for level, last in stops])
+                least = (~found).sum(axis=0)  # place in LADDER of the first share that finds it
                 yield as_batch({"q": pa.array(np.full(len(best), q, np.int32)), "id": pa.array(forest.ids[at][best]), "score": pa.array(score[best]), "least": pa.array(least.astype(np.int32))})
 
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
