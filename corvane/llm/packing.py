@@ -5,7 +5,7 @@ driver. There the covering program over configurations (multisets of lengths
 that fit a sequence) is solved by multiplicative weights: each step prices
 configurations by a knapsack dynamic program over the lengths' weights. The
 fractional solution is rounded and the program solved again for what is left,
-until no more pieces are left than there are lengths. A round takes a share of
+until few pieces are left. A round takes a share of
 the pieces, so the number of different patterns grows with the logarithm of
 the input. The n-th piece of each length then finds its place
 from the patterns alone.
@@ -28,6 +28,8 @@ from corvane.llm.common import as_batch, by_arrow, partitions, text_slices, writ
 #: Steps of the multiplicative weights in a round, their rate, the share of a scarce length that a column takes,
 #: how far from the best a column's weight may be, and how much more a token weighs in a piece as long as a sequence.
 STEPS, RATE, STEP, GAP, BEND = 120, 1.0, 0.5, 0.02, 0.3
+#: Lengths for each piece that is left when the rounds end.
+REST = 16
 #: A round whose fullest columns place a smaller share of the pieces takes its other columns, too.
 LITTLE = 0.1
 
@@ -167,9 +169,9 @@ def solved(histogram: dict[int, int], capacity: int, steps: int = STEPS) -> list
     A round solves the program for the pieces left and rounds it: its fullest columns are taken as
     often as the whole part of their share says, then once more where the pieces
     allow it, those with the longest length first. A round in which the fullest columns place little takes all
-    columns. Rounds go on until no more pieces are left than there were lengths. The tail is packed best-fit
-    decreasing after the round that gives the fewest sequences in all, among those that leave at most twice as many pieces
-    as there were lengths, thus at most 2 * capacity whatever the input.
+    columns. Rounds go on until few pieces are left beside the lengths there were (one for REST of them). The tail is what is left after the round that
+    gives the fewest sequences in all, of several the last; it is packed best-fit decreasing. Only rounds that leave
+    at most twice as many pieces as there were lengths come into question, thus at most 2 * capacity whatever the input.
     """
     shortest = min(histogram, default=0)
     lone = {((n, 1),): histogram[n] for n in histogram if n + shortest > capacity}
@@ -186,18 +188,9 @@ def solved(histogram: dict[int, int], capacity: int, steps: int = STEPS) -> list
             for i, n in key:
                 left[i] -= times * n
 
-    best: list[dict[tuple, int]] = []
-    while True:
-        before = int(left.sum())
-        if before <= 2 * tail:
-            rest: dict[tuple, int] = {}
-            for own in _best_fit([int(n) for n, m in zip(lengths, left) for _ in range(int(m))], capacity):
-                pattern = tuple(sorted((n, own.count(n)) for n in set(own)))
-                rest[pattern] = rest.get(pattern, 0) + 1
-            now = [lone, dict(patterns), rest]
-            best = min((x for x in (best, now) if x), key=lambda x: sum(sum(part.values()) for part in x))
-        if before <= tail:
-            return best
+    best: list[dict[tuple, int]] = [lone]
+    fewest = None
+    while before := int(left.sum()):
         lengths, left = lengths[left > 0], left[left > 0]
         columns = _weighted_columns(lengths, left, capacity, steps)
         full = {key: sum(int(lengths[i]) * n for i, n in key) for key in columns}
@@ -209,6 +202,18 @@ def solved(histogram: dict[int, int], capacity: int, steps: int = STEPS) -> list
                 take(key, 1)
             if before - int(left.sum()) >= LITTLE * before:
                 break
+        after = int(left.sum())
+        if after <= 2 * tail:
+            rest: dict[tuple, int] = {}
+            for own in _best_fit([int(n) for n, m in zip(lengths, left) for _ in range(int(m))], capacity):
+                pattern = tuple(sorted((n, own.count(n)) for n in set(own)))
+                rest[pattern] = rest.get(pattern, 0) + 1
+            total = sum(patterns.values()) + sum(rest.values())
+            if fewest is None or total <= fewest:
+                fewest, best = total, [lone, dict(patterns), rest]
+        if REST * after <= tail:
+            break
+    return best
 
 
 def pack(pieces: DataFrame, *, capacity: int = 2048, steps: int = STEPS) -> DataFrame:
