@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -9,12 +10,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, StringType, StructField, StructType
 
 from corvane.functions.text import normalized
 
-#: A loader is sent to the executors and called once a task; what it gives turns texts into (vectors, token counts).
+#: A loader is sent to the executors and called once a worker; what it gives turns texts into (vectors, token counts).
 Loader = Callable[[], Callable[[list[str]], tuple[np.ndarray, list[int]]]]
 
 
@@ -59,16 +61,27 @@ def sentence_model(name: str, fallback: str | None = None) -> Loader:
     return load
 
 
+_models: dict[str, Callable] = {}
+
+
+def _of_worker(key: str, load: Loader) -> Callable[[list[str]], tuple[np.ndarray, list[int]]]:
+    """The model of this worker's process; another one takes its place."""
+    if key not in _models:
+        _models.clear()
+        _models[key] = load()
+    return _models[key]
+
+
 def with_vectors(chunks: DataFrame, load: Loader, model: str, *, text_col: str = "embed_text", batch: int = 32) -> DataFrame:
     """chunks with embedding array<float>, n_tokens and embedding_model: unit vectors; a null text counts as empty.
 
-    All columns go through one Arrow mapping, so nothing has to be joined back.
+    All columns go through one Arrow mapping, so nothing has to be joined back. A worker loads the model once, for all its tasks.
     """
     carried = [c for c in chunks.columns if c not in ("embedding", "n_tokens", "embedding_model")]
-    at = carried.index(text_col)
+    at, key = carried.index(text_col), hashlib.sha256(cloudpickle.dumps(load)).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load()
+        encode = _of_worker(key, load)
         for whole in batches:
             for s in range(0, whole.num_rows, batch):
                 part = whole.slice(s, batch)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Positions of the sorted values that a report has, as shares, and bins of a round that looks for them.
+POSITIONS, BINS = {"p25": (1, 4), "p50": (1, 2), "p75": (3, 4), "p90": (9, 10)}, 1000
 
 
 def by_type(chunks: DataFrame, documents: DataFrame) -> DataFrame:
@@ -31,22 +35,37 @@ def importance_summary(chunks: DataFrame, high: float = 0.6) -> DataFrame:
 def order_statistics(rows: DataFrame, value_col: str) -> DataFrame:
     """One row of min, p25, p50, p75, p90, max and floor mean: the values at positions n/4, n/2, 3n/4 and 9n/10 of the sorted values.
 
-    Values are counted first, so what is sorted is distinct lengths, and the running
-    count finds each position; no list of all values is made.
+    Values are counted by distinct value, and the wanted positions are closed in on by rounds of histograms with BINS bins between the
+    least and the greatest value that each can still be: no task sorts or holds all values. Null values don't count; without any all columns are null.
     """
-    counts = rows.where(F.col(value_col).isNotNull()).groupBy(F.col(value_col).alias("x")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"), F.sum(F.col("x") * F.col("n")).alias("sum"))
-    running = counts.withColumn("upto", F.sum("n").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0))).crossJoin(F.broadcast(total))
-    at = lambda p, q: F.min(F.when(F.col("upto") > F.floor(p * F.col("total") / q), F.col("x")))
-    return running.agg(
-        F.min("x").alias("min"),
-        at(1, 4).alias("p25"),
-        at(1, 2).alias("p50"),
-        at(3, 4).alias("p75"),
-        at(9, 10).alias("p90"),
-        F.max("x").alias("max"),
-        F.floor(F.max("sum") / F.max("total")).alias("mean"),
-    )
+    kind = rows.schema[value_col].dataType
+    counts = rows.where(F.col(value_col).isNotNull()).groupBy(F.col(value_col).alias("x")).agg(F.count("*").alias("n")).persist()
+    try:
+        low, high, total, mean = counts.agg(F.min("x"), F.max("x"), F.sum("n"), F.floor(F.sum(F.col("x") * F.col("n")) / F.sum("n"))).first()
+        found = {name: (low, high, (total or 0) * p // q) for name, (p, q) in POSITIONS.items()}
+        while open_ := {k: v for k, v in found.items() if v[0] != v[1]}:
+            found |= _closer(counts, open_)
+    finally:
+        counts.unpersist()
+    values = [low, *[found[k][0] for k in POSITIONS], high]
+    schema = T.StructType([*[T.StructField(name, kind) for name in ("min", *POSITIONS, "max")], T.StructField("mean", T.LongType())])
+    return rows.sparkSession.createDataFrame([(*values, None if mean is None else int(mean))], schema)
+
+
+def _closer(counts: DataFrame, wanted: dict[str, tuple]) -> dict[str, tuple]:
+    """For each (least, greatest, position among the values between them) the bin that the position is in, as the same triple."""
+    inside = []
+    for name, (low, high, _) in wanted.items():
+        at = F.least(F.floor((F.col("x").cast("double") - float(low)) / ((float(high) - float(low)) / BINS)), F.lit(BINS - 1))
+        inside.append(F.when(F.col("x").between(low, high), F.struct(F.lit(name).alias("name"), at.alias("bin"))))
+    bins = counts.select("x", "n", F.explode(F.array_compact(F.array(*inside))).alias("i")).groupBy("i.name", "i.bin").agg(F.sum("n").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    out, seen = {}, dict.fromkeys(wanted, 0)
+    for r in sorted(bins.collect(), key=lambda r: r["bin"]):  # BINS rows for each position at most
+        position = wanted[r["name"]][2]
+        if seen[r["name"]] <= position < seen[r["name"]] + r["n"]:
+            out[r["name"]] = (r["low"], r["high"], position - seen[r["name"]])
+        seen[r["name"]] += r["n"]
+    return out
 
 
 def key_histogram(chunks: DataFrame, map_col: str, most: int = 10) -> DataFrame:

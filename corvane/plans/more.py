@@ -23,11 +23,14 @@ from corvane.sources import files, store
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share."""
+    """A new folder that driver and executors share; it goes when the driver ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{shared or 'file://' + tempfile.gettempdir()}/corvane-tables-{uuid.uuid4().hex}"
+    folder = f"{shared or 'file://' + tempfile.gettempdir()}/corvane-tables-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 # Text.

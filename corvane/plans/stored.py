@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.operators import lexical, many, recall
+from corvane.operators import filters, lexical, many, recall, stats
 from corvane.plans.catalog import _WORDS, _query, _read
 from corvane.plans.more import _folder
 from corvane.sources import files, store
@@ -140,3 +140,17 @@ def kept_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         if not again:
             kept.refresh()
     return kept.counts().where("kind in ('type', 'section', 'documents', 'high')").select("kind", "name", "n")
+
+
+@_query("SELECT d.doc_id FROM documents d JOIN labels l USING (doc_id) WHERE source IN ('src0', 'src1', 'src5') AND lang NOT IN ('en', 'fr') AND quality = 1")
+def institution_and_type_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Institutions asked for, types left out."""
+    rows = _read(spark, sf_dir, "documents").join(_read(spark, sf_dir, "labels"), "doc_id").select("doc_id", F.col("lang").alias("doc_type_category"), F.col("source").alias("institution"), F.col("quality").cast("double").alias("importance_score"))
+    own = filters.AdvancedFilters.from_dict({"institutions": ["src0", "src1", "src5"], "exclude_doc_types": ["en", "fr"], "min_importance": 1.0})
+    return rows.where(own.predicate()).select("doc_id")
+
+
+@_query("WITH s AS (SELECT list_sort(list(l_extendedprice)) AS s FROM lineitem) SELECT s[1] AS min, s[len(s) // 4 + 1] AS p25, s[len(s) // 2 + 1] AS p50, s[3 * len(s) // 4 + 1] AS p75, s[9 * len(s) // 10 + 1] AS p90, s[-1] AS max FROM s")
+def price_order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of a column whose values are nearly all different."""
+    return stats.order_statistics(_read(spark, sf_dir, "lineitem"), "l_extendedprice").drop("mean")

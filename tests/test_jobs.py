@@ -141,3 +141,17 @@ def test_command_lines(spark, tmp_path, monkeypatch, job):
         assert chunk_stream.current(spark, f"file://{tmp_path}/o")[1].count() == spark.read.parquet(f"{SF}/documents.parquet").where(F.col("doc_id").isNotNull()).count()
     else:
         assert watchlist.read(spark, f"file://{tmp_path}/o").count() == 10
+
+
+@pytest.mark.parametrize("name", ["job1_chunk_stream", "job2_watchlist"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+    from jobs import queries
+
+    own = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        own.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    found, table = queries.queries()[name](spark, SF), own.sql(queries.oracle_sql()[name])
+    columns = sorted(found.columns)
+    assert columns == sorted(table.columns)
+    assert sorted(map(repr, (tuple(r) for r in found.select(*columns).collect()))) == sorted(map(repr, table.select(", ".join(columns)).fetchall()))
