@@ -24,7 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go.
 
     Null and empty texts are scored as empty ones; rows that repeat are scored alike; a null id is learned from never. Without
-    usable labels every document has the same score of 1/2 or the labels' share, and all stay if that reaches the threshold.
+    usable labels every document has the same score of 1/2 or the labels' share, and all stay if that reaches the threshold. An empty table stays
+    empty; very long texts are scored whole; columns other than documents' are carried.
     """
     return good_documents(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
@@ -42,7 +43,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five words a shingle, a similarity of 0.8 or more.
 
-    Rows with a null or a repeated id are documents of their own.
+    Rows with a null or a repeated id are documents of their own. Documents without words, null and empty texts among them, are like nothing and all
+    stay. An empty table stays empty; other columns are carried, whatever their names.
     """
     return one_of_each_class(docs, words=5, num=80, den=100)
 
@@ -50,7 +52,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of at most 2048, a row for each piece.
 
-    A null or empty text is one end token; rows that repeat an id, or have none, are documents of their own; other columns are not read.
+    A null or empty text is one end token; rows that repeat an id, or have none, are documents of their own; other columns are not read. An empty
+    table gives no rows; very long texts are cut into whole sequences.
     """
     return packed_documents(docs, tokenizer_path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 

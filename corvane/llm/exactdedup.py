@@ -26,7 +26,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts are equal when identical after lower-casing A-Z; a null text is an
     empty one. The row with the largest id of a group stays; a null id is
     smaller than any other. Rows that repeat id and text are all marked as
-    kept if theirs is the largest id. Other columns are not read.
+    kept if theirs is the largest id. Very long texts are hashed whole, in the JVM, and only their digests travel.
+    An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _UPPER, _SMALL)
