@@ -169,7 +169,7 @@ def solved(histogram: dict[int, int], capacity: int, steps: int = STEPS) -> list
     A round solves the program for the pieces left and rounds it: its fullest columns are taken as
     often as the whole part of their share says, then once more where the pieces
     allow it, those with the longest length first. A round in which the fullest columns place little takes all
-    columns. Rounds go on until few pieces are left beside the lengths there were (one for REST of them). The tail is what is left after the round that
+    columns. Rounds go on until no packing can need fewer sequences, or few pieces are left beside the lengths there were (one for REST of them). The tail is what is left after the round that
     gives the fewest sequences in all, of several the last; it is packed best-fit decreasing. Only rounds that leave
     at most twice as many pieces as there were lengths come into question, thus at most 2 * capacity whatever the input.
     """
@@ -189,7 +189,7 @@ def solved(histogram: dict[int, int], capacity: int, steps: int = STEPS) -> list
                 left[i] -= times * n
 
     best: list[dict[tuple, int]] = [lone]
-    fewest = None
+    fewest, least = None, -(-int((lengths * left).sum()) // capacity)  # no packing needs fewer than the tokens fill
     while before := int(left.sum()):
         lengths, left = lengths[left > 0], left[left > 0]
         columns = _weighted_columns(lengths, left, capacity, steps)
@@ -211,7 +211,7 @@ def solved(histogram: dict[int, int], capacity: int, steps: int = STEPS) -> list
             total = sum(patterns.values()) + sum(rest.values())
             if fewest is None or total <= fewest:
                 fewest, best = total, [lone, dict(patterns), rest]
-        if REST * after <= tail:
+        if REST * after <= tail or fewest == least:
             break
     return best
 

@@ -20,7 +20,7 @@ def test_given_tables(spark, sf):
     lone, program, tail = (sum(part.values()) for part in packing.solved(histogram, CAPACITY))
     best = len(packing._best_fit([n for n, k in histogram.items() for _ in range(k)], CAPACITY))
     assert lone + program + tail <= best
-    assert program > 10 * tail
+    assert program > 4 * tail
 
 
 @pytest.mark.parametrize("seed", range(3))
