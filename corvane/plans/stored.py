@@ -82,12 +82,12 @@ def index_follows_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
 WITH p AS (SELECT e.vec_id, q.vec_id AS q, round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 12) AS s FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id < 100) q)
-SELECT q::VARCHAR AS query, vec_id, row_number() OVER (PARTITION BY q ORDER BY s DESC, vec_id)::INTEGER AS rank, round(s, 6) AS score FROM p QUALIFY rank <= 20""")
+SELECT q::VARCHAR AS query, vec_id, row_number() OVER (PARTITION BY q ORDER BY s DESC, vec_id)::INTEGER AS rank, round(s, 5) AS score FROM p QUALIFY rank <= 20""")
 def many_vectors_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of each of a hundred query vectors, all vectors read once."""
     rows = _read(spark, sf_dir, "embeddings")
     asked = {str(r["vec_id"]): r["embedding"] for r in rows.where("vec_id < 100").collect()}
-    return many.vector_recall(rows, asked, 20, id_col="vec_id").select("query", "vec_id", "rank", F.round("vector_score", 6).alias("score"))
+    return many.vector_recall(rows, asked, 20, id_col="vec_id").select("query", "vec_id", "rank", F.round("vector_score", 5).alias("score"))
 
 
 def _workbook(rows: list[tuple[int, str, str]], roles: list[str]) -> bytes:
