@@ -150,7 +150,7 @@ def institution_and_type_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(own.predicate()).select("doc_id")
 
 
-@_query("WITH s AS (SELECT list_sort(list(l_extendedprice)) AS s FROM lineitem) SELECT s[1] AS min, s[len(s) // 4 + 1] AS p25, s[len(s) // 2 + 1] AS p50, s[3 * len(s) // 4 + 1] AS p75, s[9 * len(s) // 10 + 1] AS p90, s[-1] AS max FROM s")
+@_query("WITH s AS (SELECT list_sort(list(o_totalprice)) AS s FROM orders) SELECT s[1] AS min, s[len(s) // 4 + 1] AS p25, s[len(s) // 2 + 1] AS p50, s[3 * len(s) // 4 + 1] AS p75, s[9 * len(s) // 10 + 1] AS p90, s[-1] AS max FROM s")
 def price_order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of a column whose values are nearly all different."""
-    return stats.order_statistics(_read(spark, sf_dir, "lineitem"), "l_extendedprice").drop("mean")
+    return stats.order_statistics(_read(spark, sf_dir, "orders"), "o_totalprice").drop("mean")
