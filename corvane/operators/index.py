@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from corvane.operators import recall
+from corvane.operators import many, recall
 
 #: Rows that centroids are fitted to, at most; sampled queries; and rows that a cell should hold.
 SAMPLE, QUERIES, CELL_ROWS = 20_000, 64, 4000
@@ -56,6 +56,36 @@ class CellIndex:
         order = np.argsort(-(self.centroids @ q), kind="stable")[: probes or self.probes]
         return self.rows.where(F.col("cell").isin(*map(int, order))).drop("cell")
 
+    def near_many(self, queries: DataFrame, n: int = 50, *, id_col: str = "chunk_id") -> DataFrame:
+        """(query, id, vector_score, rank): near() of each row (query, x) of a table, its own id left out, as many.nearest() has them.
+
+        Rows are dealt out by ranges of cells, large ranges in several blocks of bounded size; a query goes to the blocks of the cells that it looks at.
+        """
+        dimension, probes, middles = self.centroids.shape[1], self.probes, self.rows.sparkSession.sparkContext.broadcast(self.centroids)
+        rows = self.rows.where(F.col(id_col).isNotNull())
+        sizes = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}  # a row for each cell, at most CELLS[1]
+        range_of, blocks, size = {}, [], 0  # the range of each cell; the first block of each range and how many it has
+        for cell in sorted(sizes):
+            if not size or (size + sizes[cell]) * dimension > many.ROWS_BLOCK:
+                blocks.append([sum(blocks[-1]) if blocks else 0, 1])
+                size = 0
+            size += sizes[cell]
+            blocks[-1][1] = many.parts_of(size, dimension, many.ROWS_BLOCK)
+            range_of[cell] = len(blocks) - 1
+        table = self.rows.sparkSession.createDataFrame([(c, *blocks[k]) for c, k in range_of.items()], "cell int, first int, parts int")
+        dealt = rows.join(F.broadcast(table), "cell").select(F.col(id_col).alias("id"), F.col(self.vector_col).alias("v"), "cell", (F.col("first") + F.pmod(F.xxhash64(id_col), "parts")).cast("int").alias("block"))
+
+        def looked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = np.nan_to_num(b.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension))
+                cells = np.argsort(-(_units(x) @ middles.value.T), axis=1, kind="stable")[:, :probes].astype(np.int32)
+                to = [sorted({k for c in own if int(c) in range_of for k in range(blocks[range_of[int(c)]][0], sum(blocks[range_of[int(c)]]))}) for own in cells]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(cells), pa.list_(pa.int32())), pa.array(to, pa.list_(pa.int32()))], names=[*b.schema.names, "cells", "blocks"])
+
+        asked = queries.where((F.size("x") == dimension) & F.col("query").isNotNull()).select("query", "x")
+        asked = asked.mapInArrow(looked, StructType([*asked.schema.fields, StructField("cells", ArrayType(IntegerType())), StructField("blocks", ArrayType(IntegerType()))]))
+        return many.met(dealt, asked, n, dimension).withColumnRenamed("id", id_col)
+
     def near(self, query: Sequence[float], n: int = 50, *, id_col: str = "chunk_id", probes: int | None = None) -> DataFrame:
         """The n rows of the greatest cosine similarity in those cells, as vector_recall() has them."""
         return recall.vector_recall(self.cells(query, probes), query, n, id_col=id_col, vector_col=self.vector_col)

@@ -16,6 +16,8 @@ from corvane.operators import recall
 
 #: Queries of one pass; more are answered in several.
 BLOCK = 500
+#: Components of the vectors of a block of rows and of a part of a table of queries, which meet in one task; queries of one product in it.
+ROWS_BLOCK, QUERIES_PART, STEP = 1 << 21, 1 << 18, 128
 #: Decimals that scores are compared to, so that rankings don't depend on the order of sums.
 DIGITS = {"vector_score": 12, "lexical_score": 6}
 
@@ -96,6 +98,77 @@ def _product(vectors: list[np.ndarray], limits: list[set[str] | None], n: int, i
     return run
 
 
+def parts_of(rows: int, dimension: int, most: int) -> int:
+    """How many blocks of `most` components at most so many vectors make."""
+    return max(1, -(-rows * dimension // most))
+
+
+def nearest(rows: DataFrame, queries: DataFrame, n: int, dimension: int, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(query, id, vector_score, rank): for each row (query, x) of a table the n rows of the greatest cosine similarity, its own id left out, found by looking at all rows.
+
+    Both tables are dealt out in blocks of bounded size, and each two blocks are one task's matrix products, so neither is held whole
+    anywhere. Vectors that aren't of the dimension, are zero or hold null or non-finite components, and rows without id take no part.
+    """
+    rows, queries = rows.where((F.size(vector_col) == dimension) & F.col(id_col).isNotNull()), queries.where((F.size("x") == dimension) & F.col("query").isNotNull())
+    count = parts_of(rows.count(), dimension, ROWS_BLOCK)
+    dealt = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), F.lit(0).alias("cell"), F.pmod(F.xxhash64(id_col), F.lit(count)).cast("int").alias("block"))
+    asked = queries.select("query", "x", F.lit(None).cast("array<int>").alias("cells"), F.sequence(F.lit(0), F.lit(count - 1)).alias("blocks"))
+    return met(dealt, asked, n, dimension).withColumnRenamed("id", id_col)
+
+
+def met(rows: DataFrame, queries: DataFrame, n: int, dimension: int) -> DataFrame:
+    """(query, id, vector_score, rank) of rows (id, v, cell, block) and queries (query, x, cells, blocks): a query meets the rows of its blocks, of these only those in its cells, if they aren't null."""
+    parts = parts_of(queries.count(), dimension, QUERIES_PART)
+    left = queries.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int")).withColumn("block", F.explode("blocks")).drop("blocks")
+    right = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    schema = StructType([queries.schema["query"], rows.schema["id"], StructField("vector_score", DoubleType())])
+
+    def products(asked: pa.Table, held: pa.Table) -> pa.Table:
+        q, r = _whole(asked, "x", "query", dimension), _whole(held, "v", "id", dimension)
+        ids, own = r.column("id").to_numpy(), q.column("query").to_numpy()
+        v, x = _matrix(r, "v", dimension), _matrix(q, "x", dimension)
+        cell = r.column("cell").to_numpy()
+        cells, at, score = q.column("cells").to_pylist(), [], []
+        width = max([int(cell.max(initial=0)), *(max(c, default=0) for c in cells if c is not None)]) + 1
+        first, after = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+        for a in range(0, len(x) if len(v) else 0, STEP):
+            s = x[a : a + STEP] @ v.T
+            looked = np.ones((len(s), width), bool)
+            for i in range(len(s)):
+                s[i, first[a + i] : after[a + i]] = -np.inf
+                if cells[a + i] is not None:
+                    looked[i] = False
+                    looked[i, cells[a + i]] = True
+            if not looked.all():
+                s[~looked[:, cell]] = -np.inf
+            least = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n] - 1e-11 if s.shape[1] > n else np.full(len(s), -2.0)
+            i, j = np.nonzero((s >= least[:, None]) & (s > -np.inf))
+            digits = np.round(s[i, j], DIGITS["vector_score"])
+            order = np.lexsort((j, -digits, i))  # rows stand in order of their ids, so ties keep the smallest
+            i, j = i[order], j[order]
+            keep = np.arange(len(i)) - np.searchsorted(i, i, "left") < n
+            at.append(np.stack([i[keep] + a, j[keep]]))
+            score.append(s[i[keep], j[keep]])
+        i, j = np.concatenate(at, axis=1) if at else np.zeros((2, 0), np.int64)
+        return pa.table({"query": q.column("query").take(pa.array(i)), "id": r.column("id").take(pa.array(j)), "vector_score": pa.array(np.concatenate(score) if score else [], pa.float64())})
+
+    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(products, schema)
+    return _best(found, "vector_score", n, "id")
+
+
+def _matrix(rows: pa.Table, vector_col: str, dimension: int) -> np.ndarray:
+    """The vectors scaled to length 1; null components are NaN."""
+    v = rows.column(vector_col).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dimension)
+    with np.errstate(all="ignore"):
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _whole(rows: pa.Table, vector_col: str, by: str, dimension: int) -> pa.Table:
+    """The rows whose vector has a direction, in order of `by`."""
+    rows = rows.filter(pa.array(np.isfinite(_matrix(rows, vector_col, dimension)).all(axis=1)))
+    return rows.sort_by(by)
+
+
 def lexical_recall(texts: DataFrame, queries: Mapping[str, str], n: int = 50, *, id_col: str = "chunk_id", text_col: str = "text", group_col: str | None = None, groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """(query, id, lexical_score, rank): for each query the n texts with all its lexemes of the greatest cover density, ties by id.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corvane.functions import text as T
 from corvane.functions import vectors as V
 from corvane.functions.taxonomy import MONITOR_SECTIONS
-from corvane.operators import chunking, embed, enrich, filters, index, stats
+from corvane.operators import chunking, embed, enrich, filters, index, many, stats
 from corvane.plans import parse, search
 from corvane.plans.catalog import _ENRICHED, _FOLD, _WORDS, STOP_WORDS, _line_chunks, _query, _read, _vector
 from corvane.sources import files, store
@@ -280,19 +280,11 @@ def index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the approximate index finds 0.9 of the 20 true neighbours of every fiftieth row, on average."""
     rows = _read(spark, sf_dir, "embeddings")
     own = index.build(rows.select("vec_id", "embedding"), f"{_folder(spark)}/index", id_col="vec_id")
-    asked = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("x"))
-    middles = spark.createDataFrame([(i, [float(y) for y in c]) for i, c in enumerate(own.centroids)], "cell int, c array<double>")
-    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s")))
-    looked = asked.join(F.broadcast(middles)).select("q", "x", "cell", V.cosine(F.col("x"), F.col("c")).alias("s")).withColumn("place", place).where(F.col("place") <= own.probes)
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
-
-    def best(pairs: DataFrame) -> DataFrame:
-        return pairs.where("q <> vec_id").withColumn("score", V.cosine(F.col("x"), F.col("embedding"))).withColumn("rank", rank).where("rank <= 20").select("q", "vec_id")
-
-    found, true = best(looked.select("q", "x", "cell").join(own.rows, "cell")), best(asked.join(F.broadcast(rows.select("vec_id", "embedding")), F.lit(True)))
-    hits = true.join(found, ["q", "vec_id"], "left_semi").agg(F.count("*").alias("hits"))
-    total = true.agg(F.count("*").alias("total"), F.countDistinct("q").alias("queries"))
-    return total.join(hits).select("queries", (F.col("hits") >= 0.9 * F.col("total")).alias("reached"))
+    asked = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("x"))
+    found, true = own.near_many(asked, 20, id_col="vec_id"), many.nearest(rows, asked, 20, own.centroids.shape[1])
+    both = true.select("query", "vec_id").join(found.select("query", "vec_id", F.lit(1).alias("found")), ["query", "vec_id"], "left")
+    hits = both.agg(F.count_if(F.col("found").isNotNull()).alias("hits"), F.count("*").alias("total"))
+    return asked.agg(F.count("*").alias("queries")).join(hits).select("queries", (F.col("hits") >= 0.9 * F.col("total")).alias("reached"))
 
 
 # Whole searches: the embeddings table gives the vectors, and SQL recomputes every step.
