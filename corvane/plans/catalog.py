@@ -165,7 +165,9 @@ def dimension_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT vec_id, '[' || array_to_string(list_transform(embedding::DOUBLE[], lambda x: printf('%.7f', x)), ',') || ']' AS literal, len(embedding)::INTEGER AS parsed FROM embeddings")
 def vector_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     literal = V.formatted(F.col("embedding"))
-    return _read(spark, sf_dir, "embeddings").select("vec_id", literal.alias("literal"), F.size(V.parsed(literal)).alias("parsed"))
+    left_out = F.size(F.filter("embedding", lambda x: x.isNull()))
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", literal.alias("literal"), left_out.alias("left_out"))
+    return rows.select("vec_id", "literal", (F.coalesce(F.size(V.parsed(F.col("literal"))), F.lit(0)) + F.col("left_out")).alias("parsed"))
 
 
 # Text functions.
