@@ -1,32 +1,72 @@
 """An inverted index for lexical recall: postings with positions, sorted by term, from which rankings come without any text.
 
-A row for each term and text; written in ranges of (part, term, identifier), so a query's terms are a few files and row groups of
-each part by Parquet's statistics, and the list of a frequent term lies in several files.
+A row for each term and text, made where the text lies and sorted by (part, term, identifier) within each task, so a query's terms are a few row groups of
+each file by Parquet's statistics, and the list of a frequent term lies in several files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from corvane.functions.text import lexemes
 from corvane.operators import recall
 
 #: What one occurrence can add to a score.
 MOST = 0.1
+#: Tokens that are sorted at once, unless one text has more.
+TOKENS = 1 << 20
 
 
 def postings(texts: DataFrame, *, id_col: str = "chunk_id", text_col: str = "text", part_cols: tuple[str, ...] = (), files: int | None = None) -> DataFrame:
-    """(part_cols, term, id, n, at): how often and where each lexeme occurs in each text, sorted, in `files` ranges.
+    """(part_cols, term, id, n, at): how often and where each lexeme occurs in each text, sorted within each task, or in `files` ranges.
 
-    Rows that repeat an id count as one text, as a union of their places; null and empty texts have no rows. Tokens are shuffled once: the
-    ranges are those that the index is written in.
+    Rows that repeat an id count as one text, as a union of their places; null and empty texts have no rows. Nothing is shuffled but the
+    identifiers, to see whether some repeat, and, if so, one row for each term and text.
     """
     keys = [*part_cols, "term", "id"]
-    tokens = texts.select(*part_cols, F.col(id_col).alias("id"), F.posexplode(lexemes(F.col(text_col))).alias("place", "term"))
-    ranged = tokens.repartitionByRange(files, *keys) if files else tokens.repartitionByRange(*keys)
-    listed = ranged.groupBy(*keys).agg(F.sort_array(F.collect_set("place")).alias("at"))
-    return listed.select(*part_cols, "term", "id", F.size("at").alias("n"), "at").sortWithinPartitions(*keys)
+    texts = texts.select(*part_cols, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    repeated = not texts.groupBy(*part_cols, "id").count().where("count > 1").isEmpty()
+    own = texts.select(*part_cols, "id", lexemes(F.col("text")).alias("words"))
+    schema = StructType([*own.schema.fields[:-1], StructField("term", StringType()), StructField("n", IntegerType()), StructField("at", ArrayType(IntegerType()))])
+    listed = own.mapInArrow(_listed, schema)
+    if repeated:
+        listed = listed.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at")).withColumn("n", F.size("at"))
+    if files:
+        listed = listed.repartitionByRange(files, *keys)
+    return listed.select(*keys, "n", "at").sortWithinPartitions(*keys)
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of texts given as words: for each term of each the number of its places, and these in order."""
+    for b in batches:
+        ends = np.cumsum(pa.compute.list_value_length(b.column("words")).fill_null(0).to_numpy())
+        a = 0
+        while a < b.num_rows:
+            z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + TOKENS, "right")))
+            yield _places(b.slice(a, z - a))
+            a = z
+
+
+def _places(b: pa.RecordBatch) -> pa.RecordBatch:
+    sizes = pa.compute.list_value_length(b.column("words")).fill_null(0).to_numpy().astype(np.int64)
+    words = b.column("words").flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    key = row * max(1, len(words.dictionary)) + words.indices.to_numpy().astype(np.int64)
+    order = np.argsort(key, kind="stable")  # places stay in order
+    starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+    first, offsets = order[starts], np.append(starts, len(row)).astype(np.int32)
+    at = pa.ListArray.from_arrays(pa.array(offsets), pa.array(place[order].astype(np.int32)))
+    term = words.dictionary.take(words.indices.take(pa.array(first)))
+    own = [b.column(c).take(pa.array(row[first])) for c in range(b.num_columns - 1)]
+    return pa.RecordBatch.from_arrays([*own, term, pa.array(np.diff(offsets)), at], names=[*b.schema.names[:-1], "term", "n", "at"])
 
 
 def top(index: DataFrame, terms: list[str], n: int, allowed: DataFrame | None = None) -> DataFrame:

@@ -92,6 +92,8 @@ class Store:
 
     #: How often a load runs again because others changed its buckets.
     TRIES = 10
+    #: Identifiers of a load that are sent to all tasks, at most; of more, tables are shuffled to be joined. Stored MB a bucket from which rows that stay are copied where they lie.
+    SENT, LARGE_MB = 1_000_000, 64
 
     def __init__(self, spark: SparkSession, folder: str, prefix: str = "", buckets: int = 64):
         self.spark, self.folder, self.prefix, self.buckets = spark, folder.rstrip("/"), prefix, buckets
@@ -116,11 +118,19 @@ class Store:
         """The table as it stands. None stored yet: no rows."""
         return self.frame(self.version(), table)
 
-    def _written(self, table: str, df: DataFrame, buckets: int) -> dict[str, str]:
-        """Writes rows in buckets, large ones in several tasks and files; gives the folder of each bucket that has rows."""
+    def _large(self, version: dict, table: str, some: list[int]) -> bool:
+        """Whether these buckets of a table have LARGE_MB each on average."""
+        paths = [self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{n}") for b, n in version["tables"].get(table, {}).items() if int(b) in some]
+        return bool(paths) and sum(p.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() for p in paths) >= len(paths) * self.LARGE_MB * 1e6
+
+    def _written(self, table: str, df: DataFrame, buckets: int, stay: DataFrame | None = None) -> dict[str, str]:
+        """Writes rows in buckets, large ones in several tasks and files; gives the folder of each bucket that has rows. Those that stay aren't dealt out by bucket, as they come from buckets."""
         name = f"{checked_name(self.prefix + table)}-{uuid.uuid4().hex}"
         bucket = self._bucket("document_id", buckets)
-        as_schema(df, SCHEMAS[table]).withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.folder}/{name}")
+        rows = as_schema(df, SCHEMAS[table]).withColumn("bucket", bucket).hint("rebalance", "bucket")
+        if stay is not None:
+            rows = as_schema(stay, SCHEMAS[table]).withColumn("bucket", bucket).unionByName(rows)
+        rows.write.partitionBy("bucket").parquet(f"{self.folder}/{name}")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         names = [s.getPath().getName() for s in path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path) if s.isDirectory()]
         return {n.removeprefix("bucket="): f"{name}/{n}" for n in names if n.startswith("bucket=")}
@@ -186,9 +196,12 @@ class Store:
     def _merged(self, old: dict, new: DataFrame, fine: DataFrame, ids: DataFrame, some: list[int]) -> dict | None:
         """The touched buckets with the new rows, written; None if later versions have taken away what this one reads."""
         try:
+            gone = F.broadcast(ids) if ids.limit(self.SENT + 1).count() <= self.SENT else ids
+            stay = self.frame(old, "chunks", some).join(gone, "document_id", "left_anti")
+            apart = self._large(old, "chunks", some)
             return {
                 "documents": self._written("documents", upsert(self.frame(old, "documents", some), new), old["buckets"]),
-                "chunks": self._written("chunks", self.frame(old, "chunks", some).join(ids, "document_id", "left_anti").unionByName(fine), old["buckets"]),
+                "chunks": self._written("chunks", fine if apart else stay.unionByName(fine), old["buckets"], stay if apart else None),
             }
         except Exception:
             if self.version()["number"] <= old["number"] + 1:

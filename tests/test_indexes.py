@@ -180,3 +180,25 @@ def test_cells_of_equal_vectors_are_several_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert own.rows.count() == 500 and len(own.rows.inputFiles()) > 1
     assert np.isclose(own.near([1.0, 2.0], 1).first()["vector_score"], 1)
+
+
+def test_postings_shuffle_no_tokens(spark):
+    """Tokens used to be dealt out one row each, in ranges."""
+    rows = spark.createDataFrame([("a", "the of the"), ("b", None), ("c", " ".join(["x y"] * 50))], "chunk_id string, text string")
+    assert "Exchange" not in lexical.postings(rows)._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in lexical.postings(rows.where("chunk_id < 'c'")).selectExpr("term", "id", "n", "array_join(at, ',')").collect()} == {("the", "a", 2, "0,2"), ("of", "a", 1, "1")}
+    again = rows.unionByName(rows.selectExpr("chunk_id", "'of of' as text"))
+    assert {tuple(r) for r in lexical.postings(again).where("id = 'a'").selectExpr("term", "id", "n", "array_join(at, ',')").collect()} == {("the", "a", 2, "0,2"), ("of", "a", 2, "0,1")}
+
+
+def test_loads_copy_large_buckets_where_they_lie(spark, tmp_path, monkeypatch):
+    """The same tables whether or not the rows that stay are dealt out again, and identifiers are sent to all tasks."""
+    states = []
+    for large, sent in ((1 << 30, 1_000_000), (0, 1_000_000), (0, 0)):
+        monkeypatch.setattr(Store, "LARGE_MB", large)
+        monkeypatch.setattr(Store, "SENT", sent)
+        s = Store(spark, f"file://{tmp_path}/{large}-{sent}", buckets=2)
+        s.load(*rows_of(spark, [f"d{i}" for i in range(12)], 1), 8)
+        s.load(*rows_of(spark, ["d1", "d2", "new"], 2), 8)
+        states.append(sorted(map(str, s.read("chunks").drop("embedding").collect())) + sorted(map(str, s.read("documents").drop("created_at").collect())))
+    assert states[0] == states[1] == states[2] and len(states[0]) > 13
