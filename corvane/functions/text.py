@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +27,10 @@ NUMERIC = (
 )
 
 
+#: What (?U)\s stands for in a pattern.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def _accent_table() -> tuple[str, str]:
     """Letters that decompose to one letter and marks, and that letter; by rule, over the Latin blocks. Marks alone go."""
     of, to = [], []
@@ -51,7 +57,8 @@ def strip_accents(x: Column) -> Column:
 
 def normalize_text(x: Column) -> Column:
     """Lower case, no accents, white space as single spaces."""
-    return F.trim(F.regexp_replace(strip_accents(F.lower(x)), r"(?U)\s+", " "))
+    # Single spaces, which are most of the white space, stay as they are without being replaced.
+    return F.trim(F.regexp_replace(strip_accents(F.lower(x)), r"(?U) \s+|[^\S ]\s*", " "))
 
 
 def normalized(text: str) -> str:
@@ -93,7 +100,8 @@ def normalize_page(x: Column) -> Column:
 
 
 def stripped(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    """Without the white space at both ends, all of Unicode's; only the ends are looked at, not every space between."""
+    return F.trim(x, F.lit(WHITE))
 
 
 def paragraphs(x: Column, pattern: str = r"(?U)\n\s*\n+") -> Column:
@@ -104,10 +112,14 @@ def sentences(x: Column) -> Column:
     return F.filter(F.transform(F.split(x, "(?U)" + SENTENCE_BREAK), stripped), lambda s: s != "")
 
 
+def is_title(x: Column) -> Column:
+    """Whether a paragraph is a title: short, one line, upper case."""
+    return (F.char_length(x) <= 80) & ~F.contains(x, F.lit("\n")) & x.rlike(TITLE)
+
+
 def section_title(x: Column) -> Column:
-    """The title, if a paragraph is one: short, one line, upper case; else null."""
-    found = stripped(F.regexp_extract(x, TITLE, 1))
-    return F.when((F.char_length(x) <= 80) & ~F.contains(x, F.lit("\n")) & (found != ""), found)
+    """The title, if a paragraph is one; else null."""
+    return F.when(is_title(x), stripped(F.regexp_extract(x, TITLE, 1)))
 
 
 def slug(path: Column) -> Column:
@@ -174,7 +186,9 @@ def numeric_values(x: Column, patterns: tuple = NUMERIC, most: int = 10) -> Colu
         distinct = F.slice(F.array_distinct(F.transform(e, lambda a: F.struct(a["value"].alias("value"), a["unit"].alias("unit")))), 1, most)
         return F.transform(distinct, lambda d: F.get(F.filter(e, lambda a: (a["value"] == d["value"]) & (a["unit"] == d["unit"])), F.lit(0)))
 
-    return let(every, first)
+    # Most texts have no number, and are looked through once for each pattern.
+    some = reduce(or_, [x.rlike(p) for p, _ in patterns], F.lit(False))
+    return F.when(some, let(every, first)).otherwise(F.array().cast("array<struct<value:string,unit:string,raw:string>>"))
 
 
 def temporal_refs(x: Column) -> Column:

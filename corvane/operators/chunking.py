@@ -13,31 +13,31 @@ from pyspark.sql import functions as F
 from corvane.functions import text as T
 
 TARGET, LEAST, LONGEST, OVERLAP = 600, 200, 1200, 100
-#: Values that a fold takes at once.
-BLOCK = 256
+#: Values that a fold takes at once, at least.
+BLOCK = 16
 _UNIT = "struct<text:string,page:int,section:string>"
 _CHUNK = "struct<text:string,page_start:int,page_end:int,section:string>"
 
 
-def _folded(values: Column, start: dict[str, Column], step: Callable[[Column, Column], dict[str, Column]], kind: str, finish: Callable[[Column, Column], Column]) -> Column:
-    """A fold whose state is `start` and a growing array `out` of `kind`; finish gets the last state and the whole array.
+def _folded(values: Column, start: dict[str, Column], step: Callable[[Column, Column, Callable], Column], kind: str, finish: Callable[[Column, Column], Column]) -> Column:
+    """A fold whose state is `start` and a growing array of `kind`; finish gets the last state and the whole array.
 
-    Step gives the new fields and, as "out", the array to append. The fold runs over blocks of values, so an
-    append copies a block's array or the list of blocks, never all that was made before.
+    Step gets the state, a value, and a function that makes the next state of new fields and, if any, an array to append.
+    An aggregate copies its state, strings and all, at every value. So the fold runs over blocks, whose size follows the
+    root of the number of values: neither a block's state nor the list of blocks is copied often while it is large.
     """
     empty = F.array().cast(f"array<{kind}>")
-    cut = T.let(values, lambda v: F.when(F.size(v) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda i: F.slice(v, i * BLOCK + 1, F.lit(BLOCK)))).otherwise(F.slice(F.array(v), 1, 0)))
     state = lambda own, out: F.struct(*[own[f].alias(f) for f in start], out.alias("out"))
+    one = lambda s, v: step(s, v, lambda own, new=None: state(own, s["out"] if new is None else F.concat(s["out"], new)))
 
-    def one(s: Column, v: Column) -> Column:
-        new = step(s, v)
-        return F.struct(*[new[f].alias(f) for f in start], F.concat(s["out"], new["out"]).alias("out"))
+    def of(v: Column) -> Column:
+        size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.size(v)))).cast("int")
+        blocks = F.when(F.size(v) > 0, F.sequence(F.lit(0), F.floor((F.size(v) - 1) / size).cast("int"))).otherwise(F.array().cast("array<int>"))
+        first = F.struct(*[c.alias(f) for f, c in start.items()], F.array().cast(f"array<array<{kind}>>").alias("out"))
+        block = lambda s, i: F.aggregate(F.slice(v, i * size + 1, size), state(s, empty), one, lambda r: state(r, F.concat(s["out"], F.array(r["out"]))))
+        return F.aggregate(blocks, first, block, lambda s: finish(s, F.flatten(s["out"])))
 
-    def block(s: Column, values: Column) -> Column:
-        return T.let(F.aggregate(values, state(s, empty), one), lambda r: state(r, F.concat(s["out"], F.array(r["out"]))))
-
-    first = F.struct(*[c.alias(f) for f, c in start.items()], F.array().cast(f"array<array<{kind}>>").alias("out"))
-    return T.let(F.aggregate(cut, first, block), lambda s: finish(s, F.flatten(s["out"])))
+    return T.let(values, of)
 
 
 def units(pages: Column, *, longest: int = LONGEST, paragraph_break: str = r"(?U)\n\s*\n+", clean: bool = True) -> Column:
@@ -50,14 +50,19 @@ def units(pages: Column, *, longest: int = LONGEST, paragraph_break: str = r"(?U
         body = T.normalize_page(page) if clean else F.coalesce(page, F.lit(""))
         return F.transform(T.paragraphs(body, paragraph_break), lambda p: F.struct(p.alias("text"), (i + 1).cast("int").alias("page")))
 
-    def step(state: Column, p: Column) -> dict[str, Column]:
-        title = T.section_title(p["text"])
-        parts = F.when(F.char_length(p["text"]) > longest, T.sentences(p["text"])).otherwise(F.array(p["text"]))
-        new = F.transform(parts, lambda s: F.struct(s.alias("text"), p["page"].alias("page"), state["section"].alias("section")))
-        return {"section": F.coalesce(title, state["section"]), "out": F.when(title.isNull(), new).otherwise(F.array().cast(f"array<{_UNIT}>"))}
+    def parts(p: Column, section: Column) -> Column:
+        unit = lambda text: F.struct(text.alias("text"), p["page"].alias("page"), section.alias("section"))
+        return F.when(F.char_length(p["text"]) > longest, F.transform(T.sentences(p["text"]), unit)).otherwise(F.array(unit(p["text"])))
+
+    def step(s: Column, p: Column, following: Callable) -> Column:
+        return F.when(T.is_title(p["text"]), following({"section": T.section_title(p["text"])})).otherwise(following({"section": s["section"]}, parts(p, s["section"])))
 
+    # Without a title nothing is carried from one paragraph to the next.
+    none = F.lit(None).cast("string")
+    titled = lambda v: _folded(v, {"section": none}, step, _UNIT, lambda s, out: out)
+    untitled = lambda v: F.flatten(F.transform(v, lambda p: parts(p, none)))
     paragraphs = F.flatten(F.transform(F.coalesce(pages, F.array().cast("array<string>")), of_page))
-    return _folded(paragraphs, {"section": F.lit(None).cast("string")}, step, _UNIT, lambda s, out: out)
+    return T.let(paragraphs, lambda v: F.when(F.exists(v, lambda p: T.is_title(p["text"])), titled(v)).otherwise(untitled(v)))
 
 
 def packed(unit_array: Column, *, target: int = TARGET, least: int = LEAST, overlap: int = OVERLAP) -> Column:
@@ -66,31 +71,30 @@ def packed(unit_array: Column, *, target: int = TARGET, least: int = LEAST, over
     A chunk closes before a unit that would take it over `target`, if it has
     `least` characters, separators counted. See orphan_merged() for the last one.
     """
-    text = lambda s: F.array_join(s["parts"], " ")
-    chunk = lambda s: F.struct(T.stripped(text(s)).alias("text"), s["low"].alias("page_start"), s["high"].alias("page_end"), s["section"].alias("section"))
-    nothing = F.array().cast(f"array<{_CHUNK}>")
-    closed = lambda s: F.when((F.size(s["parts"]) > 0) & (T.stripped(text(s)) != ""), F.array(chunk(s))).otherwise(nothing)
-
-    def step(s: Column, u: Column) -> dict[str, Column]:
-        full = (s["len"] + F.char_length(u["text"]) > target) & (s["len"] >= least)
-        tail = F.substring(text(s), -overlap, overlap) if overlap else F.lit("")
-        parts = F.when(full, F.array(tail) if overlap else F.array().cast("array<string>")).otherwise(s["parts"])
-        size = F.when(full, F.char_length(tail)).otherwise(s["len"])
-        low = F.when(full, s["last"] if overlap else u["page"]).otherwise(s["low"])
-        high = F.when(full, s["last"] if overlap else u["page"]).otherwise(s["high"])
-        return {
-            "len": (size + F.char_length(u["text"]) + 1).cast("int"),
-            "parts": F.concat(parts, F.array(u["text"])),
-            "low": F.coalesce(F.least(low, u["page"]), u["page"]),
-            "high": F.coalesce(F.greatest(high, u["page"]), u["page"]),
-            "last": u["page"],
-            "section": F.when(full, F.coalesce(u["section"], s["section"])).otherwise(F.coalesce(s["section"], u["section"])),
-            "out": F.when(full, closed(s)).otherwise(nothing),
-        }
+    chunk = lambda s: F.struct(T.stripped(s["text"]).alias("text"), s["low"].alias("page_start"), s["high"].alias("page_end"), s["section"].alias("section"))
+
+    def step(s: Column, u: Column, following: Callable) -> Column:
+        def fields(text: Column, size: Column, low: Column, high: Column, section: Column) -> dict[str, Column]:
+            return {
+                "len": (size + F.char_length(u["text"]) + 1).cast("int"),
+                "text": F.concat_ws(" ", text, u["text"]),
+                "low": F.coalesce(F.least(low, u["page"]), u["page"]),
+                "high": F.coalesce(F.greatest(high, u["page"]), u["page"]),
+                "last": u["page"],
+                "section": section,
+            }
+
+        # Either state as a whole, so that what decides between them is asked once a unit.
+        tail = F.substring(s["text"], -overlap, overlap) if overlap else F.lit(None).cast("string")
+        page = s["last"] if overlap else u["page"]
+        next_chunk = following(fields(tail, F.coalesce(F.char_length(tail), F.lit(0)), page, page, F.coalesce(u["section"], s["section"])), F.array(chunk(s)))
+        same_chunk = following(fields(s["text"], s["len"], s["low"], s["high"], F.coalesce(s["section"], u["section"])))
+        return F.when((s["len"] + F.char_length(u["text"]) > target) & (s["len"] >= least), next_chunk).otherwise(same_chunk)
 
     none = lambda kind: F.lit(None).cast(kind)
-    start = {"len": F.lit(0), "parts": F.array().cast("array<string>"), "low": none("int"), "high": none("int"), "last": none("int"), "section": none("string")}
-    return _folded(unit_array, start, step, _CHUNK, lambda s, out: F.concat(out, closed(s)))
+    start = {"len": F.lit(0), "text": none("string"), "low": none("int"), "high": none("int"), "last": none("int"), "section": none("string")}
+    # Chunks without text, such as the one before the first unit, go at the end.
+    return _folded(unit_array, start, step, _CHUNK, lambda s, out: F.filter(F.concat(out, F.array(chunk(s))), lambda c: c["text"] != ""))
 
 
 def orphan_merged(every: Column, least: int = LEAST) -> Column:
@@ -114,7 +118,9 @@ def chunk_documents(docs: DataFrame, id_col: str = "document_id", pages_col: str
     rows = rows.select("document_id", packed(F.col("units"), **pack).alias("every"))
     rows = rows.select("document_id", orphan_merged(F.col("every"), pack.get("least", LEAST)).alias("chunks"))
     # posexplode would filter on the size of chunks, and so make them a second time.
-    rows = rows.select("document_id", F.size("chunks").alias("total_in_doc"), F.posexplode_outer("chunks").alias("position_in_doc", "c")).where("position_in_doc is not null")
+    # The size is taken before: after, each of a document's rows would hold all its chunks until then, and so bytes by the square of their number.
+    rows = rows.select("document_id", "chunks", F.size("chunks").alias("total_in_doc"))
+    rows = rows.select("document_id", "total_in_doc", F.posexplode_outer("chunks").alias("position_in_doc", "c")).where("position_in_doc is not null")
     return rows.select(
         F.format_string("%s_%04d", F.col("document_id").cast("string"), "position_in_doc").alias("chunk_id"),
         "document_id",

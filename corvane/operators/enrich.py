@@ -78,9 +78,11 @@ def section(normal: Column, position: Column, total: Column, hint: Column, taxon
     """struct<type, confidence>: by title, else by most keyword matches (first in order on a tie), else by place in the document."""
     out = lambda t, c: F.struct((t if isinstance(t, Column) else F.lit(t)).alias("type"), (c if isinstance(c, Column) else F.lit(c)).alias("confidence"))
     title = T.normalize_text(F.coalesce(hint, F.lit("")))
-    named = F.lit(None).cast("string")
+    unnamed = named = F.lit(None).cast("string")
     for name in reversed(taxonomy.sections):
         named = F.when(title.contains(name.lower()), name).otherwise(named)
+    # Most chunks have no title, in which there is no name to look for.
+    named = named if "" in taxonomy.sections else F.when(F.coalesce(hint, F.lit("")) == "", unnamed).otherwise(named)
     found = _mentions(normal, list(taxonomy.sections.values()), counts, len(taxonomy.variables) + len(taxonomy.entities))
     scores = F.array(*[F.struct(c.alias("score"), F.lit(-i).alias("order"), F.lit(n).alias("name")) for i, (n, c) in enumerate(zip(taxonomy.sections, found))])
     scores = scores if taxonomy.sections else scores.cast("array<struct<score:int,order:int,name:string>>")

@@ -1,10 +1,13 @@
 """Both jobs on copies of small tables: runs over growing input, runs again, deliveries that replace, odd rows, the command line."""
 
 import json
+import re
 import shutil
 
 import pytest
+from corvane.functions import text as T
 from corvane.functions.taxonomy import Taxonomy
+from corvane.operators import chunking
 from jobs import chunk_stream, watchlist
 from jobs.queries import CHUNKS
 from pyspark.sql import functions as F
@@ -91,6 +94,52 @@ def test_an_empty_source_and_a_folder_of_batches(spark, tmp_path):
     assert state(spark, tmp_path) == ([], [])
 
 
+def test_a_chunk_carries_itself_only(spark):
+    """Rows of one document, on their way to the enrichment, don't each hold all the document's chunks."""
+    docs = spark.createDataFrame([(1, "some words\n" * 400, "en")], "doc_id long, text string, lang string")
+    made = chunk_stream.enriched_chunks(docs, OWN, {"paragraph_break": "\n", "clean": False})
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    (carried,) = re.findall(r"Generate posexplode\(chunks#\d+\), \[([^\]]*)\]", plan)
+    assert "chunks#" not in carried and made.count() > 5
+
+
+def test_white_space_is_what_patterns_take_for_it(spark):
+    """stripped() and normalize_text() equal the plain patterns over every character, at both ends and between."""
+    x = F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')")
+    odd = [F.concat(x, F.lit("a"), x), F.concat(F.lit(" "), x), F.concat(F.lit("a "), x, F.lit(" b"), x, x, F.lit("c")), F.concat(F.lit("a"), x, F.lit("  b\t\n"))]
+    codes = spark.range(1, 0x110000).where("id not between 55296 and 57343")
+    same = [T.stripped(o).eqNullSafe(F.regexp_replace(o, r"(?U)^\s+|\s+$", "")) & T.normalize_text(o).eqNullSafe(F.trim(F.regexp_replace(T.strip_accents(F.lower(o)), r"(?U)\s+", " "))) for o in odd]
+    assert codes.where(~(same[0] & same[1] & same[2] & same[3])).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 15, 16, 17, 300, 1000])
+def test_folds_over_blocks_of_any_number(spark, n):
+    """Chunks of a document with and without titles, against a loop."""
+    for title in ("", "TITLE"):
+        lines = [f"{title} A".strip() if title and i % 50 == 7 else f"line {i} " + "abc " * (i % 40) for i in range(n)]
+        units, section = [], None
+        for line in lines:
+            line = line.strip()
+            if title and line == f"{title} A":
+                section = line
+            elif line:
+                units.append((line, section))
+        want, text, size, own = [], None, 0, None
+        for u, s in units:
+            if size + len(u) > 600 and size >= 200:
+                want.append((text.strip(), own))
+                text, size, own = text[-100:], len(text[-100:]), s if s is not None else own
+            else:
+                own = own if own is not None else s
+            text, size = u if text is None else f"{text} {u}", size + len(u) + 1
+        want += [(text.strip(), own)] if text else []
+        if len(want) > 1 and len(want[-1][0]) < 200:
+            want[-2:] = [(f"{want[-2][0]} {want[-1][0]}", want[-2][1])]
+        docs = spark.createDataFrame([(1, ["\n".join(lines)])], "id long, pages array<string>")
+        got = chunking.chunk_documents(docs, "id", paragraph_break="\n", clean=False, longest=1 << 30).orderBy("position_in_doc").collect()
+        assert [(r["text"], r["section_title_raw"]) for r in got] == want
+
+
 QUERIES = [{"name": "words", "words": "the of"}, {"name": "like", "like": 3, "langs": ["en"]}, {"name": "both", "words": "de la", "like": 5}, {"name": "none", "words": "zzz"}, {"name": "gone", "like": 10**9}]
 
 
